@@ -18,7 +18,7 @@ def violation() -> F.Column:
     )
 
 
-def conform(gold: DataFrame) -> DataFrame:
+def conform(gold: DataFrame, *passthrough: str) -> DataFrame:
     """Exact target types (a value that does not fit becomes NULL) plus ``violation``."""
     cols = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in TARGET.fields]
-    return gold.select(*cols).withColumn("violation", violation())
+    return gold.select(*cols, *passthrough).withColumn("violation", violation())

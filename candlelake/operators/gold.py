@@ -10,9 +10,10 @@ from ..functions.bars import candle, daily_range, daily_return_pct
 from ..schemas import BRONZE_COLUMNS
 
 
-def to_gold(silver: DataFrame) -> DataFrame:
+def to_gold(silver: DataFrame, *passthrough: str) -> DataFrame:
     return silver.select(
         *BRONZE_COLUMNS,
+        *passthrough,
         daily_range("high", "low").alias("daily_range"),
         daily_return_pct("open", "close").alias("daily_return_pct"),
         candle("open", "close").alias("candle"),

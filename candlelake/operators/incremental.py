@@ -53,8 +53,9 @@ def in_window(df: DataFrame, fetch_from: dt.date, column: str = "bar_date") -> D
 
 def in_window_per_symbol(df: DataFrame, symbol_marks: DataFrame, fallback_from: dt.date, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
     """Per-symbol window: ``bar_date >= mark(symbol) - lookback``; symbols without a mark use
-    ``fallback_from``. The mark table has one row per symbol, so it is broadcast."""
-    m = F.broadcast(symbol_marks.select("symbol", F.date_sub("last_loaded_date", lookback_days).alias("_from")))
+    ``fallback_from``. The mark table has one row per symbol; Spark broadcasts it when its
+    size estimate is under the broadcast threshold and shuffles otherwise."""
+    m = symbol_marks.select("symbol", F.date_sub("last_loaded_date", lookback_days).alias("_from"))
     j = df.join(m, "symbol", "left")
     return j.filter(F.col("bar_date") >= F.coalesce("_from", F.lit(fallback_from))).drop("_from")
 

@@ -24,11 +24,11 @@ def keep_last(df: DataFrame, keys: tuple[str, ...] = KEY, order: str = "fetched_
     fixed-width, so the plan stays a hash aggregate with partial aggregation before the shuffle:
     a hot key reaches the reducer as one row per map task. Copies of one key come from different
     responses, whose fetch times differ. Bronze keys are never NULL (days are JSON keys), so no
-    unrelated rows are merged.
+    unrelated rows are merged. ``n_copies`` > 1 marks a key that was duplicated before.
     """
     o = F.col(order)
     aggs = [F.max(o).alias(c) if c == order else F.max_by(c, o).alias(c) for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(*aggs)
+    return df.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).alias("n_copies"))
 
 
 def null_counts(df: DataFrame, columns: tuple[str, ...] = CHECKED_COLUMNS) -> DataFrame:

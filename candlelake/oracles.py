@@ -155,6 +155,7 @@ SELECT count(*) AS "rows", max(bar_date) AS max_bar_date,
        CAST(count_if(open IS NULL) AS BIGINT) AS null_open, CAST(count_if(high IS NULL) AS BIGINT) AS null_high,
        CAST(count_if(low IS NULL) AS BIGINT) AS null_low, CAST(count_if(close IS NULL) AS BIGINT) AS null_close,
        CAST(count_if(volume IS NULL) AS BIGINT) AS null_volume,
+       (SELECT count(*) FROM (SELECT 1 FROM copies GROUP BY symbol, bar_date HAVING count(*) > 1)) AS duplicate_keys,
        CAST(count_if(length(symbol) > 10) AS BIGINT) AS violations
 FROM gold""",
     "fetch_window": f"""

@@ -16,7 +16,8 @@ from ..sinks.tables import observe_load, observed, write_target
 
 
 def run_full_reload(spark: SparkSession, landing: DataFrame, target_path: str) -> dict:
-    gold = conform(to_gold(to_silver(flatten(landing))))
+    # n_copies rides along so the duplicate-key check is observed in the same write job
+    gold = conform(to_gold(to_silver(flatten(landing)), "n_copies"), "n_copies")
     to_write, obs = observe_load(gold, "full_reload")
     write_target(to_write, target_path, mode="overwrite")
     return {"outcome": "loaded", **observed(obs)}

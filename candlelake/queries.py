@@ -257,7 +257,7 @@ LOAD_METRICS_SCHEMA = T.StructType(
     [
         T.StructField("rows", T.LongType()),
         T.StructField("max_bar_date", T.DateType()),
-        *[T.StructField(m, T.LongType()) for m in LOAD_METRICS[2:]],
+        *[T.StructField(m, T.LongType()) for m in LOAD_METRICS[2:]],  # nulls, duplicates, violations
     ]
 )
 

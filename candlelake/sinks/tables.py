@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from ..schemas import MARKS, TARGET
 
-LOAD_METRICS = ("rows", "max_bar_date", "null_open", "null_high", "null_low", "null_close", "null_volume", "violations")
+LOAD_METRICS = (
+    "rows", "max_bar_date", "null_open", "null_high", "null_low", "null_close", "null_volume",
+    "duplicate_keys", "violations",
+)
 
 
 def observe_load(df: DataFrame, name: str = "load") -> tuple[DataFrame, Observation]:
@@ -21,10 +24,14 @@ def observe_load(df: DataFrame, name: str = "load") -> tuple[DataFrame, Observat
         F.max("bar_date").alias("max_bar_date"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ("open", "high", "low", "close", "volume")],
     ]
+    if "n_copies" in df.columns:
+        metrics.append(F.count_if(F.col("n_copies") > 1).alias("duplicate_keys"))
+    else:
+        metrics.append(F.lit(0).cast("bigint").alias("duplicate_keys"))
     if "violation" in df.columns:
         metrics.append(F.count_if(F.col("violation").isNotNull()).alias("violations"))
     else:
-        metrics.append(F.lit(0).alias("violations"))
+        metrics.append(F.lit(0).cast("bigint").alias("violations"))
     return df.observe(obs, *metrics), obs
 
 
@@ -43,12 +50,14 @@ def observed(obs: Observation) -> dict:
 
 def write_target(df: DataFrame, path: str, mode: str = "append") -> None:
     """Parquet target, partitioned by month of ``bar_date`` (folders prune the key scans of later
-    runs); one shuffle groups each month into few files, sorted by key for tight row-group
-    statistics. ``overwrite`` is a full reload of the path."""
+    runs). A rebalance on the month gives each month few files, sorted by key for tight
+    row-group statistics; adaptive execution splits a month that holds most of the rows over
+    several tasks and merges small ones (no sampling pass over the input, unlike a range
+    repartition). ``overwrite`` is a full reload of the path."""
     out = df.select(*TARGET.fieldNames()).withColumn("bar_month", F.date_format("bar_date", "yyyy-MM"))
     (
-        out.repartition("bar_month")
-        .sortWithinPartitions("symbol", "bar_date")
+        out.hint("rebalance", "bar_month")
+        .sortWithinPartitions("bar_month", "symbol", "bar_date")
         .write.mode(mode)
         .partitionBy("bar_month")
         .parquet(path)
