@@ -1,14 +1,16 @@
 """Column expressions (JVM-side built-ins only)."""
 
 from .bars import candle, daily_range, daily_return_pct, parse_date, price, volume
-from .jsonmaps import entries_last_wins, envelope_status, parse_body
+from .jsonmaps import entries_by_key, entries_last_wins, envelope_status, last_per_key, parse_body
 from .text import fixed_width_line, labelled_line
 
 __all__ = [
     "candle",
     "daily_range",
     "daily_return_pct",
+    "entries_by_key",
     "entries_last_wins",
+    "last_per_key",
     "envelope_status",
     "fixed_width_line",
     "labelled_line",

@@ -40,17 +40,39 @@ def envelope_status(http_status: Column, body: Column, doc: Column) -> Column:
     )
 
 
-def entries_last_wins(m: Column) -> Column:
-    """Entries of a map column with repeated keys collapsed to their last value.
+def entries_by_key(m: Column) -> Column:
+    """Entries of a map column as ``struct(key, pos, value)``, ready for ``last_per_key``.
+
+    ``pos`` is the negated position, so sorting puts a key's last entry first. The sort
+    (O(n log n)) only runs when the map holds a repeated key; otherwise the entries keep their
+    order and the later filter keeps them all.
+    """
+    indexed = F.transform(
+        F.map_entries(m),
+        lambda e, i: F.named_struct(F.lit("key"), e["key"], F.lit("pos"), -i, F.lit("value"), e["value"]),
+    )
+    distinct = F.size(F.array_distinct(F.map_keys(m))) == F.size(m)
+    return F.when(distinct, indexed).otherwise(F.array_sort(indexed))
+
+
+def last_per_key(entries: Column) -> Column:
+    """Keep the first element of each run of equal keys (the last entry of that key).
 
-    Fast path when all keys are distinct (the usual case): the entries as they are. Otherwise a
-    fold that drops an earlier entry of the same key before appending the current one.
+    ``entries`` must be a column computed in an earlier projection (it is referenced inside the
+    lambda).
     """
+    return F.filter(
+        entries,
+        lambda x, i: F.when(i == 0, F.lit(True)).otherwise(entries[i - 1]["key"] != x["key"]),
+    )
+
+
+def entries_last_wins(m: Column) -> Column:
+    """Single-expression form for small maps (e.g. a merged document's symbols)."""
     entries = F.map_entries(m)
     empty = F.filter(entries, lambda e: F.lit(False))
-    folded = F.aggregate(
+    return F.aggregate(
         entries,
         empty,
         lambda acc, e: F.concat(F.filter(acc, lambda a: a["key"] != e["key"]), F.array(e)),
     )
-    return F.when(F.size(F.array_distinct(F.map_keys(m))) == F.size(m), entries).otherwise(folded)

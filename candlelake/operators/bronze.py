@@ -5,9 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import CLOSE_KEY, HIGH_KEY, LOW_KEY, OPEN_KEY, SERIES_KEY, STATUS_OK, VOLUME_KEY
+from ..constants import (
+    CLOSE_KEY,
+    HIGH_KEY,
+    LOW_KEY,
+    OPEN_KEY,
+    SERIES_KEY,
+    STATUS_API_ERROR,
+    STATUS_HTTP_ERROR,
+    STATUS_MISSING_SERIES,
+    STATUS_OK,
+    STATUS_RATE_LIMITED,
+    VOLUME_KEY,
+)
 from ..functions.bars import price, volume
-from ..functions.jsonmaps import entries_last_wins, envelope_status, parse_body
+from ..functions.jsonmaps import entries_by_key, envelope_status, last_per_key, parse_body
 
 
 def _parsed(landing: DataFrame) -> DataFrame:
@@ -38,10 +50,13 @@ def flatten(landing: DataFrame) -> DataFrame:
     """
     p = _parsed(landing)
     status = envelope_status(F.col("http_status"), F.col("body"), F.col("doc"))
-    # explode(NULL) yields no rows: non-ok responses drop out without a Filter that would
+    # Non-ok responses get a NULL array and explode(NULL) yields no rows: no Filter that would
     # re-evaluate the parse.
-    days = F.explode(F.when(status == F.lit(STATUS_OK), entries_last_wins(F.col("doc")[SERIES_KEY])))
-    rows = p.select("symbol", "run_date", "fetched_at", days.alias("d"))
+    ordered = p.select(
+        "symbol", "run_date", "fetched_at",
+        F.when(status == F.lit(STATUS_OK), entries_by_key(F.col("doc")[SERIES_KEY])).alias("entries"),
+    )
+    rows = ordered.select("symbol", "run_date", "fetched_at", F.explode(last_per_key(F.col("entries"))).alias("d"))
     v = F.col("d.value")
     return rows.select(
         "symbol",
@@ -82,15 +97,27 @@ def entry_counts(landing: DataFrame) -> DataFrame:
     )
 
 
+STATUSES = (STATUS_OK, STATUS_RATE_LIMITED, STATUS_API_ERROR, STATUS_MISSING_SERIES, STATUS_HTTP_ERROR)
+
+
 def merge_attempts(landing: DataFrame) -> DataFrame:
     """Per (symbol, run): the response that counts is the last ok one, else the last failure.
 
-    Only the status travels through the shuffle, never the bodies.
+    Only small fixed-width values travel through the shuffle (a status code and one long
+    ordering: ok first, then fetch time), never the bodies, so the aggregate is hash-based and
+    partial: a retry storm on one (symbol, run) is combined map-side.
     """
+    labels = F.array(*[F.lit(s) for s in STATUSES])
     c = classify(landing)
     is_ok = F.col("status") == F.lit(STATUS_OK)
-    return c.groupBy("symbol", "run_date").agg(
+    order = is_ok.cast("long") * F.lit(10**17) + F.unix_micros("fetched_at")
+    code = F.array_position(labels, F.col("status")).cast("int")
+    merged = c.groupBy("symbol", "run_date").agg(
         F.count(F.lit(1)).alias("n_attempts"),
         F.count_if(is_ok).cast("bigint").alias("n_ok"),
-        F.max_by(F.struct("status", "http_status"), F.struct(is_ok, F.col("fetched_at"))).alias("w"),
-    ).select("symbol", "run_date", "n_attempts", "n_ok", F.col("w.status").alias("status"), F.col("w.http_status").alias("http_status"))
+        F.max_by(code, order).alias("code"),
+        F.max_by("http_status", order).alias("http_status"),
+    )
+    return merged.select(
+        "symbol", "run_date", "n_attempts", "n_ok", F.element_at(labels, F.col("code")).alias("status"), "http_status"
+    )

@@ -16,10 +16,11 @@ from ..schemas import LANDING
 
 
 def write_landing(landing: DataFrame, path: str) -> None:
-    """Append landed responses, one folder per run date."""
+    """Append landed responses, one folder per run date (a rebalance: few files per run, and a
+    run holding most of the rows is split over several tasks)."""
     (
         landing.select(*LANDING.fieldNames())
-        .repartition("run_date")
+        .hint("rebalance", "run_date")
         .write.mode("append")
         .partitionBy("run_date")
         .json(path)
