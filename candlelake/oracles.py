@@ -25,14 +25,19 @@ def candle_sql(open_: str, close: str) -> str:
 
 
 CTE = f"""
-WITH bars AS (
-  SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS bar_date,
-         CAST(arg_min(o_totalprice, o_orderkey) AS DECIMAL(10,4)) AS open,
-         CAST(max(o_totalprice) AS DECIMAL(10,4)) AS high,
-         CAST(min(o_totalprice) AS DECIMAL(10,4)) AS low,
-         CAST(arg_max(o_totalprice, o_orderkey) AS DECIMAL(10,4)) AS close,
+WITH ticks AS (
+  SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS bar_date, o_orderkey AS seq, o_totalprice AS price FROM orders
+  UNION ALL
+  SELECT printf('C%07d', o_custkey), CAST(o_orderdate AS DATE), o_orderkey, o_totalprice FROM orders
+),
+bars AS (
+  SELECT symbol, bar_date,
+         CAST(arg_min(price, seq) AS DECIMAL(10,4)) AS open,
+         CAST(max(price) AS DECIMAL(10,4)) AS high,
+         CAST(min(price) AS DECIMAL(10,4)) AS low,
+         CAST(arg_max(price, seq) AS DECIMAL(10,4)) AS close,
          count(*) AS volume
-  FROM orders GROUP BY o_orderpriority, CAST(o_orderdate AS DATE)
+  FROM ticks GROUP BY symbol, bar_date
 ),
 landed AS (
   SELECT symbol, bar_date,

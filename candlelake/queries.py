@@ -81,17 +81,26 @@ class Scenario:
         self.cut = self.d_max - dt.timedelta(days=CUT_DAYS)
         self.hole_from = self.cut - dt.timedelta(days=HOLE_DAYS)
         self.spark, self.sf = spark, sf
+        self._mark: dt.date | None = None
 
-    def existing(self) -> DataFrame:
-        g = gold(self.spark, self.sf)
+    def _existing_filter(self, df: DataFrame) -> DataFrame:
         hole = (F.col("symbol") == F.lit(self.hole_symbol)) & (F.col("bar_date") >= F.lit(self.hole_from))
-        return g.filter((F.col("bar_date") < F.lit(self.cut)) & ~hole)
+        return df.filter((F.col("bar_date") < F.lit(self.cut)) & ~hole)
+
+    def existing(self) -> DataFrame:
+        return self._existing_filter(gold(self.spark, self.sf))
 
     def mark(self) -> DataFrame:
         return self.existing().agg(F.max("bar_date").alias("last_loaded_date"))
 
     def mark_value(self) -> dt.date:
-        return I.first_value(self.mark(), "last_loaded_date")
+        """The target's latest day. Every bar lands, so it is taken from the bars (one cheap
+        aggregate, computed once)."""
+        if self._mark is None:
+            self._mark = I.first_value(
+                self._existing_filter(bars(self.spark, self.sf)).agg(F.max("bar_date").alias("m")), "m"
+            )
+        return self._mark
 
     def fetch_from(self) -> dt.date:
         return self.mark_value() - dt.timedelta(days=LOOKBACK_DAYS)

@@ -1,7 +1,8 @@
 """Adapters that shape the driver's tables like the reference's inputs (test plumbing).
 
-* bars      <- orders: symbol = o_orderpriority, bar_date = o_orderdate, prices = o_totalprice
-               ordered by o_orderkey (open = first, close = last), volume = orders per day.
+* bars      <- orders: bar_date = o_orderdate, prices = o_totalprice ordered by o_orderkey
+               (open = first, close = last), volume = orders per day; symbol = o_orderpriority
+               (5 dense series) and, separately, 'C' + o_custkey (one sparse series per customer).
 * landing   <- bars nested back into API response documents, one per (symbol, monthly run).
                A run also re-fetches the last ``LOOKBACK_DAYS`` days of the previous month
                (replays), each document repeats its earliest day with a preliminary value first
@@ -48,18 +49,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def orders_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily OHLCV bars, unique per (symbol, bar_date)."""
+    """Daily OHLCV bars, unique per (symbol, bar_date), in two shapes from one orders scan:
+
+    * few symbols with dense series: symbol = o_orderpriority (every day has orders);
+    * many symbols with sparse series: symbol = 'C' + 7-digit o_custkey; their number grows
+      with the table.
+
+    Each order is one tick of both series; one hash aggregate (partial, map-side) builds all bars.
+    """
     o = table(spark, sf_dir, "orders").select(
-        F.col("o_orderpriority").alias("symbol"),
+        F.explode(F.array("o_orderpriority", F.format_string("C%07d", "o_custkey"))).alias("symbol"),
         F.col("o_orderdate").cast("date").alias("bar_date"),
-        "o_orderkey",
-        "o_totalprice",
+        F.col("o_orderkey").alias("seq"),
+        F.col("o_totalprice").alias("price"),
     )
     bars = o.groupBy("symbol", "bar_date").agg(
-        F.min_by("o_totalprice", "o_orderkey").alias("open"),
-        F.max("o_totalprice").alias("high"),
-        F.min("o_totalprice").alias("low"),
-        F.max_by("o_totalprice", "o_orderkey").alias("close"),
+        F.min_by("price", "seq").alias("open"),
+        F.max("price").alias("high"),
+        F.min("price").alias("low"),
+        F.max_by("price", "seq").alias("close"),
         F.count(F.lit(1)).alias("volume"),
     )
     return bars.select(
