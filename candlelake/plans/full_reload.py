@@ -12,12 +12,14 @@ from ..operators.bronze import flatten
 from ..operators.conform import conform
 from ..operators.gold import to_gold
 from ..operators.silver import to_silver
-from ..sinks.tables import observe_load, observed, write_target
+from ..sinks.tables import observe_load, observed
+from ..sinks.targets import JdbcTarget, ParquetTarget, as_target
 
 
-def run_full_reload(spark: SparkSession, landing: DataFrame, target_path: str) -> dict:
+def run_full_reload(spark: SparkSession, landing: DataFrame, target: str | ParquetTarget | JdbcTarget) -> dict:
+    """``target``: a Parquet folder or a target object (JDBC truncates instead of dropping)."""
     # n_copies rides along so the duplicate-key check is observed in the same write job
     gold = conform(to_gold(to_silver(flatten(landing)), "n_copies"), "n_copies")
     to_write, obs = observe_load(gold, "full_reload")
-    write_target(to_write, target_path, mode="overwrite")
+    as_target(target).write(to_write, mode="overwrite")
     return {"outcome": "loaded", **observed(obs)}

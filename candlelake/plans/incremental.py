@@ -20,9 +20,10 @@ from ..operators.conform import conform
 from ..operators.gold import to_gold
 from ..operators.incremental import first_value, in_window, in_window_per_symbol, new_rows, per_symbol_marks
 from ..operators.silver import to_silver
-from ..sinks.tables import append_mark, observe_load, observed, write_target
+from ..sinks.tables import append_mark, observe_load, observed
+from ..sinks.targets import JdbcTarget, ParquetTarget, as_target
 from ..sources.landing import read_landing
-from ..sources.tables import existing_keys, read_marks, read_target
+from ..sources.tables import read_marks
 
 
 def plan_window(
@@ -41,19 +42,20 @@ def plan_window(
 def run_incremental(
     spark: SparkSession,
     landing_path: str,
-    target_path: str,
+    target_path: str | ParquetTarget | JdbcTarget,
     marks_path: str,
     as_of: dt.date,
     lookback_days: int = LOOKBACK_DAYS,
     per_key: bool = False,
 ) -> dict:
+    target = as_target(target_path)
     old_mark, fetch_from = plan_window(spark, marks_path, as_of, lookback_days)
     scan_from = fetch_from
     symbol_marks = None
     if per_key:
-        target = read_target(spark, target_path)
-        if target is not None:
-            symbol_marks = per_symbol_marks(target)
+        loaded = target.read(spark)
+        if loaded is not None:
+            symbol_marks = per_symbol_marks(loaded)
             earliest = first_value(symbol_marks.agg(F.min("last_loaded_date").alias("m")), "m")
             if earliest is not None:
                 scan_from = min(fetch_from, earliest - dt.timedelta(days=lookback_days))
@@ -65,9 +67,9 @@ def run_incremental(
     else:
         incoming = in_window(silver, fetch_from)
     observed_incoming, seen = observe_load(incoming, "incoming")
-    new = new_rows(observed_incoming, existing_keys(spark, target_path, scan_from))
+    new = new_rows(observed_incoming, target.keys(spark, scan_from))
     gold, loaded = observe_load(conform(to_gold(new)), "new_rows")
-    write_target(gold, target_path, mode="append")
+    target.write(gold, mode="append")
 
     metrics = observed(loaded)
     n_incoming = observed(seen)["rows"]

@@ -18,19 +18,20 @@ from ..operators.gold import to_gold
 from ..operators.incremental import first_value, new_rows
 from ..operators.silver import to_silver
 from ..schemas import LANDING
-from ..sinks.tables import write_target
-from ..sources.tables import existing_keys
+from ..sinks.targets import JdbcTarget, ParquetTarget, as_target
 
 
-def load_batch(batch: DataFrame, target_path: str) -> None:
+def load_batch(batch: DataFrame, target: str | ParquetTarget | JdbcTarget) -> None:
+    """One micro-batch: keep-last within the batch, anti-join against the target's keys from
+    the batch's earliest day on (window-pruned), append the new gold rows."""
     spark = batch.sparkSession
+    t = as_target(target)
     silver = to_silver(flatten(batch)).persist()
     try:
         earliest = first_value(silver.agg(F.min("bar_date").alias("d")), "d")
         if earliest is None:
             return
-        keys = existing_keys(spark, target_path, earliest)
-        write_target(conform(to_gold(new_rows(silver, keys))), target_path, mode="append")
+        t.write(conform(to_gold(new_rows(silver, t.keys(spark, earliest)))), mode="append")
     finally:
         silver.unpersist()
 
@@ -38,7 +39,7 @@ def load_batch(batch: DataFrame, target_path: str) -> None:
 def start_incremental_stream(
     spark: SparkSession,
     landing_path: str,
-    target_path: str,
+    target_path: str | ParquetTarget | JdbcTarget,
     checkpoint_path: str,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
