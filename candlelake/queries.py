@@ -82,13 +82,16 @@ class Scenario:
         self.hole_from = self.cut - dt.timedelta(days=HOLE_DAYS)
         self.spark, self.sf = spark, sf
         self._mark: dt.date | None = None
+        # One silver frame for both sides of a query: the same relation lets Spark reuse the
+        # shuffles of the shared part of the plan.
+        self.silver = silver(spark, sf)
 
     def _existing_filter(self, df: DataFrame) -> DataFrame:
         hole = (F.col("symbol") == F.lit(self.hole_symbol)) & (F.col("bar_date") >= F.lit(self.hole_from))
         return df.filter((F.col("bar_date") < F.lit(self.cut)) & ~hole)
 
     def existing(self) -> DataFrame:
-        return self._existing_filter(gold(self.spark, self.sf))
+        return self._existing_filter(G.to_gold(self.silver))
 
     def mark(self) -> DataFrame:
         return self.existing().agg(F.max("bar_date").alias("last_loaded_date"))
@@ -210,12 +213,12 @@ def q_fetch_window_first_run(spark, sf):
 
 def q_lookback_window(spark, sf):
     sc = Scenario(spark, sf)
-    return I.in_window(silver(spark, sf), sc.fetch_from())
+    return I.in_window(sc.silver, sc.fetch_from())
 
 
 def q_window_counts(spark, sf):
     sc = Scenario(spark, sf)
-    return I.window_counts(silver(spark, sf), sc.fetch_from())
+    return I.window_counts(sc.silver, sc.fetch_from())
 
 
 def q_existing_keys(spark, sf):
@@ -227,7 +230,7 @@ def q_existing_keys(spark, sf):
 def q_new_rows(spark, sf):
     """A full re-fetch (all history) against the existing target."""
     sc = Scenario(spark, sf)
-    return I.new_rows(silver(spark, sf), sc.existing().select("symbol", "bar_date"))
+    return I.new_rows(sc.silver, sc.existing().select("symbol", "bar_date"))
 
 
 def q_new_rows_first_run(spark, sf):
@@ -237,12 +240,12 @@ def q_new_rows_first_run(spark, sf):
 
 def q_incremental_summary(spark, sf):
     sc = Scenario(spark, sf)
-    incoming = I.in_window(silver(spark, sf), sc.fetch_from())
+    incoming = I.in_window(sc.silver, sc.fetch_from())
     return I.incremental_summary(incoming, sc.existing().select("symbol", "bar_date"))
 
 
 def _window_new(sc: Scenario) -> DataFrame:
-    incoming = I.in_window(silver(sc.spark, sc.sf), sc.fetch_from())
+    incoming = I.in_window(sc.silver, sc.fetch_from())
     return I.new_rows(incoming, sc.existing().select("symbol", "bar_date"))
 
 
