@@ -6,20 +6,27 @@ One lazily composed plan and one write job; quality and load metrics are observe
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.bronze import flatten
 from ..operators.conform import conform
 from ..operators.gold import to_gold
 from ..operators.silver import to_silver
-from ..sinks.tables import observe_load, observed
+from ..sinks.tables import log_quality, observe_load, observed
 from ..sinks.targets import JdbcTarget, ParquetTarget, as_target
 
 
+log = logging.getLogger("candlelake.full_reload")
+
+
 def run_full_reload(spark: SparkSession, landing: DataFrame, target: str | ParquetTarget | JdbcTarget) -> dict:
     """``target``: a Parquet folder or a target object (JDBC truncates instead of dropping)."""
     # n_copies rides along so the duplicate-key check is observed in the same write job
     gold = conform(to_gold(to_silver(flatten(landing)), "n_copies"), "n_copies")
     to_write, obs = observe_load(gold, "full_reload")
     as_target(target).write(to_write, mode="overwrite")
-    return {"outcome": "loaded", **observed(obs)}
+    metrics = observed(obs)
+    log_quality(metrics, log, "full reload")
+    return {"outcome": "loaded", **metrics}

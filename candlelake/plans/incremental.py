@@ -10,6 +10,7 @@ next one, and the anti-join makes the repeat add nothing.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -20,12 +21,15 @@ from ..operators.conform import conform
 from ..operators.gold import to_gold
 from ..operators.incremental import first_value, in_window, in_window_per_symbol, new_rows, per_symbol_marks
 from ..operators.silver import to_silver
-from ..sinks.tables import append_mark, observe_load, observed
+from ..sinks.tables import append_mark, log_quality, observe_load, observed
 from ..sinks.targets import JdbcTarget, ParquetTarget, as_target
 from ..sources.landing import read_landing
 from ..sources.tables import read_marks
 
 
+log = logging.getLogger("candlelake.incremental")
+
+
 def plan_window(
     spark: SparkSession,
     marks_path: str,
@@ -87,6 +91,12 @@ def run_incremental(
     new_mark = max(d for d in (old_mark, batch_max) if d is not None) if (old_mark or batch_max) else None
     if outcome == "loaded" and new_mark is not None and new_mark != old_mark:
         append_mark(spark, marks_path, new_mark)
+    log.info(
+        "incremental: window from %s (mark %s), %s incoming, %d new, outcome %s, mark now %s",
+        fetch_from, old_mark, n_incoming, metrics["rows"], outcome, new_mark,
+    )
+    if outcome == "loaded":
+        log_quality({**metrics, "duplicate_keys": observed(seen).get("duplicate_keys", 0)}, log, "incremental")
     return {
         "outcome": outcome,
         "fetch_from": fetch_from,

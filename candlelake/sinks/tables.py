@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,24 @@ def observed(obs: Observation) -> dict:
         return {m: (None if m.startswith("max_") else 0) for m in LOAD_METRICS}
 
 
+def log_quality(metrics: dict, log: logging.Logger, what: str) -> None:
+    """PASS/FAIL lines from observed metrics (no extra job): warn, never drop."""
+    for c in ("open", "high", "low", "close", "volume"):
+        n = metrics.get(f"null_{c}", 0)
+        if n:
+            log.warning("%s: NULL CHECK FAILED: %d nulls in '%s'", what, n, c)
+        else:
+            log.info("%s: NULL CHECK PASSED: '%s'", what, c)
+    dup = metrics.get("duplicate_keys", 0)
+    if dup:
+        log.warning("%s: DUPLICATE CHECK FAILED: %d duplicated (symbol, bar_date) keys, last copy kept", what, dup)
+    else:
+        log.info("%s: DUPLICATE CHECK PASSED", what)
+    if metrics.get("violations", 0):
+        log.warning("%s: %d rows break the target definition (see conform.violation)", what, metrics["violations"])
+    log.info("%s: %d rows, latest day %s", what, metrics.get("rows", 0), metrics.get("max_bar_date"))
+
+
 def write_target(df: DataFrame, path: str, mode: str = "append") -> None:
     """Parquet target, partitioned by month of ``bar_date`` (folders prune the key scans of later
     runs). A rebalance on the month gives each month few files, sorted by key for tight
