@@ -65,10 +65,20 @@ class JdbcTarget:
         return df.withColumnRenamed(self.date_column, "bar_date") if self.date_column != "bar_date" else df
 
     def write(self, df: DataFrame, mode: str) -> None:
+        """An empty append opens no connection (the rows are persisted once for the check and
+        the write, so the plan runs once)."""
         out = df.select(*TARGET.fieldNames())
         if self.date_column != "bar_date":
             out = out.withColumnRenamed("bar_date", self.date_column)
-        write_jdbc(out, self.url, self.table, self.properties, mode, self.num_partitions, self.batch_size)
+        if mode != "append":
+            write_jdbc(out, self.url, self.table, self.properties, mode, self.num_partitions, self.batch_size)
+            return
+        out = out.persist()
+        try:
+            if not out.isEmpty():
+                write_jdbc(out, self.url, self.table, self.properties, mode, self.num_partitions, self.batch_size)
+        finally:
+            out.unpersist()
 
 
 def as_target(target: str | ParquetTarget | JdbcTarget) -> ParquetTarget | JdbcTarget:

@@ -115,3 +115,30 @@ def test_merged_document_reader(spark):
         json.dump(merged, f, indent=4)
     rows = flatten(read_merged_documents(spark, folder)).collect()
     assert sorted((r.symbol, r.close) for r in rows) == [("AAPL", D("297.84")), ("IBM", D("222.75"))]
+
+
+def test_merged_document_repeated_symbol_last_wins(spark):
+    folder = tempfile.mkdtemp(prefix="merged-")
+    text = (
+        '{"IBM": {"Time Series (Daily)": {"2026-05-18": {"1. open": "1", "2. high": "1", "3. low": "1", "4. close": "1", "5. volume": "1"}}}, '
+        '"IBM": {"Time Series (Daily)": {"2026-05-18": {"1. open": "2", "2. high": "2", "3. low": "2", "4. close": "2", "5. volume": "2"}}}}'
+    )
+    with open(os.path.join(folder, "stock_market.json"), "w") as f:
+        f.write(text)
+    rows = flatten(read_merged_documents(spark, folder)).collect()
+    assert [(r.symbol, r.close) for r in rows] == [("IBM", D("2"))]
+
+
+def test_cli_full_reload_and_dq(spark, capsys):
+    from candlelake.__main__ import main
+
+    landing, target = new_path(spark, "landing"), new_path(spark, "target")
+    write_landing(landing_df(spark, [rec("X", doc("X", {"2026-05-18": day(1, 2, 1, 2, 5)}))]), landing)
+    import unittest.mock as mock
+
+    with mock.patch.object(type(spark), "stop", lambda self: None):
+        main(["full-reload", "--landing", landing, "--target", target])
+        main(["dq-report", "--landing", landing])
+    out = capsys.readouterr().out.strip().splitlines()
+    assert json.loads(out[0])["rows"] == 1
+    assert len(json.loads(out[1])["checks"]) == 6
