@@ -69,3 +69,22 @@ def test_candle_edges(spark):
     assert got["null_open"].candle == "Bearish" and got["null_open"].daily_return_pct is None
     assert got["doji"].candle == "Bearish" and got["doji"].daily_return_pct == D("0")
     assert got["zero_open"].candle == "Bullish" and got["zero_open"].daily_return_pct is None
+
+
+def test_recorded_run_300_bars_all_checks_pass(spark):
+    """4 symbols requested, 1 rate-limited, 100 bars each for the others: 300 rows, checks pass."""
+    import datetime as dt
+    import json
+
+    from candlelake.operators.silver import dq_report, parse
+
+    start = dt.date(2026, 1, 1)
+    records = [
+        rec(s, doc(s, {(start + dt.timedelta(days=i)).isoformat(): day(100 + i, 102 + i, 99 + i, 101 + i, 1000 + i) for i in range(100)}))
+        for s in ("IBM", "AAPL", "MSFT")
+    ] + [rec("GOOGL", json.dumps({"Information": "rate limit"}))]
+    bronze = flatten(landing_df(spark, records))
+    assert bronze.count() == 300
+    report = dq_report(parse(bronze)).collect()
+    assert {r.status for r in report} == {"PASS"} and len(report) == 6
+    assert _gold_from_docs(spark, records).count() == 300
