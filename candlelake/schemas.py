@@ -2,7 +2,7 @@
 
 from pyspark.sql import types as T
 
-from .constants import ERROR_KEY, FIELD_KEYS, INFO_KEY, META_KEY, SERIES_KEY
+from .constants import ERROR_KEY, FIELD_KEYS, INFO_KEY, SERIES_KEY
 
 PRICE = T.DecimalType(10, 4)
 
@@ -22,9 +22,9 @@ LANDING = T.StructType(
 DAY_FIELDS = T.StructType([T.StructField(k, T.StringType(), True) for k in FIELD_KEYS])
 
 # Data values (dates) are JSON keys, so the series is a map, never an inferred struct.
+# "Meta Data" is optional and unused after landing, so it is not parsed (the parser skips it).
 BODY = T.StructType(
     [
-        T.StructField(META_KEY, T.MapType(T.StringType(), T.StringType()), True),
         T.StructField(SERIES_KEY, T.MapType(T.StringType(), DAY_FIELDS), True),
         T.StructField(INFO_KEY, T.StringType(), True),
         T.StructField(ERROR_KEY, T.StringType(), True),
