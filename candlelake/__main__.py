@@ -27,6 +27,7 @@ from .streaming import start_incremental_stream
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="candlelake")
+    ap.add_argument("--format", default="json", choices=["json", "parquet"], help="landing file format")
     sub = ap.add_subparsers(dest="cmd", required=True)
     f = sub.add_parser("full-reload")
     f.add_argument("--landing", required=True)
@@ -51,16 +52,18 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"candlelake-{args.cmd}").getOrCreate()
     try:
         if args.cmd == "full-reload":
-            result = run_full_reload(spark, read_landing(spark, args.landing), args.target)
+            result = run_full_reload(spark, read_landing(spark, args.landing, fmt=args.format), args.target)
         elif args.cmd == "incremental":
             result = run_incremental(
-                spark, args.landing, args.target, args.marks, args.as_of, args.lookback, per_key=args.per_key
+                spark, args.landing, args.target, args.marks, args.as_of, args.lookback, per_key=args.per_key, fmt=args.format
             )
         elif args.cmd == "stream":
-            start_incremental_stream(spark, args.landing, args.target, args.checkpoint, args.max_files).awaitTermination()
+            start_incremental_stream(
+                spark, args.landing, args.target, args.checkpoint, args.max_files, fmt=args.format
+            ).awaitTermination()
             result = {"outcome": "stream finished"}
         else:
-            report = dq_report(parse(flatten(read_landing(spark, args.landing))))
+            report = dq_report(parse(flatten(read_landing(spark, args.landing, fmt=args.format))))
             result = {"checks": [r.asDict() for r in report.collect()]}  # six rows
         print(json.dumps(result, default=str))
     finally:

@@ -51,6 +51,7 @@ def run_incremental(
     as_of: dt.date,
     lookback_days: int = LOOKBACK_DAYS,
     per_key: bool = False,
+    fmt: str = "json",
 ) -> dict:
     target = as_target(target_path)
     old_mark, fetch_from = plan_window(spark, marks_path, as_of, lookback_days)
@@ -64,7 +65,7 @@ def run_incremental(
             if earliest is not None:
                 scan_from = min(fetch_from, earliest - dt.timedelta(days=lookback_days))
 
-    landing = read_landing(spark, landing_path, runs_from=scan_from.replace(day=1))
+    landing = read_landing(spark, landing_path, runs_from=scan_from.replace(day=1), fmt=fmt)
     silver = to_silver(flatten(landing))
     if symbol_marks is not None:
         incoming = in_window_per_symbol(silver, symbol_marks, fetch_from, lookback_days)

@@ -42,13 +42,14 @@ def start_incremental_stream(
     target_path: str | ParquetTarget | JdbcTarget,
     checkpoint_path: str,
     max_files_per_trigger: int | None = None,
+    fmt: str = "json",
     available_now: bool = True,
     processing_time: str | None = None,
 ) -> StreamingQuery:
     src = spark.readStream.schema(LANDING)
     if max_files_per_trigger:
         src = src.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = src.json(landing_path)
+    stream = src.format(fmt).load(landing_path)
     w = stream.writeStream.foreachBatch(lambda df, _id: load_batch(df, target_path)).option(
         "checkpointLocation", checkpoint_path
     )

@@ -25,11 +25,12 @@ def start_late_dedup_stream(
     checkpoint_path: str,
     delay: str = f"{LOOKBACK_DAYS} days",
     max_files_per_trigger: int | None = None,
+    fmt: str = "json",
 ) -> StreamingQuery:
     src = spark.readStream.schema(LANDING)
     if max_files_per_trigger:
         src = src.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    days = parse(flatten(src.json(landing_path))).select(
+    days = parse(flatten(src.format(fmt).load(landing_path))).select(
         *BRONZE_COLUMNS, F.col("bar_date").cast("timestamp").alias("event_time")
     )
     deduped = days.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(KEY))

@@ -142,3 +142,11 @@ def test_cli_full_reload_and_dq(spark, capsys):
     out = capsys.readouterr().out.strip().splitlines()
     assert json.loads(out[0])["rows"] == 1
     assert len(json.loads(out[1])["checks"]) == 6
+
+
+def test_parquet_landing_roundtrip(spark):
+    path = new_path(spark, "landing")
+    records = [rec("X", doc("X", {"2026-05-18": day(1, 2, 1, 2, 5)}), run=dt.date(2026, 5, 1))]
+    write_landing(landing_df(spark, records), path, fmt="parquet")
+    back = read_landing(spark, path, runs_from=dt.date(2026, 5, 1), fmt="parquet")
+    assert [(r.symbol, r.bar_date, r.volume) for r in flatten(back).collect()] == [("X", "2026-05-18", 5)]
