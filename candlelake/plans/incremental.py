@@ -21,7 +21,7 @@ from ..operators.conform import conform
 from ..operators.gold import to_gold
 from ..operators.incremental import first_value, in_window, in_window_per_symbol, new_rows, per_symbol_marks
 from ..operators.silver import to_silver
-from ..sinks.tables import append_mark, log_quality, observe_load, observed
+from ..sinks.tables import append_mark, ensure_marks, log_quality, observe_load, observed
 from ..sinks.targets import JdbcTarget, ParquetTarget, as_target
 from ..sources.landing import read_landing
 from ..sources.tables import read_marks
@@ -54,6 +54,8 @@ def run_incremental(
     fmt: str = "json",
 ) -> dict:
     target = as_target(target_path)
+    target.ensure(spark)  # first run: an empty target, so every landed row is new
+    ensure_marks(spark, marks_path)
     old_mark, fetch_from = plan_window(spark, marks_path, as_of, lookback_days)
     scan_from = fetch_from
     symbol_marks = None

@@ -30,7 +30,8 @@ from .operators import silver as S
 from .plans import run_full_reload, run_incremental
 from .schemas import BRONZE_COLUMNS, TARGET
 from .session import new_path
-from .sinks.tables import LOAD_METRICS, append_mark, write_target
+from .sinks.tables import LOAD_METRICS, append_mark, ensure_marks, write_target
+from .sinks.targets import ParquetTarget
 from .sources import fixtures as X
 from .sources.landing import read_landing, write_landing
 from .sources.tables import existing_keys as scan_existing_keys
@@ -207,8 +208,9 @@ def q_fetch_window(spark, sf):
 
 def q_fetch_window_first_run(spark, sf):
     sc = Scenario(spark, sf)
-    no_state = read_marks(spark, new_path(spark, "marks"))
-    return I.fetch_window(spark, no_state, sc.d_max)
+    marks = new_path(spark, "marks")
+    ensure_marks(spark, marks)  # no mark recorded yet
+    return I.fetch_window(spark, read_marks(spark, marks), sc.d_max)
 
 
 def q_lookback_window(spark, sf):
@@ -234,8 +236,9 @@ def q_new_rows(spark, sf):
 
 
 def q_new_rows_first_run(spark, sf):
-    keys = scan_existing_keys(spark, new_path(spark, "target"))
-    return I.new_rows(silver(spark, sf), keys)
+    target = ParquetTarget(new_path(spark, "target"))
+    target.ensure(spark)  # first run: the target is bootstrapped empty
+    return I.new_rows(silver(spark, sf), target.keys(spark))
 
 
 def q_incremental_summary(spark, sf):

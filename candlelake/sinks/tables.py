@@ -103,6 +103,11 @@ def write_jdbc(
     w.mode(mode).save()
 
 
+def ensure_marks(spark: SparkSession, path: str) -> None:
+    """An empty marks table if there is none yet (save mode "ignore")."""
+    spark.createDataFrame([], MARKS).write.mode("ignore").parquet(path)
+
+
 def append_mark(spark: SparkSession, path: str, last_loaded_date: dt.date) -> None:
     """Record the high-water mark after a successful load (append-only, one row per run)."""
     row = [(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), last_loaded_date)]

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import TARGET, TARGET_KEYS
-from ..sources.tables import existing_keys, existing_keys_jdbc, read_target
+from ..sources.tables import TARGET_STORED, existing_keys, existing_keys_jdbc, read_target
 from .tables import write_jdbc, write_target
 
 # SQLSTATEs meaning "table does not exist" (ANSI/MySQL, PostgreSQL, Derby): only these make a
@@ -21,6 +21,12 @@ MISSING_TABLE_STATES = ("42S02", "42P01", "42X05")
 class ParquetTarget:
     path: str
 
+    def ensure(self, spark: SparkSession) -> None:
+        """``CREATE TABLE IF NOT EXISTS``: an empty typed table; save mode "ignore" leaves an
+        existing one untouched."""
+        empty = spark.createDataFrame([], TARGET_STORED)
+        empty.write.mode("ignore").partitionBy("bar_month").parquet(self.path)
+
     def keys(self, spark: SparkSession, fetch_from: dt.date | None = None) -> DataFrame:
         return existing_keys(spark, self.path, fetch_from)
 
@@ -41,6 +47,10 @@ class JdbcTarget:
     batch_size: int = 10000
     date_column: str = "bar_date"
 
+    def ensure(self, spark: SparkSession) -> None:
+        """The table is created by its DDL (key, DECIMAL and domain definitions), or by the
+        first write; a missing table reads as empty."""
+
     def _missing(self, exc: Exception) -> bool:
         return any(state in str(exc) for state in MISSING_TABLE_STATES)
 

@@ -46,6 +46,7 @@ def start_incremental_stream(
     available_now: bool = True,
     processing_time: str | None = None,
 ) -> StreamingQuery:
+    as_target(target_path).ensure(spark)
     src = spark.readStream.schema(LANDING)
     if max_files_per_trigger:
         src = src.option("maxFilesPerTrigger", str(max_files_per_trigger))
