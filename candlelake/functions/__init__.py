@@ -1,7 +1,7 @@
 """Column expressions (JVM-side built-ins only)."""
 
 from .bars import candle, daily_range, daily_return_pct, parse_date, price, volume
-from .jsonmaps import entries_by_key, entries_last_wins, envelope_status, last_per_key, parse_body
+from .jsonmaps import entries_by_key, envelope_status, last_per_key, parse_body
 from .text import fixed_width_line, labelled_line
 
 __all__ = [
@@ -9,7 +9,6 @@ __all__ = [
     "daily_range",
     "daily_return_pct",
     "entries_by_key",
-    "entries_last_wins",
     "last_per_key",
     "envelope_status",
     "fixed_width_line",

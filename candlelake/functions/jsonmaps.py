@@ -1,8 +1,8 @@
 """Response documents whose data values (dates) are JSON keys.
 
 ``from_json`` into a map keeps a repeated key twice and a lookup returns the first entry, while a
-JSON object loaded into a dictionary keeps the last. ``entries_last_wins`` restores last-wins per
-row, without a shuffle.
+JSON object loaded into a dictionary keeps the last. ``entries_by_key`` + ``last_per_key`` restore
+last-wins per row, without a shuffle.
 """
 
 from __future__ import annotations
@@ -65,14 +65,3 @@ def last_per_key(entries: Column) -> Column:
         entries,
         lambda x, i: F.when(i == 0, F.lit(True)).otherwise(entries[i - 1]["key"] != x["key"]),
     )
-
-
-def entries_last_wins(m: Column) -> Column:
-    """Single-expression form for small maps (e.g. a merged document's symbols)."""
-    entries = F.map_entries(m)
-    empty = F.filter(entries, lambda e: F.lit(False))
-    return F.aggregate(
-        entries,
-        empty,
-        lambda acc, e: F.concat(F.filter(acc, lambda a: a["key"] != e["key"]), F.array(e)),
-    )

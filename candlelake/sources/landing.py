@@ -46,13 +46,14 @@ def read_merged_documents(spark: SparkSession, path: str) -> DataFrame:
     Each file is one task and one string, so this is for small legacy files only; the JSON-lines
     landing above is the scalable format. A symbol repeated in one file keeps its last body.
     """
-    from ..functions.jsonmaps import entries_last_wins
+    from ..functions.jsonmaps import entries_by_key, last_per_key
 
     raw = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_modification_time").alias("fetched_at"),
-        F.explode(entries_last_wins(F.from_json("value", "map<string,string>"))).alias("e"),
+        entries_by_key(F.from_json("value", "map<string,string>")).alias("entries"),
     )
-    return raw.select(
+    docs = raw.select("fetched_at", F.explode(last_per_key(F.col("entries"))).alias("e"))
+    return docs.select(
         F.col("e.key").alias("symbol"),
         "fetched_at",
         F.lit(200).alias("http_status"),
