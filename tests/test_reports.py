@@ -4,10 +4,10 @@ from decimal import Decimal
 from candlelake.operators.reports import fixed_width_report, labelled_report, latest_bars, preview
 from candlelake.schemas import EMPLOYEES
 
-# Seed rows of the reference's employee table.
+# Employee rows shaped like the reference's seed table (invented names).
 SEED = [
-    (1, "Wajid Rahman", "Engineering", Decimal("75000.00"), dt.date(2023, 1, 15)),
-    (2, "Sara Ahmed", "Marketing", Decimal("55000.00"), dt.date(2022, 6, 1)),
+    (1, "Ada North", "Engineering", Decimal("75000.00"), dt.date(2023, 1, 15)),
+    (2, "Ben Ortiz", "Marketing", Decimal("55000.00"), dt.date(2022, 6, 1)),
     (3, "A name longer than fifteen", "Engineering", Decimal("80000.00"), dt.date(2021, 3, 20)),
 ]
 
@@ -19,8 +19,8 @@ def test_fixed_width_matches_python_format(spark):
 
 
 def test_labelled_line(spark):
-    df = spark.createDataFrame([(1, "Rahul"), (2, "Amit")], "id int, name string")
-    assert [r.line for r in labelled_report(df).orderBy("id").collect()] == ["ID: 1 | Name: Rahul", "ID: 2 | Name: Amit"]
+    df = spark.createDataFrame([(1, "Cleo"), (2, "Dev")], "id int, name string")
+    assert [r.line for r in labelled_report(df).orderBy("id").collect()] == ["ID: 1 | Name: Cleo", "ID: 2 | Name: Dev"]
 
 
 def test_topk_and_preview_are_deterministic(spark):
