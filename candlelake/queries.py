@@ -109,10 +109,11 @@ class Scenario:
     def fetch_from(self) -> dt.date:
         return self.mark_value() - dt.timedelta(days=LOOKBACK_DAYS)
 
-    def setup(self) -> dict[str, str]:
-        """Land every run, load the existing target, record its mark."""
+    def setup(self, land: bool = True) -> dict[str, str]:
+        """Land every run (unless ``land`` is False), load the existing target, record its mark."""
         paths = {k: new_path(self.spark, k) for k in ("landing", "target", "marks")}
-        write_landing(landing(self.spark, self.sf), paths["landing"])
+        if land:
+            write_landing(landing(self.spark, self.sf), paths["landing"])
         write_target(C.conform(self.existing()), paths["target"], mode="overwrite")
         target = read_target(self.spark, paths["target"])
         append_mark(self.spark, paths["marks"], I.first_value(target.agg(F.max("bar_date").alias("m")), "m"))
@@ -225,7 +226,7 @@ def q_window_counts(spark, sf):
 
 def q_existing_keys(spark, sf):
     sc = Scenario(spark, sf)
-    paths = sc.setup()
+    paths = sc.setup(land=False)
     return scan_existing_keys(spark, paths["target"], sc.fetch_from())
 
 
