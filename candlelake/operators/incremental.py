@@ -82,26 +82,49 @@ def new_rows(incoming: DataFrame, existing_keys: DataFrame, keys: tuple[str, ...
     return incoming.join(existing_keys.select(*keys), list(keys), "left_anti")
 
 
-def incremental_summary(incoming: DataFrame, existing_keys: DataFrame, keys: tuple[str, ...] = KEY) -> DataFrame:
-    """One row: ``n_incoming, n_existing`` (whole target), ``n_matched, n_new`` - one shuffle.
+def incremental_summary(
+    incoming: DataFrame,
+    existing_keys: DataFrame,
+    keys: tuple[str, ...] = KEY,
+    window_from: dt.date | None = None,
+) -> DataFrame:
+    """One row: ``n_incoming, n_existing`` (whole target), ``n_matched, n_new``.
 
     Both sides are tagged and unioned, grouped by key (partial counts map-side), then summed.
+    With ``window_from`` (all incoming rows are on or after it), target keys older than the
+    window are only counted, not shuffled: the key shuffle stays window-sized however long the
+    history is. The two one-row results are combined by union and sum.
     """
     valid = F.lit(True)
     for k in keys:
         valid = valid & F.col(k).isNotNull()
+    ex = existing_keys.select(*keys)
+    older = None
+    if window_from is not None:
+        recent_cond = F.col("bar_date").isNull() | (F.col("bar_date") >= F.lit(window_from))
+        older = ex.filter(~recent_cond).agg(
+            F.lit(0).cast("bigint").alias("n_incoming"),
+            F.count(F.lit(1)).alias("n_existing"),
+            F.lit(0).cast("bigint").alias("n_matched"),
+            F.lit(0).cast("bigint").alias("n_new"),
+        )
+        ex = ex.filter(recent_cond)
     inc = incoming.select(*keys, F.lit(1).alias("i"), F.lit(0).alias("e"))
-    ex = existing_keys.select(*keys, F.lit(0).alias("i"), F.lit(1).alias("e"))
-    per_key = inc.unionByName(ex).groupBy(*keys).agg(
+    tagged = ex.select(*keys, F.lit(0).alias("i"), F.lit(1).alias("e"))
+    per_key = inc.unionByName(tagged).groupBy(*keys).agg(
         F.sum("i").alias("i"), F.sum("e").alias("e"), F.first(valid).alias("valid")
     )
     matched = F.col("valid") & (F.col("e") > 0)
-    return per_key.agg(
+    summary = per_key.agg(
         F.coalesce(F.sum("i"), F.lit(0)).cast("bigint").alias("n_incoming"),
         F.coalesce(F.sum("e"), F.lit(0)).cast("bigint").alias("n_existing"),
         F.coalesce(F.sum(F.when(matched, F.col("i")).otherwise(0)), F.lit(0)).cast("bigint").alias("n_matched"),
         F.coalesce(F.sum(F.when(~matched, F.col("i")).otherwise(0)), F.lit(0)).cast("bigint").alias("n_new"),
     )
+    if older is None:
+        return summary
+    cols = ("n_incoming", "n_existing", "n_matched", "n_new")
+    return summary.unionByName(older).agg(*[F.sum(c).cast("bigint").alias(c) for c in cols])
 
 
 def max_loaded_date(df: DataFrame) -> DataFrame:

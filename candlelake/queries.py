@@ -245,7 +245,7 @@ def q_new_rows_first_run(spark, sf):
 def q_incremental_summary(spark, sf):
     sc = Scenario(spark, sf)
     incoming = I.in_window(sc.silver, sc.fetch_from())
-    return I.incremental_summary(incoming, sc.existing().select("symbol", "bar_date"))
+    return I.incremental_summary(incoming, sc.existing().select("symbol", "bar_date"), window_from=sc.fetch_from())
 
 
 def _window_new(sc: Scenario) -> DataFrame:

@@ -164,3 +164,11 @@ def test_missing_target_is_first_run_but_other_errors_propagate(spark, tmp_path)
         assert "PATH_NOT_FOUND" not in str(e)
     else:
         raise AssertionError("a corrupt target must not look like a first run")
+
+
+def test_summary_with_window_counts_old_keys_without_shuffling_them(spark):
+    incoming = keys_df(spark, [(s, d) for s in ("IBM", "AAPL") for d in days(D(2026, 5, 14), 5)])
+    existing = keys_df(spark, [(s, d) for s in ("IBM", "AAPL") for d in days(D(2026, 4, 1), 46)])  # to 05-16
+    full = incremental_summary(incoming, existing).first()
+    windowed = incremental_summary(incoming, existing, window_from=D(2026, 5, 14)).first()
+    assert tuple(full) == tuple(windowed) == (10, 92, 6, 4)
