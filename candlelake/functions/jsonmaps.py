@@ -20,12 +20,13 @@ from ..constants import (
     STATUS_OK,
     STATUS_RATE_LIMITED,
 )
-from ..schemas import BODY
+from ..schemas import BODY, ENVELOPE
 
 
-def parse_body(body: str | Column = "body") -> Column:
-    """One parse of the whole body into the typed envelope (series as a map)."""
-    return F.from_json(F.col(body) if isinstance(body, str) else body, BODY)
+def parse_body(body: str | Column = "body", envelope_only: bool = False) -> Column:
+    """One parse of the whole body into the typed envelope (series as a map), or with
+    ``envelope_only`` just the top-level keys (series as raw text, no map built)."""
+    return F.from_json(F.col(body) if isinstance(body, str) else body, ENVELOPE if envelope_only else BODY)
 
 
 def envelope_status(http_status: Column, body: Column, doc: Column) -> Column:

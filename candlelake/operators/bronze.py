@@ -22,16 +22,17 @@ from ..functions.bars import price, volume
 from ..functions.jsonmaps import entries_by_key, envelope_status, last_per_key, parse_body
 
 
-def _parsed(landing: DataFrame) -> DataFrame:
+def _parsed(landing: DataFrame, envelope_only: bool = False) -> DataFrame:
     # The body is parsed once here; later projections only reference the parsed column.
     return landing.select(
-        "symbol", "run_date", "fetched_at", "http_status", "body", parse_body("body").alias("doc")
+        "symbol", "run_date", "fetched_at", "http_status", "body",
+        parse_body("body", envelope_only).alias("doc"),
     )
 
 
 def classify(landing: DataFrame) -> DataFrame:
     """``symbol, run_date, fetched_at, http_status, status`` for every landed response."""
-    p = _parsed(landing)
+    p = _parsed(landing, envelope_only=True)
     return p.select(
         "symbol",
         "run_date",

@@ -31,6 +31,16 @@ BODY = T.StructType(
     ]
 )
 
+# Classification only needs to know which top-level keys are present: the series stays raw text
+# (the parser copies the object's text instead of building a map).
+ENVELOPE = T.StructType(
+    [
+        T.StructField(SERIES_KEY, T.StringType(), True),
+        T.StructField(INFO_KEY, T.StringType(), True),
+        T.StructField(ERROR_KEY, T.StringType(), True),
+    ]
+)
+
 BRONZE_COLUMNS = ("symbol", "bar_date", "open", "high", "low", "close", "volume")
 GOLD_COLUMNS = BRONZE_COLUMNS + ("daily_range", "daily_return_pct", "candle")
 
