@@ -41,6 +41,9 @@ def test_entry_smoke(spark):
     assert df.columns[:2] == ["symbol", "bar_date"] and df.count() > 0
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "date": "DATE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF_SMALL)
@@ -48,6 +51,8 @@ def test_query_matches_oracle(spark, duck, name):
     res = duck.execute(oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
+    otypes = {d[0]: str(d[1]) for d in res.description}
+    assert {c: SPARK_TO_DUCK.get(t, t.upper()) for c, t in df.dtypes} == {c: otypes[c] for c in df.columns}
     idx = [ocols.index(c) for c in df.columns]
     orows = [tuple(_norm(r[i]) for i in idx) for r in res.fetchall()]
     assert len(rows) == len(orows)
