@@ -2,7 +2,7 @@
 
   full-reload  --landing DIR --target DIR
   incremental  --landing DIR --target DIR --marks DIR [--as-of YYYY-MM-DD] [--lookback N] [--per-key]
-  stream       --landing DIR --target DIR --checkpoint DIR [--max-files N]
+  stream       --landing DIR --target DIR --checkpoint DIR [--max-files N] [--every "2 days"]
   dq-report    --landing DIR
 
 Spark settings (master, shuffle partitions, spark.checkpoint.dir) come from spark-submit.
@@ -44,6 +44,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--target", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--max-files", type=int, default=None)
+    s.add_argument("--every", default=None, help='run continuously, e.g. "2 days" (default: process what is there, then stop)')
     d = sub.add_parser("dq-report")
     d.add_argument("--landing", required=True)
     args = ap.parse_args(argv)
@@ -59,7 +60,8 @@ def main(argv: list[str] | None = None) -> None:
             )
         elif args.cmd == "stream":
             start_incremental_stream(
-                spark, args.landing, args.target, args.checkpoint, args.max_files, fmt=args.format
+                spark, args.landing, args.target, args.checkpoint, args.max_files, fmt=args.format,
+                available_now=args.every is None, processing_time=args.every,
             ).awaitTermination()
             result = {"outcome": "stream finished"}
         else:
