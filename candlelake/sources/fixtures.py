@@ -40,8 +40,8 @@ JUNK_DAYS = ((13, OPEN_KEY, "NaN"), (17, VOLUME_KEY, ""), (29, HIGH_KEY, "123456
 # Runs first answered with an error, by month of the run: rate limit (with an error message too,
 # to exercise precedence), API error, no series, HTTP 503.
 ERROR_MONTHS = {"rate_limited": 3, "api_error": 6, "missing_series": 9, "http_error": 12}
-RATE_LIMIT_TEXT = "Our standard API rate limit is 25 requests per day."
-API_ERROR_TEXT = "Invalid API call."
+RATE_LIMIT_TEXT = "Request limit reached, retry later."
+API_ERROR_TEXT = "The request was not valid."
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
