@@ -73,28 +73,47 @@ def flatten(landing: DataFrame) -> DataFrame:
 
 
 def entry_counts(landing: DataFrame) -> DataFrame:
-    """Per ok response and day: how many entries the body holds for that day, and the value that
-    wins (the last). A plain map lookup would return the first."""
+    """Per ok response and day: how many entries the body holds for that day, the first value (what
+    a plain map lookup returns) and the last value (what wins).
+
+    Row-local and O(n log n) per body: the entries sorted by (key, position descending) form one
+    run per day, whose head is the last entry and whose tail is the first. Each array is
+    computed in its own projection, so lambdas reference it instead of recomputing it.
+    """
     p = _parsed(landing)
     status = envelope_status(F.col("http_status"), F.col("body"), F.col("doc"))
-    series = F.col("doc")[SERIES_KEY]
-    keys = F.explode(F.when(status == F.lit(STATUS_OK), F.array_distinct(F.map_keys(series))))
-    rows = p.select("symbol", "run_date", "doc", keys.alias("day")).select(
-        "symbol",
-        "run_date",
-        "day",
-        F.filter(F.map_entries(F.col("doc")[SERIES_KEY]), lambda e: e["key"] == F.col("day")).alias("same"),
+    a = p.select(
+        "symbol", "run_date",
+        F.when(status == F.lit(STATUS_OK), entries_by_key(F.col("doc")[SERIES_KEY])).alias("s"),
+    )
+    s_ = F.col("s")
+    b = a.select(
+        "symbol", "run_date", "s",
+        F.filter(
+            F.transform("s", lambda x, i: F.named_struct(F.lit("key"), x["key"], F.lit("start"), i)),
+            lambda h, i: F.when(i == 0, F.lit(True)).otherwise(s_[i - 1]["key"] != h["key"]),
+        ).alias("heads"),
     )
-    last = F.element_at("same", -1)["value"]
-    first = F.element_at("same", 1)["value"]
+    heads = F.col("heads")
+
+    def run(h, j):
+        end = F.when(j + 1 < F.size(heads), heads[j + 1]["start"]).otherwise(F.size(s_))
+        return F.named_struct(
+            F.lit("key"), h["key"],
+            F.lit("n"), (end - h["start"]).cast("bigint"),
+            F.lit("last"), s_[h["start"]]["value"],
+            F.lit("first"), s_[end - 1]["value"],
+        )
+
+    rows = b.select("symbol", "run_date", F.explode(F.transform("heads", run)).alias("r"))
     return rows.select(
         "symbol",
         "run_date",
-        F.col("day").alias("bar_date"),
-        F.size("same").cast("bigint").alias("n_entries"),
-        price(first[CLOSE_KEY]).alias("close_first"),
-        price(last[CLOSE_KEY]).alias("close"),
-        volume(last[VOLUME_KEY]).alias("volume"),
+        F.col("r.key").alias("bar_date"),
+        F.col("r.n").alias("n_entries"),
+        price(F.col("r.first")[CLOSE_KEY]).alias("close_first"),
+        price(F.col("r.last")[CLOSE_KEY]).alias("close"),
+        volume(F.col("r.last")[VOLUME_KEY]).alias("volume"),
     )
 
 
