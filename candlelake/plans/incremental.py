@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import FIRST_RUN_DAYS, LOOKBACK_DAYS
@@ -21,9 +21,10 @@ from ..operators.conform import conform
 from ..operators.gold import to_gold
 from ..operators.incremental import first_value, in_window, in_window_per_symbol, new_rows, per_symbol_marks
 from ..operators.silver import to_silver
-from ..sinks.tables import append_mark, ensure_marks, log_quality, observe_load, observed
+from ..sinks.tables import append_mark, append_symbol_marks, ensure_marks, log_quality, observe_load, observed
 from ..sinks.targets import JdbcTarget, ParquetTarget, as_target
 from ..sources.landing import read_landing
+from ..session import work_dir
 from ..sources.tables import read_marks
 
 
@@ -43,6 +44,21 @@ def plan_window(
     return old_mark, fetch_from
 
 
+def per_symbol_marks_of(spark: SparkSession, marks_path: str, target: ParquetTarget | JdbcTarget) -> DataFrame:
+    """Latest mark per symbol from the marks table (small: symbols x runs). Before any
+    per-symbol mark was recorded, they are derived once from the target's keys."""
+    marks = read_marks(spark, marks_path).filter(F.col("symbol").isNotNull())
+    if first_value(marks.select(F.lit(1).alias("x")).limit(1), "x") is not None:
+        return marks.groupBy("symbol").agg(F.max("last_loaded_date").alias("last_loaded_date"))
+    loaded = target.read(spark)
+    if loaded is None:
+        return spark.createDataFrame([], "symbol string, last_loaded_date date")
+    # Checkpointed (into spark.checkpoint.dir) so that nothing later depends on the target's
+    # files, which this run appends to.
+    work_dir(spark)
+    return per_symbol_marks(loaded).checkpoint()
+
+
 def run_incremental(
     spark: SparkSession,
     landing_path: str,
@@ -60,17 +76,17 @@ def run_incremental(
     scan_from = fetch_from
     symbol_marks = None
     if per_key:
-        loaded = target.read(spark)
-        if loaded is not None:
-            symbol_marks = per_symbol_marks(loaded)
-            earliest = first_value(symbol_marks.agg(F.min("last_loaded_date").alias("m")), "m")
-            if earliest is not None:
-                scan_from = min(fetch_from, earliest - dt.timedelta(days=lookback_days))
+        symbol_marks = per_symbol_marks_of(spark, marks_path, target)
+        earliest = first_value(symbol_marks.agg(F.min("last_loaded_date").alias("m")), "m")
+        if earliest is not None:
+            scan_from = min(fetch_from, earliest - dt.timedelta(days=lookback_days))
 
     landing = read_landing(spark, landing_path, runs_from=scan_from.replace(day=1), fmt=fmt)
     silver = to_silver(flatten(landing))
     if symbol_marks is not None:
-        incoming = in_window_per_symbol(silver, symbol_marks, fetch_from, lookback_days)
+        # Persisted: written through the anti-join, then its per-symbol maxima become the new
+        # per-symbol marks (every incoming key is in the target after the load).
+        incoming = in_window_per_symbol(silver, symbol_marks, fetch_from, lookback_days).persist()
     else:
         incoming = in_window(silver, fetch_from)
     observed_incoming, seen = observe_load(incoming, "incoming")
@@ -92,6 +108,10 @@ def run_incremental(
     else:
         outcome = "loaded"
     new_mark = max(d for d in (old_mark, batch_max) if d is not None) if (old_mark or batch_max) else None
+    if per_key:
+        if outcome == "loaded":
+            append_symbol_marks(incoming, marks_path)
+        incoming.unpersist()
     if outcome == "loaded" and new_mark is not None and new_mark != old_mark:
         append_mark(spark, marks_path, new_mark)
     log.info(

@@ -64,10 +64,13 @@ TARGET_KEYS = T.StructType(
     [T.StructField("symbol", T.StringType(), True), T.StructField("bar_date", T.DateType(), True)]
 )
 
+# High-water marks: one global row per successful load (symbol NULL), plus one row per loaded
+# symbol when per-symbol marks are kept.
 MARKS = T.StructType(
     [
         T.StructField("loaded_at", T.TimestampType(), True),
         T.StructField("last_loaded_date", T.DateType(), True),
+        T.StructField("symbol", T.StringType(), True),
     ]
 )
 

@@ -110,5 +110,14 @@ def ensure_marks(spark: SparkSession, path: str) -> None:
 
 def append_mark(spark: SparkSession, path: str, last_loaded_date: dt.date) -> None:
     """Record the high-water mark after a successful load (append-only, one row per run)."""
-    row = [(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), last_loaded_date)]
+    row = [(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), last_loaded_date, None)]
     spark.createDataFrame(row, MARKS).coalesce(1).write.mode("append").parquet(path)
+
+
+def append_symbol_marks(loaded: DataFrame, path: str) -> None:
+    """Record one mark per symbol: ``max(bar_date)`` per symbol of the rows now in the target
+    (one partial aggregate; the table grows by the number of symbols per run)."""
+    marks = loaded.groupBy("symbol").agg(F.max("bar_date").alias("last_loaded_date"))
+    marks.select(
+        F.current_timestamp().cast("timestamp").alias("loaded_at"), "last_loaded_date", "symbol"
+    ).coalesce(1).write.mode("append").parquet(path)

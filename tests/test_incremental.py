@@ -67,7 +67,7 @@ def test_window_filter_inclusive(spark):
 
 
 def test_lookback_and_first_run(spark):
-    marks = spark.createDataFrame([(dt.datetime(2026, 5, 18, 7), D(2026, 5, 18))], MARKS)
+    marks = spark.createDataFrame([(dt.datetime(2026, 5, 18, 7), D(2026, 5, 18), None)], MARKS)
     w = fetch_window(spark, marks, D(2026, 5, 22)).first()
     assert (w.last_loaded_date, w.fetch_from) == (D(2026, 5, 18), D(2026, 5, 16))
     first = fetch_window(spark, spark.createDataFrame([], MARKS), D(2026, 5, 22)).first()
@@ -172,3 +172,16 @@ def test_summary_with_window_counts_old_keys_without_shuffling_them(spark):
     full = incremental_summary(incoming, existing).first()
     windowed = incremental_summary(incoming, existing, window_from=D(2026, 5, 14)).first()
     assert tuple(full) == tuple(windowed) == (10, 92, 6, 4)
+
+
+def test_per_key_marks_are_recorded_and_reused(spark):
+    landing, target, marks = (new_path(spark, k) for k in ("landing", "target", "marks"))
+    _landing(spark, ["IBM", "AAPL"], days(D(2026, 5, 10), 5), landing)
+    r1 = run_incremental(spark, landing, target, marks, as_of=D(2026, 5, 14), per_key=True)
+    assert (r1["outcome"], r1["new_rows"]) == ("loaded", 10)
+    from candlelake.sources.tables import read_marks
+
+    per_symbol = {r.symbol: r.last_loaded_date for r in read_marks(spark, marks).filter("symbol IS NOT NULL").collect()}
+    assert per_symbol == {"IBM": D(2026, 5, 14), "AAPL": D(2026, 5, 14)}
+    r2 = run_incremental(spark, landing, target, marks, as_of=D(2026, 5, 14), per_key=True)
+    assert (r2["outcome"], r2["new_rows"]) == ("nothing_new", 0)
