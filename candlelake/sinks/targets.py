@@ -12,9 +12,10 @@ from ..schemas import TARGET, TARGET_KEYS
 from ..sources.tables import TARGET_STORED, existing_keys, existing_keys_jdbc, read_target
 from .tables import write_jdbc, write_target
 
-# SQLSTATEs meaning "table does not exist" (ANSI/MySQL, PostgreSQL, Derby): only these make a
-# first run; every other error propagates.
+# "Table does not exist": SQLSTATEs (ANSI/MySQL, PostgreSQL, Derby) and the drivers' messages,
+# which usually carry no SQLSTATE. Only these make a first run; every other error propagates.
 MISSING_TABLE_STATES = ("42S02", "42P01", "42X05")
+MISSING_TABLE_MESSAGES = ("doesn't exist", "does not exist", "no such table", "undefined table")
 
 
 @dataclass
@@ -52,7 +53,8 @@ class JdbcTarget:
         first write; a missing table reads as empty."""
 
     def _missing(self, exc: Exception) -> bool:
-        return any(state in str(exc) for state in MISSING_TABLE_STATES)
+        text = str(exc)
+        return any(s in text for s in MISSING_TABLE_STATES) or any(m in text.lower() for m in MISSING_TABLE_MESSAGES)
 
     def keys(self, spark: SparkSession, fetch_from: dt.date | None = None) -> DataFrame:
         try:

@@ -39,3 +39,13 @@ def test_full_reload_layout_and_overwrite(spark):
     files_per_month = [len(glob.glob(os.path.join(target, d, "*.parquet"))) for d in months]
     assert max(files_per_month) <= 2  # rebalanced: few files per month
     assert m1["duplicate_keys"] > 0 and m1["violations"] > 0  # replays and long symbols are reported
+
+
+def test_jdbc_missing_table_detection():
+    from candlelake.sinks.targets import JdbcTarget
+
+    t = JdbcTarget("jdbc:none://", "stock_daily")
+    assert t._missing(Exception("java.sql.SQLSyntaxErrorException: Table 'db.stock_daily' doesn't exist"))
+    assert t._missing(Exception('org.postgresql.util.PSQLException: ERROR: relation "stock_daily" does not exist'))
+    assert t._missing(Exception("SQLSTATE 42X05"))
+    assert not t._missing(Exception("password authentication failed for user"))
