@@ -1,6 +1,5 @@
 """Every registered query against its DuckDB oracle on the smallest scale (rows, columns, values)."""
 
-import datetime as dt
 import decimal
 
 import duckdb
