@@ -8,6 +8,8 @@ same holds if the stream's checkpoint is lost and the whole landing is read agai
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,12 +20,16 @@ from ..operators.gold import to_gold
 from ..operators.incremental import first_value, new_rows
 from ..operators.silver import to_silver
 from ..schemas import LANDING
+from ..sinks.tables import log_quality, observe_load, observed
 from ..sinks.targets import JdbcTarget, ParquetTarget, as_target
 
+log = logging.getLogger("candlelake.stream")
+
 
-def load_batch(batch: DataFrame, target: str | ParquetTarget | JdbcTarget) -> None:
+def load_batch(batch: DataFrame, target: str | ParquetTarget | JdbcTarget, batch_id: int = 0) -> None:
     """One micro-batch: keep-last within the batch, anti-join against the target's keys from
-    the batch's earliest day on (window-pruned), append the new gold rows."""
+    the batch's earliest day on (window-pruned), append the new gold rows; quality is observed
+    in the write job and logged."""
     spark = batch.sparkSession
     t = as_target(target)
     silver = to_silver(flatten(batch)).persist()
@@ -31,7 +37,9 @@ def load_batch(batch: DataFrame, target: str | ParquetTarget | JdbcTarget) -> No
         earliest = first_value(silver.agg(F.min("bar_date").alias("d")), "d")
         if earliest is None:
             return
-        t.write(conform(to_gold(new_rows(silver, t.keys(spark, earliest)))), mode="append")
+        gold, obs = observe_load(conform(to_gold(new_rows(silver, t.keys(spark, earliest)))), f"batch-{batch_id}")
+        t.write(gold, mode="append")
+        log_quality(observed(obs), log, f"stream batch {batch_id}")
     finally:
         silver.unpersist()
 
@@ -51,7 +59,7 @@ def start_incremental_stream(
     if max_files_per_trigger:
         src = src.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = src.format(fmt).load(landing_path)
-    w = stream.writeStream.foreachBatch(lambda df, _id: load_batch(df, target_path)).option(
+    w = stream.writeStream.foreachBatch(lambda df, batch_id: load_batch(df, target_path, batch_id)).option(
         "checkpointLocation", checkpoint_path
     )
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 hour")
