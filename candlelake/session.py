@@ -11,7 +11,9 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "candlelake") -> SparkSession:
+def local_session(
+    cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "candlelake", conf: dict[str, str] | None = None
+) -> SparkSession:
     """Session for tests and the bench; a cluster passes its own session instead."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -24,6 +26,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("CANDLELAKE_DRIVER_MEMORY", "8g"))
     )
+    for k, v in (conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
