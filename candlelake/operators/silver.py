@@ -23,12 +23,19 @@ def keep_last(df: DataFrame, keys: tuple[str, ...] = KEY, order: str = "fetched_
     One ``max_by`` per column over a fixed-width ordering keeps every aggregation buffer
     fixed-width, so the plan stays a hash aggregate with partial aggregation before the shuffle:
     a hot key reaches the reducer as one row per map task. Copies of one key come from different
-    responses, whose fetch times differ. Bronze keys are never NULL (days are JSON keys), so no
-    unrelated rows are merged. ``n_copies`` > 1 marks a key that was duplicated before.
+    responses, whose fetch times differ. Rows with a NULL key part are never merged with each
+    other. ``n_copies`` > 1 marks a key that was duplicated before.
     """
     o = F.col(order)
     aggs = [F.max(o).alias(c) if c == order else F.max_by(c, o).alias(c) for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).alias("n_copies"))
+    # A row with a NULL key part is not a copy of anything: a unique tiebreak keeps it apart
+    # (NULL, i.e. no effect, for every well-formed row).
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    apart = F.when(null_key, F.monotonically_increasing_id()).alias("_apart")
+    grouped = df.groupBy(*keys, apart).agg(*aggs, F.count(F.lit(1)).alias("n_copies"))
+    return grouped.drop("_apart")
 
 
 def null_counts(df: DataFrame, columns: tuple[str, ...] = CHECKED_COLUMNS) -> DataFrame:

@@ -150,3 +150,16 @@ def test_parquet_landing_roundtrip(spark):
     write_landing(landing_df(spark, records), path, fmt="parquet")
     back = read_landing(spark, path, runs_from=dt.date(2026, 5, 1), fmt="parquet")
     assert [(r.symbol, r.bar_date, r.volume) for r in flatten(back).collect()] == [("X", "2026-05-18", 5)]
+
+
+def test_null_symbol_rows_are_not_merged(spark):
+    from candlelake.operators.silver import to_silver
+
+    records = [
+        rec(None, doc("A", {"2026-05-18": day(1, 1, 1, 1, 1)}), at=T0),
+        rec(None, doc("B", {"2026-05-18": day(2, 2, 2, 2, 2)}), at=T0 + dt.timedelta(hours=1)),
+        rec("X", doc("X", {"2026-05-18": day(3, 3, 3, 3, 3)}), at=T0),
+        rec("X", doc("X", {"2026-05-18": day(4, 4, 4, 4, 4)}), at=T0 + dt.timedelta(hours=1)),
+    ]
+    got = sorted((r.symbol or "", r.volume) for r in to_silver(flatten(landing_df(spark, records))).collect())
+    assert got == [("", 1), ("", 2), ("X", 4)]  # NULL-symbol rows kept whole; X keeps its last copy
