@@ -185,3 +185,20 @@ def test_per_key_marks_are_recorded_and_reused(spark):
     assert per_symbol == {"IBM": D(2026, 5, 14), "AAPL": D(2026, 5, 14)}
     r2 = run_incremental(spark, landing, target, marks, as_of=D(2026, 5, 14), per_key=True)
     assert (r2["outcome"], r2["new_rows"]) == ("nothing_new", 0)
+
+
+def test_cli_incremental_twice(spark, capsys):
+    import json
+    import unittest.mock as mock
+
+    from candlelake.__main__ import main
+
+    landing, target, marks = (new_path(spark, k) for k in ("landing", "target", "marks"))
+    _landing(spark, ["IBM"], days(D(2026, 5, 14), 3), landing)
+    args = ["incremental", "--landing", landing, "--target", target, "--marks", marks, "--as-of", "2026-05-16"]
+    with mock.patch.object(type(spark), "stop", lambda self: None):
+        main(args)
+        main(args)
+    first, second = (json.loads(line) for line in capsys.readouterr().out.strip().splitlines()[-2:])
+    assert (first["outcome"], first["new_rows"], first["new_mark"]) == ("loaded", 3, "2026-05-16")
+    assert (second["outcome"], second["new_rows"], second["fetch_from"]) == ("nothing_new", 0, "2026-05-14")
