@@ -8,30 +8,52 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlelake.llm.common import lower_ascii, table
+from candlelake.llm.common import fold, lower_ascii, table
 from candlelake.llm.exact_dedup import exact_dedup
+from candlelake.llm.langid import language_id
+from candlelake.llm.lm_score import lm_scores
 from candlelake.llm.packing import best_fit_packing
+from candlelake.llm.quality import quality_scores
 from candlelake.llm.token_counts import token_counts
 
-BYTE_BPE = "byte_bpe_50k.json"
+BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), lower_ascii(F.col("text")), keep="max")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rest = fold(F.col("doc_id"), 3)
+    return quality_scores(docs, labels, learn=rest != 1, held_out=rest == 1)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), limit=512)
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = fold(F.col("doc_id"), 5)
+    return lm_scores(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE), learn=rest != 1, held_out=rest == 1)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), capacity=1024, end_id=2)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = fold(F.col("doc_id"), 4)
+    return language_id(table(spark, sf_dir, "documents"), learn=rest != 2, held_out=rest == 2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_quality": op2_quality,
     "op4_token_counts": op4_token_counts,
+    "op5_lm_score": op5_lm_score,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES: dict[str, str] = {
