@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlelake.llm.common import fold, lower_ascii, table
+from candlelake.llm.decontam import contaminated
 from candlelake.llm.exact_dedup import exact_dedup
+from candlelake.llm.html_extract import extract_text
 from candlelake.llm.langid import language_id
 from candlelake.llm.lm_score import lm_scores
 from candlelake.llm.packing import best_fit_packing
@@ -29,6 +31,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(docs, labels, learn=rest != 1, held_out=rest == 1)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), limit=512)
 
@@ -38,6 +44,10 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE), learn=rest != 1, held_out=rest == 1)
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), capacity=1024, end_id=2)
 
@@ -50,8 +60,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
+    "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
     "op5_lm_score": op5_lm_score,
+    "op6_html_extraction": op6_html_extraction,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op10_language_id": op10_language_id,
 }
