@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
     """Cuts Arrow batches into runs of rows of about ``limit`` bytes of text (one row at least)."""
     for batch in batches:
         start, held = 0, 0
-        for k, n in enumerate(pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()):
+        for k, n in enumerate(pc.binary_length(batch.column(column)).fill_null(0).to_pylist()):
             if k > start and held + n > limit:
                 yield batch.slice(start, k - start)
                 start, held = k, 0

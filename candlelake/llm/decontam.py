@@ -34,9 +34,10 @@ def valued_words(text: Column) -> Column:
     separators, a unit one of UNITS after a number. Case and punctuation go.
     """
     t = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\s\x00-\x20 ]+", " ")
-    t = F.regexp_replace(t, r"(?<=[\p{Ll}\p{N},;:] )(?=\p{Lu}\p{Ll})", f"{MARK}p")
-    t = F.regexp_replace(t, rf"(?<![\p{{L}}\p{{N}}{MARK}])(?=\p{{N}})", f"{MARK}n")
-    t = F.regexp_replace(t, rf"(?<={MARK}n[^ ]{{1,40}} )(?=(?:{'|'.join(UNITS)})(?!\p{{L}}))", f"{MARK}u")
+    # each pattern starts with what it finds, so that most places fail at once
+    t = F.regexp_replace(t, r"(?=\p{Lu}\p{Ll})(?<=[\p{Ll}\p{N},;:] )", f"{MARK}p")
+    t = F.regexp_replace(t, rf"(?=\p{{N}})(?<![\p{{L}}\p{{N}}{MARK}])", f"{MARK}n")
+    t = F.regexp_replace(t, rf"({MARK}n[^ ]* )(?=(?:{'|'.join(UNITS)})(?!\p{{L}}))", f"$1{MARK}u")
     t = F.regexp_replace(F.lower(t), rf"[^\p{{L}}\p{{M}}\p{{N}} {MARK}]+", "")
     return F.split(F.trim(F.regexp_replace(t, " +", " ")), " ")
 

@@ -12,6 +12,7 @@ from candlelake.llm.common import fold, lower_ascii, table
 from candlelake.llm.decontam import contaminated
 from candlelake.llm.exact_dedup import exact_dedup
 from candlelake.llm.html_extract import extract_text
+from candlelake.llm.jaccard_join import jaccard_join
 from candlelake.llm.langid import language_id
 from candlelake.llm.lm_score import lm_scores
 from candlelake.llm.packing import best_fit_packing
@@ -52,6 +53,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), capacity=1024, end_id=2)
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = fold(F.col("doc_id"), 4)
     return language_id(table(spark, sf_dir, "documents"), learn=rest != 2, held_out=rest == 2)
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_lm_score": op5_lm_score,
     "op6_html_extraction": op6_html_extraction,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
 }
 
