@@ -17,6 +17,7 @@ from candlelake.llm.langid import language_id
 from candlelake.llm.lm_score import lm_scores
 from candlelake.llm.packing import best_fit_packing
 from candlelake.llm.quality import quality_scores
+from candlelake.llm.substring_dedup import substring_dedup
 from candlelake.llm.token_counts import token_counts
 
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -53,6 +54,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), capacity=1024, end_id=2)
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"), window=50).drop("kept_text")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_lm_score": op5_lm_score,
     "op6_html_extraction": op6_html_extraction,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
 }
