@@ -1,4 +1,4 @@
-"""Helpers shared by the operators: tables, normal forms, folds, bounded samples and Arrow slices."""
+"""Helpers shared by the operators: tables, normal forms, folds and Arrow slices."""
 
 from __future__ import annotations
 
@@ -38,7 +38,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], column: str | int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts Arrow batches into runs of rows of about ``limit`` bytes of text (one row at least)."""
     for batch in batches:
         start, held = 0, 0
@@ -63,8 +63,3 @@ def map_slices(
                 yield out
 
     return df.mapInArrow(run, schema)
-
-
-def lowest(df: DataFrame, n: int, *order: Column) -> DataFrame:
-    """The n first rows by a hash of their content: a bounded sample that any run draws alike."""
-    return df.orderBy(*order).limit(n)

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.llm.common import map_slices
+from candlelake.llm.common import map_slices, slices
 
 #: Characters of a passage, hashed character pairs, and the bound of labelled documents for each label.
 PASSAGE, PAIRS, PER_LABEL = 400, 96, 1200
@@ -160,6 +160,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "text", d
     return AttentionBags().fit([np.frombuffer(r["bag"], "<f2").reshape(-1, N_FEATURES).astype(np.float64) for r in got], truth, weight / weight.mean())
 
 
+def scored(model: AttentionBags | float, texts: pa.Array) -> np.ndarray:
+    if isinstance(model, float):
+        return np.full(len(texts), model)
+    return model.score(*features(pc.fill_null(texts, "").to_pylist())) if len(texts) else np.empty(0)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, learn: Column, held_out: Column, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score (0 to 1, higher: label 1 likelier), predicted (1 if score >= 0.5).
 
@@ -170,12 +176,21 @@ def quality_scores(docs: DataFrame, labels: DataFrame, learn: Column, held_out:
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, learn, text, doc_id))
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        model = shared.value
-        if isinstance(model, float):
-            y = np.full(part.num_rows, model)
-        else:
-            y = model.score(*features(pc.fill_null(part.column(2), "").to_pylist()))
+        y = scored(shared.value, part.column(2))
         return pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(y), pa.array((y >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), held_out.alias("held_out"), F.col(f"`{text}`").alias("text"))
     return map_slices(rows, "text", "doc_id bigint, held_out boolean, score double, predicted int", work, 4_000_000)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "text", doc_id: str = "doc_id", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` with a score of at least ``least``, with all their columns; nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, learn, text, doc_id))
+    place = docs.columns.index(text)
+
+    def run(batches):
+        for batch in batches:
+            for part in slices([batch], place, 4_000_000):
+                yield part.filter(pa.array(scored(shared.value, part.column(place)) >= least))
+
+    return docs.mapInArrow(run, docs.schema)
