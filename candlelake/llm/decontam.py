@@ -27,8 +27,8 @@ UNITS = (
 MARK = "\u0001"
 
 
-def valued_words(text: Column) -> Column:
-    """Canonical words of a text; a placeholder is MARK, its type and its value.
+def canonical(text: Column) -> Column:
+    """Canonical words of a text, one space between them; a placeholder is MARK, its type and its value.
 
     A name is a capitalised word that does not start a sentence, a number a run of digits with its
     separators, a unit one of UNITS after a number. Case and punctuation go.
@@ -39,16 +39,21 @@ def valued_words(text: Column) -> Column:
     t = F.regexp_replace(t, rf"(?=\p{{N}})(?<![\p{{L}}\p{{N}}{MARK}])", f"{MARK}n")
     t = F.regexp_replace(t, rf"({MARK}n[^ ]* )(?=(?:{'|'.join(UNITS)})(?!\p{{L}}))", f"$1{MARK}u")
     t = F.regexp_replace(F.lower(t), rf"[^\p{{L}}\p{{M}}\p{{N}} {MARK}]+", "")
-    return F.split(F.trim(F.regexp_replace(t, " +", " ")), " ")
+    return F.trim(F.regexp_replace(t, " +", " "))
 
 
-def template(words: Column) -> Column:
-    """The words without the values of their placeholders."""
-    return F.split(F.regexp_replace(F.array_join(words, " "), rf"({MARK}[npu])[^ ]*", "$1"), " ")
+def readings(rows: DataFrame, text: str, keep: Column) -> DataFrame:
+    """(keep, reading, valued, words): a text with its names as placeholders, and where that differs with its names as words.
+
+    The second reading finds a text again whose case was changed. words: the template, without the values.
+    """
+    rows = rows.select(keep.alias("k"), canonical(F.col(f"`{text}`")).alias("line"))
+    rows = rows.select("k", F.posexplode(F.array_distinct(F.array("line", F.replace("line", F.lit(f"{MARK}p"), F.lit(""))))).alias("reading", "line"))
+    return rows.select("k", "reading", F.split("line", " ").alias("valued"), F.split(F.regexp_replace("line", rf"({MARK}[npu])[^ ]*", "$1"), " ").alias("words"))
 
 
 def windows(rows: DataFrame, sizes: list[int], keep: list[str]) -> DataFrame:
-    """Rows (keep, valued, words) -> one row per window: keep, at, size, h, slot, win (valued and template words)."""
+    """Rows (keep, valued, words) -> one row per window: keep, valued, words, size, at, h."""
     size = F.explode(F.array(*[F.lit(k) for k in sizes])) if len(sizes) > 1 else F.lit(sizes[0] if sizes else WINDOW)
     rows = rows.withColumn("size", size)
     # no filter on the words: it would be pushed below and make them twice
@@ -70,21 +75,20 @@ def contaminated(
     a doc_id are one document to this operator, and so are rows that share one. Empty tables give no
     rows; other columns are not read. The benchmark is joined in blocks of about ``block`` windows, each broadcast.
     """
-    items = benchmark.select(F.col(f"`{item_id}`").alias("item_id"), valued_words(F.col(f"`{item_text}`")).alias("valued")).filter("valued[0] <> ''")
-    items = items.select("*", template("valued").alias("words")).withColumn("short", F.least(F.size("words"), F.lit(window)))
+    items = readings(benchmark, item_text, F.col(f"`{item_id}`")).withColumnRenamed("k", "item_id").filter("words[0] <> ''")
+    items = items.withColumn("short", F.least(F.size("words"), F.lit(window)))
     sizes = sorted(r[0] for r in items.select("short").distinct().collect())  # 1 to window
     plain = F.size(F.filter("win", lambda w: ~w.startswith(MARK)))
-    found = reduce(DataFrame.unionAll, [windows(items.filter(F.col("short") == k).drop("short"), [k], ["item_id"]) for k in sizes]) if sizes else windows(items.drop("short"), [window], ["item_id"])
+    found = reduce(DataFrame.unionAll, [windows(items.filter(F.col("short") == k).drop("short"), [k], ["item_id", "reading"]) for k in sizes]) if sizes else windows(items.drop("short"), [window], ["item_id", "reading"])
     known = found.select(
-        "h", "size", "item_id", F.col("at").alias("i_at"), F.slice("words", F.col("at"), F.col("size")).alias("win"), F.slice("valued", F.col("at"), F.col("size")).alias("i_slot"),
+        "h", "size", "item_id", "reading", F.col("at").alias("i_at"), F.slice("words", F.col("at"), F.col("size")).alias("win"), F.slice("valued", F.col("at"), F.col("size")).alias("i_slot"),
         F.size("words").alias("i_len"),
     ).filter(plain >= F.least(F.lit(2), F.col("size")))
     known = known.persist()
     total = known.count()
-    held = known.groupBy(F.col("item_id").alias("t_id")).agg(F.count_distinct("win").alias("i_total"))
+    held = known.groupBy(F.col("item_id").alias("t_id"), F.col("reading").alias("t_reading")).agg(F.count_distinct("win").alias("i_total"))
 
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), valued_words(F.col(f"`{text}`")).alias("valued"))
-    each = windows(rows.select("*", template("valued").alias("words")), sizes, ["doc_id"])
+    each = windows(readings(docs, text, F.col(f"`{doc_id}`")).select(F.col("k").alias("doc_id"), "valued", "words"), sizes, ["doc_id"])
     blocks = max(1, -(-total // block))
     met = []
     for k in range(blocks):
@@ -92,7 +96,7 @@ def contaminated(
         met.append(
             each.join(F.broadcast(part.withColumnsRenamed({"h": "i_h", "size": "i_size"})), (F.col("h") == F.col("i_h")) & (F.col("size") == F.col("i_size")))
             .filter(F.slice("words", F.col("at"), F.col("size")) == F.col("win"))
-            .select("doc_id", "item_id", "at", "i_at", "i_len", F.xxhash64("win").alias("w"), F.slice("valued", F.col("at"), F.col("size")).alias("slot"), "i_slot")
+            .select("doc_id", "item_id", "reading", "at", "i_at", "i_len", F.xxhash64("win").alias("w"), F.slice("valued", F.col("at"), F.col("size")).alias("slot"), "i_slot")
         )
     pairs = F.filter(F.arrays_zip("i_slot", "slot"), lambda x: x["i_slot"].startswith(MARK))
     met = reduce(DataFrame.unionAll, met).withColumn("pairs", pairs)
@@ -100,10 +104,10 @@ def contaminated(
     shift = (F.col("at") - F.col("i_at")).cast("double") / (2 * F.col("i_len"))
     strip = F.explode(F.array(F.struct(F.lit(0).alias("r"), F.floor(shift).alias("s")), F.struct(F.lit(1).alias("r"), F.floor(shift + 0.5).alias("s"))))
     together = (
-        met.select("doc_id", "item_id", "w", "pairs", strip.alias("strip"))
-        .groupBy("doc_id", "item_id", "strip")
+        met.select("doc_id", "item_id", "reading", "w", "pairs", strip.alias("strip"))
+        .groupBy("doc_id", "item_id", "reading", "strip")
         .agg(F.count_distinct("w").alias("n"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-        .join(F.broadcast(held) if total <= block else held, F.col("item_id") == F.col("t_id"))
+        .join(F.broadcast(held) if total <= block else held, (F.col("item_id") == F.col("t_id")) & (F.col("reading") == F.col("t_reading")))
         .select(
             "doc_id", "item_id", (F.col("n") / F.col("i_total")).alias("coverage"), F.size("pairs").alias("n_pairs"),
             F.size(F.array_distinct(F.transform("pairs", lambda x: x["i_slot"]))).alias("n_slots"), F.forall("pairs", lambda x: x["i_slot"] == x["slot"]).alias("same_values"),

@@ -139,7 +139,7 @@ def jaccard_join(
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     sent = held.select("node", "label", "own", "set", other).select("node", "label", "own", "set", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
-    def verify(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def verify(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         _, i, j = key
         pdf = pdf.drop_duplicates("node").sort_values("node")
         parts = [pdf[pdf["own"] == k] for k in ([i] if i == j else [i, j])]

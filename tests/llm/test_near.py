@@ -1,0 +1,92 @@
+import random
+
+import numpy as np
+import pytest
+from candlelake.llm.components import components
+from candlelake.llm.jaccard_join import bands_for, forest, jaccard_join, one_of_each, shared_counts
+from llm_tables import make_docs
+
+
+def sets_of(rows, size=5):
+    out = {}
+    for i, t in rows:
+        w = (t or "").encode().lower().split()
+        out[i] = frozenset(tuple(w[k : k + size]) for k in range(len(w) - size + 1)) if len(w) >= size else frozenset([tuple(w)] if w else [])
+    return out
+
+
+def brute(rows):
+    """doc_id -> (class_id, copy_of, n_links)."""
+    sets = {i: s for i, s in sets_of(rows).items() if i is not None}
+    full = {i: s for i, s in sets.items() if s}
+    copy = {i: min(j for j in full if full[j] == s) for i, s in full.items()}
+    members = sorted(set(copy.values()))
+    links = {a: {b for b in members if a != b and len(full[a] & full[b]) >= 0.8 * len(full[a] | full[b])} for a in members}
+    root = {}
+    for a in members:
+        if a not in root:
+            seen, todo = {a}, [a]
+            while todo:
+                for b in links[todo.pop()] - seen:
+                    seen.add(b)
+                    todo.append(b)
+            root |= dict.fromkeys(seen, a)
+    return {i: (root[copy[i]], copy[i], len(links[copy[i]])) if i in full else (i, i, 0) for i in sets}
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for _ in range(n):
+        words[rng.randrange(len(words))] = f"e{rng.randrange(1000)}"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("block", [512, 7])
+def test_against_brute_force(spark, rows, block):
+    rng = random.Random(4)
+    base = [f"b{rng.randrange(400)}" for _ in range(150)]
+    # one large group of near copies, some of them linked through others only, and exact copies of them
+    group = [(1000 + k, edited(rng, base, rng.randint(0, 6))) for k in range(60)]
+    group += [(2000 + k, group[k % 5][1]) for k in range(30)]
+    every = [r for r in rows if r[0] != 5] + group
+    got = {r["doc_id"]: (r["class_id"], r["copy_of"], r["n_links"]) for r in jaccard_join(make_docs(spark, every), block=block, recall=0.999999).collect() if r["doc_id"] is not None}
+    assert got == brute(every)
+
+
+def test_null_ids_repeats_and_empty(spark, docs, rows, no_docs):
+    got = jaccard_join(docs).collect()
+    assert len(got) == len(rows)
+    assert all(r["class_id"] is None and r["n_links"] == 0 for r in got if r["doc_id"] is None)
+    assert len([r for r in got if r["doc_id"] == 5]) == 2
+    assert jaccard_join(no_docs).count() == 0
+
+
+def test_stage(spark, docs, rows):
+    kept = one_of_each(docs)
+    assert kept.schema == docs.schema
+    ids = [r["doc_id"] for r in kept.select("doc_id").collect()]
+    assert {20, 4}.issubset(ids) and not {22, 23, 5} & set(ids)
+    assert ids.count(None) == 2
+
+
+def test_bands_reach_the_recall():
+    for s, recall, rows in ((0.8, 0.999, 5), (0.5, 0.9, 3), (0.9, 0.99, 8)):
+        b = bands_for(s, recall, rows)
+        assert 1 - (1 - s**rows) ** b >= recall > 1 - (1 - s**rows) ** (b - 1)
+
+
+def test_shared_counts_and_forest():
+    rng = np.random.default_rng(0)
+    sets = [np.unique(rng.integers(0, 9000, rng.integers(1, 3000)).astype(np.uint64)) for _ in range(12)]
+    want = np.array([[len(np.intersect1d(a, b)) for b in sets[5:]] for a in sets[:5]])
+    assert (shared_counts(sets[:5], sets[5:]) == want).all()
+    assert len(forest(6, np.array([0, 1, 0, 3, 3]), np.array([1, 2, 2, 4, 4]))) == 3
+
+
+def test_components_of_a_long_chain(spark):
+    rng = random.Random(1)
+    names = rng.sample(range(10**6), 120)
+    edges = [(names[k], names[k + 1]) for k in range(79)] + [(names[80], names[k]) for k in range(81, 120)] + [(names[5], names[5])]
+    got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {**{n: min(names[:80]) for n in names[:80]}, **{n: min(names[80:]) for n in names[80:]}}
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
