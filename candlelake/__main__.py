@@ -1,8 +1,9 @@
 """Command line: ``python -m candlelake <command> ...`` on the cluster's session.
 
-  full-reload  --landing DIR --target DIR
-  incremental  --landing DIR --target DIR --marks DIR [--as-of YYYY-MM-DD] [--lookback N] [--per-key]
-  stream       --landing DIR --target DIR --checkpoint DIR [--max-files N] [--every "2 days"]
+  full-reload  --landing DIR --target DIR [--rejects DIR]
+  incremental  --landing DIR --target DIR --marks DIR [--as-of YYYY-MM-DD] [--lookback N] [--first-run-days N]
+               [--per-key] [--rejects DIR]
+  stream       --landing DIR --target DIR --checkpoint DIR [--max-files N] [--every "2 days"] [--rejects DIR]
   dq-report    --landing DIR
 
 Spark settings (master, shuffle partitions, spark.checkpoint.dir) come from spark-submit.
@@ -17,12 +18,13 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from .constants import LOOKBACK_DAYS
+from .constants import FIRST_RUN_DAYS, LOOKBACK_DAYS
 from .operators.bronze import flatten
 from .operators.silver import dq_report, parse
 from .plans import run_full_reload, run_incremental
 from .sources.landing import read_landing
 from .streaming import start_incremental_stream
+from .streaming.incremental_stream import MAX_FILES
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -38,35 +40,39 @@ def main(argv: list[str] | None = None) -> None:
     i.add_argument("--marks", required=True)
     i.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
     i.add_argument("--lookback", type=int, default=LOOKBACK_DAYS)
+    i.add_argument("--first-run-days", type=int, default=FIRST_RUN_DAYS)
     i.add_argument("--per-key", action="store_true")
     s = sub.add_parser("stream")
     s.add_argument("--landing", required=True)
     s.add_argument("--target", required=True)
     s.add_argument("--checkpoint", required=True)
-    s.add_argument("--max-files", type=int, default=None)
+    s.add_argument("--max-files", type=int, default=MAX_FILES)
     s.add_argument("--every", default=None, help='run continuously, e.g. "2 days" (default: process what is there, then stop)')
     d = sub.add_parser("dq-report")
     d.add_argument("--landing", required=True)
+    for p in (f, i, s):
+        p.add_argument("--rejects", default=None, help="table for landed values that cannot be loaded")
     args = ap.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     spark = SparkSession.builder.appName(f"candlelake-{args.cmd}").getOrCreate()
     try:
         if args.cmd == "full-reload":
-            result = run_full_reload(spark, read_landing(spark, args.landing, fmt=args.format), args.target)
+            result = run_full_reload(spark, read_landing(spark, args.landing, fmt=args.format), args.target, args.rejects)
         elif args.cmd == "incremental":
             result = run_incremental(
-                spark, args.landing, args.target, args.marks, args.as_of, args.lookback, per_key=args.per_key, fmt=args.format
+                spark, args.landing, args.target, args.marks, args.as_of, args.lookback, per_key=args.per_key, fmt=args.format,
+                first_run_days=args.first_run_days, rejects_path=args.rejects,
             )
         elif args.cmd == "stream":
             start_incremental_stream(
                 spark, args.landing, args.target, args.checkpoint, args.max_files, fmt=args.format,
-                available_now=args.every is None, processing_time=args.every,
+                available_now=args.every is None, processing_time=args.every, rejects_path=args.rejects,
             ).awaitTermination()
             result = {"outcome": "stream finished"}
         else:
             report = dq_report(parse(flatten(read_landing(spark, args.landing, fmt=args.format))))
-            result = {"checks": [r.asDict() for r in report.collect()]}  # six rows
+            result = {"checks": [r.asDict() for r in report.collect()]}  # seven rows
         print(json.dumps(result, default=str))
     finally:
         spark.stop()

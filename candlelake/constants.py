@@ -32,7 +32,6 @@ FIRST_RUN_DAYS = 100
 
 # --- fixed values: report line formats --------------------------------------------------------
 REPORT_LINE = "%-5s %-15s %-15s %-10s %s"
-REPORT_HEADER = ("ID", "Name", "Department", "Salary", "Join Date")
 LABELLED_LINE = "ID: %s | Name: %s"
 
 # --- response classification labels (ours) ----------------------------------------------------
@@ -41,3 +40,10 @@ STATUS_RATE_LIMITED = "rate_limited"
 STATUS_API_ERROR = "api_error"
 STATUS_MISSING_SERIES = "missing_series"
 STATUS_HTTP_ERROR = "http_error"
+STATUS_UNPARSEABLE = "unparseable"
+
+# --- reasons for which a landed value cannot become a row (ours) ------------------------------
+REJECT_BODY = "unparseable_body"
+REJECT_DAY = "bad_day"
+REJECT_DATE = "bad_date"
+REJECT_SYMBOL = "null_symbol"

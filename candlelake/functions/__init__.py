@@ -1,7 +1,7 @@
 """Column expressions (JVM-side built-ins only)."""
 
 from .bars import candle, daily_range, daily_return_pct, parse_date, price, volume
-from .jsonmaps import entries_by_key, envelope_status, last_per_key, parse_body
+from .jsonmaps import entries_by_key, envelope_status, last_per_key, parse_body, parse_day, value_of
 from .text import fixed_width_line, labelled_line
 
 __all__ = [
@@ -14,7 +14,9 @@ __all__ = [
     "fixed_width_line",
     "labelled_line",
     "parse_body",
+    "parse_day",
     "parse_date",
     "price",
+    "value_of",
     "volume",
 ]

@@ -22,6 +22,11 @@ def price(c: str | Column) -> Column:
     return _col(c).try_cast(PRICE_TYPE)
 
 
+def overflows(c: str | Column) -> Column:
+    """1 if the text is a number that the target's price type cannot hold, else 0."""
+    return (price(c).isNull() & _col(c).try_cast("decimal(38,10)").isNotNull()).cast("int")
+
+
 def volume(c: str | Column) -> Column:
     return _col(c).try_cast("bigint")
 

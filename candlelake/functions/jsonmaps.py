@@ -19,24 +19,46 @@ from ..constants import (
     STATUS_MISSING_SERIES,
     STATUS_OK,
     STATUS_RATE_LIMITED,
+    STATUS_UNPARSEABLE,
 )
-from ..schemas import BODY, ENVELOPE
+from ..schemas import BAD_DAY, DAY_FIELDS, RAW_MAP
 
 
-def parse_body(body: str | Column = "body", envelope_only: bool = False) -> Column:
-    """One parse of the whole body into the typed envelope (series as a map), or with
-    ``envelope_only`` just the top-level keys (series as raw text, no map built)."""
-    return F.from_json(F.col(body) if isinstance(body, str) else body, ENVELOPE if envelope_only else BODY)
+def parse_body(body: str | Column = "body") -> Column:
+    """Top-level keys of a body with the raw JSON text of their values; NULL if it is no JSON object
+    (cut short, an array, other text)."""
+    return F.from_json(F.col(body) if isinstance(body, str) else body, RAW_MAP)
+
+
+def value_of(doc: Column, key: str) -> Column:
+    """Value of a top-level key (its last one if the key is repeated); NULL if absent."""
+    return F.try_element_at(F.filter(F.map_entries(doc), lambda e: e["key"] == key), F.lit(-1))["value"]
+
+
+def parse_day(text: Column) -> Column:
+    """One day's object; BAD_DAY is set if the text is not an object of values."""
+    return F.from_json(text, DAY_FIELDS, {"columnNameOfCorruptRecord": BAD_DAY})
+
+
+def is_object(text: Column) -> Column:
+    return F.coalesce(F.startswith(F.ltrim(text), F.lit("{")), F.lit(False))
 
 
 def envelope_status(http_status: Column, body: Column, doc: Column) -> Column:
-    """Classify a landed response, in this precedence:
-    HTTP failure, rate limit ('Information'), API error ('Error Message'), no series, ok."""
+    """Classify a landed response, in this precedence: HTTP failure, unparseable body, rate limit
+    ('Information'), API error ('Error Message'), no series, a series that is no object
+    (unparseable too), ok. A key counts as present whatever its value."""
+
+    def has(key: str) -> Column:
+        return F.map_contains_key(doc, key)
+
     return (
         F.when(body.isNull() | http_status.isNull() | (http_status >= 400), F.lit(STATUS_HTTP_ERROR))
-        .when(doc[INFO_KEY].isNotNull(), F.lit(STATUS_RATE_LIMITED))
-        .when(doc[ERROR_KEY].isNotNull(), F.lit(STATUS_API_ERROR))
-        .when(doc[SERIES_KEY].isNull(), F.lit(STATUS_MISSING_SERIES))
+        .when(doc.isNull(), F.lit(STATUS_UNPARSEABLE))
+        .when(has(INFO_KEY), F.lit(STATUS_RATE_LIMITED))
+        .when(has(ERROR_KEY), F.lit(STATUS_API_ERROR))
+        .when(~has(SERIES_KEY), F.lit(STATUS_MISSING_SERIES))
+        .when(~is_object(value_of(doc, SERIES_KEY)), F.lit(STATUS_UNPARSEABLE))
         .otherwise(F.lit(STATUS_OK))
     )
 

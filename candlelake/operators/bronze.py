@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import (
@@ -10,68 +12,98 @@ from ..constants import (
     HIGH_KEY,
     LOW_KEY,
     OPEN_KEY,
+    REJECT_BODY,
+    REJECT_DATE,
+    REJECT_DAY,
+    REJECT_SYMBOL,
     SERIES_KEY,
     STATUS_API_ERROR,
     STATUS_HTTP_ERROR,
     STATUS_MISSING_SERIES,
     STATUS_OK,
     STATUS_RATE_LIMITED,
+    STATUS_UNPARSEABLE,
     VOLUME_KEY,
 )
-from ..functions.bars import price, volume
-from ..functions.jsonmaps import entries_by_key, envelope_status, last_per_key, parse_body
+from ..functions.bars import overflows, parse_date, price, volume
+from ..functions.jsonmaps import entries_by_key, envelope_status, is_object, last_per_key, parse_body, parse_day, value_of
+from ..schemas import BAD_DAY, RAW_MAP
 
 
-def _parsed(landing: DataFrame, envelope_only: bool = False) -> DataFrame:
+def _classified(landing: DataFrame) -> DataFrame:
     # The body is parsed once here; later projections only reference the parsed column.
-    return landing.select(
-        "symbol", "run_date", "fetched_at", "http_status", "body",
-        parse_body("body", envelope_only).alias("doc"),
-    )
+    p = landing.select("symbol", "run_date", "fetched_at", "http_status", "body", parse_body("body").alias("doc"))
+    status = envelope_status(F.col("http_status"), F.col("body"), F.col("doc"))
+    return p.select("symbol", "run_date", "fetched_at", "http_status", "body", "doc", status.alias("status"))
 
 
 def classify(landing: DataFrame) -> DataFrame:
     """``symbol, run_date, fetched_at, http_status, status`` for every landed response."""
-    p = _parsed(landing, envelope_only=True)
-    return p.select(
-        "symbol",
-        "run_date",
-        "fetched_at",
-        "http_status",
-        envelope_status(F.col("http_status"), F.col("body"), F.col("doc")).alias("status"),
+    return _classified(landing).select("symbol", "run_date", "fetched_at", "http_status", "status")
+
+
+def _entries(landing: DataFrame) -> DataFrame:
+    """``symbol, run_date, fetched_at, body, status, entries``: a series' days as (key, pos, value), raw.
+
+    Non-ok responses get a NULL array and explode(NULL) yields no rows: no Filter that would
+    re-evaluate the parse.
+    """
+    series = F.when(F.col("status") == F.lit(STATUS_OK), value_of(F.col("doc"), SERIES_KEY))
+    p = _classified(landing).select("symbol", "run_date", "fetched_at", "body", "status", F.from_json(series, RAW_MAP).alias("series"))
+    return p.select("symbol", "run_date", "fetched_at", "body", "status", entries_by_key(F.col("series")).alias("entries"))
+
+
+def _landed_values(landing: DataFrame) -> DataFrame:
+    """One row per day entry that counts (the last of its key), and one per unparseable body (no key):
+    ``symbol, run_date, fetched_at, key, value, day, reason``; ``reason`` says why it cannot be a row."""
+    body = F.array(F.named_struct(F.lit("key"), F.lit(None).cast("string"), F.lit("pos"), F.lit(0), F.lit("value"), F.col("body")))
+    broken = (F.col("status") == F.lit(STATUS_UNPARSEABLE)) | ((F.col("status") == F.lit(STATUS_OK)) & F.col("entries").isNull())
+    found = F.when(broken, body).otherwise(last_per_key(F.col("entries")))
+    d = _entries(landing).select("symbol", "run_date", "fetched_at", F.explode(found).alias("d"))
+    d = d.select("symbol", "run_date", "fetched_at", F.col("d.key").alias("key"), F.col("d.value").alias("value"), parse_day(F.col("d.value")).alias("day"))
+    reason = (
+        F.when(F.col("key").isNull(), F.lit(REJECT_BODY))
+        .when(~is_object(F.col("value")) | F.col("day")[BAD_DAY].isNotNull(), F.lit(REJECT_DAY))
+        .when(F.col("symbol").isNull(), F.lit(REJECT_SYMBOL))
+        .when(parse_date("key").isNull(), F.lit(REJECT_DATE))
     )
+    return d.select("symbol", "run_date", "fetched_at", "key", "value", "day", reason.alias("reason"))
 
 
 def flatten(landing: DataFrame) -> DataFrame:
     """One row per (symbol, day) of every ok response, values typed.
 
-    ``bar_date`` stays text here (parsed in silver). Repeated days inside one body keep their
+    ``bar_date`` stays text here (parsed in silver), bad dates included; days that are no objects
+    and unparseable bodies are not rows (see ``rejects``). Repeated days inside one body keep their
     last value; days repeated across responses (replays) are kept, with ``fetched_at`` and
-    ``run_date`` as lineage for the later keep-last step.
+    ``run_date`` as lineage for the later keep-last step. ``n_overflow`` counts prices that are
+    numbers but do not fit the target's type.
     """
-    p = _parsed(landing)
-    status = envelope_status(F.col("http_status"), F.col("body"), F.col("doc"))
-    # Non-ok responses get a NULL array and explode(NULL) yields no rows: no Filter that would
-    # re-evaluate the parse.
-    ordered = p.select(
-        "symbol", "run_date", "fetched_at",
-        F.when(status == F.lit(STATUS_OK), entries_by_key(F.col("doc")[SERIES_KEY])).alias("entries"),
-    )
-    rows = ordered.select("symbol", "run_date", "fetched_at", F.explode(last_per_key(F.col("entries"))).alias("d"))
-    v = F.col("d.value")
+    v = F.col("d.day")
+    prices = (OPEN_KEY, HIGH_KEY, LOW_KEY, CLOSE_KEY)
+    row = F.col("reason").isNull() | F.col("reason").isin(REJECT_SYMBOL, REJECT_DATE)
+    kept = F.explode(F.when(row, F.array(F.struct("key", "day")))).alias("d")  # no Filter, as above
+    rows = _landed_values(landing).select("symbol", "run_date", "fetched_at", kept)
     return rows.select(
         "symbol",
         F.col("d.key").alias("bar_date"),
-        price(v[OPEN_KEY]).alias("open"),
-        price(v[HIGH_KEY]).alias("high"),
-        price(v[LOW_KEY]).alias("low"),
-        price(v[CLOSE_KEY]).alias("close"),
+        *[price(v[k]).alias(name) for k, name in zip(prices, ("open", "high", "low", "close"))],
         volume(v[VOLUME_KEY]).alias("volume"),
         "run_date",
         "fetched_at",
+        reduce(Column.__add__, [overflows(v[k]) for k in prices]).alias("n_overflow"),
     )
 
 
+def rejects(landing: DataFrame) -> DataFrame:
+    """Every landed value that cannot become a row of the target, with its reason and raw text:
+    unparseable bodies, days that are no objects, days that are no dates, rows without a symbol."""
+    gone = F.explode(F.when(F.col("reason").isNotNull(), F.array(F.struct("key", "reason", "value")))).alias("d")
+    rows = _landed_values(landing).select("symbol", "run_date", "fetched_at", gone)
+    rows = rows.select("symbol", "run_date", "fetched_at", F.col("d.key").alias("bar_date"), F.col("d.reason").alias("reason"), F.col("d.value").alias("raw"))
+    return rows.withColumn("reject_id", F.md5(F.to_json(F.struct(*rows.columns))))
+
+
 def entry_counts(landing: DataFrame) -> DataFrame:
     """Per ok response and day: how many entries the body holds for that day, the first value (what
     a plain map lookup returns) and the last value (what wins).
@@ -80,12 +112,7 @@ def entry_counts(landing: DataFrame) -> DataFrame:
     run per day, whose head is the last entry and whose tail is the first. Each array is
     computed in its own projection, so lambdas reference it instead of recomputing it.
     """
-    p = _parsed(landing)
-    status = envelope_status(F.col("http_status"), F.col("body"), F.col("doc"))
-    a = p.select(
-        "symbol", "run_date",
-        F.when(status == F.lit(STATUS_OK), entries_by_key(F.col("doc")[SERIES_KEY])).alias("s"),
-    )
+    a = _entries(landing).select("symbol", "run_date", F.col("entries").alias("s"))
     s_ = F.col("s")
     b = a.select(
         "symbol", "run_date", "s",
@@ -106,18 +133,25 @@ def entry_counts(landing: DataFrame) -> DataFrame:
         )
 
     rows = b.select("symbol", "run_date", F.explode(F.transform("heads", run)).alias("r"))
+    first, last = parse_day(F.col("r.first")), parse_day(F.col("r.last"))
+    rows = rows.select("symbol", "run_date", "r", first.alias("first"), last.alias("last"))
     return rows.select(
         "symbol",
         "run_date",
         F.col("r.key").alias("bar_date"),
         F.col("r.n").alias("n_entries"),
-        price(F.col("r.first")[CLOSE_KEY]).alias("close_first"),
-        price(F.col("r.last")[CLOSE_KEY]).alias("close"),
-        volume(F.col("r.last")[VOLUME_KEY]).alias("volume"),
+        price(F.col("first")[CLOSE_KEY]).alias("close_first"),
+        price(F.col("last")[CLOSE_KEY]).alias("close"),
+        volume(F.col("last")[VOLUME_KEY]).alias("volume"),
     )
 
 
-STATUSES = (STATUS_OK, STATUS_RATE_LIMITED, STATUS_API_ERROR, STATUS_MISSING_SERIES, STATUS_HTTP_ERROR)
+STATUSES = (STATUS_OK, STATUS_RATE_LIMITED, STATUS_API_ERROR, STATUS_MISSING_SERIES, STATUS_HTTP_ERROR, STATUS_UNPARSEABLE)
+
+
+def _precedence(is_ok: Column) -> Column:
+    """Order of the attempts of one run: ok ones last, then by fetch time; an unknown time comes first."""
+    return is_ok.cast("long") * F.lit(10**17) + F.coalesce(F.unix_micros("fetched_at"), F.lit(-(10**16)))
 
 
 def merge_attempts(landing: DataFrame) -> DataFrame:
@@ -128,11 +162,10 @@ def merge_attempts(landing: DataFrame) -> DataFrame:
     partial: a retry storm on one (symbol, run) is combined map-side.
     """
     labels = F.array(*[F.lit(s) for s in STATUSES])
-    c = classify(landing)
     is_ok = F.col("status") == F.lit(STATUS_OK)
-    order = is_ok.cast("long") * F.lit(10**17) + F.unix_micros("fetched_at")
+    order = _precedence(is_ok)
     code = F.array_position(labels, F.col("status")).cast("int")
-    merged = c.groupBy("symbol", "run_date").agg(
+    merged = classify(landing).groupBy("symbol", "run_date").agg(
         F.count(F.lit(1)).alias("n_attempts"),
         F.count_if(is_ok).cast("bigint").alias("n_ok"),
         F.max_by(code, order).alias("code"),
@@ -141,3 +174,18 @@ def merge_attempts(landing: DataFrame) -> DataFrame:
     return merged.select(
         "symbol", "run_date", "n_attempts", "n_ok", F.element_at(labels, F.col("code")).alias("status"), "http_status"
     )
+
+
+def winning_responses(landing: DataFrame) -> DataFrame:
+    """The response that counts for each (symbol, run), body included: ``symbol, run_date, fetched_at,
+    http_status, status, body``.
+
+    The winner is found on fixed-width values; the bodies only pass the join that picks it. Attempts
+    with one fetch time are told apart by a digest of the body. A run without a symbol is a run too.
+    """
+    c = _classified(landing)
+    tie = F.xxhash64("body")
+    a = c.select("symbol", "run_date", "fetched_at", "http_status", "status", "body", _precedence(F.col("status") == F.lit(STATUS_OK)).alias("p"), tie.alias("t"))
+    best = a.groupBy(F.col("symbol").alias("b_symbol"), F.col("run_date").alias("b_run")).agg(F.max(F.struct("p", "t")).alias("best"))
+    on = F.col("symbol").eqNullSafe(F.col("b_symbol")) & F.col("run_date").eqNullSafe(F.col("b_run")) & (F.col("p") == F.col("best.p")) & (F.col("t") == F.col("best.t"))
+    return a.join(best, on).select("symbol", "run_date", "fetched_at", "http_status", "status", "body").dropDuplicates(["symbol", "run_date"])

@@ -20,12 +20,9 @@ def to_gold(silver: DataFrame, *passthrough: str) -> DataFrame:
     )
 
 
-# Edge variants derived from every bar: as landed, NULL open, doji (open = close), zero open.
-EDGE_VARIANTS = ("as_landed", "null_open", "doji", "zero_open")
-
-
 def candle_edges(silver: DataFrame) -> DataFrame:
-    """Gold derivations over each bar and its edge variants (row-local, no shuffle)."""
+    """Gold derivations over each bar and its edge variants: as landed, NULL open, doji
+    (open = close), zero open (row-local, no shuffle)."""
     o = F.col("open")
     def variant(name: str, value: F.Column) -> F.Column:
         return F.named_struct(F.lit("variant"), F.lit(name), F.lit("open"), value)

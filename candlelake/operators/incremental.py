@@ -7,7 +7,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..constants import FIRST_RUN_DAYS, KEY, LOOKBACK_DAYS
 
@@ -47,17 +46,20 @@ def first_value(df: DataFrame, column: str):
 
 
 def in_window(df: DataFrame, fetch_from: dt.date, column: str = "bar_date") -> DataFrame:
-    """Keep ``bar_date >= fetch_from`` (inclusive); pushed to the scan when it can be."""
+    """Keep ``bar_date >= fetch_from`` (inclusive); pushed to the scan when it can be. Rows without a
+    date are in no window; the loaders account for them as rejects before they come here."""
     return df.filter(F.col(column) >= F.lit(fetch_from))
 
 
-def in_window_per_symbol(df: DataFrame, symbol_marks: DataFrame, fallback_from: dt.date, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
-    """Per-symbol window: ``bar_date >= mark(symbol) - lookback``; symbols without a mark use
-    ``fallback_from``. The mark table has one row per symbol; Spark broadcasts it when its
-    size estimate is under the broadcast threshold and shuffles otherwise."""
+def in_window_per_symbol(df: DataFrame, symbol_marks: DataFrame, floor: dt.date, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
+    """Per-symbol window: ``bar_date >= mark(symbol) - lookback``, never before ``floor`` (the
+    first-run window). A symbol without a mark gets the whole first-run window; one that was silent
+    for longer is treated like a new one, so a dead symbol never widens the scan. The mark table has
+    one row per symbol; Spark broadcasts it when its size estimate is under the broadcast threshold
+    and shuffles otherwise."""
     m = symbol_marks.select("symbol", F.date_sub("last_loaded_date", lookback_days).alias("_from"))
     j = df.join(m, "symbol", "left")
-    return j.filter(F.col("bar_date") >= F.coalesce("_from", F.lit(fallback_from))).drop("_from")
+    return j.filter(F.col("bar_date") >= F.greatest(F.coalesce("_from", F.lit(floor)), F.lit(floor))).drop("_from")
 
 
 def window_counts(silver: DataFrame, fetch_from: dt.date) -> DataFrame:
@@ -132,11 +134,11 @@ def max_loaded_date(df: DataFrame) -> DataFrame:
     return df.agg(F.max("bar_date").alias("max_loaded_date"))
 
 
-def advance_mark(spark: SparkSession, old_mark: dt.date | None, batch_max: dt.date | None) -> DataFrame:
-    """One row: ``old_mark, batch_max, new_mark = greatest(old, batch)`` - a batch of late rows
-    never moves the mark backwards, and an empty batch leaves it unchanged."""
-    schema = T.StructType(
-        [T.StructField("old_mark", T.DateType()), T.StructField("batch_max", T.DateType())]
-    )
-    df = spark.createDataFrame([(old_mark, batch_max)], schema)
-    return df.select("old_mark", "batch_max", F.greatest("old_mark", "batch_max").alias("new_mark"))
+def advance_mark(marks: DataFrame, batch: DataFrame) -> DataFrame:
+    """One row: ``old_mark, batch_max, new_mark = greatest(old, batch)``, from the marks table and a
+    loaded batch - late rows never move the mark backwards, an empty batch leaves it unchanged."""
+    none = F.lit(None).cast("date")
+    old = marks.agg(F.max("last_loaded_date").alias("old_mark")).select("old_mark", none.alias("batch_max"))
+    new = max_loaded_date(batch).select(none.alias("old_mark"), F.col("max_loaded_date").alias("batch_max"))
+    both = old.unionByName(new).agg(F.max("old_mark").alias("old_mark"), F.max("batch_max").alias("batch_max"))
+    return both.select("old_mark", "batch_max", F.greatest("old_mark", "batch_max").alias("new_mark"))

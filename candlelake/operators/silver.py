@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import KEY
@@ -12,7 +14,7 @@ CHECKED_COLUMNS = ("open", "high", "low", "close", "volume")
 
 
 def parse(bronze: DataFrame) -> DataFrame:
-    """``bar_date`` text -> DATE (strict; bad text becomes NULL and is reported, not dropped)."""
+    """``bar_date`` text -> DATE (strict; bad text becomes NULL, kept here and counted by ``dq_report``)."""
     return bronze.withColumn("bar_date", parse_date("bar_date"))
 
 
@@ -23,11 +25,12 @@ def keep_last(df: DataFrame, keys: tuple[str, ...] = KEY, order: str = "fetched_
     One ``max_by`` per column over a fixed-width ordering keeps every aggregation buffer
     fixed-width, so the plan stays a hash aggregate with partial aggregation before the shuffle:
     a hot key reaches the reducer as one row per map task. Copies of one key come from different
-    responses, whose fetch times differ. Rows with a NULL key part are never merged with each
+    responses, whose fetch times differ; a copy without a fetch time counts as the earliest. Rows with a NULL key part are never merged with each
     other. ``n_copies`` > 1 marks a key that was duplicated before.
     """
-    o = F.col(order)
-    aggs = [F.max(o).alias(c) if c == order else F.max_by(c, o).alias(c) for c in df.columns if c not in keys]
+    # an unknown time loses against any other, and never blanks the values
+    o = F.coalesce(F.col(order), F.lit("0001-01-01 00:00:00").cast("timestamp"))
+    aggs = [F.max(order).alias(c) if c == order else F.max_by(c, o).alias(c) for c in df.columns if c not in keys]
     # A row with a NULL key part is not a copy of anything: a unique tiebreak keeps it apart
     # (NULL, i.e. no effect, for every well-formed row).
     null_key = F.lit(False)
@@ -54,19 +57,21 @@ def duplicate_keys(df: DataFrame, keys: tuple[str, ...] = KEY) -> DataFrame:
 
 
 def dq_report(df: DataFrame, keys: tuple[str, ...] = KEY, columns: tuple[str, ...] = CHECKED_COLUMNS) -> DataFrame:
-    """NULL checks and the key-uniqueness check in one shuffle:
+    """NULL checks, the key-uniqueness check and the rows whose key has a NULL part (a bad date, no
+    symbol) in one shuffle:
     ``check, column, failures, status`` (PASS/FAIL), one row per check.
 
     Per-key partial counts are combined map-side, then one tiny global aggregate.
     """
     per_key = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns]
-    )
+    ).withColumn("no_key", reduce(Column.__or__, [F.col(k).isNull() for k in keys]))
     totals = per_key.agg(
         *[F.sum(c).cast("bigint").alias(c) for c in columns],
-        F.count_if(F.col("n") > 1).cast("bigint").alias("dup"),
+        F.count_if((F.col("n") > 1) & ~F.col("no_key")).cast("bigint").alias("dup"),
+        F.sum(F.when(F.col("no_key"), F.col("n"))).cast("bigint").alias("no_key"),
     )
-    checks = [("not_null", c, c) for c in columns] + [("unique_key", ",".join(keys), "dup")]
+    checks = [("not_null", c, c) for c in columns] + [("unique_key", ",".join(keys), "dup"), ("valid_key", ",".join(keys), "no_key")]
     stack = ", ".join(f"'{chk}', '{col}', coalesce(`{src}`, 0L)" for chk, col, src in checks)
     rows = totals.selectExpr(f"stack({len(checks)}, {stack}) AS (check, column, failures)")
     return rows.withColumn("status", F.when(F.col("failures") > 0, F.lit("FAIL")).otherwise(F.lit("PASS")))
@@ -75,3 +80,8 @@ def dq_report(df: DataFrame, keys: tuple[str, ...] = KEY, columns: tuple[str, ..
 def to_silver(bronze: DataFrame) -> DataFrame:
     """Bronze -> silver: keep the last copy per (symbol, day text), then parse the date."""
     return parse(keep_last(bronze))
+
+
+def loadable(silver: DataFrame) -> DataFrame:
+    """The rows that have a key. The others are in ``bronze.rejects``, with their reasons."""
+    return silver.filter(F.col("symbol").isNotNull() & F.col("bar_date").isNotNull())

@@ -10,7 +10,8 @@ zero rounding, which is what decimal HALF_UP rounding in Spark gives.
 from __future__ import annotations
 
 from .constants import LOOKBACK_DAYS
-from .queries import CUT_DAYS, HOLE_DAYS
+from .queries import CUT_DAYS, HOLE_DAYS, PER_KEY_DEAD, PER_KEY_LATE
+from .sources.fixtures import FETCH_DAY
 
 
 def pct_sql(open_: str, close: str) -> str:
@@ -49,9 +50,9 @@ landed AS (
   FROM bars
 ),
 copies AS (
-  SELECT *, CAST(date_trunc('month', bar_date) AS DATE) AS run_date FROM landed
+  SELECT *, CAST(date_trunc('month', bar_date) + INTERVAL 1 MONTH AS DATE) + {FETCH_DAY - 1} AS run_date FROM landed
   UNION ALL
-  SELECT *, CAST(date_trunc('month', bar_date) + INTERVAL 1 MONTH AS DATE) AS run_date FROM landed
+  SELECT *, CAST(date_trunc('month', bar_date) + INTERVAL 2 MONTH AS DATE) + {FETCH_DAY - 1} AS run_date FROM landed
   WHERE bar_date >= CAST(date_trunc('month', bar_date) + INTERVAL 1 MONTH AS DATE) - {LOOKBACK_DAYS}
 ),
 docs AS (SELECT symbol, run_date, count(*) AS n_days, min(bar_date) AS first_day FROM copies GROUP BY symbol, run_date),
@@ -74,6 +75,7 @@ window_new AS (
   SELECT w.* FROM window_rows w
   WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.symbol = w.symbol AND e.bar_date = w.bar_date)
 ),
+symbols AS (SELECT DISTINCT symbol, d_max FROM bars, bounds),
 employees AS (
   SELECT c_custkey AS id, c_name AS name, c_mktsegment AS department,
          CAST(c_acctbal AS DECIMAL(10,2)) AS salary, DATE '2020-01-01' + c_nationkey AS join_date
@@ -114,14 +116,58 @@ FROM docs""",
     "scalar_functions": f"""
 SELECT symbol, run_date, 200 AS http_status, false AS has_information, false AS has_error_message,
        2 AS n_keys, CAST(n_days + 1 AS INTEGER) AS n_series_entries,
-       strftime(run_date, '%Y-%m-%d') AS run_label, run_date AS run_parsed, run_date - {LOOKBACK_DAYS} AS lookback_from
+       strftime(run_date, '%Y-%m-%d') AS run_label, run_date AS run_parsed, run_date - {LOOKBACK_DAYS} AS lookback_from,
+       printf('{{"symbol":"%s","http_status":200}}', symbol) AS as_json
 FROM docs
 UNION ALL
 SELECT symbol, run_date, CASE WHEN month(run_date) = 12 THEN 503 ELSE 200 END,
        month(run_date) = 3, month(run_date) IN (3, 6),
        CASE month(run_date) WHEN 3 THEN 2 WHEN 12 THEN 0 ELSE 1 END, 0,
-       strftime(run_date, '%Y-%m-%d'), run_date, run_date - {LOOKBACK_DAYS}
+       strftime(run_date, '%Y-%m-%d'), run_date, run_date - {LOOKBACK_DAYS},
+       printf('{{"symbol":"%s","http_status":%d}}', symbol, CASE WHEN month(run_date) = 12 THEN 503 ELSE 200 END)
 FROM docs WHERE month(run_date) IN (3, 6, 9, 12)""",
+    "landing_winner": """
+SELECT symbol, run_date, 200 AS http_status, 'ok' AS status, CAST(n_days + 1 AS INTEGER) AS n_series_entries FROM docs""",
+    "rejected_rows": """
+SELECT symbol, d_max + 40 AS run_date, '2024-1-5' AS bar_date, 'bad_date' AS reason FROM symbols
+UNION ALL SELECT symbol, d_max + 40, strftime(d_max + 1, '%Y-%m-%d'), 'bad_day' FROM symbols
+UNION ALL SELECT symbol, d_max + 40, strftime(d_max + 2, '%Y-%m-%d'), 'bad_day' FROM symbols
+UNION ALL SELECT symbol, d_max + 41, NULL, 'unparseable_body' FROM symbols""",
+    # rough landing: one bad date, two copies of d_max + 3, one of d_max + 4 for every symbol
+    "dq_report_rejects": f"""
+SELECT "check", "column", failures, CASE WHEN failures > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM (
+  {_null_checks}
+  UNION ALL
+  SELECT 'unique_key', 'symbol,bar_date', CAST(count(*) AS BIGINT) + (SELECT count(*) FROM symbols)
+  FROM (SELECT symbol, bar_date FROM copies GROUP BY symbol, bar_date HAVING count(*) > 1)
+  UNION ALL SELECT 'valid_key', 'symbol,bar_date', (SELECT count(*) FROM symbols)
+)""",
+    # reload: the last fetched copy of d_max + 3 (3.5); incremental run and stream: the first loaded (1.5)
+    "load_paths_agree": """
+SELECT load_path, (SELECT count(*) FROM gold) + 2 * n AS n_rows, (SELECT count(*) FROM gold) + 2 * n AS n_keys,
+       CAST((SELECT sum(close) FROM gold) + n * (2.5 + value) AS DECIMAL(38,4)) AS sum_close, d_max + 4 AS latest,
+       n AS n_unparseable_body, 2 * n AS n_bad_day, n AS n_bad_date, CAST(0 AS BIGINT) AS n_null_symbol
+FROM (SELECT count(*) AS n, max(d_max) AS d_max FROM symbols),
+     (VALUES ('reload', 3.5), ('incremental', 1.5), ('stream', 1.5)) AS p(load_path, value)""",
+    # no symbol's window starts before the first-run window
+    "per_key_recovery": f"""
+, named AS (SELECT symbol, row_number() OVER (ORDER BY symbol) AS k FROM symbols),
+held AS (
+  SELECT g.symbol, g.bar_date FROM gold g JOIN named USING (symbol), bounds
+  WHERE CASE k WHEN 1 THEN g.bar_date < d_max - {CUT_DAYS + PER_KEY_LATE} WHEN 2 THEN g.bar_date < d_max - {PER_KEY_DEAD}
+             WHEN 3 THEN false ELSE g.bar_date < d_max - {CUT_DAYS} END
+),
+starts AS (
+  SELECT symbol, greatest(coalesce(max(h.bar_date) - {LOOKBACK_DAYS}, any_value(d_max) - 100), any_value(d_max) - 100) AS start
+  FROM symbols LEFT JOIN held h USING (symbol) GROUP BY symbol
+)
+SELECT g.symbol, g.bar_date, g.close FROM gold g JOIN starts USING (symbol)
+WHERE g.bar_date >= start AND NOT EXISTS (SELECT 1 FROM held h WHERE h.symbol = g.symbol AND h.bar_date = g.bar_date)""",
+    "early_exits": """
+SELECT 'empty' AS step, 'nothing_landed' AS outcome, CAST(0 AS BIGINT) AS n_new, CAST(NULL AS DATE) AS mark
+UNION ALL SELECT 'failed', 'nothing_in_window', 0, NULL
+UNION ALL SELECT 'good', 'loaded', (SELECT count(*) FROM gold), (SELECT d_max FROM bounds)
+UNION ALL SELECT 'again', 'nothing_new', 0, (SELECT d_max FROM bounds)""",
     "null_counts": """
 SELECT CAST(count_if(open IS NULL) AS BIGINT) AS open_nulls, CAST(count_if(high IS NULL) AS BIGINT) AS high_nulls,
        CAST(count_if(low IS NULL) AS BIGINT) AS low_nulls, CAST(count_if(close IS NULL) AS BIGINT) AS close_nulls,
@@ -136,6 +182,7 @@ SELECT "check", "column", failures, CASE WHEN failures > 0 THEN 'FAIL' ELSE 'PAS
   UNION ALL
   SELECT 'unique_key', 'symbol,bar_date', CAST(count(*) AS BIGINT)
   FROM (SELECT symbol, bar_date FROM copies GROUP BY symbol, bar_date HAVING count(*) > 1)
+  UNION ALL SELECT 'valid_key', 'symbol,bar_date', CAST(0 AS BIGINT)
 )""",
     "gold_bars": f"SELECT {TARGET} FROM gold",
     "full_reload": f"SELECT {TARGET} FROM gold",
@@ -161,7 +208,8 @@ SELECT count(*) AS "rows", max(bar_date) AS max_bar_date,
        CAST(count_if(low IS NULL) AS BIGINT) AS null_low, CAST(count_if(close IS NULL) AS BIGINT) AS null_close,
        CAST(count_if(volume IS NULL) AS BIGINT) AS null_volume,
        (SELECT count(*) FROM (SELECT 1 FROM copies GROUP BY symbol, bar_date HAVING count(*) > 1)) AS duplicate_keys,
-       CAST(count_if(length(symbol) > 10) AS BIGINT) AS violations
+       CAST(count_if(length(symbol) > 10) AS BIGINT) AS violations,
+       CAST(count_if(day(bar_date) = 29) AS BIGINT) AS overflows
 FROM gold""",
     "fetch_window": f"""
 SELECT m AS last_loaded_date, (SELECT d_max FROM bounds) AS as_of, m - {LOOKBACK_DAYS} AS fetch_from FROM mark""",
@@ -173,7 +221,7 @@ SELECT symbol, count(*) AS n_total,
        CAST(count_if(bar_date >= (SELECT m FROM mark) - {LOOKBACK_DAYS}) AS BIGINT) AS n_in_window
 FROM gold GROUP BY symbol
 HAVING count_if(bar_date >= (SELECT m FROM mark) - {LOOKBACK_DAYS}) > 0""",
-    "existing_keys": f"SELECT symbol, bar_date FROM existing WHERE bar_date >= (SELECT m FROM mark) - {LOOKBACK_DAYS}",
+    "existing_keys": "SELECT symbol, bar_date FROM existing",
     "new_rows": f"""
 SELECT {BARS} FROM gold g
 WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.symbol = g.symbol AND e.bar_date = g.bar_date)""",

@@ -10,23 +10,29 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.bronze import flatten
+from ..operators.bronze import flatten, rejects
 from ..operators.conform import conform
 from ..operators.gold import to_gold
-from ..operators.silver import to_silver
-from ..sinks.tables import log_quality, observe_load, observed
+from ..operators.silver import loadable, to_silver
+from ..sinks.tables import log_quality, observe_load, observed, write_rejects
 from ..sinks.targets import JdbcTarget, ParquetTarget, as_target
 
 
 log = logging.getLogger("candlelake.full_reload")
 
 
-def run_full_reload(spark: SparkSession, landing: DataFrame, target: str | ParquetTarget | JdbcTarget) -> dict:
-    """``target``: a Parquet folder or a target object (JDBC truncates instead of dropping)."""
-    # n_copies rides along so the duplicate-key check is observed in the same write job
-    gold = conform(to_gold(to_silver(flatten(landing)), "n_copies"), "n_copies")
+def run_full_reload(
+    spark: SparkSession, landing: DataFrame, target: str | ParquetTarget | JdbcTarget, rejects_path: str | None = None
+) -> dict:
+    """``target``: a Parquet folder or a target object (JDBC truncates instead of dropping). Of copies
+    of one key the last fetched counts. ``rejects_path``: table of the values that cannot be loaded,
+    replaced by this run's; its counts per reason are returned as ``rejects``."""
+    # n_copies and n_overflow ride along so the checks are observed in the same write job
+    extra = ("n_copies", "n_overflow")
+    gold = conform(to_gold(loadable(to_silver(flatten(landing))), *extra), *extra)
     to_write, obs = observe_load(gold, "full_reload")
     as_target(target).write(to_write, mode="overwrite")
-    metrics = observed(obs)
-    log_quality(metrics, log, "full reload")
-    return {"outcome": "loaded", **metrics}
+    metrics = observed(obs, gold)
+    counts = write_rejects(rejects(landing), rejects_path, "overwrite") if rejects_path else None
+    log_quality(metrics | {f"reject_{k}": v for k, v in (counts or {}).items()}, log, "full_reload")
+    return {"outcome": "loaded", **metrics, **({} if counts is None else {"rejects": counts})}

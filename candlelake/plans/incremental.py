@@ -2,9 +2,16 @@
 
 mark -> fetch window -> landing scan (old run folders pruned) -> bronze -> silver -> window
 filter -> anti-join against the target's keys (window-pruned) -> gold -> conform -> append ->
-advance the mark. The append is one job; incoming and new-row counts are observed in it. The
-mark is recorded only after the append succeeds; a run that dies in between is repeated by the
-next one, and the anti-join makes the repeat add nothing.
+advance the mark. A run ends early when nothing landed, when no landed value is a row of the
+window, or when the target holds all of them; only then nothing is written. After a load or a
+look that finds everything there, the target holds every incoming key, so the mark is taken from
+the incoming rows: a run that died between append and mark is made good by the next one.
+
+Of copies of one key the first loaded stays (the target is never updated); inside one run the last
+fetched counts. Values that cannot be loaded go to the rejects table, if one is named.
+
+Run folders: a response cannot be older than the days it holds, so runs dated before the window
+have no day of it and are not read.
 """
 
 from __future__ import annotations
@@ -16,34 +23,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import FIRST_RUN_DAYS, LOOKBACK_DAYS
-from ..operators.bronze import flatten
+from ..operators.bronze import flatten, rejects
 from ..operators.conform import conform
 from ..operators.gold import to_gold
-from ..operators.incremental import first_value, in_window, in_window_per_symbol, new_rows, per_symbol_marks
-from ..operators.silver import to_silver
-from ..sinks.tables import append_mark, append_symbol_marks, ensure_marks, log_quality, observe_load, observed
+from ..operators.incremental import advance_mark, fetch_window, first_value, in_window, in_window_per_symbol, new_rows, per_symbol_marks
+from ..operators.silver import loadable, to_silver
+from ..session import work_dir
+from ..sinks.tables import append_mark, append_symbol_marks, ensure_marks, load_summary, log_quality, write_rejects
 from ..sinks.targets import JdbcTarget, ParquetTarget, as_target
 from ..sources.landing import read_landing
-from ..session import work_dir
 from ..sources.tables import read_marks
 
 
 log = logging.getLogger("candlelake.incremental")
 
 
-def plan_window(
-    spark: SparkSession,
-    marks_path: str,
-    as_of: dt.date,
-    lookback_days: int = LOOKBACK_DAYS,
-    first_run_days: int = FIRST_RUN_DAYS,
-) -> tuple[dt.date | None, dt.date]:
-    marks = read_marks(spark, marks_path)
-    old_mark = first_value(marks.agg(F.max("last_loaded_date").alias("m")), "m")
-    fetch_from = (old_mark - dt.timedelta(days=lookback_days)) if old_mark else (as_of - dt.timedelta(days=first_run_days))
-    return old_mark, fetch_from
-
-
 def per_symbol_marks_of(spark: SparkSession, marks_path: str, target: ParquetTarget | JdbcTarget) -> DataFrame:
     """Latest mark per symbol from the marks table (small: symbols x runs). Before any
     per-symbol mark was recorded, they are derived once from the target's keys."""
@@ -68,63 +62,57 @@ def run_incremental(
     lookback_days: int = LOOKBACK_DAYS,
     per_key: bool = False,
     fmt: str = "json",
+    first_run_days: int = FIRST_RUN_DAYS,
+    rejects_path: str | None = None,
 ) -> dict:
+    """One run. ``outcome``: nothing_landed, nothing_in_window, nothing_new or loaded; a first run has a window too, the last ``first_run_days`` days."""
     target = as_target(target_path)
     target.ensure(spark)  # first run: an empty target, so every landed row is new
     ensure_marks(spark, marks_path)
-    old_mark, fetch_from = plan_window(spark, marks_path, as_of, lookback_days)
-    scan_from = fetch_from
-    symbol_marks = None
+    marks = read_marks(spark, marks_path)
+    old_mark, _, fetch_from = fetch_window(spark, marks, as_of, lookback_days, first_run_days).first()
+    scan_from, symbol_marks = fetch_from, None
     if per_key:
         symbol_marks = per_symbol_marks_of(spark, marks_path, target)
-        earliest = first_value(symbol_marks.agg(F.min("last_loaded_date").alias("m")), "m")
-        if earliest is not None:
-            scan_from = min(fetch_from, earliest - dt.timedelta(days=lookback_days))
+        floor = as_of - dt.timedelta(days=first_run_days)
+        scan_from = min(fetch_from, floor)
 
-    landing = read_landing(spark, landing_path, runs_from=scan_from.replace(day=1), fmt=fmt)
-    silver = to_silver(flatten(landing))
+    landing = read_landing(spark, landing_path, runs_from=scan_from, fmt=fmt)
+    silver = loadable(to_silver(flatten(landing)))
     if symbol_marks is not None:
-        # Persisted: written through the anti-join, then its per-symbol maxima become the new
-        # per-symbol marks (every incoming key is in the target after the load).
-        incoming = in_window_per_symbol(silver, symbol_marks, fetch_from, lookback_days).persist()
+        incoming = in_window_per_symbol(silver, symbol_marks, floor, lookback_days)
     else:
         incoming = in_window(silver, fetch_from)
-    observed_incoming, seen = observe_load(incoming, "incoming")
-    new = new_rows(observed_incoming, target.keys(spark, scan_from))
-    gold, loaded = observe_load(conform(to_gold(new)), "new_rows")
-    target.write(gold, mode="append")
-
-    metrics = observed(loaded)
-    n_incoming = observed(seen)["rows"]
-    if metrics["rows"] == 0 and n_incoming == 0:
-        # Both branches may have been pruned as empty: count the (window-sized) batch once
-        # more to tell "nothing new" from "nothing landed".
+    result = {"fetch_from": fetch_from, "old_mark": old_mark, "new_mark": old_mark, "new_rows": 0}
+    # window-sized: read by the early exits, the anti-join and the marks
+    incoming = incoming.persist()
+    new = None
+    try:
+        if rejects_path:
+            result["rejects"] = write_rejects(rejects(landing), rejects_path)
         n_incoming = incoming.count()
-    batch_max = metrics["max_bar_date"]
-    if n_incoming == 0:
-        outcome = "nothing_landed"
-    elif metrics["rows"] == 0:
-        outcome = "nothing_new"
-    else:
-        outcome = "loaded"
-    new_mark = max(d for d in (old_mark, batch_max) if d is not None) if (old_mark or batch_max) else None
-    if per_key:
-        if outcome == "loaded":
-            append_symbol_marks(incoming, marks_path)
+        result["n_incoming"] = n_incoming
+        if n_incoming == 0:
+            result["outcome"] = "nothing_landed" if landing.isEmpty() else "nothing_in_window"
+            return result
+        new = new_rows(incoming, target.keys(spark, scan_from)).persist()
+        gold = conform(to_gold(new, "n_overflow"), "n_overflow")
+        metrics = load_summary(gold)
+        result |= {f"new_{k}": v for k, v in metrics.items()}
+        result["outcome"] = "loaded" if metrics["rows"] else "nothing_new"
+        if metrics["rows"]:
+            target.write(gold, mode="append")
+            if per_key:
+                append_symbol_marks(incoming, marks_path)
+            copies = incoming.filter("n_copies > 1").count()
+            log_quality({**metrics, "duplicate_keys": copies}, log, "incremental")
+        new_mark = advance_mark(marks, incoming).first()["new_mark"]
+        if new_mark != old_mark:
+            append_mark(spark, marks_path, new_mark)
+        result["new_mark"] = new_mark
+        return result
+    finally:
+        log.info("incremental: %s", result)
+        if new is not None:
+            new.unpersist()
         incoming.unpersist()
-    if outcome == "loaded" and new_mark is not None and new_mark != old_mark:
-        append_mark(spark, marks_path, new_mark)
-    log.info(
-        "incremental: window from %s (mark %s), %s incoming, %d new, outcome %s, mark now %s",
-        fetch_from, old_mark, n_incoming, metrics["rows"], outcome, new_mark,
-    )
-    if outcome == "loaded":
-        log_quality({**metrics, "duplicate_keys": observed(seen).get("duplicate_keys", 0)}, log, "incremental")
-    return {
-        "outcome": outcome,
-        "fetch_from": fetch_from,
-        "old_mark": old_mark,
-        "new_mark": new_mark,
-        "n_incoming": n_incoming,
-        **{f"new_{k}": v for k, v in metrics.items()},
-    }

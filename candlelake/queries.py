@@ -15,12 +15,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .constants import LOOKBACK_DAYS
+from .constants import ERROR_KEY, INFO_KEY, LOOKBACK_DAYS, REJECT_BODY, REJECT_DATE, REJECT_DAY, REJECT_SYMBOL, SERIES_KEY
+from .functions import value_of
 from .operators import bronze as B
 from .operators import conform as C
 from .operators import gold as G
@@ -28,7 +30,7 @@ from .operators import incremental as I
 from .operators import reports as R
 from .operators import silver as S
 from .plans import run_full_reload, run_incremental
-from .schemas import BRONZE_COLUMNS, TARGET
+from .schemas import BRONZE_COLUMNS, RAW_MAP, TARGET
 from .session import new_path
 from .sinks.tables import LOAD_METRICS, append_mark, ensure_marks, write_target
 from .sinks.targets import ParquetTarget
@@ -38,6 +40,9 @@ from .sources.tables import existing_keys as scan_existing_keys
 from .sources.tables import read_marks, read_target
 from .streaming import start_incremental_stream, start_late_dedup_stream
 
+# Lookback and first-run length that take in every day.
+ALL_DAYS = 100_000
+PER_KEY_LATE, PER_KEY_DEAD = 30, 400
 CUT_DAYS = 30
 HOLE_DAYS = 5
 TARGET_COLUMNS = tuple(TARGET.fieldNames())
@@ -83,8 +88,6 @@ class Scenario:
         self.hole_from = self.cut - dt.timedelta(days=HOLE_DAYS)
         self.spark, self.sf = spark, sf
         self._mark: dt.date | None = None
-        # One silver frame for both sides of a query: the same relation lets Spark reuse the
-        # shuffles of the shared part of the plan.
         self.silver = silver(spark, sf)
 
     def _existing_filter(self, df: DataFrame) -> DataFrame:
@@ -94,6 +97,10 @@ class Scenario:
     def existing(self) -> DataFrame:
         return self._existing_filter(G.to_gold(self.silver))
 
+    def stored_target(self) -> DataFrame:
+        """The existing target as the loaders see it: a stored table, written once."""
+        return read_target(self.spark, self.setup(land=False)["target"])
+
     def mark(self) -> DataFrame:
         return self.existing().agg(F.max("bar_date").alias("last_loaded_date"))
 
@@ -157,20 +164,21 @@ def q_landing_roundtrip(spark, sf):
 
 
 def q_scalar_functions(spark, sf):
-    outer = F.from_json("body", "map<string,string>")
-    series = F.from_json(F.col("outer")["Time Series (Daily)"], "map<string,string>")
+    outer = F.from_json("body", RAW_MAP)
+    series = F.from_json(F.col("outer")[SERIES_KEY], RAW_MAP)
     lnd = landing(spark, sf).select("symbol", "run_date", "http_status", outer.alias("outer"))
     return lnd.select(
         "symbol",
         "run_date",
         "http_status",
-        F.coalesce(F.map_contains_key("outer", "Information"), F.lit(False)).alias("has_information"),
-        F.coalesce(F.map_contains_key("outer", "Error Message"), F.lit(False)).alias("has_error_message"),
+        F.coalesce(F.map_contains_key("outer", INFO_KEY), F.lit(False)).alias("has_information"),
+        F.coalesce(F.map_contains_key("outer", ERROR_KEY), F.lit(False)).alias("has_error_message"),
         F.coalesce(F.size("outer"), F.lit(0)).alias("n_keys"),
         F.coalesce(F.size(series), F.lit(0)).alias("n_series_entries"),
         F.date_format("run_date", "yyyy-MM-dd").alias("run_label"),
         F.try_to_date(F.date_format("run_date", "yyyy-MM-dd"), "yyyy-MM-dd").alias("run_parsed"),
         F.date_sub("run_date", LOOKBACK_DAYS).alias("lookback_from"),
+        F.to_json(F.struct("symbol", "http_status")).alias("as_json"),
     )
 
 
@@ -225,15 +233,14 @@ def q_window_counts(spark, sf):
 
 
 def q_existing_keys(spark, sf):
-    sc = Scenario(spark, sf)
-    paths = sc.setup(land=False)
-    return scan_existing_keys(spark, paths["target"], sc.fetch_from())
+    """The whole target's keys; the window-pruned scan of a run is part of ``incremental_append``."""
+    return scan_existing_keys(spark, Scenario(spark, sf).setup(land=False)["target"])
 
 
 def q_new_rows(spark, sf):
     """A full re-fetch (all history) against the existing target."""
     sc = Scenario(spark, sf)
-    return I.new_rows(sc.silver, sc.existing().select("symbol", "bar_date"))
+    return I.new_rows(sc.silver, sc.stored_target().select("symbol", "bar_date"))
 
 
 def q_new_rows_first_run(spark, sf):
@@ -245,22 +252,23 @@ def q_new_rows_first_run(spark, sf):
 def q_incremental_summary(spark, sf):
     sc = Scenario(spark, sf)
     incoming = I.in_window(sc.silver, sc.fetch_from())
-    return I.incremental_summary(incoming, sc.existing().select("symbol", "bar_date"), window_from=sc.fetch_from())
+    return I.incremental_summary(incoming, sc.stored_target().select("symbol", "bar_date"), window_from=sc.fetch_from())
 
 
-def _window_new(sc: Scenario) -> DataFrame:
+def _window_new(sc: Scenario, target: DataFrame) -> DataFrame:
     incoming = I.in_window(sc.silver, sc.fetch_from())
-    return I.new_rows(incoming, sc.existing().select("symbol", "bar_date"))
+    return I.new_rows(incoming, target.select("symbol", "bar_date"))
 
 
 def q_max_loaded_date(spark, sf):
-    return I.max_loaded_date(_window_new(Scenario(spark, sf)))
+    sc = Scenario(spark, sf)
+    return I.max_loaded_date(_window_new(sc, sc.stored_target()))
 
 
 def q_advance_mark(spark, sf):
     sc = Scenario(spark, sf)
-    batch_max = I.first_value(I.max_loaded_date(_window_new(sc)), "max_loaded_date")
-    return I.advance_mark(spark, sc.mark_value(), batch_max)
+    paths = sc.setup(land=False)
+    return I.advance_mark(read_marks(spark, paths["marks"]), _window_new(sc, read_target(spark, paths["target"])))
 
 
 def q_full_reload(spark, sf):
@@ -269,6 +277,97 @@ def q_full_reload(spark, sf):
     return _target(spark, path)
 
 
+def q_landing_winner(spark, sf):
+    won = B.winning_responses(landing(spark, sf))
+    entries = F.size(F.from_json(value_of(F.from_json("body", RAW_MAP), SERIES_KEY), RAW_MAP))
+    return won.select("symbol", "run_date", "http_status", "status", entries.alias("n_series_entries"))
+
+
+def rough_landing(spark: SparkSession, sf: str, d_max: dt.date) -> DataFrame:
+    every = bars(spark, sf)
+    return X.landing_from_bars(every).unionByName(X.rough_responses(every, d_max, revisions=False))
+
+
+def q_rejected_rows(spark, sf):
+    sc = Scenario(spark, sf)
+    return B.rejects(rough_landing(spark, sf, sc.d_max)).select("symbol", "run_date", "bar_date", "reason")
+
+
+def q_dq_report_rejects(spark, sf):
+    sc = Scenario(spark, sf)
+    return S.dq_report(S.parse(B.flatten(rough_landing(spark, sf, sc.d_max))))
+
+
+def q_load_paths_agree(spark, sf):
+    """The three load paths over one rough landing, in two steps: everything, then a run that revises
+    one day. The reload takes the last fetched copy; the incremental run and the stream keep the
+    first loaded one. All else agrees, rejects included."""
+    sc = Scenario(spark, sf)
+    as_of = sc.d_max + dt.timedelta(days=50)
+    lpath, marks, ckpt = (new_path(spark, k) for k in ("landing", "marks", "stream-checkpoint"))
+    targets = {k: new_path(spark, "target") for k in ("reload", "incremental", "stream")}
+    rejected = {k: new_path(spark, "rejects") for k in targets}
+
+    def both() -> None:
+        run_incremental(spark, lpath, targets["incremental"], marks, as_of, first_run_days=ALL_DAYS, lookback_days=ALL_DAYS, rejects_path=rejected["incremental"])
+        start_incremental_stream(spark, lpath, targets["stream"], ckpt, rejects_path=rejected["stream"]).awaitTermination()
+
+    write_landing(rough_landing(spark, sf, sc.d_max), lpath)
+    both()
+    write_landing(X.rough_responses(bars(spark, sf), sc.d_max, revisions=True), lpath)
+    both()
+    run_full_reload(spark, read_landing(spark, lpath), targets["reload"], rejected["reload"])
+    out = []
+    for k in targets:
+        reasons = [F.count_if(F.col("reason") == r).cast("bigint").alias(f"n_{r}") for r in (REJECT_BODY, REJECT_DAY, REJECT_DATE, REJECT_SYMBOL)]
+        bad = spark.read.parquet(rejected[k]).agg(*reasons).withColumn("load_path", F.lit(k))
+        good = _target(spark, targets[k]).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_distinct("symbol", "bar_date").alias("n_keys"),
+            F.sum("close").cast("decimal(38,4)").alias("sum_close"), F.max("bar_date").alias("latest"),
+        ).withColumn("load_path", F.lit(k))
+        out.append(good.join(bad, "load_path"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def q_per_key_recovery(spark, sf):
+    """Per-symbol marks: the first symbol is late by PER_KEY_LATE days, the second has been silent for
+    longer than the first-run window, the third is new. What the run appends."""
+    sc = Scenario(spark, sf)
+    late, dead, fresh = [r["symbol"] for r in bars(spark, sf).select("symbol").distinct().orderBy("symbol").limit(3).collect()]
+    paths = {k: new_path(spark, k) for k in ("landing", "target", "marks")}
+    write_landing(landing(spark, sf), paths["landing"])
+    s, d = F.col("symbol"), F.col("bar_date")
+    held = (
+        F.when(s == late, d < F.lit(sc.cut - dt.timedelta(days=PER_KEY_LATE)))
+        .when(s == dead, d < F.lit(sc.d_max - dt.timedelta(days=PER_KEY_DEAD)))
+        .when(s == fresh, F.lit(False))
+        .otherwise(d < F.lit(sc.cut))
+    )
+    write_target(C.conform(G.to_gold(sc.silver).filter(held)), paths["target"], mode="overwrite")
+    before = _target(spark, paths["target"]).select("symbol", "bar_date")
+    append_mark(spark, paths["marks"], I.first_value(before.agg(F.max("bar_date").alias("m")), "m"))
+    before = before.checkpoint()
+    sc.run(paths, per_key=True)
+    return I.new_rows(_target(spark, paths["target"]), before).select("symbol", "bar_date", "close")
+
+
+def q_early_exits(spark, sf):
+    """How a run ends: nothing landed; only failed responses landed; rows landed and loaded; the same
+    again."""
+    sc = Scenario(spark, sf)
+    every = landing(spark, sf)
+    empty, failed, good = (new_path(spark, "landing") for _ in range(3))
+    write_landing(every.limit(0), empty)
+    write_landing(every.filter(F.col("body").isNull() | ~F.col("body").contains(SERIES_KEY)), failed)
+    write_landing(every, good)
+    target, marks = new_path(spark, "target"), new_path(spark, "marks")
+    rows = []
+    for case, path in (("empty", empty), ("failed", failed), ("good", good), ("again", good)):
+        r = run_incremental(spark, path, target, marks, sc.d_max, first_run_days=ALL_DAYS)
+        rows.append((case, r["outcome"], r["new_rows"], r["new_mark"]))
+    return spark.createDataFrame(rows, "step string, outcome string, n_new bigint, mark date")
+
+
 LOAD_METRICS_SCHEMA = T.StructType(
     [
         T.StructField("rows", T.LongType()),
@@ -396,6 +495,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources
     "envelope_status": q_envelope_status,
     "bronze_flatten": q_bronze_flatten,
+    "rejected_rows": q_rejected_rows,
     "existing_keys": q_existing_keys,
     "table_scan": q_table_scan,
     # sinks
@@ -429,11 +529,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "preview": q_preview,
     # set operations
     "landing_merge": q_landing_merge,
+    "landing_winner": q_landing_winner,
     "json_key_last_wins": q_json_key_last_wins,
     # scalar functions
     "scalar_functions": q_scalar_functions,
     # quality, incremental, composite
     "dq_report": q_dq_report,
+    "dq_report_rejects": q_dq_report_rejects,
+    "load_paths_agree": q_load_paths_agree,
+    "per_key_recovery": q_per_key_recovery,
+    "early_exits": q_early_exits,
     "fetch_window": q_fetch_window,
     "fetch_window_first_run": q_fetch_window_first_run,
     "advance_mark": q_advance_mark,

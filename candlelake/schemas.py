@@ -2,7 +2,7 @@
 
 from pyspark.sql import types as T
 
-from .constants import ERROR_KEY, FIELD_KEYS, INFO_KEY, SERIES_KEY
+from .constants import FIELD_KEYS
 
 PRICE = T.DecimalType(10, 4)
 
@@ -18,28 +18,14 @@ LANDING = T.StructType(
 )
 
 # Values of one day arrive as strings keyed "1. open" ... "5. volume". Parsing into a struct
-# (not a map) makes a repeated field inside one day collapse to its last value.
-DAY_FIELDS = T.StructType([T.StructField(k, T.StringType(), True) for k in FIELD_KEYS])
+# (not a map) makes a repeated field inside one day collapse to its last value. Each day is parsed
+# on its own, and text that is no such object ends up in BAD_DAY: a bad day costs only itself.
+BAD_DAY = "_bad"
+DAY_FIELDS = T.StructType([T.StructField(k, T.StringType(), True) for k in (*FIELD_KEYS, BAD_DAY)])
 
-# Data values (dates) are JSON keys, so the series is a map, never an inferred struct.
-# "Meta Data" is optional and unused after landing, so it is not parsed (the parser skips it).
-BODY = T.StructType(
-    [
-        T.StructField(SERIES_KEY, T.MapType(T.StringType(), DAY_FIELDS), True),
-        T.StructField(INFO_KEY, T.StringType(), True),
-        T.StructField(ERROR_KEY, T.StringType(), True),
-    ]
-)
-
-# Classification only needs to know which top-level keys are present: the series stays raw text
-# (the parser copies the object's text instead of building a map).
-ENVELOPE = T.StructType(
-    [
-        T.StructField(SERIES_KEY, T.StringType(), True),
-        T.StructField(INFO_KEY, T.StringType(), True),
-        T.StructField(ERROR_KEY, T.StringType(), True),
-    ]
-)
+# Data values (dates) are JSON keys, so a body is read as maps from keys to raw JSON text, never as
+# an inferred struct: first its top-level keys, then the days of its series.
+RAW_MAP = "map<string,string>"
 
 BRONZE_COLUMNS = ("symbol", "bar_date", "open", "high", "low", "close", "volume")
 GOLD_COLUMNS = BRONZE_COLUMNS + ("daily_range", "daily_return_pct", "candle")
@@ -74,6 +60,19 @@ MARKS = T.StructType(
     ]
 )
 
+# Landed values that could not become rows, one per value; reject_id is a digest of all the others.
+REJECTS = T.StructType(
+    [
+        T.StructField("symbol", T.StringType(), True),
+        T.StructField("run_date", T.DateType(), True),
+        T.StructField("fetched_at", T.TimestampType(), True),
+        T.StructField("bar_date", T.StringType(), True),
+        T.StructField("reason", T.StringType(), True),
+        T.StructField("raw", T.StringType(), True),
+        T.StructField("reject_id", T.StringType(), True),
+    ]
+)
+
 EMPLOYEES = T.StructType(
     [
         T.StructField("id", T.LongType(), True),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -42,7 +43,7 @@ def work_dir(spark: SparkSession) -> str:
     path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if path:
         return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (e.g. on HDFS or object storage)")
     path = tempfile.mkdtemp(prefix="candlelake-")
     spark.conf.set(CHECKPOINT_CONF, path)

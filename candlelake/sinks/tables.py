@@ -4,67 +4,111 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from py4j.protocol import Py4JError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import MARKS, TARGET
+from ..schemas import MARKS, REJECTS, TARGET
 
 LOAD_METRICS = (
     "rows", "max_bar_date", "null_open", "null_high", "null_low", "null_close", "null_volume",
-    "duplicate_keys", "violations",
+    "duplicate_keys", "violations", "overflows",
 )
 
 
-def observe_load(df: DataFrame, name: str = "load") -> tuple[DataFrame, Observation]:
-    """Attach load metrics to the plan; they are computed by the write job itself (no extra
-    ``count()`` job, and no re-run of the plan after the write)."""
-    obs = Observation(name)
+def load_metrics_of(df: DataFrame) -> list[Column]:
     metrics = [
         F.count(F.lit(1)).alias("rows"),
         F.max("bar_date").alias("max_bar_date"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ("open", "high", "low", "close", "volume")],
     ]
+    # only what the frame can tell is measured
     if "n_copies" in df.columns:
         metrics.append(F.count_if(F.col("n_copies") > 1).alias("duplicate_keys"))
-    else:
-        metrics.append(F.lit(0).cast("bigint").alias("duplicate_keys"))
     if "violation" in df.columns:
         metrics.append(F.count_if(F.col("violation").isNotNull()).alias("violations"))
-    else:
-        metrics.append(F.lit(0).cast("bigint").alias("violations"))
-    return df.observe(obs, *metrics), obs
+    if "n_overflow" in df.columns:
+        metrics.append(F.coalesce(F.sum("n_overflow"), F.lit(0)).cast("bigint").alias("overflows"))
+    return metrics
+
 
+def load_summary(df: DataFrame) -> dict:
+    """The load metrics of a frame that is already persisted (one row to the driver)."""
+    return df.agg(*load_metrics_of(df)).first().asDict()
 
-def observed(obs: Observation) -> dict:
-    """Metrics of a finished action; all-zero when AQE proved the observed branch empty.
 
-    When a stage produces no rows, adaptive execution replaces it by an empty relation and the
-    metrics node inside it is no longer part of the final plan, so nothing is reported. That
-    only happens for an empty branch, hence zero rows and NULL maxima.
-    """
+def observe_load(df: DataFrame, name: str = "load") -> tuple[DataFrame, Observation]:
+    """Attach load metrics to the plan; they are computed by the write job itself (no extra
+    ``count()`` job, and no re-run of the plan after the write)."""
+    obs = Observation(name)
+    return df.observe(obs, *load_metrics_of(df)), obs
+
+
+def observed(obs: Observation, df: DataFrame) -> dict:
+    """Metrics of a finished write of ``df``. If a stage has no rows, adaptive execution replaces the
+    branch by an empty relation and the metrics go with it; the metrics of no rows are returned then,
+    after a look that there are none."""
     try:
         return obs.get
-    except Exception:  # noqa: BLE001 - py4j assertion for a missing metrics row
-        return {m: (None if m.startswith("max_") else 0) for m in LOAD_METRICS}
+    except (Py4JError, AssertionError):
+        if not df.isEmpty():
+            raise
+        return load_summary(df.limit(0))
 
 
 def log_quality(metrics: dict, log: logging.Logger, what: str) -> None:
-    """PASS/FAIL lines from observed metrics (no extra job): warn, never drop."""
-    for c in ("open", "high", "low", "close", "volume"):
-        n = metrics.get(f"null_{c}", 0)
-        if n:
-            log.warning("%s: NULL CHECK FAILED: %d nulls in '%s'", what, n, c)
-        else:
-            log.info("%s: NULL CHECK PASSED: '%s'", what, c)
-    dup = metrics.get("duplicate_keys", 0)
-    if dup:
-        log.warning("%s: DUPLICATE CHECK FAILED: %d duplicated (symbol, bar_date) keys, last copy kept", what, dup)
-    else:
-        log.info("%s: DUPLICATE CHECK PASSED", what)
-    if metrics.get("violations", 0):
-        log.warning("%s: %d rows break the target definition (see conform.violation)", what, metrics["violations"])
-    log.info("%s: %d rows, latest day %s", what, metrics.get("rows", 0), metrics.get("max_bar_date"))
+    """One line for each check that was measured (no extra job), as key=value pairs."""
+    for name, value in metrics.items():
+        if name in ("rows", "max_bar_date"):
+            continue
+        level = logging.WARNING if value else logging.INFO
+        log.log(level, "load=%s check=%s failures=%d result=%s", what, name, value, "FAIL" if value else "PASS")
+    log.info("load=%s rows=%d latest=%s", what, metrics.get("rows", 0), metrics.get("max_bar_date"))
+
+
+def write_rejects(rejects: DataFrame, path: str, mode: str = "append") -> dict[str, int]:
+    """Adds the rejected values that the table does not hold yet (``overwrite``: replaces it) and
+    returns how many of each reason were written. Their digest keeps replays from adding any twice."""
+    spark = rejects.sparkSession
+    rejects = rejects.dropDuplicates(["reject_id"])
+    if mode == "append":
+        spark.createDataFrame([], REJECTS).write.mode("ignore").parquet(path)
+        held = spark.read.schema(REJECTS).parquet(path).select("reject_id")
+        rejects = rejects.join(held, "reject_id", "left_anti")
+    new = rejects.select(*REJECTS.fieldNames()).persist()
+    try:
+        counts = {r["reason"]: r["count"] for r in new.groupBy("reason").count().collect()}  # one row per reason
+        if mode == "overwrite":
+            replace_table(new, path)
+        elif counts:
+            new.write.mode("append").parquet(path)
+        return counts
+    finally:
+        new.unpersist()
+
+
+def replace_table(df: DataFrame, path: str, *partition: str) -> None:
+    """Writes the new table beside the old one and swaps the folders, so that a job that fails midway
+    leaves the old table as it was."""
+    spark = df.sparkSession
+    fresh, old = (f"{path.rstrip('/')}__{kind}-{uuid.uuid4().hex[:8]}" for kind in ("new", "old"))
+    writer = df.write.partitionBy(*partition) if partition else df.write
+    writer.parquet(fresh)
+    jvm = spark.sparkContext._jvm
+    where, was, now = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, old, fresh))
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    held = fs.exists(where)
+    if held and not fs.rename(where, was):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(now, where):
+        if held:
+            fs.rename(was, where)
+        raise OSError(f"cannot put {fresh} in place of {path}")
+    if held:
+        fs.delete(was, True)
+    spark.catalog.refreshByPath(path)
 
 
 def write_target(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -72,15 +116,13 @@ def write_target(df: DataFrame, path: str, mode: str = "append") -> None:
     runs). A rebalance on the month gives each month few files, sorted by key for tight
     row-group statistics; adaptive execution splits a month that holds most of the rows over
     several tasks and merges small ones (no sampling pass over the input, unlike a range
-    repartition). ``overwrite`` is a full reload of the path."""
+    repartition). ``overwrite`` is a full reload: the new table is written first, then swapped in."""
     out = df.select(*TARGET.fieldNames()).withColumn("bar_month", F.date_format("bar_date", "yyyy-MM"))
-    (
-        out.hint("rebalance", "bar_month")
-        .sortWithinPartitions("bar_month", "symbol", "bar_date")
-        .write.mode(mode)
-        .partitionBy("bar_month")
-        .parquet(path)
-    )
+    out = out.hint("rebalance", "bar_month").sortWithinPartitions("bar_month", "symbol", "bar_date")
+    if mode == "overwrite":
+        replace_table(out, path, "bar_month")
+    else:
+        out.write.mode(mode).partitionBy("bar_month").parquet(path)
 
 
 def write_jdbc(
@@ -120,4 +162,4 @@ def append_symbol_marks(loaded: DataFrame, path: str) -> None:
     marks = loaded.groupBy("symbol").agg(F.max("bar_date").alias("last_loaded_date"))
     marks.select(
         F.current_timestamp().cast("timestamp").alias("loaded_at"), "last_loaded_date", "symbol"
-    ).coalesce(1).write.mode("append").parquet(path)
+    ).write.mode("append").parquet(path)

@@ -3,7 +3,8 @@
 * bars      <- orders: bar_date = o_orderdate, prices = o_totalprice ordered by o_orderkey
                (open = first, close = last), volume = orders per day; symbol = o_orderpriority
                (5 dense series) and, separately, 'C' + o_custkey (one sparse series per customer).
-* landing   <- bars nested back into API response documents, one per (symbol, monthly run).
+* landing   <- bars nested back into API response documents, one per (symbol, monthly run), the run
+               labelled by its fetch day, the 15th of the month after.
                A run also re-fetches the last ``LOOKBACK_DAYS`` days of the previous month
                (replays), each document repeats its earliest day with a preliminary value first
                (a repeated JSON key, last one wins), some days carry junk values, and some runs
@@ -15,6 +16,9 @@ All of it is one lazy DataFrame plan over the parquet files; no rows pass throug
 
 from __future__ import annotations
 
+import datetime as dt
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +44,8 @@ JUNK_DAYS = ((13, OPEN_KEY, "NaN"), (17, VOLUME_KEY, ""), (29, HIGH_KEY, "123456
 # Runs first answered with an error, by month of the run: rate limit (with an error message too,
 # to exercise precedence), API error, no series, HTTP 503.
 ERROR_MONTHS = {"rate_limited": 3, "api_error": 6, "missing_series": 9, "http_error": 12}
+# Day of the month on which runs fetch the month before.
+FETCH_DAY = 15
 RATE_LIMIT_TEXT = "Request limit reached, retry later."
 API_ERROR_TEXT = "The request was not valid."
 
@@ -101,9 +107,9 @@ def landing_from_bars(bars: DataFrame) -> DataFrame:
         [(OPEN_KEY, text["open"]), (HIGH_KEY, text["open"]), (LOW_KEY, text["open"]),
          (CLOSE_KEY, text["open"]), (VOLUME_KEY, F.lit("0"))]
     )
-    run = F.trunc("bar_date", "MM")
-    next_run = F.add_months(run, 1)
-    runs = F.when(F.col("bar_date") >= F.date_sub(next_run, LOOKBACK_DAYS), F.array(run, next_run)).otherwise(
+    month_end = F.add_months(F.trunc("bar_date", "MM"), 1)  # first day of the next month
+    run, next_run = (F.date_add(F.add_months(month_end, k), FETCH_DAY - 1) for k in (0, 1))
+    runs = F.when(F.col("bar_date") >= F.date_sub(month_end, LOOKBACK_DAYS), F.array(run, next_run)).otherwise(
         F.array(run)
     )
     days = bars.select(
@@ -133,7 +139,7 @@ def landing_from_bars(bars: DataFrame) -> DataFrame:
     ok_body = F.concat(
         F.lit('{"' + META_KEY + '": '), meta, F.lit(', "' + SERIES_KEY + '": {'), series, F.lit("}}")
     )
-    fetched = F.add_months("run_date", 1).cast("timestamp") + F.expr("INTERVAL 6 HOURS")
+    fetched = F.col("run_date").cast("timestamp") + F.expr("INTERVAL 6 HOURS")
     month = F.month("run_date")
     error_body = (
         F.when(
@@ -159,6 +165,45 @@ def landing_from_bars(bars: DataFrame) -> DataFrame:
     )
 
 
+def _same_day(value: str) -> str:
+    """A day whose prices are all ``value``, as JSON text."""
+    return json.dumps({k: value for k in (OPEN_KEY, HIGH_KEY, LOW_KEY, CLOSE_KEY)} | {VOLUME_KEY: "1"})
+
+
+def _rough_body(symbol_days: list[tuple[str, str]]) -> Column:
+    return F.lit('{"' + SERIES_KEY + '": {' + ", ".join(f'"{day}": {value}' for day, value in symbol_days) + "}}")
+
+
+def rough_responses(bars: DataFrame, d_max: dt.date, revisions: bool) -> DataFrame:
+    """Landed responses that go wrong, for every symbol, after the last day ``d_max`` of the bars:
+
+    * a run with a date that is none, a day that is a string, a day that is a list, and one good day;
+    * a run whose body is cut short;
+    * a run without a fetch time, with another value for the good day and one day of its own;
+    * with ``revisions`` instead: a later run that revises the good day.
+    """
+    day = lambda n: (d_max + dt.timedelta(days=n)).isoformat()
+    if revisions:
+        runs = [(43, True, _rough_body([(day(3), _same_day("3.5"))]))]
+    else:
+        runs = [
+            (40, True, _rough_body([("2024-1-5", _same_day("1.5")), (day(1), '"oops"'), (day(2), "[1]"), (day(3), _same_day("1.5"))])),
+            (41, True, F.lit('{"' + SERIES_KEY + '": {"')),
+            (42, False, _rough_body([(day(3), _same_day("9.5")), (day(4), _same_day("2.5"))])),
+        ]
+    attempts = [
+        F.named_struct(
+            F.lit("run_date"), F.lit(d_max + dt.timedelta(days=n)),
+            F.lit("timed"), F.lit(timed),
+            F.lit("body"), body,
+        )
+        for n, timed, body in runs
+    ]
+    rows = bars.select("symbol").distinct().select("symbol", F.explode(F.array(*attempts)).alias("a"))
+    fetched = F.when(F.col("a.timed"), F.col("a.run_date").cast("timestamp") + F.expr("INTERVAL 6 HOURS"))
+    return rows.select("symbol", fetched.alias("fetched_at"), F.lit(200).alias("http_status"), "a.body", "a.run_date")
+
+
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing_from_bars(orders_bars(spark, sf_dir))
 

@@ -1,9 +1,14 @@
 """T1: every new landed file is processed once; each micro-batch does the incremental load.
 
-``foreachBatch`` runs bronze -> silver -> anti-join against the target -> gold -> append. A
-micro-batch that is replayed after a failure (the stream commits its offsets after the batch)
-adds nothing the second time, because the anti-join sees the rows it already appended; the
-same holds if the stream's checkpoint is lost and the whole landing is read again.
+``foreachBatch`` runs bronze -> silver -> anti-join against the target -> gold -> append. There is no
+window: every landed day is loaded, however old, unless the target has it. A micro-batch that is
+replayed after a failure (the stream commits its offsets after the batch) adds nothing the second
+time, because the anti-join sees the rows it already appended; the same holds if the stream's
+checkpoint is lost and the whole landing is read again.
+
+Of copies of one key the first loaded stays: if copies with different values fall into different
+micro-batches the earlier batch's counts, inside one micro-batch the last fetched. A full reload
+takes the last fetched of all, so it differs from the stream where a replay revises a value.
 """
 
 from __future__ import annotations
@@ -14,32 +19,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.bronze import flatten
+from ..operators.bronze import flatten, rejects
 from ..operators.conform import conform
 from ..operators.gold import to_gold
 from ..operators.incremental import first_value, new_rows
-from ..operators.silver import to_silver
+from ..operators.silver import loadable, to_silver
 from ..schemas import LANDING
-from ..sinks.tables import log_quality, observe_load, observed
+from ..sinks.tables import load_summary, log_quality, write_rejects
 from ..sinks.targets import JdbcTarget, ParquetTarget, as_target
 
 log = logging.getLogger("candlelake.stream")
 
+#: Landed files of a micro-batch: bounds what a batch persists.
+MAX_FILES = 1000
+
 
-def load_batch(batch: DataFrame, target: str | ParquetTarget | JdbcTarget, batch_id: int = 0) -> None:
+def load_batch(batch: DataFrame, target: str | ParquetTarget | JdbcTarget, batch_id: int = 0, rejects_path: str | None = None) -> None:
     """One micro-batch: keep-last within the batch, anti-join against the target's keys from
-    the batch's earliest day on (window-pruned), append the new gold rows; quality is observed
-    in the write job and logged."""
+    the batch's earliest day on (window-pruned), append the new gold rows; values that cannot be
+    loaded go to the rejects table, once."""
     spark = batch.sparkSession
     t = as_target(target)
-    silver = to_silver(flatten(batch)).persist()
+    if rejects_path:
+        write_rejects(rejects(batch), rejects_path)
+    silver = loadable(to_silver(flatten(batch))).persist()
     try:
         earliest = first_value(silver.agg(F.min("bar_date").alias("d")), "d")
         if earliest is None:
             return
-        gold, obs = observe_load(conform(to_gold(new_rows(silver, t.keys(spark, earliest)))), f"batch-{batch_id}")
-        t.write(gold, mode="append")
-        log_quality(observed(obs), log, f"stream batch {batch_id}")
+        extra = ("n_copies", "n_overflow")
+        gold = conform(to_gold(new_rows(silver, t.keys(spark, earliest)), *extra), *extra).persist()
+        metrics = load_summary(gold)
+        if metrics["rows"]:
+            t.write(gold, mode="append")
+        log_quality(metrics, log, f"stream-{batch_id}")
+        gold.unpersist()
     finally:
         silver.unpersist()
 
@@ -49,17 +63,16 @@ def start_incremental_stream(
     landing_path: str,
     target_path: str | ParquetTarget | JdbcTarget,
     checkpoint_path: str,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int = MAX_FILES,
     fmt: str = "json",
     available_now: bool = True,
     processing_time: str | None = None,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
     as_target(target_path).ensure(spark)
-    src = spark.readStream.schema(LANDING)
-    if max_files_per_trigger:
-        src = src.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    src = spark.readStream.schema(LANDING).option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = src.format(fmt).load(landing_path)
-    w = stream.writeStream.foreachBatch(lambda df, batch_id: load_batch(df, target_path, batch_id)).option(
+    w = stream.writeStream.foreachBatch(lambda df, batch_id: load_batch(df, target_path, batch_id, rejects_path)).option(
         "checkpointLocation", checkpoint_path
     )
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 hour")

@@ -4,6 +4,10 @@ Days are stamped with their date (as a timestamp) as event time. A 2-day waterma
 older than the newest seen day minus two days (late), and ``dropDuplicatesWithinWatermark``
 drops a replayed (symbol, day) while it is still within the watermark. State for a key is kept
 only until the watermark passes it, so state stays bounded by the window, not by history.
+
+What is late depends on what was seen before, hence on how files fall into micro-batches: this
+stream is for landings that arrive in order. Days that come late are lost to it by design; the
+incremental stream (T1) loads them.
 """
 
 from __future__ import annotations

@@ -22,11 +22,14 @@ def test_envelope_precedence(spark):
         rec("E", None),
         rec("F", doc("F", {"2026-05-18": day(1, 1, 1, 1, 1)})),
         rec("G", "not json at all"),
+        rec("H", json.dumps({"Information": None, SERIES: {}})),  # a key counts whatever its value
+        rec("I", doc("I", {"2026-05-18": day(1, 1, 1, 1, 1)})[:-20]),
+        rec("J", json.dumps({SERIES: ["no", "object"]})),
     ]
     got = {r.symbol: r.status for r in classify(landing_df(spark, records)).collect()}
     assert got == {
         "A": "rate_limited", "B": "api_error", "C": "missing_series", "D": "http_error",
-        "E": "http_error", "F": "ok", "G": "missing_series",
+        "E": "http_error", "F": "ok", "G": "unparseable", "H": "rate_limited", "I": "unparseable", "J": "unparseable",
     }
 
 
@@ -141,7 +144,7 @@ def test_cli_full_reload_and_dq(spark, capsys):
         main(["dq-report", "--landing", landing])
     out = capsys.readouterr().out.strip().splitlines()
     assert json.loads(out[0])["rows"] == 1
-    assert len(json.loads(out[1])["checks"]) == 6
+    assert len(json.loads(out[1])["checks"]) == 7
 
 
 def test_parquet_landing_roundtrip(spark):
@@ -163,3 +166,54 @@ def test_null_symbol_rows_are_not_merged(spark):
     ]
     got = sorted((r.symbol or "", r.volume) for r in to_silver(flatten(landing_df(spark, records))).collect())
     assert got == [("", 1), ("", 2), ("X", 4)]  # NULL-symbol rows kept whole; X keeps its last copy
+
+
+def test_a_bad_day_costs_only_itself(spark):
+    from candlelake.operators.bronze import rejects
+
+    days = {"2026-05-21": "oops", "2026-05-22": [1], "2026-05-23": None, "2026-05-24": day(1, 2, 1, 2, 5), "2026-5-25": day(1, 2, 1, 2, 5)}
+    records = [rec("X", doc("X", days)), rec("Y", doc("Y", days)[:-9]), rec(None, doc("Z", {"2026-05-24": day(1, 1, 1, 1, 1)})), rec("W", None, status=500)]
+    lnd = landing_df(spark, records)
+    assert sorted((r.symbol or "", r.bar_date) for r in flatten(lnd).collect()) == [("", "2026-05-24"), ("X", "2026-05-24"), ("X", "2026-5-25")]
+    got = sorted((r.symbol or "", r.bar_date or "", r.reason) for r in rejects(lnd).collect())
+    assert got == [
+        ("", "2026-05-24", "null_symbol"), ("X", "2026-05-21", "bad_day"), ("X", "2026-05-22", "bad_day"), ("X", "2026-05-23", "bad_day"),
+        ("X", "2026-5-25", "bad_date"), ("Y", "", "unparseable_body"),
+    ]
+    assert rejects(lnd).select("reject_id").distinct().count() == len(got)
+
+
+def test_copy_without_fetch_time_loses_and_blanks_nothing(spark):
+    from candlelake.operators.silver import to_silver
+
+    records = [
+        rec("X", doc("X", {"2026-05-18": day(1, 1, 1, 1, 1)}), at=T0),
+        ("X", None, 200, doc("X", {"2026-05-18": day(9, 9, 9, 9, 9), "2026-05-19": day(2, 2, 2, 2, 2)}), T0.date()),
+    ]
+    got = {r.bar_date.day: r for r in to_silver(flatten(landing_df(spark, records))).collect()}
+    assert (got[18].volume, got[18].n_copies, got[19].volume, got[19].close) == (1, 2, 2, D("2"))
+
+
+def test_overflowing_prices_are_counted(spark):
+    from candlelake.plans import run_full_reload
+
+    days = {"2026-05-18": day("12345678.9", "1e9", 1, 2, 5), "2026-05-19": day("NaN", "", 1, 2, 5)}
+    m = run_full_reload(spark, landing_df(spark, [rec("X", doc("X", days))]), new_path(spark, "target"))
+    assert (m["rows"], m["overflows"], m["null_open"], m["null_high"]) == (2, 2, 2, 2)
+
+
+def test_winning_response_has_its_body(spark):
+    from candlelake.operators.bronze import winning_responses
+
+    run = dt.date(2026, 5, 1)
+    good = [doc("X", {"2026-05-18": day(k, k, k, k, k)}) for k in (1, 2)]
+    records = [
+        rec("X", good[0], at=T0, run=run), rec("X", good[1], at=T0 + dt.timedelta(hours=1), run=run),
+        rec("X", json.dumps({"Information": "limit"}), at=T0 + dt.timedelta(hours=2), run=run),
+        rec("Y", json.dumps({"Error Message": "a"}), at=T0, run=run), rec("Y", json.dumps({"Error Message": "b"}), at=T0, run=run),
+        ("Z", None, 200, good[0], run),
+        rec(None, good[1], run=run),
+    ]
+    got = {r.symbol: r for r in winning_responses(landing_df(spark, records + records[:1])).collect()}
+    assert got["X"].body == good[1] and got["X"].status == "ok"
+    assert got["Y"].status == "api_error" and got["Z"].body == good[0] and got[None].body == good[1]

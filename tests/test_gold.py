@@ -86,5 +86,5 @@ def test_recorded_run_300_bars_all_checks_pass(spark):
     bronze = flatten(landing_df(spark, records))
     assert bronze.count() == 300
     report = dq_report(parse(bronze)).collect()
-    assert {r.status for r in report} == {"PASS"} and len(report) == 6
+    assert {r.status for r in report} == {"PASS"} and len(report) == 7
     assert _gold_from_docs(spark, records).count() == 300

@@ -75,10 +75,14 @@ def test_lookback_and_first_run(spark):
 
 
 def test_mark_never_moves_backwards(spark):
-    r = advance_mark(spark, D(2026, 5, 18), D(2026, 5, 15)).first()
-    assert r.new_mark == D(2026, 5, 18)
-    assert advance_mark(spark, D(2026, 5, 18), None).first().new_mark == D(2026, 5, 18)
-    assert advance_mark(spark, None, D(2026, 5, 15)).first().new_mark == D(2026, 5, 15)
+    def moved(old, batch):
+        marks = spark.createDataFrame([(dt.datetime(2026, 5, 18), old, None)] if old else [], MARKS)
+        return advance_mark(marks, keys_df(spark, [("IBM", batch)] if batch else [])).first().new_mark
+
+    assert moved(D(2026, 5, 18), D(2026, 5, 15)) == D(2026, 5, 18)
+    assert moved(D(2026, 5, 18), None) == D(2026, 5, 18)
+    assert moved(None, D(2026, 5, 15)) == D(2026, 5, 15)
+    assert moved(None, None) is None
 
 
 def _landing(spark, symbols, dates, path):
@@ -202,3 +206,110 @@ def test_cli_incremental_twice(spark, capsys):
     first, second = (json.loads(line) for line in capsys.readouterr().out.strip().splitlines()[-2:])
     assert (first["outcome"], first["new_rows"], first["new_mark"]) == ("loaded", 3, "2026-05-16")
     assert (second["outcome"], second["new_rows"], second["fetch_from"]) == ("nothing_new", 0, "2026-05-14")
+
+
+def test_run_folder_may_carry_any_date(spark):
+    """A run dated before the first of the window's month still counts if it can hold days of the window."""
+    landing, target, marks = (new_path(spark, k) for k in ("landing", "target", "marks"))
+    body = doc("IBM", {"2026-05-21": day(1, 2, 1, 2, 5), "2026-05-22": day(1, 2, 1, 2, 6)})
+    write_landing(landing_df(spark, [rec("IBM", body, run=D(2026, 5, 22))]), landing)
+    append_mark(spark, marks, D(2026, 5, 20))
+    r = run_incremental(spark, landing, target, marks, as_of=D(2026, 5, 23))
+    assert (r["outcome"], r["new_rows"], r["new_mark"]) == ("loaded", 2, D(2026, 5, 22))
+
+
+def test_bad_dates_are_counted_and_never_loaded_twice(spark):
+    from candlelake.streaming import start_incremental_stream
+    from candlelake.plans import run_full_reload
+    from candlelake.sources.landing import read_landing
+
+    landing, marks = new_path(spark, "landing"), new_path(spark, "marks")
+    body = doc("IBM", {"2026-05-21": day(1, 2, 1, 2, 5), "2026-5-20": day(1, 2, 1, 2, 6)})
+    write_landing(landing_df(spark, [rec("IBM", body, run=D(2026, 5, 22))]), landing)
+    targets, rejected = ([new_path(spark, k) for _ in range(3)] for k in ("target", "rejects"))
+    for _ in range(2):
+        full = run_full_reload(spark, read_landing(spark, landing), targets[0], rejected[0])
+        run_incremental(spark, landing, targets[1], marks, as_of=D(2026, 5, 22), rejects_path=rejected[1])
+        start_incremental_stream(spark, landing, targets[2], new_path(spark, "ckpt"), rejects_path=rejected[2]).awaitTermination()
+    assert full["rejects"] == {"bad_date": 1} and full["rows"] == 1
+    for t, r in zip(targets, rejected):
+        assert [x.bar_date for x in read_target(spark, t).collect()] == [D(2026, 5, 21)]
+        assert [(x.symbol, x.bar_date, x.reason) for x in spark.read.parquet(r).collect()] == [("IBM", "2026-5-20", "bad_date")]
+
+
+def test_first_loaded_stays_last_fetched_wins_a_reload(spark):
+    from candlelake.streaming import start_incremental_stream
+    from candlelake.plans import run_full_reload
+    from candlelake.sources.landing import read_landing
+
+    landing, marks, ckpt = (new_path(spark, k) for k in ("landing", "marks", "ckpt"))
+    targets = [new_path(spark, "target") for _ in range(3)]
+    for k, close in enumerate(("1.5", "2.5")):
+        at = dt.datetime(2026, 5, 22 + k, 6)
+        write_landing(landing_df(spark, [rec("IBM", doc("IBM", {"2026-05-21": day(1, 3, 1, close, 5)}), at=at)]), landing)
+        run_incremental(spark, landing, targets[0], marks, as_of=D(2026, 5, 23))
+        start_incremental_stream(spark, landing, targets[1], ckpt).awaitTermination()
+    run_full_reload(spark, read_landing(spark, landing), targets[2])
+    assert [float(read_target(spark, t).first().close) for t in targets] == [1.5, 1.5, 2.5]
+
+
+def test_early_exits_write_nothing(spark):
+    landing, target, marks = (new_path(spark, k) for k in ("landing", "target", "marks"))
+    write_landing(landing_df(spark, [rec("IBM", '{"Error Message": "x"}', run=D(2026, 5, 22))]), landing)
+    r = run_incremental(spark, landing, target, marks, as_of=D(2026, 5, 22))
+    assert (r["outcome"], r["new_rows"], r["new_mark"]) == ("nothing_in_window", 0, None)
+    r = run_incremental(spark, landing, target, marks, as_of=D(2026, 12, 22))
+    assert r["outcome"] == "nothing_landed" and read_target(spark, target).count() == 0
+
+
+def test_no_op_takes_fewer_jobs_than_a_load(spark):
+    landing, target, marks = (new_path(spark, k) for k in ("landing", "target", "marks"))
+    _landing(spark, ["IBM", "AAPL"], days(D(2026, 5, 14), 5), landing)
+    jobs = []
+    for name in ("load", "noop"):
+        spark.sparkContext.setJobGroup(name, name)
+        run_incremental(spark, landing, target, marks, as_of=D(2026, 5, 18))
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(name)))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[1] < jobs[0], jobs
+
+
+def test_mark_is_made_good_after_a_run_that_died_before_it(spark):
+    landing, target, marks, lost = (new_path(spark, k) for k in ("landing", "target", "marks", "marks"))
+    _landing(spark, ["IBM"], days(D(2026, 5, 14), 5), landing)
+    run_incremental(spark, landing, target, marks, as_of=D(2026, 5, 18))
+    r = run_incremental(spark, landing, target, lost, as_of=D(2026, 5, 18))  # its mark was never written
+    assert (r["outcome"], r["new_mark"]) == ("nothing_new", D(2026, 5, 18))
+    again = run_incremental(spark, landing, target, lost, as_of=D(2026, 5, 18))
+    assert again["old_mark"] == D(2026, 5, 18)
+
+
+def test_new_symbol_gets_the_first_run_window(spark):
+    landing, target, marks = (new_path(spark, k) for k in ("landing", "target", "marks"))
+    _landing(spark, ["IBM"], days(D(2026, 5, 1), 12), landing)
+    run_incremental(spark, landing, target, marks, as_of=D(2026, 5, 12), per_key=True)
+    _landing(spark, ["NEW"], days(D(2026, 5, 1), 12), landing)
+    r = run_incremental(spark, landing, target, marks, as_of=D(2026, 5, 12), per_key=True)
+    assert r["new_rows"] == 12
+    few = run_incremental(spark, landing, new_path(spark, "target"), new_path(spark, "marks"), as_of=D(2026, 5, 12), first_run_days=3)
+    assert few["new_rows"] == 2 * 4
+
+
+def test_failed_reload_leaves_the_table(spark):
+    from candlelake.plans import run_full_reload
+    from candlelake.sinks.tables import write_target
+    from pyspark.sql import functions as F
+
+    target = new_path(spark, "target")
+    records = [rec("IBM", doc("IBM", {"2026-05-21": day(1, 2, 1, 2, 5)}))]
+    run_full_reload(spark, landing_df(spark, records), target)
+    bad = read_target(spark, target).withColumn("volume", F.raise_error(F.lit("midway")).cast("bigint"))
+    try:
+        write_target(bad.drop("bar_month"), target, mode="overwrite")
+    except Exception as e:  # noqa: BLE001
+        assert "midway" in str(e)
+    else:
+        raise AssertionError("the write must fail")
+    assert read_target(spark, target).count() == 1
+    empty = run_full_reload(spark, landing_df(spark, []), target)
+    assert empty["rows"] == 0 and read_target(spark, target).count() == 0

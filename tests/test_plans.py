@@ -46,7 +46,7 @@ def test_landing_to_gold_is_one_hash_shuffle(spark):
     plan = _executed(to_gold(to_silver(flatten(lnd))))
     assert _hash_exchanges(plan) == 1
     assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
-    assert "from_json" in plan and plan.count("from_json") == 1  # one parse per body
+    assert plan.count("from_json") == 3  # the body, its series and each day: one parse each
 
 
 def test_dq_report_is_one_hash_shuffle(spark):
@@ -76,7 +76,14 @@ def test_incremental_scans_are_pruned(spark):
 
 
 def test_first_run_window_is_100_days(spark):
-    from candlelake.plans.incremental import plan_window
+    from candlelake.operators.incremental import fetch_window
+    from candlelake.sources.tables import read_marks
 
-    old, ff = plan_window(spark, new_path(spark, "marks"), dt.date(2026, 5, 22))
+    old, _, ff = fetch_window(spark, read_marks(spark, new_path(spark, "marks")), dt.date(2026, 5, 22)).first()
     assert old is None and ff == dt.date(2026, 2, 11)
+
+
+def test_incremental_queries_parse_each_body_once(spark):
+    for name in ("new_rows", "incremental_summary", "max_loaded_date"):
+        plan = _executed(Q.QUERIES[name](spark, SF_SMALL))
+        assert plan.count("from_json") == 3, name

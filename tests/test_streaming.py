@@ -49,9 +49,9 @@ def test_late_and_replayed_days_are_dropped(spark):
     assert got == span(D(2026, 5, 10), 12)
 
 
-def test_stream_equals_full_reload(spark):
+def test_stream_equals_full_reload_if_replays_are_identical(spark):
     """The stream (micro-batches, anti-join, append) and the batch full reload (keep-last,
-    overwrite) build the same table from the same landing."""
+    overwrite) build the same table from the same landing, where no replay revises a value."""
     from candlelake.plans import run_full_reload
     from candlelake.queries import TARGET_COLUMNS
     from candlelake.sources import fixtures as X
