@@ -33,7 +33,7 @@ def canonical(text: Column) -> Column:
     A name is a capitalised word that does not start a sentence, a number a run of digits with its
     separators, a unit one of UNITS after a number. Case and punctuation go.
     """
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\s\x00-\x20 ]+", " ")
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\s\x00-\x20\xa0]+", " ")
     # each pattern starts with what it finds, so that most places fail at once
     t = F.regexp_replace(t, r"(?=\p{Lu}\p{Ll})(?<=[\p{Ll}\p{N},;:] )", f"{MARK}p")
     t = F.regexp_replace(t, rf"(?=\p{{N}})(?<![\p{{L}}\p{{N}}{MARK}])", f"{MARK}n")

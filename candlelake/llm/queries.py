@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlelake.llm.common import fold, lower_ascii, table
-from candlelake.llm.decontam import contaminated
+from candlelake.llm.decontam import MARK, SIMILARITY, UNITS, contaminated
 from candlelake.llm.exact_dedup import exact_dedup
 from candlelake.llm.html_extract import extract_text
 from candlelake.llm.jaccard_join import jaccard_join
@@ -80,7 +80,51 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
 }
 
+M = MARK
+_CANONICAL = f"""trim(regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''),
+    '[\\s\\x0b\\x00-\\x20\\x{{a0}}]+', ' ', 'g'),
+    '([\\p{{Ll}}\\p{{N}},;:] )(\\p{{Lu}}\\p{{Ll}})', '\\1{M}p\\2', 'g'),
+    '(^|[^\\p{{L}}\\p{{N}}{M}])(\\p{{N}})', '\\1{M}n\\2', 'g'),
+    '({M}n[^ ]* )({'|'.join(UNITS)})($|[^\\p{{L}}])', '\\1{M}u\\2\\3', 'g')),
+    '[^\\p{{L}}\\p{{M}}\\p{{N}} {M}]+', '', 'g'), ' +', ' ', 'g'))"""
+
+#: For benchmark items of at least five words.
+DECONTAMINATION = f"""
+    WITH lines AS (
+        SELECT 'd' AS side, doc_id AS id, {_CANONICAL} AS line FROM documents
+        UNION ALL SELECT 'b', item_id, {_CANONICAL} FROM benchmark
+    ),
+    readings AS (
+        SELECT side, id, 0 AS reading, line FROM lines
+        UNION ALL SELECT side, id, 1, replace(line, '{M}p', '') FROM lines WHERE contains(line, '{M}p')
+    ),
+    listed AS (
+        SELECT side, id, reading, string_split(line, ' ') AS valued, string_split(regexp_replace(line, '({M}[npu])[^ ]*', '\\1', 'g'), ' ') AS words FROM readings
+    ),
+    starts AS (SELECT *, unnest(range(1, len(words) - 3)) AS pos FROM listed WHERE len(words) >= 5),
+    wins AS (SELECT side, id, reading, pos, len(words) AS n, words[pos:pos + 4] AS win, valued[pos:pos + 4] AS slot FROM starts),
+    known AS (SELECT * FROM wins WHERE side = 'b' AND len(list_filter(win, lambda x: NOT starts_with(x, '{M}'))) >= 2),
+    totals AS (SELECT id, reading, count(DISTINCT win) AS total FROM known GROUP BY id, reading),
+    met AS (
+        SELECT d.id AS doc_id, k.id AS item_id, k.reading, k.win, k.slot AS i_slot, d.slot, (d.pos - k.pos) / (2.0 * k.n) AS shift
+        FROM wins d JOIN known k ON d.side = 'd' AND d.win = k.win
+    ),
+    strips AS (SELECT *, 0 AS r, floor(shift) AS s FROM met UNION ALL SELECT *, 1, floor(shift + 0.5) FROM met),
+    covered AS (SELECT doc_id, item_id, reading, r, s, count(DISTINCT win) AS n FROM strips GROUP BY ALL),
+    pairs AS (SELECT doc_id, item_id, reading, r, s, unnest(i_slot) AS i, unnest(slot) AS v FROM strips),
+    slots AS (
+        SELECT doc_id, item_id, reading, r, s, count(DISTINCT (i, v)) AS n_pairs, count(DISTINCT i) AS n_slots, bool_and(i = v) AS same_values
+        FROM pairs WHERE starts_with(i, '{M}') GROUP BY ALL
+    )
+    SELECT c.doc_id, c.item_id, max(c.n / t.total) AS coverage, CAST(max(coalesce(p.n_slots, 0)) AS INTEGER) AS n_slots, bool_or(coalesce(p.same_values, true)) AS same_values
+    FROM covered c JOIN totals t ON t.id = c.item_id AND t.reading = c.reading
+    LEFT JOIN slots p ON p.doc_id = c.doc_id AND p.item_id = c.item_id AND p.reading = c.reading AND p.r = c.r AND p.s = c.s
+    WHERE c.n / t.total >= {SIMILARITY} AND coalesce(p.n_pairs, 0) = coalesce(p.n_slots, 0)
+    GROUP BY c.doc_id, c.item_id
+"""
+
 ORACLES: dict[str, str] = {
+    "op3_decontamination": DECONTAMINATION,
     "op1_exact_dedup": """
         WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
         g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY body)

@@ -47,6 +47,25 @@ def test_against_plain_containment(spark):
     assert set(found(spark, texts, items, block=50)) == want
 
 
+def test_sql_gives_the_same(spark):
+    """The registered SQL on texts with names, numbers and units, reworded, torn and in other case."""
+    import duckdb
+    from candlelake.llm.queries import DECONTAMINATION
+
+    items = [(0, ITEM), (1, "Is Anna Maria 5 km from Paris, or 6 km from Rome? She asks 7 friends of Anna."), (2, "the plain words of this item have no slots at all here"), (3, "12 34 56 78 90 11 13")]
+    swap = [("Anna", "Peter"), ("9", "7"), ("120 km", "300 miles"), ("Paris", "Berlin"), ("6 km", "8 km"), ("3 books", "3.5 books")]
+    texts = [(k, t) for k, (_, t) in enumerate(items)]
+    texts += [(10 + k, "Before. " + t.replace(a, b) + " after it") for k, (a, b) in enumerate(swap) for _, t in items[:2]]
+    texts += [(30, ITEM.lower()), (31, ITEM.title()), (32, ITEM.replace("Anna leaves", "Peter leaves")), (33, None), (34, ""), (35, ITEM + " " + ITEM.replace("Anna", "Olaf"))]
+    docs, benchmark = make_docs(spark, texts), make_items(spark, items)
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    con.register("benchmark", benchmark.toPandas())
+    want = con.execute(DECONTAMINATION).fetchall()
+    got = contaminated(docs, benchmark).select("doc_id", "item_id", "coverage", "n_slots", "same_values").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) > 8
+
+
 def test_short_items_ties_and_repeats(spark):
     items = [(0, "two words"), (1, "two words"), (2, None), (3, ""), (4, "1 2 3 4 5 6 7 8")]
     texts = [(1, "these two words"), (1, "these two words"), (2, "1 2 3 4 5 6 7 8 9"), (None, "here two words again")]
