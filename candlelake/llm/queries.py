@@ -123,7 +123,44 @@ DECONTAMINATION = f"""
     GROUP BY c.doc_id, c.item_id
 """
 
+def _split(text: str) -> str:
+    return f"list_filter(regexp_split_to_array({text}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
+
+REPEATS = f"""
+    WITH d AS (SELECT doc_id, {_split("coalesce(text, '')")} AS w FROM documents),
+    g AS (SELECT doc_id, pos, array_to_string(w[pos:pos + 49], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS pos FROM d WHERE len(w) >= 50)),
+    low AS (SELECT g, min(doc_id) AS m FROM g GROUP BY g),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS k FROM g JOIN low USING (g) WHERE m < doc_id),
+    words AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS k FROM d),
+    kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY k) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
+    SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+    FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""
+
+#: All pairs that share a shingle; the operator may miss one at the threshold in a thousand.
+SIMILAR = f"""
+    WITH RECURSIVE d AS (SELECT doc_id, {_split("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+    sets AS (
+        SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))))
+                            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END AS s FROM d
+    ),
+    copies AS (SELECT doc_id, s, CASE WHEN s IS NULL THEN doc_id ELSE min(doc_id) OVER (PARTITION BY s) END AS copy_of FROM sets),
+    members AS (SELECT doc_id AS m, len(s) AS n, s FROM copies WHERE doc_id = copy_of AND s IS NOT NULL),
+    grams AS (SELECT m, n, unnest(s) AS g FROM members),
+    met AS (SELECT a.m AS a, b.m AS b, a.n + b.n AS total, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.m < b.m GROUP BY ALL),
+    linked AS (SELECT a, b FROM met WHERE c >= 0.8 * (total - c) - 1e-9),
+    links AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+    reach AS (SELECT m AS node, m AS other FROM members UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a),
+    classes AS (SELECT node, min(other) AS class_id FROM reach GROUP BY node),
+    counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+    SELECT c.doc_id, coalesce(k.class_id, c.doc_id) AS class_id, c.copy_of, coalesce(n.n, 0) AS n_links
+    FROM copies c LEFT JOIN classes k ON k.node = c.copy_of LEFT JOIN counted n ON n.a = c.copy_of
+"""
+
 ORACLES: dict[str, str] = {
+    "op8_substring_dedup": REPEATS,
+    "op9_jaccard_join": SIMILAR,
     "op3_decontamination": DECONTAMINATION,
     "op1_exact_dedup": """
         WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
