@@ -10,7 +10,7 @@ zero rounding, which is what decimal HALF_UP rounding in Spark gives.
 from __future__ import annotations
 
 from .constants import LOOKBACK_DAYS
-from .queries import CUT_DAYS, HOLE_DAYS, PER_KEY_DEAD, PER_KEY_LATE
+from .queries import CUT_DAYS, HOLE_DAYS, LATE_DAYS, PER_KEY_DEAD, PER_KEY_LATE
 from .sources.fixtures import FETCH_DAY
 
 
@@ -188,6 +188,11 @@ SELECT "check", "column", failures, CASE WHEN failures > 0 THEN 'FAIL' ELSE 'PAS
     "full_reload": f"SELECT {TARGET} FROM gold",
     "stream_incremental": f"SELECT {TARGET} FROM gold",
     "stream_dedup_late": f"SELECT {BARS} FROM landed",
+    "stream_late_rows": f"""
+SELECT symbol, bar_date, close, false AS late FROM landed
+UNION ALL SELECT symbol, d_max + 2, CAST(8.5 AS DECIMAL(10,4)), false FROM symbols
+UNION ALL SELECT symbol, d_max - {LATE_DAYS}, CAST(7.5 AS DECIMAL(10,4)), true FROM symbols s
+WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.symbol = s.symbol AND l.bar_date = s.d_max - {LATE_DAYS})""",
     "candle_edges": " UNION ALL ".join(
         f"SELECT symbol, bar_date, '{name}' AS variant, {o} AS open, close, "
         f"{pct_sql(o, 'close')} AS daily_return_pct, {candle_sql(o, 'close')} AS candle FROM landed"

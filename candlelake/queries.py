@@ -42,7 +42,7 @@ from .streaming import start_incremental_stream, start_late_dedup_stream
 
 # Lookback and first-run length that take in every day.
 ALL_DAYS = 100_000
-PER_KEY_LATE, PER_KEY_DEAD = 30, 400
+PER_KEY_LATE, PER_KEY_DEAD, LATE_DAYS = 30, 400, 400
 CUT_DAYS = 30
 HOLE_DAYS = 5
 TARGET_COLUMNS = tuple(TARGET.fieldNames())
@@ -491,6 +491,21 @@ def q_stream_dedup_late(spark, sf):
     return spark.read.parquet(opath).select(*BRONZE_COLUMNS)
 
 
+def q_stream_late_rows(spark, sf):
+    """The watermark at work: everything lands and is read, then one more run brings an old day and a new
+    one. What the stream keeps, and (``late``) what it loses because the old day came too late."""
+    sc = Scenario(spark, sf)
+    lpath, opath, cpath = (new_path(spark, k) for k in ("landing", "dedup", "stream-checkpoint"))
+    write_landing(landing(spark, sf), lpath)
+    start_late_dedup_stream(spark, lpath, opath, cpath).awaitTermination()
+    write_landing(X.late_responses(bars(spark, sf), sc.d_max, LATE_DAYS), lpath)
+    start_late_dedup_stream(spark, lpath, opath, cpath).awaitTermination()
+    kept = spark.read.parquet(opath).select("symbol", "bar_date", "close")
+    landed = S.to_silver(B.flatten(read_landing(spark, lpath))).select("symbol", "bar_date", "close")
+    lost = I.new_rows(landed, kept.select("symbol", "bar_date"))
+    return kept.withColumn("late", F.lit(False)).unionByName(lost.withColumn("late", F.lit(True)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources
     "envelope_status": q_envelope_status,
@@ -548,4 +563,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # streaming re-aims
     "stream_incremental": q_stream_incremental,
     "stream_dedup_late": q_stream_dedup_late,
+    "stream_late_rows": q_stream_late_rows,
 }

@@ -204,6 +204,15 @@ def rough_responses(bars: DataFrame, d_max: dt.date, revisions: bool) -> DataFra
     return rows.select("symbol", fetched.alias("fetched_at"), F.lit(200).alias("http_status"), "a.body", "a.run_date")
 
 
+def late_responses(bars: DataFrame, d_max: dt.date, late_days: int) -> DataFrame:
+    """One more run for every symbol, with a day ``late_days`` before ``d_max`` and one after it."""
+    day = lambda n: (d_max + dt.timedelta(days=n)).isoformat()
+    body = _rough_body([(day(-late_days), _same_day("7.5")), (day(2), _same_day("8.5"))])
+    run = F.lit(d_max + dt.timedelta(days=60))
+    rows = bars.select("symbol").distinct()
+    return rows.select("symbol", run.cast("timestamp").alias("fetched_at"), F.lit(200).alias("http_status"), body.alias("body"), run.alias("run_date"))
+
+
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing_from_bars(orders_bars(spark, sf_dir))
 
