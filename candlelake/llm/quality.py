@@ -7,6 +7,8 @@ the document's score. Encoder, attention and output learn together from document
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -43,6 +45,11 @@ def passages(text: str, size: int = PASSAGE) -> list[str]:
     return [*out, text[start:]]
 
 
+def excerpt(text: str) -> str:
+    words = text.split()
+    return " ".join(words[len(words) // 2 :][: 1 + zlib.crc32(text.encode("utf-8", "surrogatepass")) % 9])
+
+
 def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(passages x N_FEATURES, passages of each text)."""
     split = [passages(t) for t in texts]
@@ -61,7 +68,7 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         # pairs of character kinds and low bits: what follows what
         pair = (code[:-1].astype(np.uint64) * np.uint64(0x9E3779B1) + code[1:] * np.uint64(0x85EBCA77)) >> np.uint64(7)
         pair = (pair % np.uint64(PAIRS)).astype(np.int64)
-        out[:, 12:] = np.sqrt(np.bincount(row[1:][same] * PAIRS + pair[same], minlength=PAIRS * n).reshape(n, PAIRS) / total) * 2
+        out[:, 12:] = np.sqrt(np.bincount(row[1:][same] * PAIRS + pair[same], minlength=PAIRS * n).reshape(n, PAIRS) / (total + 40)) * 2
     for k, p in enumerate(flat):
         words = p.split()
         m = len(words)
@@ -146,10 +153,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "text", d
     rows = rows.join(F.broadcast(drawn), F.col("doc_id") == F.col("l_id")).select("text", "l_id", "l_y")  # at most 2 * per_label rows
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        x, count = features(part.column(0).to_pylist())
+        texts = part.column(0).to_pylist()
+        # a few words from the middle as well, so that very short texts are known ground
+        x, count = features(texts + [excerpt(t) for t in texts])
         ends = np.cumsum(count)
         raw = [x[e - c : e].astype("<f2").tobytes() for e, c in zip(ends, count)]
-        return pa.RecordBatch.from_arrays([part.column(1), part.column(2), pa.array(raw, pa.binary())], ["id", "y", "bag"])
+        twice = pa.array([*range(len(texts))] * 2)
+        return pa.RecordBatch.from_arrays([part.column(1).take(twice), part.column(2).take(twice), pa.array(raw, pa.binary())], ["id", "y", "bag"])
 
     got = sorted(map_slices(rows, "text", "id bigint, y int, bag binary", work).collect())
     if len({r["y"] for r in got}) < 2:
