@@ -51,20 +51,25 @@ def presence(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, some
 
 
+def normed(bits: np.ndarray) -> np.ndarray:
+    """Rows of presence over the root of their number of n-grams, so that products of rows are kernels."""
+    x = bits.astype(np.float32)
+    return x / np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
+
+
 class KernelRidge:
     """One-versus-rest ridge regression on Nystrom features of the presence kernel."""
 
     def __init__(self, languages: list[str], rows: np.ndarray, truth: np.ndarray, landmarks: int = LANDMARKS, ridge: float = RIDGE):
         self.languages = languages
-        norm = np.sqrt(rows.sum(1, dtype=np.float64))
-        rows = rows / norm[:, None]
         # every language has its share of the landmarks
         order = np.argsort([np.sum(truth[:k] == t) for k, t in enumerate(truth)], kind="stable")
-        marks = rows[order[:landmarks]]
+        marks = normed(rows[order[:landmarks]]).astype(np.float64)
         values, vectors = np.linalg.eigh(marks @ marks.T)
         good = values > 1e-8 * values.max()
         whiten = vectors[:, good] / np.sqrt(values[good])
-        feature = (rows @ marks.T) @ whiten
+        # in blocks: the sample stays one byte a place
+        feature = np.concatenate([normed(rows[k : k + BLOCK]) @ marks.T for k in range(0, len(rows), BLOCK)]) @ whiten
         feature = np.hstack([feature, np.ones((len(rows), 1))])
         target = np.where(truth[:, None] == np.arange(len(languages)), 1.0, -1.0)
         share = np.array([(truth == t).sum() for t in truth], float)
@@ -79,9 +84,7 @@ class KernelRidge:
         """Rows x languages, each row adding up to 1."""
         out = np.empty((len(rows), len(self.languages)))
         for k in range(0, len(rows), BLOCK):
-            x = rows[k : k + BLOCK].astype(np.float32)
-            norm = np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
-            out[k : k + BLOCK] = x @ self.matrix / norm + self.bias
+            out[k : k + BLOCK] = normed(rows[k : k + BLOCK]) @ self.matrix + self.bias
         out = np.exp(4 * (out - out.max(1, keepdims=True)))
         return out / out.sum(1, keepdims=True)
 
@@ -110,7 +113,7 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", per_language:
     if not sample:
         return None
     bits = np.unpackbits(np.frombuffer(b"".join(r["bits"] for r in sample), np.uint8).reshape(len(sample), -1), axis=1)
-    return KernelRidge(languages, bits.astype(np.float64), np.array([languages.index(r["lang"]) for r in sample]))
+    return KernelRidge(languages, bits, np.array([languages.index(r["lang"]) for r in sample]))
 
 
 def language_id(docs: DataFrame, learn: Column, held_out: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> DataFrame:
