@@ -9,21 +9,21 @@ scores and are re-estimated by expectation-maximisation over all distinct words
 since the pieces serve words as words come new, not as often as they recur.
 
 Everything a word needs is computed once per distinct word: its count and its two log-probabilities.
-Texts then fetch these by a join on the word. The most frequent words (a bounded table) are broadcast,
-so that no hot word is shuffled; all others go through a shuffle join.
+Texts then fetch these by a join on the word. The most frequent words (a bounded table) are broadcast and
+summed where the text is read, so that no hot word is shuffled; all others go through a shuffle join.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.llm.common import lower_ascii, stored
+from candlelake.llm.common import lower_ascii, map_slices, stored
 
 #: Words that are broadcast (of at most so many characters), rounds of re-estimation, and the pseudo-count of a piece.
 FREQUENT, FREQUENT_CHARS, ROUNDS, PSEUDO = 50_000, 64, 3, 0.05
@@ -180,19 +180,16 @@ def lm_scores(docs: DataFrame, vocabulary: str, learn: Column, held_out: Column,
 
     Tokens are the words between white space (0x20, 0x09-0x0D) of the text with A-Z in lower case, and
     one end. base_score: log10 with add-half smoothing of token counts; score: log10 of the lattice
-    model. NULL texts are empty (the end
-    alone). ``learn`` marks the rows whose counts are used; with none the pieces keep their first
-    probabilities, an end has probability 1/2 and train_tokens is 0. Repeated rows are scored
-    each (and counted each); NULL ids are kept; an empty table gives no rows; other columns are not
-    read. ``vocabulary`` is a .model file that every executor can open.
+    model. NULL texts are empty (the end alone). ``learn`` marks the rows whose counts are used; with
+    none the pieces keep their first probabilities, an end has probability 1/2 and train_tokens is 0.
+    Repeated rows are scored each (and counted each); NULL ids are kept; an empty table gives no rows;
+    other columns are not read. ``vocabulary`` is a .model file that every executor can open.
     """
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), held_out.alias("held_out"), learn.alias("learn"), lower_ascii(body).alias("text"))
-    # rows that repeat id and text are scored together
-    key = rows.select("doc_id", "held_out", "learn", F.xxhash64("text").alias("h"), F.split("text", r"[\x20\x09-\x0D]+").alias("words"))
-    words = key.select("doc_id", "held_out", "learn", "h", F.explode("words").alias("word")).filter("word <> ''")
+    words = rows.select("learn", F.explode(F.split("text", r"[\x20\x09-\x0D]+")).alias("word")).filter("word <> ''")
 
-    counted = stored(words.groupBy("word").agg(F.sum(F.col("learn").cast("bigint")).alias("c")), "words")
+    counted = stored(words.groupBy("word").agg(F.coalesce(F.sum(F.col("learn").cast("bigint")), F.lit(0)).cast("bigint").alias("c")), "words")
     ends = rows.filter("learn").count()
     often = [F.sum(x.cast("bigint")).alias(a) for a, x in (("v", F.col("c") > 0), ("n1", F.col("c") == 1), ("n2", F.col("c") == 2))]
     total = counted.agg(F.sum("c").alias("n"), *often).first()
@@ -219,18 +216,49 @@ def lm_scores(docs: DataFrame, vocabulary: str, learn: Column, held_out: Column,
 
     scored = stored(counted.mapInArrow(work, "word string, c bigint, lp double"), "scored")
     table = scored.select(F.col("word").alias("w"), "lp", (F.col("c") > 0).cast("bigint").alias("known"), base(F.col("c")).alias("base"), "c")
-    # at most FREQUENT words of FREQUENT_CHARS characters
-    hot = table.filter(F.length("w") <= FREQUENT_CHARS).orderBy(F.col("c").desc(), "w").limit(FREQUENT).drop("c")
-    hot = docs.sparkSession.createDataFrame(hot.toPandas(), "w string, lp double, known bigint, base double")
-
-    each = words.select("doc_id", "held_out", "h", "word")
-    met = each.join(F.broadcast(hot), F.col("word") == F.col("w"), "left")
-    names = ["doc_id", "held_out", "h", "lp", "known", "base"]
-    rest = met.filter(F.col("w").isNull()).select("doc_id", "held_out", "h", "word").join(table, F.col("word") == F.col("w"))
-    last = key.select("doc_id", "held_out", "h", F.lit(float(np.log10((ends - discount) / n if ends else freed / 2))).alias("lp"), F.lit(int(ends > 0)).cast("bigint").alias("known"), base(F.lit(ends)).alias("base"))
-    parts = [met.filter(F.col("w").isNotNull()).select(names).withColumn("rows", F.lit(0)), rest.select(names).withColumn("rows", F.lit(0)), last.withColumn("rows", F.lit(1))]
-    sums = reduce(DataFrame.unionAll, parts).groupBy("doc_id", "held_out", "h").agg(
-        F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("n"), F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("lp").alias("lp")
+    # words that occur 2^k times or more, with the least k that leaves at most FREQUENT of them
+    short = table.filter((F.length("w") <= FREQUENT_CHARS) & (F.col("c") > 0))
+    octaves = {r["k"]: r["count"] for r in short.groupBy(F.floor(F.log2("c")).alias("k")).count().collect()}  # 64 rows at most
+    least = next((k for k in range(64) if sum(m for o, m in octaves.items() if o >= k) <= FREQUENT), 64)
+    hot = short.filter(F.floor(F.log2("c")) >= least)
+    near = docs.sparkSession.sparkContext.broadcast({r["w"].encode(): (r["lp"], r["known"], r["base"]) for r in hot.collect()})
+    last = (float(np.log10((ends - discount) / n if ends else freed / 2)), int(ends > 0), float(np.log10((ends + 0.5) / (n + 0.5 * (v + 1)))))
+
+    def count(part: pa.RecordBatch) -> pa.RecordBatch:
+        """Of each text one row with its sums over the end and the frequent words, and one row for each other word."""
+        known, at, word, n_, sums = near.value, [], [], [], []
+        for k, body in enumerate(part.column(3).to_pylist()):
+            lp, seen, bs = last
+            tokens = 1
+            for w, c in Counter(body.encode().split()).items():
+                hit = known.get(w)
+                if hit is None:
+                    at.append(k)
+                    word.append(w)
+                    n_.append(c)
+                    sums.append(None)
+                else:
+                    lp, seen, bs, tokens = lp + c * hit[0], seen + c * hit[1], bs + c * hit[2], tokens + c
+            at.append(k)
+            word.append(b" %d" % k)  # no word: words hold no space
+            n_.append(tokens)
+            sums.append((lp, seen, bs))
+        place = pa.array(at)
+        return pa.RecordBatch.from_arrays(
+            [*[part.column(c).take(place) for c in range(3)], pa.array(word, pa.string()), pa.array(n_, pa.int64())]
+            + [pa.array([x and x[c] for x in sums], t) for c, t in enumerate((pa.float64(), pa.int64(), pa.float64()))],
+            ["doc_id", "held_out", "h", "word", "n", "lp0", "known0", "base0"],
+        )
+
+    texts = rows.select("doc_id", "held_out", F.xxhash64("text").alias("h"), "text")
+    each = map_slices(texts, "text", "doc_id bigint, held_out boolean, h bigint, word string, n bigint, lp0 double, known0 bigint, base0 double", count, 4_000_000)
+    met = each.join(table, F.col("word") == F.col("w"), "left")
+
+    def total_of(own: str, rare: str) -> Column:
+        return F.sum(F.coalesce(F.col(own), F.col("n") * F.col(rare)))
+
+    sums = met.groupBy("doc_id", "held_out", "h").agg(
+        F.count("lp0").alias("rows"), F.sum("n").alias("n"), total_of("known0", "known").alias("known"), total_of("base0", "base").alias("base"), total_of("lp0", "lp").alias("lp")
     )
     rows_of = F.col("rows")
     return sums.select(
