@@ -140,9 +140,10 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, text: str = "text", d
 
     every = map_slices(named, "text", "anchor bigint, context bigint, doc_id bigint, row bigint, pos bigint", light, 2_000_000)
     shared = every.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low <> high").select("anchor")
-    met = stored(every.join(shared, "anchor"), "met")
-    same = met.groupBy("anchor", "context").agg(F.min("doc_id").alias("first"))
-    crowd = same.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    # aggregates are stored before they are joined: then both sides of a join are plain shuffles, whose hot keys Spark splits
+    met = stored(every.join(stored(shared, "shared"), "anchor"), "met")
+    same = stored(met.groupBy("anchor", "context").agg(F.min("doc_id").alias("first")), "same")
+    crowd = stored(same.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")), "crowd")
     # 0: repeats all of its windows; 1 and 2: meets other stretches, in a tree or in single nodes
     kind = F.when(F.col("doc_id") > F.col("first"), 0).when(F.col("n") == 1, None).when(F.col("n") <= group, 1).otherwise(2)
     known = met.join(same.join(crowd, "anchor"), ["anchor", "context"]).select("doc_id", "row", "anchor", "pos", kind.alias("kind")).filter("kind is not null")
