@@ -25,7 +25,7 @@ from candlelake.llm.shingles import mix, shingle_sets
 #: Words of a shingle, threshold, recall wanted at the threshold, rows of a band.
 WORDS, SIMILARITY, RECALL, ROWS = 5, 0.8, 0.999, 5
 #: Members and shingles of a block.
-BLOCK, BLOCK_SHINGLES = 512, 400_000
+BLOCK, BLOCK_SHINGLES = 256, 400_000
 LINKS = "node bigint, other bigint, links bigint"
 
 
