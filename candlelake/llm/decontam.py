@@ -5,6 +5,8 @@ of template words are hash-joined with those of the benchmark items, so a questi
 when its numbers, names or units were exchanged. A document holds an item if it has at least
 ``similarity`` of the item's windows at about the same relative places, and if the slots agree:
 everywhere the item repeats a value, the document must repeat the value that it puts in its place.
+An item can hold one window twice, and other sentences can hold it too, so the slots are judged
+alignment by alignment (the distance of a window's places in document and item).
 DataFrame functions only.
 """
 
@@ -62,6 +64,37 @@ def windows(rows: DataFrame, sizes: list[int], keep: list[str]) -> DataFrame:
     return rows.withColumn("h", F.xxhash64(F.slice("words", F.col("at"), F.col("size"))))
 
 
+def agreeing(hits: Column) -> Column:
+    """Sets of hits (off, w, pairs) whose slots agree, as structs of the windows w and the pairs.
+
+    All hits if they agree. Else one set from each alignment (hits of one off) that agrees in itself: it
+    takes in the other alignments, nearest first, that agree with what it has. So words put in or
+    left out do not cut an occurrence, and windows met at another place of the item do not discard it.
+    """
+
+    def one_value(pairs: Column) -> Column:
+        return F.size(F.array_distinct(F.transform(pairs, lambda x: x["i_slot"]))) == F.size(pairs)
+
+    def taken(some: Column) -> Column:
+        pairs = F.array_distinct(F.flatten(F.transform(some, lambda x: x["pairs"])))
+        return F.struct(F.array_distinct(F.transform(some, lambda x: x["w"])).alias("w"), pairs.alias("pairs"))
+
+    def more(have: Column, x: Column) -> Column:
+        both = F.struct(F.array_union(have["w"], x["part"]["w"]).alias("w"), F.array_union(have["pairs"], x["part"]["pairs"]).alias("pairs"))
+        return F.when(one_value(both["pairs"]), both).otherwise(have)
+
+    def grown(seed: Column, lines: Column) -> Column:
+        near = F.array_sort(F.transform(lines, lambda x: F.struct(F.abs(x["off"] - seed["off"]).alias("far"), x["off"].alias("off"), x["part"].alias("part"))))
+        return F.aggregate(near, seed["part"], more)
+
+    offs = F.array_distinct(F.transform(hits, lambda x: x["off"]))
+    lines = F.transform(offs, lambda o: F.struct(o.alias("off"), taken(F.filter(hits, lambda x: x["off"] == o)).alias("part")))
+    lines = F.filter(lines, lambda x: one_value(x["part"]["pairs"]))
+    # an array of one array, so that the alignments are made once
+    seeds = F.flatten(F.transform(F.array(lines), lambda ls: F.transform(ls, lambda x: grown(x, ls))))
+    return F.when(one_value(taken(hits)["pairs"]), F.array(taken(hits))).otherwise(seeds)
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id",
     window: int = WINDOW, similarity: float = SIMILARITY, block: int = BLOCK,
@@ -103,22 +136,22 @@ def contaminated(
     # occurrences of one item in a document lie an item's length apart: two rows of strips, so that no occurrence is cut by both
     shift = (F.col("at") - F.col("i_at")).cast("double") / (2 * F.col("i_len"))
     strip = F.explode(F.array(F.struct(F.lit(0).alias("r"), F.floor(shift).alias("s")), F.struct(F.lit(1).alias("r"), F.floor(shift + 0.5).alias("s"))))
-    together = (
-        met.select("doc_id", "item_id", "reading", "w", "pairs", strip.alias("strip"))
+    enough = F.col("i_total") * similarity
+    return (
+        met.select("doc_id", "item_id", "reading", F.struct((F.col("at") - F.col("i_at")).alias("off"), "w", "pairs").alias("hit"), strip.alias("strip"))
         .groupBy("doc_id", "item_id", "reading", "strip")
-        .agg(F.count_distinct("w").alias("n"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+        .agg(F.collect_set("hit").alias("hits"))
         .join(F.broadcast(held) if total <= block else held, (F.col("item_id") == F.col("t_id")) & (F.col("reading") == F.col("t_reading")))
+        .filter(F.size(F.array_distinct("hits.w")) >= enough)
+        .select("doc_id", "item_id", "i_total", F.explode(agreeing(F.col("hits"))).alias("part"))
         .select(
-            "doc_id", "item_id", (F.col("n") / F.col("i_total")).alias("coverage"), F.size("pairs").alias("n_pairs"),
-            F.size(F.array_distinct(F.transform("pairs", lambda x: x["i_slot"]))).alias("n_slots"), F.forall("pairs", lambda x: x["i_slot"] == x["slot"]).alias("same_values"),
+            "doc_id", "item_id", (F.size("part.w") / F.col("i_total")).alias("coverage"), F.size("part.pairs").alias("n_slots"),
+            F.forall("part.pairs", lambda x: x["i_slot"] == x["slot"]).alias("same_values"),
         )
-    )
-    # consistent slots: one value in the document for each value of the item
-    return (
-        together.filter((F.col("coverage") >= similarity) & (F.col("n_pairs") == F.col("n_slots")))
+        .filter(F.col("coverage") >= similarity)
         .groupBy("doc_id", "item_id")
         .agg(F.max("coverage").alias("coverage"), F.max("n_slots").alias("n_slots"), F.max("same_values").alias("same_values"))
-    )
+    )
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:

@@ -86,3 +86,18 @@ def test_stage_and_empty(spark, docs, no_docs):
 def test_native(docs, spark):
     plan = contaminated(docs, make_items(spark, [(0, ITEM)]))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "ArrowEval", "Cartesian", "NestedLoop"))
+
+
+def test_repeated_templates_and_neighbours(spark):
+    """Windows met at another place of the item, or in a sentence of the same template, do not discard a copy."""
+    item = "A car goes 60 km in 2 hours and then a car goes 80 km in 3 hours before it stops for good near the old bridge at the end of the long road to town"
+    sums = "we add 3 plus 4 plus 5 plus 6 plus 7 plus 8 plus 9 and then we write the whole result down on paper"
+    other = item.replace("60", "50").replace("80", "90").replace("2 hours", "4 hours").replace("3 hours", "7 hours")
+    torn = ITEM.replace("Anna leaves", "Peter leaves")
+    texts = [
+        (1, "Some words. " + item + ". Some more."), (2, other), (3, item.replace("then a", "then later a")), (4, item + ". A car goes 10 km in 9 hours and then a car goes 11 km in 12 hours."),
+        (5, sums), (6, sums.replace("plus 6", "plus about 6")), (7, torn + " and a train goes 5 km in 6 hours"), (8, ITEM + ". He goes 77 km in 8 hours while Olaf reads 5 books how fast is it"),
+    ]
+    got = found(spark, texts, [(0, item), (1, sums), (2, ITEM)])
+    assert {(1, 0), (2, 0), (3, 0), (4, 0), (5, 1), (8, 2)} == set(got) - {(6, 1)}, got
+    assert got[1, 0]["same_values"] and got[1, 0]["coverage"] == 1 and got[4, 0]["same_values"] and not got[2, 0]["same_values"]
