@@ -32,25 +32,41 @@ MARK = "\u0001"
 def canonical(text: Column) -> Column:
     """Canonical words of a text, one space between them; a placeholder is MARK, its type and its value.
 
-    A name is a capitalised word that does not start a sentence, a number a run of digits with its
-    separators, a unit one of UNITS after a number. Case and punctuation go.
+    A name (p) is a capitalised word that does not start a sentence, a number (n) a run of digits with its
+    separators, a unit (u) one of UNITS after a number. MARK and q stand before a capitalised word that
+    starts a sentence or follows a quote or bracket, MARK and v before the mark of a capitalised word
+    that is one of UNITS after a number: readings() decides on those. Case and punctuation go.
     """
+    units = rf"(?i:{'|'.join(UNITS)})(?!\p{{L}})"
     t = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\s\x00-\x20\xa0]+", " ")
     # each pattern starts with what it finds, so that most places fail at once
     t = F.regexp_replace(t, r"(?=\p{Lu}\p{Ll})(?<=[\p{Ll}\p{N},;:] )", f"{MARK}p")
+    t = F.regexp_replace(t, rf"(?=\p{{Lu}}\p{{Ll}})(?<=(?:^| )[^\p{{L}}\p{{N}} {MARK}]{{0,3}})", f"{MARK}q")
     t = F.regexp_replace(t, rf"(?=\p{{N}})(?<![\p{{L}}\p{{N}}{MARK}])", f"{MARK}n")
-    t = F.regexp_replace(t, rf"({MARK}n[^ ]* )(?=(?:{'|'.join(UNITS)})(?!\p{{L}}))", f"$1{MARK}u")
+    t = F.regexp_replace(t, rf"({MARK}n[^ ]* )(?={units})", f"$1{MARK}u")
+    t = F.regexp_replace(t, rf"({MARK}n[^ ]* )(?={MARK}[pq]{units})", f"$1{MARK}v")
     t = F.regexp_replace(F.lower(t), rf"[^\p{{L}}\p{{M}}\p{{N}} {MARK}]+", "")
     return F.trim(F.regexp_replace(t, " +", " "))
 
 
 def readings(rows: DataFrame, text: str, keep: Column) -> DataFrame:
-    """(keep, reading, valued, words): a text with its names as placeholders, and where that differs with its names as words.
+    """(keep, reading, valued, words): a text with its names as placeholders (0), and where that differs with its names as words (1).
 
-    The second reading finds a text again whose case was changed. words: the template, without the values.
+    Reading 1 finds a text again whose case was changed. Reading 2 takes every capitalised word for a
+    name, those that start sentences too, but units in capitals for units. words: the template, without the values.
     """
+
+    def put(line: Column, *marks: tuple[str, str]) -> Column:
+        for mark, by in marks:
+            line = F.replace(line, F.lit(mark), F.lit(by))
+        return line
+
     rows = rows.select(keep.alias("k"), canonical(F.col(f"`{text}`")).alias("line"))
-    rows = rows.select("k", F.posexplode(F.array_distinct(F.array("line", F.replace("line", F.lit(f"{MARK}p"), F.lit(""))))).alias("reading", "line"))
+    names = put(F.col("line"), (f"{MARK}v", ""), (f"{MARK}q", ""))
+    all_names = put(F.col("line"), (f"{MARK}v{MARK}p", f"{MARK}u"), (f"{MARK}v{MARK}q", f"{MARK}u"), (f"{MARK}q", f"{MARK}p"))
+    lines = [F.struct(F.lit(k).alias("reading"), line.alias("line")) for k, line in enumerate((names, put(names, (f"{MARK}p", "")), all_names))]
+    kept = F.when(F.contains("line", F.lit(f"{MARK}p")), F.array(*lines)).otherwise(F.array(lines[0], lines[2]))
+    rows = rows.select("k", F.inline(kept))
     return rows.select("k", "reading", F.split("line", " ").alias("valued"), F.split(F.regexp_replace("line", rf"({MARK}[npu])[^ ]*", "$1"), " ").alias("words"))
 
 
@@ -102,7 +118,8 @@ def contaminated(
     """One row per document and benchmark item that it holds: doc_id, item_id, coverage, n_slots, same_values.
 
     coverage: share of the item's distinct windows that the document has together; n_slots: distinct
-    placeholder values of the item met in them; same_values: all of them are unchanged. Windows with
+    placeholder values of the item met in them; same_values: all of them are unchanged. They are those of
+    readings 0 and 1 if these find the item, else of reading 2. Windows with
     fewer than two plain words prove nothing and are left out; items without any other window are never
     found. Items shorter than a window are one window. NULL and empty texts hold nothing. Rows without
     a doc_id are one document to this operator, and so are rows that share one. Empty tables give no
@@ -121,13 +138,13 @@ def contaminated(
     total = known.count()
     held = known.groupBy(F.col("item_id").alias("t_id"), F.col("reading").alias("t_reading")).agg(F.count_distinct("win").alias("i_total"))
 
-    each = windows(readings(docs, text, F.col(f"`{doc_id}`")).select(F.col("k").alias("doc_id"), "valued", "words"), sizes, ["doc_id"])
+    each = windows(readings(docs, text, F.col(f"`{doc_id}`")).select(F.col("k").alias("doc_id"), (F.col("reading") == 2).alias("all_names"), "valued", "words"), sizes, ["doc_id", "all_names"])
     blocks = max(1, -(-total // block))
     met = []
     for k in range(blocks):
         part = known if blocks == 1 else known.filter(F.pmod("h", F.lit(blocks)) == k)
         met.append(
-            each.join(F.broadcast(part.withColumnsRenamed({"h": "i_h", "size": "i_size"})), (F.col("h") == F.col("i_h")) & (F.col("size") == F.col("i_size")))
+            each.join(F.broadcast(part.withColumnsRenamed({"h": "i_h", "size": "i_size"})), (F.col("h") == F.col("i_h")) & (F.col("size") == F.col("i_size")) & (F.col("all_names") == (F.col("reading") == 2)))
             .filter(F.slice("words", F.col("at"), F.col("size")) == F.col("win"))
             .select("doc_id", "item_id", "reading", "at", "i_at", "i_len", F.xxhash64("win").alias("w"), F.slice("valued", F.col("at"), F.col("size")).alias("slot"), "i_slot")
         )
@@ -143,14 +160,14 @@ def contaminated(
         .agg(F.collect_set("hit").alias("hits"))
         .join(F.broadcast(held) if total <= block else held, (F.col("item_id") == F.col("t_id")) & (F.col("reading") == F.col("t_reading")))
         .filter(F.size(F.array_distinct("hits.w")) >= enough)
-        .select("doc_id", "item_id", "i_total", F.explode(agreeing(F.col("hits"))).alias("part"))
+        .select("doc_id", "item_id", "reading", "i_total", F.explode(agreeing(F.col("hits"))).alias("part"))
         .select(
-            "doc_id", "item_id", (F.size("part.w") / F.col("i_total")).alias("coverage"), F.size("part.pairs").alias("n_slots"),
+            "doc_id", "item_id", "reading", (F.size("part.w") / F.col("i_total")).alias("coverage"), F.size("part.pairs").alias("n_slots"),
             F.forall("part.pairs", lambda x: x["i_slot"] == x["slot"]).alias("same_values"),
         )
         .filter(F.col("coverage") >= similarity)
         .groupBy("doc_id", "item_id")
-        .agg(F.max("coverage").alias("coverage"), F.max("n_slots").alias("n_slots"), F.max("same_values").alias("same_values"))
+        .agg(*[F.coalesce(F.max(F.when(F.col("reading") < 2, F.col(c))), F.max(c)).alias(c) for c in ("coverage", "n_slots", "same_values")])
     )
 
 

@@ -101,3 +101,16 @@ def test_repeated_templates_and_neighbours(spark):
     got = found(spark, texts, [(0, item), (1, sums), (2, ITEM)])
     assert {(1, 0), (2, 0), (3, 0), (4, 0), (5, 1), (8, 2)} == set(got) - {(6, 1)}, got
     assert got[1, 0]["same_values"] and got[1, 0]["coverage"] == 1 and got[4, 0]["same_values"] and not got[2, 0]["same_values"]
+
+
+def test_names_that_start_sentences_and_units_in_other_case(spark):
+    names = 'Anna has 5 apples. Anna buys 3 more at the market. "Anna eats 2 of them (Anna likes those) and sells the rest there." Anna then counts what is left'
+    units = "the old car goes 120 km in 2 hours and then it stops for 30 minutes near a bridge that is 40 m long"
+    peter = names.replace("Anna", "Peter").replace("5", "7")
+    texts = [
+        (1, names), (2, "Before it. " + peter), (3, "Before it, " + peter), (4, peter.replace("Peter eats", "Olaf eats")), (5, names.lower()),
+        (6, units.upper()), (7, units.replace("km", "KM").replace("hours", "Hours").replace("minutes", "Minutes")), (8, units.replace("km", "Miles").replace("hours", "DAYS")), (9, ITEM.upper()),
+    ]
+    got = found(spark, texts, [(0, names), (1, units), (2, ITEM)])
+    assert set(got) == {(1, 0), (2, 0), (3, 0), (5, 0), (6, 1), (7, 1), (8, 1), (9, 2)}, got
+    assert got[1, 0]["same_values"] and not got[2, 0]["same_values"]
