@@ -41,9 +41,14 @@ CLOSES = {"p": ("p",), "li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt",
 #: Block-level starts that end an open paragraph.
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 
-_TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z))", re.S)
+_TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=(?:\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)))?)*)(?:>|\Z))", re.S)
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s/=][^\s/=]*)(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s]+))?")
+#: A quick look whether any attribute may hide the element, and values of style that do.
+_MAY_HIDE = re.compile(r"hidden|display", re.I)
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
+#: An unquoted value at the end of a tag: a slash there belongs to it.
+_UNQUOTED = re.compile(r"=\s*[^\s\"'>]+\Z")
 _END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in SILENT}
 #: What telling class names, ids and roles hold.
 FURNITURE = re.compile(
@@ -53,12 +58,24 @@ FURNITURE = re.compile(
 APART = frozenset("nav aside footer form header menu dialog".split())
 
 
+def hides(attributes: str) -> bool:
+    """Whether the attributes of a tag hide its element: hidden, aria-hidden or a style without display."""
+    if not _MAY_HIDE.search(attributes):
+        return False
+    for name, value in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), value.strip("\"'")
+        if name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true") or (name == "style" and _NO_DISPLAY.search(value)):
+            return True
+    return False
+
+
 def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
     """(path of tags with their names, text, characters inside links) of every block with text, in page order."""
     out: list[tuple[tuple[str, ...], str, int]] = []
     stack: list[tuple[str, str, bool]] = []  # tag, tag with names, silent
     text: list[str] = []
     linked = links = silent = 0
+    endless: set[str] = set()  # no end of these in the rest of the page
 
     def flush() -> None:
         nonlocal linked
@@ -102,11 +119,14 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
         if tag in VOID:
             continue
         if tag in _END:
-            end = _END[tag].search(page, at)
+            closed = tag in ("svg", "math") and m[3].endswith("/") and not _UNQUOTED.search(m[3])
+            end = None if closed or tag in endless else _END[tag].search(page, at)
             if end:
                 at = end.end()
-            elif tag not in ("head", "title"):
+            elif tag in ("script", "style"):
                 at = size
+            elif not closed:
+                endless.add(tag)
             continue
         ends = CLOSES.get(tag, ()) if tag not in ENDS_P else ("p",)
         if ends:
@@ -118,7 +138,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
                     break
         attributes = m[3] or ""
         names = " ".join(f"{(a[1] or a[2] or a[3]).lower()}" for a in _NAMED.findall(attributes)) if "=" in attributes else ""
-        quiet = bool(attributes and _HIDDEN.search(attributes))
+        quiet = hides(attributes)
         stack.append((tag, f"{tag} {names}".strip(), quiet))
         links += tag == "a"
         silent += quiet

@@ -187,6 +187,21 @@ def test_blocks_of_broken_markup():
     assert [b[1] for b in H.blocks("a<script>never closed <p>x")] == ["a"]
 
 
+def test_blocks_keep_text_after_odd_tags():
+    def texts(page):
+        return [b[1] for b in H.blocks(page)]
+
+    for tag in ("<svg viewBox='0 0 1 1'/>", "<svg/>", "<math />", "<video/>", "<object>", "<button>", "<select>", "<video src=x>"):
+        assert texts(f"<p>one</p>{tag}<p>two</p>") == ["one", "two"], tag
+    assert texts("<p>one</p><svg/><p>two</p><svg>no</svg><p>three") == ["one", "two", "three"]
+    assert texts("<svg a=b/>no</svg><button>no</button><p>one") == ["one"]
+    for names in ("class='story hidden lg:block'", "title='The hidden valley'", "title=\"it is display: none\"", "title=it's", "class=a\"", "class='a'\"", "data-x=\"aria-hidden=true\""):
+        assert texts(f"<p {names}>one</p><p>two</p>") == ["one", "two"], names
+    for names in ("hidden", "HIDDEN=''", "class=a hidden", "style='color:red; display : none'", "aria-hidden=\"true\"", "aria-hidden=true", "id='x'hidden"):
+        assert texts(f"<div {names}>no</div><p>two</p>") == ["two"], names
+    assert texts("<a title='x>y' alt = \"a>b\">link</a>") == ["link"]
+
+
 def test_extraction_on_pages(spark):
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     got = op6_html_extraction(spark, SF).collect()
