@@ -5,7 +5,7 @@ vector: the hashed tags, classes and ids on its path, its hashed words, and a fe
 bidirectional LSTM in numpy reads the whole sequence and labels every block as main text or not, so
 that a block is judged with all that stands before and after it.
 
-Pages carry no labels. The labeller learns from weak ones: a bounded sample of pages whose markup says
+Pages carry no labels. The labeller learns from weak ones: a bounded sample of the pages whose markup says
 what is what (article or main against nav, aside, footer, form and telling class names). So that it
 does not lean on one template, every sampled page is also read in variants, with other
 containers, without some of the telling tags, and with more page furniture (comments, notices, side bars).
@@ -13,9 +13,11 @@ containers, without some of the telling tags, and with more page furniture (comm
 
 from __future__ import annotations
 
+import heapq
 import html as entities
 import re
 import zlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.llm.common import map_slices
+from candlelake.llm.common import map_slices, slices
 
 #: Bound of the sample of pages; blocks of a sampled page that teach; widths of the hashed parts and of the network.
 PAGES, TEACH, PATH, WORDS, HIDDEN = 160, 80, 96, 64, 16
@@ -341,27 +343,47 @@ class BlockLabeller:
 
 
 def fit(pages: DataFrame, html: str = "html", sample: int = PAGES) -> BlockLabeller | None:
-    """Learns from at most ``sample`` pages, drawn by a hash of their content; None if no page has a weak label of both kinds."""
-    total = pages.count()
-    rows = pages.select(F.col(f"`{html}`").alias("html")).filter(F.col("html").isNotNull())
-    draw = F.pmod(F.xxhash64("html"), F.lit(1 << 30))
-    rows = rows.filter(draw < int(min(1.0, 4 * sample / max(total, 1)) * (1 << 30))).select("html", F.xxhash64("html").alias("h"))
+    """Learns from the ``sample`` telling pages with the smallest hashes of their content; None if no page has a weak label of both kinds.
 
-    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+    All pages are read for that, whatever their number; copies count once.
+    """
+    rows = pages.select(F.col(f"`{html}`").alias("html")).filter(F.col("html").isNotNull()).select("html", F.xxhash64("html").alias("h"))
+
+    def told(page: str) -> tuple | None:
+        labels: dict[tuple[str, ...], int | None] = {}
         out = []
-        for page, h in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-            got = blocks(page)
-            labels = [weak_label(p) for p, _, _ in got]
-            told = [(r, y) for r, y in zip(got, labels) if y is not None][:TEACH]
-            if len({y for _, y in told}) == 2:
-                out.append((h, [list(r[0]) for r, _ in told], [r[1][:600] for r, _ in told], [r[2] for r, _ in told], [y for _, y in told]))
-        columns = list(zip(*out)) if out else [[]] * 5
-        return pa.RecordBatch.from_arrays(
+        for r in blocks(page):
+            if r[0] not in labels:
+                labels[r[0]] = weak_label(r[0])
+            if labels[r[0]] is not None:
+                out.append((r, labels[r[0]]))
+        out = out[:TEACH]
+        if len({y for _, y in out}) < 2:
+            return None
+        return [list(r[0]) for r, _ in out], [r[1][:600] for r, _ in out], [r[2] for r, _ in out], [y for _, y in out]
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the smallest hashes of the task, largest of them first out
+        held: dict[int, tuple] = {}
+        heap: list[int] = []
+        for part in slices(batches, "html"):
+            for page, h in zip(part.column(0), part.column(1).to_pylist()):
+                if h in held or (len(heap) >= sample and h > -heap[0]):
+                    continue
+                page = told(page.as_py())
+                if page:
+                    held[h] = page
+                    heapq.heappush(heap, -h)
+                    if len(heap) > sample:
+                        del held[-heapq.heappop(heap)]
+        columns = list(zip(*((h, *page) for h, page in held.items()))) or [[]] * 5
+        yield pa.RecordBatch.from_arrays(
             [pa.array(list(columns[k]), t) for k, t in enumerate((pa.int64(), pa.list_(pa.list_(pa.string())), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32())))],
             ["h", "path", "words", "linked", "label"],
         )
 
-    got = map_slices(rows, "html", "h bigint, path array<array<string>>, words array<string>, linked array<int>, label array<int>", work).orderBy("h").limit(sample).collect()
+    found = rows.mapInArrow(work, "h bigint, path array<array<string>>, words array<string>, linked array<int>, label array<int>")
+    got = found.dropDuplicates(["h"]).orderBy("h").limit(sample).collect()
     if not got:
         return None
     g, taught = np.random.default_rng(0), []

@@ -227,6 +227,31 @@ def test_extraction_of_other_templates(spark):
     assert H.extract_text(frame.limit(0)).count() == 0
 
 
+def test_few_telling_pages_among_many(spark):
+    """Teachers are looked for among all pages, and copies do not take their places."""
+    told = "<html><body><nav>Home {0}</nav><article><p>A long sentence number {0} stands here. It goes on.</p></article></body></html>"
+    html = [f"<div>page {k}</div>" for k in range(6000)] + [told.format(k) for k in range(6)] + [told.format("copy")] * 300
+    model = H.fit(spark.createDataFrame([(x,) for x in html], "html string").repartition(4))
+    assert model is not None
+    assert H.fit(spark.createDataFrame([(x,) for x in html[:50]], "html string")) is None
+    kept = []
+
+    class Seen(H.BlockLabeller):
+        def fit(self, pages, **options):
+            kept.extend(pages)
+            return self
+
+    whole, H.BlockLabeller = H.BlockLabeller, Seen
+    try:
+        H.fit(spark.createDataFrame([(x,) for x in html], "html string").repartition(4))
+        assert len(kept) == 3 * 7  # each page and two variants
+        kept.clear()
+        H.fit(spark.createDataFrame([(x,) for x in html], "html string").repartition(4), sample=5)
+        assert len(kept) == 3 * 5
+    finally:
+        H.BlockLabeller = whole
+
+
 def test_labeller_in_stretches():
     rng = np.random.default_rng(0)
     model, page = H.BlockLabeller(), rng.normal(size=(1300, H.WIDTH)).astype(np.float32)
