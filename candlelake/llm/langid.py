@@ -92,17 +92,19 @@ class KernelRidge:
 def fit(train: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> KernelRidge | None:
     """Fits on about ``per_language`` texts of each language, drawn by a hash of the text.
 
-    Copies of a text count once. Rows with a NULL text or language, or without a letter, teach
+    Copies of a text count once, in the draw too. Rows with a NULL text or language, or without a letter, teach
     nothing; None if there are none. The languages are taken to be few (their counts are collected).
     """
     rows = train.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")).filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    held = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    # texts, not rows: copies collapse below
+    held = {r["lang"]: r["count"] for r in rows.filter(F.col("text").rlike(r"\p{L}")).select("lang", "h").distinct().groupBy("lang").count().collect()}
     if not held:
         return None
     languages = sorted(held)
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
+    draw = F.pmod("h", F.lit(1 << 30))
     share = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(int(min(1.0, 1.5 * per_language / held[k]) * (1 << 30))))])
-    drawn = rows.filter(draw < share[F.col("lang")]).select("text", "lang", F.xxhash64("text").alias("h"))
+    drawn = rows.filter(draw < share[F.col("lang")]).select("text", "lang", "h")
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         bits, some = presence(part.column(0).to_pylist())

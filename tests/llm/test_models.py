@@ -46,6 +46,22 @@ def test_language_id_edges(spark, docs, no_docs):
     assert langid.language_id(no_docs, yes, yes).count() == 0
 
 
+def test_language_id_learns_under_heavy_copies(spark, monkeypatch):
+    """Copies do not take the places of a language's other texts."""
+    texts = [(f"aa words of text number {chr(97 + k // 26)}{chr(97 + k % 26)}{chr(97 + k % 7)}", "aa") for k in range(600)] + [("one and the same", "aa")] * 20000
+    texts += [(f"bb zeilen {chr(97 + k // 26)}{chr(97 + k % 26)}", "bb") for k in range(100) for _ in range(50)]
+    texts += [(f"cc {chr(97 + k // 26)}{chr(97 + k % 26)}", "cc") for k in range(20)] + [(str(k), "cc") for k in range(4000)]
+    seen = {}
+
+    class Seen(langid.KernelRidge):
+        def __init__(self, languages, rows, truth, **options):
+            seen.update({k: int((truth == i).sum()) for i, k in enumerate(languages)})
+
+    monkeypatch.setattr(langid, "KernelRidge", Seen)
+    langid.fit(spark.createDataFrame(texts, "text string, lang string").repartition(4))
+    assert 250 <= seen["aa"] <= 500 and seen["bb"] == 100 and seen["cc"] == 20
+
+
 def test_presence_kernel_against_sets():
     rng = random.Random(1)
     texts = ["".join(rng.choice("abc dé1") for _ in range(rng.randint(0, 12))) for _ in range(40)]
