@@ -7,6 +7,8 @@ import json
 
 from candlelake.schemas import LANDING
 
+#: The smallest of the given tables.
+SF_SMALL = "/root/testdata/sf0.001"
 SERIES = "Time Series (Daily)"
 
 

@@ -7,7 +7,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from candlelake.queries import QUERIES
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 TABLES = ("orders", "customer", "lineitem", "events")
 

@@ -13,7 +13,7 @@ from candlelake.session import new_path
 from candlelake.sources.fixtures import orders_bars
 from candlelake.sources.landing import read_landing, write_landing
 from candlelake.sources.tables import existing_keys
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 
 def _executed(df) -> str:

@@ -8,7 +8,7 @@ from candlelake.plans import run_full_reload
 from candlelake.session import new_path
 from candlelake.sources import fixtures as X
 from candlelake.sources.tables import read_target
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 GOLD = (
     "symbol string, bar_date date, open decimal(12,4), high decimal(12,4), low decimal(12,4), "

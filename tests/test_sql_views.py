@@ -6,7 +6,7 @@ from candlelake.plans import run_full_reload
 from candlelake.session import new_path
 from candlelake.sources import fixtures as X
 from candlelake.sources.views import register_employees_view, register_target_view
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 
 def test_reference_sql_on_stock_daily(spark):

@@ -4,7 +4,7 @@ from candlelake.session import new_path
 from candlelake.sources.landing import write_landing
 from candlelake.sources.tables import read_target
 from candlelake.streaming import start_incremental_stream, start_late_dedup_stream
-from helpers import day, doc, landing_df, rec
+from helpers import SF_SMALL, day, doc, landing_df, rec
 
 D = dt.date
 
@@ -56,7 +56,6 @@ def test_stream_equals_full_reload_if_replays_are_identical(spark):
     from candlelake.queries import TARGET_COLUMNS
     from candlelake.sources import fixtures as X
     from candlelake.sources.landing import read_landing
-    from conftest import SF_SMALL
 
     landing, streamed, batch = new_path(spark, "landing"), new_path(spark, "target"), new_path(spark, "target")
     write_landing(X.landing(spark, SF_SMALL), landing)
