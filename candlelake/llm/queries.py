@@ -15,6 +15,7 @@ from candlelake.llm.html_extract import extract_text
 from candlelake.llm.jaccard_join import jaccard_join
 from candlelake.llm.langid import language_id
 from candlelake.llm.lm_score import lm_scores
+from candlelake.llm.merkle import build, proofs, record_digest
 from candlelake.llm.packing import best_fit_packing
 from candlelake.llm.quality import quality_scores
 from candlelake.llm.substring_dedup import substring_dedup
@@ -67,6 +68,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"), learn=rest != 2, held_out=rest == 2)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf = record_digest(*fields, F.col("text"))
+    tampered = F.when(fold(F.col("doc_id"), 5) == 0, record_digest(*fields, lower_ascii(F.col("text")))).otherwise(leaf)
+    every = proofs(build(docs, F.col("doc_id"), F.col("source"), leaf, presented=tampered))
+    return every.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.col("siblings").cast("binary"), 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
@@ -78,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 M = MARK
@@ -158,7 +171,55 @@ SIMILAR = f"""
     FROM copies c LEFT JOIN classes k ON k.node = c.copy_of LEFT JOIN counted n ON n.a = c.copy_of
 """
 
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+def _record(text: str) -> str:
+    values = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return "sha256(" + " || ".join(f"coalesce(CAST(strlen({v}) AS VARCHAR) || ':' || {v}, '-')" for v in values) + ")"
+
+
+def _tree(start: str, group: str, up: int) -> str:
+    """CTEs {start}_1 to {start}_{up}: runs of 16 nodes, and the nodes of the next level; a group of one node stays as it is."""
+    out = []
+    for k in range(up):
+        below = f"{start}_{k}"
+        out.append(f"""{start}_r{k} AS (SELECT {group}, pos // 16 AS pos, (n + 15) // 16 AS m, n, list(h ORDER BY pos) AS hs FROM {below} GROUP BY {group}, pos // 16, n),
+    {start}_{k + 1} AS (SELECT {group}, pos, m AS n, CASE WHEN n > 1 THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h FROM {start}_r{k})""")
+    return ",\n    ".join(out)
+
+
+def _climb(start: str, group: str, up: int, first: str, name: str) -> str:
+    """CTEs {name}_1 to {name}_{up}: every leaf with its siblings and folded digest."""
+    out = [f"{name}_0 AS ({first})"]
+    for k in range(up):
+        out.append(f"""{name}_{k + 1} AS (
+        SELECT c.* REPLACE (c.pos // 16 AS pos, proof || array_to_string(hs[:c.pos % 16] || hs[c.pos % 16 + 2:], '') AS proof,
+            CASE WHEN n > 1 THEN sha256(array_to_string(hs[:c.pos % 16], '') || fold || array_to_string(hs[c.pos % 16 + 2:], '')) ELSE fold END AS fold)
+        FROM {name}_{k} c JOIN {start}_r{k} r ON r.pos = c.pos // 16 AND r.{group} IS NOT DISTINCT FROM c.{group})""")
+    return ",\n    ".join(out)
+
+
+#: For up to 16^6 documents a source and 16^3 sources.
+MERKLE = f"""
+    WITH leaves AS (
+        SELECT doc_id, source, {_record("text")} AS leaf,
+            CASE WHEN ({_CRC32}) % 5 = 0 THEN {_record("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ELSE {_record("text")} END AS bad
+        FROM documents
+    ),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM leaves),
+    s_0 AS (SELECT source, pos, n, leaf AS h FROM placed),
+    {_tree("s", "source", 6)},
+    t_0 AS (SELECT 0 AS top, source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n, h FROM s_6),
+    {_tree("t", "top", 3)},
+    {_climb("s", "source", 6, "SELECT doc_id, source, pos, leaf, bad AS fold, '' AS proof FROM placed", "c")},
+    {_climb("t", "top", 3, "SELECT doc_id, 0 AS top, t_0.pos, leaf, t_0.h AS subroot, fold, proof FROM c_6 JOIN t_0 ON t_0.source IS NOT DISTINCT FROM c_6.source", "d")}
+    SELECT doc_id, leaf, subroot, t_3.h AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = t_3.h AS verified FROM d_3 CROSS JOIN t_3
+"""
+
 ORACLES: dict[str, str] = {
+    "op13_merkle_manifest": MERKLE,
     "op8_substring_dedup": REPEATS,
     "op9_jaccard_join": SIMILAR,
     "op3_decontamination": DECONTAMINATION,
