@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlelake.llm.bpe import bpe_decode, bpe_encode
 from candlelake.llm.common import fold, lower_ascii, table
 from candlelake.llm.decontam import MARK, SIMILARITY, UNITS, contaminated
 from candlelake.llm.exact_dedup import exact_dedup
@@ -21,7 +22,7 @@ from candlelake.llm.quality import quality_scores
 from candlelake.llm.substring_dedup import substring_dedup
 from candlelake.llm.token_counts import token_counts
 
-BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
+BYTE_BPE, PIECE_BPE, MULTI_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken"
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +69,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"), learn=rest != 2, held_out=rest == 2)
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = public_tokenizers.path(MULTI_BPE), public_tokenizers.PATTERN
+    coded = bpe_decode(bpe_encode(table(spark, sf_dir, "documents"), path, pattern), path, pattern)
+    return coded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
@@ -90,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
+    "op12_byte_bpe": op12_byte_bpe,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
