@@ -3,7 +3,7 @@
 Rows are leaves, grouped (by source, say) and ordered by id in their group. Runs of ``fan`` leaves, then of
 nodes, become one node each until a group has one node, its subroot; the subroots, ordered by group,
 become the root in the same way. Every node is stored with its parent's name, its place there and the
-digests of its children. A recursive query then climbs these links to the root: at every node it appends the
+digests of its children one after the other. A recursive query then climbs these links to the root: at every node it appends the
 siblings to the proof and folds the digest of what was presented for a leaf. The leaves of one run share all
 siblings above their run, so one row climbs for a run, with the folded digest of each of its leaves.
 """
@@ -22,16 +22,19 @@ from candlelake.llm.common import stored
 FAN = 16
 #: Tree number of the nodes above the subroots.
 TOP = -1
-LEVEL = "tree bigint, level int, at bigint, n bigint, hash string, children array<string>"
+LEVEL = "tree bigint, level int, at bigint, n bigint, hash binary, children binary"
 
-#: Below the anchor, {nodes} has left and right of the place only through the join: the siblings at that node.
+#: Bytes of a digest. Tables hold digests as bytes; what is hashed is their lower-case hex text.
+WIDTH = 32
+
+#: One step joins a node's parent: the siblings are the bytes before and after the node's own digest among the parent's children.
 CLIMB = """
     WITH RECURSIVE climb(run, parent, place, hash, subroot, folds, proof) AS (
-        SELECT node, parent, place, hash, subroot, folds, '' FROM {runs}
+        SELECT node, parent, place, hash, subroot, folds, CAST('' AS BINARY) FROM {runs}
         UNION ALL
-        SELECT run, parent, place, hash, subroot, transform(folds, f -> sha2(concat(before, f, after), 256)), concat(proof, before, after) FROM (
+        SELECT run, parent, place, hash, subroot, transform(folds, f -> unhex(sha2(CAST(lower(hex(concat(before, f, after))) AS BINARY), 256))), concat(proof, before, after) FROM (
             SELECT c.run, n.parent, n.place, n.hash, coalesce(c.subroot, n.subroot) AS subroot, c.folds, c.proof,
-                   array_join(slice(n.children, 1, c.place), '') AS before, array_join(slice(n.children, c.place + 2, {fan}), '') AS after
+                   substring(n.children, 1, c.place * {width}) AS before, substring(n.children, c.place * {width} + {width} + 1) AS after
             FROM climb c JOIN {nodes} n ON n.node = c.parent
         )
     )
@@ -48,14 +51,24 @@ class Manifest:
     fan: int
 
 
-def sha(text: Column) -> Column:
-    return F.sha2(text.cast("binary"), 256)
+def hexed(digests: Column) -> Column:
+    return F.lower(F.hex(digests))
+
+
+def sha(digests: Column) -> Column:
+    """The digest (bytes) of digests (bytes, one after the other)."""
+    return F.unhex(F.sha2(hexed(digests).cast("binary"), 256))
+
+
+def joined(digests: Column) -> Column:
+    return F.aggregate(digests, F.unhex(F.lit("")), lambda have, x: F.concat(have, x))
 
 
 def record_digest(*fields: Column) -> Column:
-    """Digest of a record: each field is ``-`` if NULL, else its UTF-8 byte count, ``:`` and its value as text."""
+    """Digest of a record, as hex text: each field is ``-`` if NULL, else its UTF-8 byte count, ``:`` and its value as text."""
     texts = [f.cast("string") for f in fields]
-    return sha(F.concat(*[F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]))
+    record = F.concat(*[F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
+    return F.sha2(record.cast("binary"), 256)
 
 
 def numbered(rows: DataFrame, *order: str) -> DataFrame:
@@ -74,8 +87,8 @@ def numbered(rows: DataFrame, *order: str) -> DataFrame:
 def above(nodes: DataFrame, fan: int) -> DataFrame:
     """The next level over the trees that still have several nodes."""
     up = nodes.filter("n > 1").groupBy("tree", (F.col("level") + 1).alias("level"), F.floor(F.col("at") / fan).alias("up"), F.ceil(F.col("n") / fan).alias("n"))
-    up = up.agg(F.array_sort(F.collect_list(F.struct("at", "hash")))["hash"].alias("children"))
-    return up.select("tree", "level", F.col("up").alias("at"), "n", sha(F.array_join("children", "")).alias("hash"), "children")
+    up = up.agg(joined(F.array_sort(F.collect_list(F.struct("at", "hash")))["hash"]).alias("children"))
+    return up.select("tree", "level", F.col("up").alias("at"), "n", sha(F.col("children")).alias("hash"), "children")
 
 
 def levels(nodes: DataFrame, fan: int) -> list[DataFrame]:
@@ -87,14 +100,15 @@ def levels(nodes: DataFrame, fan: int) -> list[DataFrame]:
 
 
 def build(rows: DataFrame, doc_id: Column, group: Column, leaf: Column, presented: Column | None = None, fan: int = FAN) -> Manifest:
-    """The manifest of ``rows``, whose digests ``leaf`` are the leaves.
+    """The manifest of ``rows``, whose digests ``leaf`` (hex text of 256 bits) are the leaves.
 
     group and doc_id say which tree a leaf stands in and where; groups are ordered as UTF-8 bytes, ids ascend,
     NULL first in both. Rows of one group and id are ordered by their digests, so repeated rows are
     leaves of their own. ``presented`` is the digest of what a later reader found in the row's place
     (default: the leaf), which proofs() folds. Other columns are not read. An empty table has no nodes.
     """
-    base = stored(rows.select(group.alias("key"), doc_id.alias("doc_id"), leaf.alias("leaf"), (leaf if presented is None else presented).alias("presented")), "merkle-leaves")
+    found = leaf if presented is None else presented
+    base = stored(rows.select(group.alias("key"), doc_id.alias("doc_id"), F.unhex(leaf).alias("leaf"), F.unhex(found).alias("presented")), "merkle-leaves")
     seated = numbered(base, "key", "doc_id", "leaf")
     trees = numbered(seated.groupBy("key").agg(F.min("seat").alias("first"), F.count(F.lit(1)).alias("n")), "key")
     trees = trees.select(F.col("key").alias("_key"), F.col("seat").alias("tree"), "first", "n")
@@ -103,10 +117,10 @@ def build(rows: DataFrame, doc_id: Column, group: Column, leaf: Column, presente
     lone = F.col("leaves") == 1
     runs = runs.select(
         "tree", F.when(lone, 0).otherwise(1).alias("level"), F.col("up").alias("at"), F.ceil(F.col("leaves") / fan).alias("n"),
-        F.when(lone, F.col("kids")[0]["leaf"]).otherwise(sha(F.array_join(F.col("kids")["leaf"], ""))).alias("hash"), "kids", lone.alias("lone"),
+        F.when(lone, F.col("kids")[0]["leaf"]).otherwise(sha(joined(F.col("kids")["leaf"]))).alias("hash"), "kids", lone.alias("lone"),
     )
     runs = stored(runs, "merkle-runs")
-    lower = levels(runs.select("tree", "level", "at", "n", "hash", F.lit(None).cast("array<string>").alias("children")), fan)
+    lower = levels(runs.select("tree", "level", "at", "n", "hash", F.lit(None).cast("binary").alias("children")), fan)
     groups = trees.count()
     subroots = reduce(DataFrame.unionAll, lower).filter("n = 1")
     subroots = subroots.select(F.lit(TOP).cast("bigint").alias("tree"), F.lit(0).alias("level"), F.col("tree").alias("at"), F.lit(groups).cast("bigint").alias("n"), "hash", "children")
@@ -135,21 +149,23 @@ def proofs(manifest: Manifest) -> DataFrame:
     """
     spark, fan = manifest.nodes.sparkSession, manifest.fan
 
-    def split(kids: Column, place: Column) -> tuple[Column, Column]:
-        return F.array_join(F.slice(kids, F.lit(1), place), ""), F.array_join(F.slice(kids, place + 2, F.lit(fan)), "")
+    def split(place: Column) -> tuple[Column, Column]:
+        return F.col("leafs").substr(F.lit(1), place * WIDTH), F.col("leafs").substr(place * WIDTH + WIDTH + 1, F.lit(fan * WIDTH))
 
     def fold(kid: Column, place: Column) -> Column:
-        before, after = split(F.col("kids")["leaf"], place)
+        before, after = split(place)
         return F.when(F.col("lone"), kid["presented"]).otherwise(sha(F.concat(before, kid["presented"], after)))
 
-    runs = manifest.leaves.select("node", "parent", "place", "hash", "subroot", F.transform("kids", fold).alias("folds"))
+    leaves = manifest.leaves.withColumn("leafs", joined(F.col("kids")["leaf"]))
+    runs = leaves.select("node", "parent", "place", "hash", "subroot", F.transform("kids", fold).alias("folds"))
     limit = "spark.sql.cteRecursionRowLimit"
     before = spark.conf.get(limit)
     spark.conf.set(limit, "-1")  # a row per run and level, however large the table
     try:
-        climbed = stored(spark.sql(CLIMB, runs=runs, nodes=manifest.nodes, fan=fan), "merkle-climb")
+        climbed = stored(spark.sql(CLIMB, runs=runs, nodes=manifest.nodes, width=WIDTH), "merkle-climb")
     finally:
         spark.conf.set(limit, before)
-    every = manifest.leaves.select("node", F.col("kids")["leaf"].alias("leafs"), F.posexplode("kids").alias("k", "kid")).join(climbed, F.col("node") == F.col("run"))
-    own = split(F.col("leafs"), F.col("k"))
-    return every.select("kid.doc_id", "kid.leaf", "subroot", "root", F.concat(*own, "proof").alias("siblings"), F.col("folds")[F.col("k")].alias("folded_root"))
+    every = leaves.select("node", "leafs", F.posexplode("kids").alias("k", "kid")).join(climbed, F.col("node") == F.col("run"))
+    siblings = F.concat(*split(F.col("k")), "proof")
+    digests = {"leaf": F.col("kid.leaf"), "subroot": F.col("subroot"), "root": F.col("root"), "siblings": siblings, "folded_root": F.col("folds")[F.col("k")]}
+    return every.select("kid.doc_id", *[hexed(c).alias(name) for name, c in digests.items()])

@@ -13,6 +13,9 @@ def H(*parts):
     return hashlib.sha256("".join(parts).encode()).hexdigest()
 
 
+AA = H("a")
+
+
 def record(*values):
     return H(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in values])
 
@@ -72,11 +75,11 @@ def test_one_leaf_one_group_and_empty(spark, no_docs):
     def run(df):
         return proofs(build(df, F.col("doc_id"), F.col("source"), F.col("leaf"), fan=2)).collect()
 
-    one = spark.createDataFrame([(1, "s", "aa")], "doc_id bigint, source string, leaf string")
-    assert [tuple(r) for r in run(one)] == [(1, "aa", "aa", "aa", "", "aa")]
+    one = spark.createDataFrame([(1, "s", AA)], "doc_id bigint, source string, leaf string")
+    assert [tuple(r) for r in run(one)] == [(1, AA, AA, AA, "", AA)]
     # repeated rows in one group: leaves of their own
-    same = spark.createDataFrame([(1, None, "aa")] * 3, "doc_id bigint, source string, leaf string")
-    assert Counter(tuple(r) for r in run(same)) == Counter(brute([(1, None, "aa", "aa")] * 3, 2))
+    same = spark.createDataFrame([(1, None, AA)] * 3, "doc_id bigint, source string, leaf string")
+    assert Counter(tuple(r) for r in run(same)) == Counter(brute([(1, None, AA, AA)] * 3, 2))
     assert run(one.limit(0)) == []
     assert spark.conf.get("spark.sql.cteRecursionRowLimit") != "-1"
     assert proofs(build(no_docs, F.col("doc_id"), F.col("source"), F.col("text"))).count() == 0
