@@ -12,6 +12,7 @@ from candlelake.llm.bpe import bpe_decode, bpe_encode
 from candlelake.llm.common import fold, lower_ascii, table
 from candlelake.llm.decontam import MARK, SIMILARITY, UNITS, contaminated
 from candlelake.llm.exact_dedup import exact_dedup
+from candlelake.llm.hard_negatives import hard_negatives
 from candlelake.llm.html_extract import extract_text
 from candlelake.llm.jaccard_join import jaccard_join
 from candlelake.llm.langid import language_id
@@ -69,6 +70,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"), learn=rest != 2, held_out=rest == 2)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id"), label, F.col("embedding"), anchor=F.col("vec_id") % 50 == 0)
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(MULTI_BPE), public_tokenizers.PATTERN
     coded = bpe_decode(bpe_encode(table(spark, sf_dir, "documents"), path, pattern), path, pattern)
@@ -99,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_byte_bpe": op12_byte_bpe,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
@@ -228,7 +235,27 @@ MERKLE = f"""
     SELECT doc_id, leaf, subroot, t_3.h AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = t_3.h AS verified FROM d_3 CROSS JOIN t_3
 """
 
+#: A full scan: all rows against all anchors.
+NEGATIVES = """
+    WITH v AS (
+        SELECT row_number() OVER () AS k, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    scored AS (
+        SELECT a.k, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+        FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+    ),
+    best AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id) AS p FROM scored WHERE same QUALIFY p <= 5),
+    hard AS (
+        SELECT b.anchor_id, b.vec_id AS positive_id, row_number() OVER (PARTITION BY b.k, p ORDER BY n.score DESC, n.vec_id) AS rank, n.vec_id AS negative_id, b.score AS positive_score, n.score AS negative_score
+        FROM best b JOIN scored n ON n.k = b.k AND NOT n.same AND 50 * b.score <= 100 * n.score AND 100 * n.score <= 95 * b.score
+    )
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM hard WHERE rank <= 3
+"""
+
 ORACLES: dict[str, str] = {
+    "op11_hard_negatives": NEGATIVES,
     "op13_merkle_manifest": MERKLE,
     "op8_substring_dedup": REPEATS,
     "op9_jaccard_join": SIMILAR,
