@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 from candlelake.llm.components import components
-from candlelake.llm.jaccard_join import bands_for, forest, jaccard_join, one_of_each, shared_counts
+from candlelake.llm.jaccard_join import Meeting, bands_for, forest, jaccard_join, one_of_each, shared_counts, similar_classes
 from llm_tables import make_docs
 
 
@@ -51,6 +51,38 @@ def test_against_brute_force(spark, rows, block):
     every = [r for r in rows if r[0] != 5] + group
     got = {r["doc_id"]: (r["class_id"], r["copy_of"], r["n_links"]) for r in jaccard_join(make_docs(spark, every), block=block, recall=0.999999).collect() if r["doc_id"] is not None}
     assert got == brute(every)
+    classes = {r["doc_id"]: (r["class_id"], r["copy_of"]) for r in similar_classes(make_docs(spark, every), block=block, recall=0.999999).collect() if r["doc_id"] is not None}
+    assert classes == {i: c[:2] for i, c in brute(every).items()}
+
+
+def test_classes_that_no_tie_joins(spark):
+    """Two groups of texts that meet in buckets but are joined only by one pair between them, or by none."""
+    rng = random.Random(9)
+    base = [f"b{rng.randrange(900)}" for _ in range(200)]
+    far = [*base]
+    for k in range(0, 200, 29):  # about 0.7 similar to the first
+        far[k] = f"far{k}"
+    rows = [(k, edited(rng, base if k % 2 else far, rng.randint(0, 3))) for k in range(80)]
+    rows += [(1000 + k, edited(rng, [f"s{rng.randrange(900)}" for _ in range(100)], 0)) for k in range(5)]
+    bridge = [w if k % 58 else far[k] for k, w in enumerate(base)]
+    for every in (rows, [*rows, (500, " ".join(bridge))]):
+        for block in (256, 9):
+            got = {r["doc_id"]: (r["class_id"], r["copy_of"], r["n_links"]) for r in jaccard_join(make_docs(spark, every), block=block, recall=0.999999).collect()}
+            assert got == brute(every)
+
+
+def test_a_group_of_near_copies_needs_few_links(spark):
+    """Ties and links across classes grow with the members, not with their square."""
+    rng = random.Random(8)
+    base = [f"b{rng.randrange(900)}" for _ in range(150)]
+    rows = [(k, edited(rng, base, rng.randint(0, 3))) for k in range(400)]
+    for block in (256, 64):
+        meeting = Meeting(make_docs(spark, rows), 5, 0.8, 0.999, 5, "text", "doc_id", block, 400_000)
+        first = meeting.first_classes()
+        assert first.select("label").distinct().count() <= 3
+        assert meeting.across(first).filter("links = 0").count() <= 200
+        # a task of the counts sends a row per member, never pairs
+        assert meeting.inside(first).count() <= 400 * (400 // block + 3)
 
 
 def test_null_ids_repeats_and_empty(spark, docs, rows, no_docs):
