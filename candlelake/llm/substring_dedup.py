@@ -65,7 +65,7 @@ def stretches(words: np.ndarray, first: np.ndarray, window: int, prefix: int) ->
     back = np.cumprod(np.append(np.uint64(1), np.full(len(words), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64)))))
     total = np.append(np.uint64(0), np.cumsum(mix(words) * powers[:-1]))
     place = chosen[begin] - begin
-    context = mix((total[end + window] - total[begin]) * back[begin] + ((end - begin) * 64 + place).astype(np.uint64))
+    context = mix((total[end + window] - total[begin]) * back[begin] + ((end - begin) * (window - prefix + 1) + place).astype(np.uint64))
     return {"text": text[begin], "start": begin - first[text[begin]], "more": end - begin, "place": place, "anchor": gram[chosen[begin]], "context": context}
 
 
@@ -126,6 +126,8 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, text: str = "text", d
     share an id do not remove each other's words. An empty table gives no rows; other columns are not
     read. Words are compared by 64-bit hashes, a window by all of its words.
     """
+    prefix = min(prefix, window)
+    span = window - prefix + 1  # a stretch has at most so many windows; its first one's place and the others' number are kept in one number
     rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     rows = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
     named = rows.filter("doc_id is not null")
@@ -134,7 +136,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, text: str = "text", d
         s = stretches(*word_hashes(part.column(2), lower=False), window, prefix)
         at = pa.array(s["text"])
         return pa.RecordBatch.from_arrays(
-            [pa.array(s["anchor"].astype(np.int64)), pa.array(s["context"].astype(np.int64)), part.column(0).take(at), part.column(1).take(at), pa.array(s["start"] * 4096 + s["more"] * 64 + s["place"])],
+            [pa.array(s["anchor"].astype(np.int64)), pa.array(s["context"].astype(np.int64)), part.column(0).take(at), part.column(1).take(at), pa.array(s["start"] * span + s["more"])],
             ["anchor", "context", "doc_id", "row", "pos"],
         )
 
@@ -158,7 +160,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, text: str = "text", d
         kinds, pos, anchor = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(3))
         use = kinds > 0
         at, kinds, pos, anchor = at[use], kinds[use], pos[use].astype(np.int64), anchor[use]
-        start, size = pos // 4096, (pos // 64) % 64 + window
+        start, size = pos // span, pos % span + window
         begin = first[at] + start
         every_word = words[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
         return at, kinds, anchor, start, size, every_word
@@ -209,7 +211,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, text: str = "text", d
         raw, out = data.tobytes(), []
         for k in range(part.num_rows):
             a, b = int(first[k]), int(first[k + 1])
-            own = [(r["pos"] // 4096, (r["pos"] // 64) % 64) for r in part.column(3)[k].as_py() if r["kind"] == 0]
+            own = [(r["pos"] // span, r["pos"] % span) for r in part.column(3)[k].as_py() if r["kind"] == 0]
             at = np.array([x for x, _ in own] + (part.column(4)[k].as_py() or []), np.int64)
             more = np.zeros(len(at), np.int64)
             more[: len(own)] = [m for _, m in own]

@@ -74,3 +74,13 @@ def test_parts():
     for k, n in zip(where.tolist(), node.tolist()):
         assert named.setdefault(n, tuple(flat[k : k + 13])) == tuple(flat[k : k + 13])
     assert len(set(named.values())) == len(named)
+
+
+@pytest.mark.parametrize("window", [3, 72, 100, 150])
+@pytest.mark.parametrize("group", [4096, 1])
+def test_long_and_short_windows(spark, window, group):
+    rng = random.Random(window)
+    shared = [f"w{rng.randrange(60)}" for _ in range(260)]
+    rows = [(k, " ".join([f"o{rng.randrange(5000)}" for _ in range(30)] + shared[rng.randrange(20) :] + [f"o{rng.randrange(5000)}" for _ in range(30)])) for k in range(12)]
+    frame = substring_dedup(make_docs(spark, rows), window=window, group=group)
+    assert got(frame) == brute(rows, window) and frame.agg({"n_removed": "sum"}).first()[0] > 2000
