@@ -17,6 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candlelake.llm.common import stored
+
 #: Words of a window, share of an item's windows, and the item windows that are broadcast at a time.
 WINDOW, SIMILARITY, BLOCK = 5, 0.8, 50_000
 #: Words after a number that count as units.
@@ -111,19 +113,28 @@ def agreeing(hits: Column) -> Column:
     return F.when(one_value(taken(hits)["pairs"]), F.array(taken(hits))).otherwise(seeds)
 
 
-def contaminated(
-    docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id",
-    window: int = WINDOW, similarity: float = SIMILARITY, block: int = BLOCK,
-) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """One row per document and benchmark item that it holds: doc_id, item_id, coverage, n_slots, same_values.
 
     coverage: share of the item's distinct windows that the document has together; n_slots: distinct
     placeholder values of the item met in them; same_values: all of them are unchanged. They are those of
     readings 0 and 1 if these find the item, else of reading 2. Windows with
     fewer than two plain words prove nothing and are left out; items without any other window are never
-    found. Items shorter than a window are one window. NULL and empty texts hold nothing. Rows without
-    a doc_id are one document to this operator, and so are rows that share one. Empty tables give no
-    rows; other columns are not read. The benchmark is joined in blocks of about ``block`` windows, each broadcast.
+    found. Items shorter than a window are one window. NULL and empty texts hold nothing; texts of any length
+    are read whole. Each row is judged by its own text, also where rows share a doc_id or have none; rows that
+    repeat id and text are one document. Of equally good readings of an item none is preferred, the highest
+    figures count. Empty tables give no rows; other columns are not read. Options: those of found_items().
+    """
+    return found_items(docs, benchmark, **options).drop("row")
+
+
+def found_items(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id",
+    window: int = WINDOW, similarity: float = SIMILARITY, block: int = BLOCK,
+) -> DataFrame:
+    """contaminated() with ``row``, a hash of the document's text.
+
+    The benchmark is joined in blocks of about ``block`` windows, each broadcast.
     """
     items = readings(benchmark, item_text, F.col(f"`{item_id}`")).withColumnRenamed("k", "item_id").filter("words[0] <> ''")
     items = items.withColumn("short", F.least(F.size("words"), F.lit(window)))
@@ -134,11 +145,13 @@ def contaminated(
         "h", "size", "item_id", "reading", F.col("at").alias("i_at"), F.slice("words", F.col("at"), F.col("size")).alias("win"), F.slice("valued", F.col("at"), F.col("size")).alias("i_slot"),
         F.size("words").alias("i_len"),
     ).filter(plain >= F.least(F.lit(2), F.col("size")))
-    known = known.persist()
+    known = stored(known, "benchmark-windows")
     total = known.count()
     held = known.groupBy(F.col("item_id").alias("t_id"), F.col("reading").alias("t_reading")).agg(F.count_distinct("win").alias("i_total"))
 
-    each = windows(readings(docs, text, F.col(f"`{doc_id}`")).select(F.col("k").alias("doc_id"), (F.col("reading") == 2).alias("all_names"), "valued", "words"), sizes, ["doc_id", "all_names"])
+    own = F.struct(F.col(f"`{doc_id}`").alias("doc_id"), row_hash(text).alias("row"))
+    lines = readings(docs, text, own).select("k.doc_id", "k.row", (F.col("reading") == 2).alias("all_names"), "valued", "words")
+    each = windows(lines, sizes, ["doc_id", "row", "all_names"])
     blocks = max(1, -(-total // block))
     met = []
     for k in range(blocks):
@@ -146,7 +159,7 @@ def contaminated(
         met.append(
             each.join(F.broadcast(part.withColumnsRenamed({"h": "i_h", "size": "i_size"})), (F.col("h") == F.col("i_h")) & (F.col("size") == F.col("i_size")) & (F.col("all_names") == (F.col("reading") == 2)))
             .filter(F.slice("words", F.col("at"), F.col("size")) == F.col("win"))
-            .select("doc_id", "item_id", "reading", "at", "i_at", "i_len", F.xxhash64("win").alias("w"), F.slice("valued", F.col("at"), F.col("size")).alias("slot"), "i_slot")
+            .select("doc_id", "row", "item_id", "reading", "at", "i_at", "i_len", F.xxhash64("win").alias("w"), F.slice("valued", F.col("at"), F.col("size")).alias("slot"), "i_slot")
         )
     pairs = F.filter(F.arrays_zip("i_slot", "slot"), lambda x: x["i_slot"].startswith(MARK))
     met = reduce(DataFrame.unionAll, met).withColumn("pairs", pairs)
@@ -155,23 +168,27 @@ def contaminated(
     strip = F.explode(F.array(F.struct(F.lit(0).alias("r"), F.floor(shift).alias("s")), F.struct(F.lit(1).alias("r"), F.floor(shift + 0.5).alias("s"))))
     enough = F.col("i_total") * similarity
     return (
-        met.select("doc_id", "item_id", "reading", F.struct((F.col("at") - F.col("i_at")).alias("off"), "w", "pairs").alias("hit"), strip.alias("strip"))
-        .groupBy("doc_id", "item_id", "reading", "strip")
+        met.select("doc_id", "row", "item_id", "reading", F.struct((F.col("at") - F.col("i_at")).alias("off"), "w", "pairs").alias("hit"), strip.alias("strip"))
+        .groupBy("doc_id", "row", "item_id", "reading", "strip")
         .agg(F.collect_set("hit").alias("hits"))
         .join(F.broadcast(held) if total <= block else held, (F.col("item_id") == F.col("t_id")) & (F.col("reading") == F.col("t_reading")))
         .filter(F.size(F.array_distinct("hits.w")) >= enough)
-        .select("doc_id", "item_id", "reading", "i_total", F.explode(agreeing(F.col("hits"))).alias("part"))
+        .select("doc_id", "row", "item_id", "reading", "i_total", F.explode(agreeing(F.col("hits"))).alias("part"))
         .select(
-            "doc_id", "item_id", "reading", (F.size("part.w") / F.col("i_total")).alias("coverage"), F.size("part.pairs").alias("n_slots"),
+            "doc_id", "row", "item_id", "reading", (F.size("part.w") / F.col("i_total")).alias("coverage"), F.size("part.pairs").alias("n_slots"),
             F.forall("part.pairs", lambda x: x["i_slot"] == x["slot"]).alias("same_values"),
         )
         .filter(F.col("coverage") >= similarity)
-        .groupBy("doc_id", "item_id")
+        .groupBy("doc_id", "row", "item_id")
         .agg(*[F.coalesce(F.max(F.when(F.col("reading") < 2, F.col(c))), F.max(c)).alias(c) for c in ("coverage", "n_slots", "same_values")])
     )
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with all their columns."""
-    leaks = contaminated(docs, benchmark, doc_id=doc_id, **options).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, F.col(f"`{doc_id}`").eqNullSafe(F.col("_leak")), "left_anti")
+def row_hash(text: str) -> Column:
+    return F.xxhash64(F.col(f"`{text}`"))
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item, with all their columns; each is judged by its own text."""
+    leaks = found_items(docs, benchmark, doc_id=doc_id, text=text, **options).select(F.col("doc_id").alias("_leak"), F.col("row").alias("_leak_row")).distinct()
+    return docs.join(leaks, F.col(f"`{doc_id}`").eqNullSafe(F.col("_leak")) & (row_hash(text) == F.col("_leak_row")), "left_anti")

@@ -18,7 +18,7 @@ def exact_dedup(docs: DataFrame, text: Column, doc_id: str = "doc_id", keep: str
     ``text`` is the (normalised) text as a column of ``docs``; NULL counts as empty, so all NULL and
     empty texts are copies of each other. ``keep``: "min" or "max", the id that stays. A NULL id
     stays only in a group without any other id. Rows that repeat an id and its text count in
-    group_size each and share ``kept``. An empty table gives no rows; other columns are ignored.
+    group_size each and share ``kept``. Texts of any length are compared whole. An empty table gives no rows; other columns are ignored.
     """
     best = {"min": F.min, "max": F.max}[keep]
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("body")).select(
@@ -37,10 +37,15 @@ def exact_dedup(docs: DataFrame, text: Column, doc_id: str = "doc_id", keep: str
 
 
 def keep_one(docs: DataFrame, text: Column, doc_id: str = "doc_id", keep: str = "min") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their own columns, whatever these are called.
+    """The rows of ``docs`` that stay, one of each group, with all their own columns, whatever these are called.
 
-    Rows that repeat an id and its text stay or go together.
+    Of rows that repeat an id and its text one stays, whichever. NULL counts as an empty text.
     """
-    stay = exact_dedup(docs, text, doc_id, keep).filter("kept").select(F.col("doc_id").alias("_stay_id"), F.col("text_sha256").alias("_stay_sha")).distinct()
-    sha = F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
-    return docs.join(stay, (sha == F.col("_stay_sha")) & F.col(f"`{doc_id}`").eqNullSafe(F.col("_stay_id")), "left_semi")
+    stay = exact_dedup(docs, text, doc_id, keep).filter("kept").select(_key(F.col("text_sha256"), F.col("doc_id")).alias("_stay")).distinct()
+    name = "_key" + "_" * max(map(len, docs.columns), default=0)  # a name that no column has
+    keyed = docs.withColumn(name, _key(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256), F.col(f"`{doc_id}`")))
+    return keyed.join(stay, F.col(name) == F.col("_stay"), "left_semi").dropDuplicates([name]).drop(name)
+
+
+def _key(sha: Column, doc_id: Column) -> Column:
+    return F.concat_ws(":", sha, doc_id.cast("string"))

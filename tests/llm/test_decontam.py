@@ -114,3 +114,13 @@ def test_names_that_start_sentences_and_units_in_other_case(spark):
     got = found(spark, texts, [(0, names), (1, units), (2, ITEM)])
     assert set(got) == {(1, 0), (2, 0), (3, 0), (5, 0), (6, 1), (7, 1), (8, 1), (9, 2)}, got
     assert got[1, 0]["same_values"] and not got[2, 0]["same_values"]
+
+
+def test_rows_are_judged_one_by_one(spark):
+    """Rows without an id, or with one id, neither add up to a coverage nor go with each other."""
+    half = " ".join(ITEM.split()[:12]), " ".join(ITEM.split()[10:])
+    rows = [(None, "a clean text without an id"), (None, "Before it, " + ITEM), (5, half[0]), (5, half[1]), (None, half[0]), (None, half[1]), (6, ITEM), (6, "another clean text"), (7, None), (None, None), (8, ITEM), (8, ITEM)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = [tuple(r) for r in without_leaks(docs, make_items(spark, [(0, ITEM)])).collect()]
+    assert sorted(kept, key=str) == sorted([r for r in rows if ITEM not in (r[1] or "")], key=str)
+    assert contaminated(docs, make_items(spark, [(0, ITEM)])).count() == 3

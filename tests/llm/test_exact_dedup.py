@@ -32,10 +32,17 @@ def test_keep_one_has_all_columns(docs):
     kept = keep_one(docs, lower_ascii(F.col("text")), keep="max")
     assert kept.schema == docs.schema
     texts = [r["text"] for r in kept.filter("doc_id < 10").collect()]
-    assert texts.count("same text HERE") == 2  # rows that repeat id and text stay together
+    assert texts.count("same text HERE") == 1  # of rows that repeat id and text one stays
     assert "Same Text here" not in texts
 
 
+def test_one_row_of_each_group_stays(spark):
+    rows = [(1, "a", "p"), (1, "a", "q"), (1, "A", "r"), (2, "b", "s"), (None, "c", "t"), (None, "C", "u"), (None, None, "v"), (3, "", "w"), (1, "b", "x")]
+    kept = keep_one(spark.createDataFrame(rows, "doc_id bigint, text string, _key string"), lower_ascii(F.col("text")), keep="max").collect()
+    assert sorted((r["doc_id"] or 0, (r["text"] or "").lower()) for r in kept) == [(0, "c"), (1, "a"), (2, "b"), (3, "")]
+    assert all(tuple(r) in rows for r in kept)
+
+
 def test_empty(no_docs):
     assert exact_dedup(no_docs, F.col("text")).count() == 0
     assert keep_one(no_docs, F.col("text")).count() == 0

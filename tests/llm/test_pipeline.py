@@ -57,6 +57,37 @@ def test_stages_against_brute_force(spark):
             assert next(r["ids_crc32"] for r in packed if r["doc_id"] == i) == zlib.crc32(raw)
 
 
+def test_edge_rows_through_all_stages(spark, rows, tmp_path):
+    """Nulls in any column, empty and very long texts, repeated rows and ids: no crash, no clean document lost, nothing twice."""
+    item = "A train with Anna leaves at 9 and goes 120 km in 2 hours while Anna reads 3 books how fast is it"
+    texts = [(r[0], r[1]) for r in rows] + [(700, "x y " * 60_000), (700, "x y " * 60_000), (701, "see " + item), (None, "see " + item.lower()), (702, "w" * 300_000)]
+    docs = spark.createDataFrame([(i, t, None, None if k % 3 else "s", len(t or "")) for k, (i, t) in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.repartition(3).write.parquet(f"{tmp_path}/full/documents.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    labels = [(100 + k, k % 2, 0) for k in range(60)] + [(None, 1, 0), (100, None, None), (99999, 1, 1)]
+    for d in ("full", "none"):
+        spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/{d}/labels.parquet")
+        spark.createDataFrame([(1, item), (None, "five words of another item"), (2, None), (3, "")], "item_id bigint, text string").write.parquet(f"{tmp_path}/{d}/benchmark.parquet")
+    kept = spark.read.parquet(f"{tmp_path}/full/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        if name == "quality":  # its labels are arbitrary here
+            assert stage(spark, kept, f"{tmp_path}/full").schema == kept.schema
+            continue
+        before = kept.select("doc_id", "text").collect()
+        kept = stage(spark, kept, f"{tmp_path}/full").cache()
+        assert kept.columns == docs.columns
+        after = kept.select("doc_id", "text").collect()
+        if name == "exact_copies":
+            assert sorted(((r["text"] or "").lower() for r in after)) == sorted({(r["text"] or "").lower() for r in before})
+        if name == "benchmark_leaks":
+            assert {r["doc_id"] for r in before} - {r["doc_id"] for r in after} == {701} and item.lower() not in {(r["text"] or "")[4:] for r in after}
+    packed = corpus_pipeline.packing(spark, kept, "")
+    assert packed.count() > 300 and packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 1024").count() == 0
+    empty = spark.read.parquet(f"{tmp_path}/none/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, f"{tmp_path}/none").count() == 0
+
+
 def test_groups_agree(spark):
     """Exact copies are always in one class of the similarity join."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
