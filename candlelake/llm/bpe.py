@@ -7,7 +7,7 @@ is stored for a prefix depends on nothing behind it, so appended text only adds
 edit they are computed anew from the edit on, until as many equal old ones in a row as the longest
 token has bytes.
 
-Distinct pieces are encoded once per slice, all prefixes of one length at a time in numpy; pieces of
+Distinct pieces are encoded together, all prefixes of one length at a time in numpy; pieces of
 many bytes one after the other, in time linear in their length.
 """
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlelake.llm.common import map_slices, slices
+from candlelake.llm.tokens import RUN, WORDS
 
-#: Bytes of a slice of text; longest piece that goes through numpy; bytes of such pieces at a time; pieces that a worker remembers.
-SLICE, SHORT, BATCH, REMEMBERED = 2_000_000, 64, 1_000_000, 400_000
+#: Bytes of a slice of text; longest piece that goes through numpy; bytes of such pieces at a time; units that a worker remembers.
+SLICE, SHORT, BATCH, REMEMBERED = 4_000_000, 64, 300_000, 600_000
+#: Ids that are decoded at a time (a longer list is decoded alone).
+IDS = 500_000
 #: Characters beyond its own end that a match of the pattern may look at.
 REACH = 3
 NEVER = np.iinfo(np.int64).max
@@ -106,7 +110,6 @@ class Vocabulary:
         self.sizes, self.is_alone, self.made_at, self.left_of, self.right_of = (x.tolist() for x in (self.size, self.alone, self.made, self.left, self.right))
         self.agreed: dict[int, bool] = {}
         self.memo_keys, self.memo = np.full(1 << 21, -1, np.int64), np.zeros(1 << 21, bool)
-        self.known: dict[bytes, np.ndarray] = {}
 
     def merged(self, piece: bytes, least: int = 1) -> list[bytes]:
         """The definition: the neighbours of lowest rank are joined, the leftmost first, until ``least`` parts are left."""
@@ -293,67 +296,154 @@ class Vocabulary:
 
     def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all pieces one after the other, ids of each)."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [p for p in pieces if p not in self.ranks and p not in self.known]
-        small = [p for p in new if len(p) <= SHORT]
-        k = 0
-        while k < len(small):
-            some, held = [], 0
-            while k < len(small) and held < BATCH:
-                some.append(small[k])
-                held += len(small[k])
-                k += 1
-            ids, sizes = self.short(some)
-            self.known.update(zip(some, np.split(ids.astype(np.int32), np.cumsum(sizes)[:-1])))
-        long = {p: np.array(self.read(self.prefixes(p)[0], p), np.int32) for p in new if len(p) > SHORT}
-        out = []
-        for p in pieces:
-            rank = self.ranks.get(p)
-            out.append(np.array([rank], np.int32) if rank is not None else long[p] if len(p) > SHORT else self.known[p])
-        sizes = np.array([len(x) for x in out], np.int64)
-        return np.concatenate([np.empty(0, np.int32), *out]), sizes
+        rank = np.fromiter((self.ranks.get(p, -1) for p in pieces), np.int64, len(pieces))
+        length = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        sizes, parts = np.ones(len(pieces), np.int64), [(np.flatnonzero(rank >= 0), rank[rank >= 0])]
+        small = np.flatnonzero((rank < 0) & (length <= SHORT))
+        for some in np.split(small, np.flatnonzero(np.diff(np.cumsum(length[small]) // BATCH)) + 1):
+            found, sizes[some] = self.short([pieces[k] for k in some.tolist()])
+            parts.append((some, found))
+        for k in np.flatnonzero((rank < 0) & (length > SHORT)).tolist():
+            found = np.array(self.read(self.prefixes(pieces[k])[0], pieces[k]), np.int64)
+            sizes[k] = len(found)
+            parts.append((np.array([k]), found))
+        place, out = np.cumsum(sizes) - sizes, np.empty(int(sizes.sum()), np.int32)
+        for at, found in parts:
+            n = sizes[at]
+            out[np.repeat(place[at] - (np.cumsum(n) - n), n) + np.arange(len(found))] = found
+        return out, sizes
+
+
+class Tokens:
+    """The bytes of tokens by id, for decoding."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens = [b""] * (max(ranks.values()) + 1)
+        for t, k in ranks.items():
+            tokens[k] = t
+        self.table = np.frombuffer(b"".join(tokens), np.uint8)
+        self.size = np.array([len(t) for t in tokens], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
 
-    def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join([self.tokens[k] for k in ids])
+    def decode(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of all tokens, one after the other."""
+        n = self.size[ids]
+        return self.table[np.repeat(self.begin[ids] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
 
 
-class Codes(dict):
+class Numbers(dict):
     """Numbers new keys in the order in which they come."""
 
-    def __missing__(self, key):
+    def __missing__(self, key: str) -> int:
         self[key] = n = len(self)
         return n
 
 
 class Coder:
-    """A vocabulary with the pattern that cuts texts into pieces."""
+    """A vocabulary with the pattern that cuts texts into pieces.
+
+    With the plain pattern a match begins at each space that no white space precedes. Texts are first cut
+    there, and the ids of these units are remembered, up to a bound.
+    """
 
     def __init__(self, path: str, pattern: str):
         import regex
 
-        with open(path, "rb") as f:
-            self.words = Vocabulary({base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())})
+        self.words = Vocabulary(read_ranks(path))
         # white space is the Unicode property, as in the libraries' regular expressions
         self.pattern = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
+        self.plain = pattern == WORDS
+        self.forget()
+
+    def forget(self) -> None:
+        self.units, self.ids, self.sizes = Numbers(), np.empty(0, np.int32), np.empty(0, np.int64)
+
+    def cut(self, texts: list[str], joined: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, ids of each), piece by piece.
+
+        joined: the texts may be matched as one, since each starts with a space and ends with no white space.
+        """
+        numbers = Numbers()
+        if joined:
+            pieces = self.pattern.findall("".join(texts))
+            ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+            counts = np.searchsorted(ends, np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts))), "right")
+            every = np.fromiter(map(numbers.__getitem__, pieces), np.int64, len(pieces))
+            counts = np.append(0, counts)
+        else:
+            every, counts = [], [0]
+            for t in texts:
+                every.extend(map(numbers.__getitem__, self.pattern.findall(t)))
+                counts.append(len(every))
+        ids, sizes = self.words.encode([p.encode() for p in numbers])
+        flat, ends = gathered(ids, sizes, np.asarray(every, np.int64))
+        return flat, np.diff(ends[counts])
+
+    def known(self, units: list[str]) -> np.ndarray:
+        """Numbers of units (a space, then characters of which the last is no white space) whose ids are remembered from now on."""
+        before = len(self.units)
+        out = np.fromiter(map(self.units.__getitem__, units), np.int64, len(units))
+        if len(self.units) > before:
+            ids, sizes = self.cut(list(islice(self.units, before, None)), joined=True)
+            self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+        return out
 
-    def encode(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, where each text starts: one more than texts). NULL is empty."""
-        codes, every, counts = Codes(), [], [0]
-        for t in texts:
-            pieces = self.pattern.findall(t) if t else []
-            every.extend(map(codes.__getitem__, pieces))
-            counts.append(len(every))
-        ids, sizes = self.words.encode([p.encode() for p in codes])
-        begin = np.cumsum(sizes) - sizes
-        code = np.array(every, np.int64)
-        size = sizes[code] if len(code) else np.zeros(0, np.int64)
-        ends = np.concatenate([[0], np.cumsum(size)])
-        flat = ids[np.repeat(begin[code] - ends[:-1], size) + np.arange(ends[-1])] if len(code) else ids[:0]
-        return flat, ends[counts]
+        if len(self.units) > REMEMBERED:
+            self.forget()
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        n = len(texts)
+        # units must not end with white space
+        odd = pc.match_substring_regex(texts, f"{RUN}|{RUN[:-1]}$").to_numpy(zero_copy_only=False) if self.plain else np.ones(n, bool)
+        sizes, parts = np.zeros(n, np.int64), []
+        if not odd.all():
+            at = np.flatnonzero(~odd)
+            split = pc.split_pattern(texts.take(pa.array(at)), " ")
+            edges = split.offsets.to_numpy() - split.offsets[0].as_py()
+            coded = split.flatten().dictionary_encode()
+            names = coded.dictionary.to_pylist()
+            code = coded.indices.to_numpy().astype(np.int64)
+            first = np.zeros(len(code), bool)
+            first[edges[:-1]] = True  # without a space before it
+            inner, heads = np.unique(code[~first]), np.unique(code[first])
+            number = np.zeros(len(names), np.int64)
+            number[inner] = self.known([" " + names[k] for k in inner.tolist()])
+            ids, size = self.cut([names[k] for k in heads.tolist()])
+            code[first] = len(self.sizes) + np.searchsorted(heads, code[first])
+            code[~first] = number[code[~first]]
+            flat, ends = gathered(np.concatenate([self.ids, ids]), np.concatenate([self.sizes, size]), code)
+            sizes[at] = np.diff(ends[edges])
+            parts.append((at, flat))
+        if odd.any():
+            at = np.flatnonzero(odd)
+            flat, sizes[at] = self.cut(texts.take(pa.array(at)).to_pylist())
+            parts.append((at, flat))
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        if len(parts) == 1:
+            return parts[0][1], starts
+        out = np.empty(starts[-1], np.int32)
+        for at, flat in parts:
+            size = sizes[at]
+            out[np.repeat(starts[at] - (np.cumsum(size) - size), size) + np.arange(len(flat))] = flat
+        return out, starts
+
+
+def gathered(ids: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the ids of the entries ``which`` one after the other, where each starts: one more than entries)."""
+    size = sizes[which]
+    ends = np.concatenate([[0], np.cumsum(size)])
+    begin = np.cumsum(sizes) - sizes
+    return ids[np.repeat(begin[which] - ends[:-1], size) + np.arange(ends[-1])], ends
+
+
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
 _CODERS: dict[tuple[str, str], Coder] = {}
+_TOKENS: dict[str, Tokens] = {}
 
 
 def coder(path: str, pattern: str) -> Coder:
@@ -372,7 +462,7 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, text: str = "text", doc
     """
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        ids, starts = coder(path, pattern).encode(part.column(1).to_pylist())
+        ids, starts = coder(path, pattern).encode(part.column(1))
         lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))
         return pa.RecordBatch.from_arrays([part.column(0), lists], ["doc_id", "ids"])
 
@@ -380,20 +470,31 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, text: str = "text", doc
     return map_slices(rows, "text", "doc_id bigint, ids array<int>", work, SLICE)
 
 
-def bpe_decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
+def bpe_decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` (doc_id, ids) with ``decoded``, the bytes. NULL ids are none; a list with an id that the vocabulary lacks, or with a NULL, gives NULL."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = coder(path, pattern).words
-        n = len(words.tokens)
+        if path not in _TOKENS:
+            _TOKENS[path] = Tokens(read_ranks(path))
+        words = _TOKENS[path]
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):  # few at a time: their bytes are several times their ids
-                part = batch.slice(k, 256)
-                out = []
-                for ids in part.column(1).to_pylist():
-                    fit = ids is None or all(i is not None and 0 <= i < n and words.tokens[i] for i in ids)
-                    out.append(words.decode(ids or ()) if fit else None)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.binary())], ["doc_id", "ids", "decoded"])
+            # few rows at a time: their bytes are several times their ids
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+            cuts = np.unique(np.append(np.searchsorted(ends, np.arange(0, ends[-1] if len(ends) else 0, IDS), "right"), [0, batch.num_rows])).tolist()
+            for a, b in zip(cuts, cuts[1:]):
+                part = batch.slice(a, b - a)
+                lists = part.column(1)
+                ids = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+                held = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                good = (ids >= 0) & (ids < len(words.size))
+                ids = np.where(good, ids, 0)
+                good &= words.size[ids] > 0
+                row = np.repeat(np.arange(len(held)), held)
+                raw, size = words.decode(ids), np.bincount(row, words.size[ids], len(held)).astype(np.int64)
+                at = np.concatenate([[0], np.cumsum(size)])
+                bad = np.bincount(row[~good], minlength=len(held)) > 0
+                buffers = [pa.array(~bad).buffers()[1], pa.py_buffer(at.astype(np.int32)), pa.py_buffer(raw)]
+                yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.Array.from_buffers(pa.binary(), len(held), buffers)], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids array<int>, decoded binary")
 
