@@ -27,7 +27,7 @@ from candlelake.llm.common import map_slices, slices
 from candlelake.llm.tokens import RUN, WORDS
 
 #: Bytes of a slice of text; longest piece that goes through numpy; bytes of such pieces at a time; units that a worker remembers.
-SLICE, SHORT, BATCH, REMEMBERED = 4_000_000, 64, 300_000, 600_000
+SLICE, SHORT, BATCH, REMEMBERED = 2_000_000, 64, 300_000, 200_000
 #: Ids that are decoded at a time (a longer list is decoded alone).
 IDS = 500_000
 #: Characters beyond its own end that a match of the pattern may look at.
@@ -175,7 +175,7 @@ class Vocabulary:
                     x, limit = self.right_of[x], t
                 else:
                     y, limit = self.left_of[y], u + 1
-            if len(self.agreed) > 2_000_000:
+            if len(self.agreed) > 200_000:
                 self.agreed.clear()
             self.agreed[key] = known
         return known
@@ -453,10 +453,28 @@ def coder(path: str, pattern: str) -> Coder:
     return _CODERS[path, pattern]
 
 
-def bpe_encode(docs: DataFrame, path: str, pattern: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def decoded(path: str, lists: pa.Array) -> pa.Array:
+    """The bytes of lists of ids; NULL is an empty list, and a list with an id that the vocabulary lacks, or with a NULL, gives NULL."""
+    if path not in _TOKENS:
+        _TOKENS[path] = Tokens(read_ranks(path))
+    words = _TOKENS[path]
+    ids = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    held = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    good = (ids >= 0) & (ids < len(words.size))
+    ids = np.where(good, ids, 0)
+    good &= words.size[ids] > 0
+    row = np.repeat(np.arange(len(held)), held)
+    raw, size = words.decode(ids), np.bincount(row, words.size[ids], len(held)).astype(np.int64)
+    at = np.concatenate([[0], np.cumsum(size)])
+    bad = np.bincount(row[~good], minlength=len(held)) > 0
+    return pa.Array.from_buffers(pa.binary(), len(held), [pa.array(~bad).buffers()[1], pa.py_buffer(at.astype(np.int32)), pa.py_buffer(raw)])
+
+
+def bpe_encode(docs: DataFrame, path: str, pattern: str, text: str = "text", doc_id: str = "doc_id", decode: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, ids (array of int), as the tiktoken library's encode_ordinary gives them.
 
-    path: a file of ranks; pattern: what cuts texts into pieces (it may look REACH characters beyond a match). NULL
+    path: a file of ranks; pattern: what cuts texts into pieces (it may look REACH characters beyond a match).
+    decode: the ids are decoded again in the same task, as ``decoded`` (bytes). NULL
     and empty texts have no ids; a text of any length is encoded whole; rows with equal ids or
     texts are encoded each for itself. An empty table gives no rows; other columns are not read.
     """
@@ -464,37 +482,24 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, text: str = "text", doc
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         ids, starts = coder(path, pattern).encode(part.column(1))
         lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))
-        return pa.RecordBatch.from_arrays([part.column(0), lists], ["doc_id", "ids"])
+        more = [decoded(path, lists)] if decode else []
+        return pa.RecordBatch.from_arrays([part.column(0), lists, *more], ["doc_id", "ids", "decoded"][: 2 + decode])
 
     rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    return map_slices(rows, "text", "doc_id bigint, ids array<int>", work, SLICE)
+    return map_slices(rows, "text", "doc_id bigint, ids array<int>" + ", decoded binary" * decode, work, SLICE)
 
 
 def bpe_decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` (doc_id, ids) with ``decoded``, the bytes. NULL ids are none; a list with an id that the vocabulary lacks, or with a NULL, gives NULL."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _TOKENS:
-            _TOKENS[path] = Tokens(read_ranks(path))
-        words = _TOKENS[path]
         for batch in batches:
             # few rows at a time: their bytes are several times their ids
             ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
             cuts = np.unique(np.append(np.searchsorted(ends, np.arange(0, ends[-1] if len(ends) else 0, IDS), "right"), [0, batch.num_rows])).tolist()
             for a, b in zip(cuts, cuts[1:]):
                 part = batch.slice(a, b - a)
-                lists = part.column(1)
-                ids = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-                held = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-                good = (ids >= 0) & (ids < len(words.size))
-                ids = np.where(good, ids, 0)
-                good &= words.size[ids] > 0
-                row = np.repeat(np.arange(len(held)), held)
-                raw, size = words.decode(ids), np.bincount(row, words.size[ids], len(held)).astype(np.int64)
-                at = np.concatenate([[0], np.cumsum(size)])
-                bad = np.bincount(row[~good], minlength=len(held)) > 0
-                buffers = [pa.array(~bad).buffers()[1], pa.py_buffer(at.astype(np.int32)), pa.py_buffer(raw)]
-                yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.Array.from_buffers(pa.binary(), len(held), buffers)], ["doc_id", "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), decoded(path, part.column(1))], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids array<int>, decoded binary")
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlelake.llm.bpe import bpe_decode, bpe_encode
+from candlelake.llm.bpe import bpe_encode
 from candlelake.llm.common import fold, lower_ascii, table
 from candlelake.llm.decontam import MARK, SIMILARITY, UNITS, contaminated
 from candlelake.llm.exact_dedup import exact_dedup
@@ -77,7 +77,7 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(MULTI_BPE), public_tokenizers.PATTERN
-    coded = bpe_decode(bpe_encode(table(spark, sf_dir, "documents"), path, pattern), path)
+    coded = bpe_encode(table(spark, sf_dir, "documents"), path, pattern, decode=True)
     return coded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )

@@ -99,6 +99,8 @@ def test_whole_tables(spark, docs, rows, no_docs, library):
     want = [(i, library.encode_ordinary(t or ""), (t or "").encode()) for i, t, *_ in rows]
     order = lambda x: (x[0] is None, x[0] or 0, x[2])
     assert sorted(((r["doc_id"], r["ids"], bytes(r["decoded"])) for r in got), key=order) == sorted(want, key=order)
+    both = bpe_encode(docs, PATH, PATTERN, decode=True).collect()
+    assert sorted(((r["doc_id"], r["ids"], bytes(r["decoded"])) for r in both), key=order) == sorted(want, key=order)
     assert bpe_encode(no_docs, PATH, PATTERN).count() == 0 == bpe_decode(bpe_encode(no_docs, PATH, PATTERN), PATH).count()
 
 
