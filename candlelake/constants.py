@@ -47,3 +47,4 @@ REJECT_BODY = "unparseable_body"
 REJECT_DAY = "bad_day"
 REJECT_DATE = "bad_date"
 REJECT_SYMBOL = "null_symbol"
+REJECT_FUTURE = "future_date"

@@ -1,13 +1,15 @@
 """Response documents whose data values (dates) are JSON keys.
 
-``from_json`` into a map keeps a repeated key twice and a lookup returns the first entry, while a
-JSON object loaded into a dictionary keeps the last. ``entries_by_key`` + ``last_per_key`` restore
-last-wins per row, without a shuffle.
+A body is parsed once, into a VARIANT; its fields, days and values are then read from the parsed form.
+Repeated keys keep their last value, as in a dictionary, and text that is no JSON is NULL.
+
+Where the repeated keys themselves are wanted, ``from_json`` into a map keeps them all (a lookup returns
+the first); ``entries_by_key`` + ``last_per_key`` restore last-wins per row, without a shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import (
@@ -21,45 +23,54 @@ from ..constants import (
     STATUS_RATE_LIMITED,
     STATUS_UNPARSEABLE,
 )
-from ..schemas import BAD_DAY, DAY_FIELDS, RAW_MAP
+from ..schemas import DAY_FIELDS, KEYED
+
+REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
+
+
+def allow_repeated_keys(spark: SparkSession) -> None:
+    """A repeated key keeps its last value when a VARIANT is parsed (by default it is an error, here NULL).
+    A setting of the session, read when the plan runs."""
+    spark.conf.set(REPEATED_KEYS, "true")
 
 
 def parse_body(body: str | Column = "body") -> Column:
-    """Top-level keys of a body with the raw JSON text of their values; NULL if it is no JSON object
-    (cut short, an array, other text)."""
-    return F.from_json(F.col(body) if isinstance(body, str) else body, RAW_MAP)
+    """The parsed body; NULL if it is no JSON object (cut short, an array, other text)."""
+    text = F.col(body) if isinstance(body, str) else body
+    return F.when(text.rlike(r"^\s*\{"), F.try_parse_json(text))
 
 
-def value_of(doc: Column, key: str) -> Column:
-    """Value of a top-level key (its last one if the key is repeated); NULL if absent."""
-    return F.try_element_at(F.filter(F.map_entries(doc), lambda e: e["key"] == key), F.lit(-1))["value"]
+def value_of(doc: Column, key: str, kind: str = "variant") -> Column:
+    """Value of a field; NULL if it is absent or not of that kind. A JSON null is a value."""
+    return F.try_variant_get(doc, f"$['{key}']", kind)
 
 
-def parse_day(text: Column) -> Column:
-    """One day's object; BAD_DAY is set if the text is not an object of values."""
-    return F.from_json(text, DAY_FIELDS, {"columnNameOfCorruptRecord": BAD_DAY})
+def keyed(doc: Column, key: str) -> Column:
+    """A field that is an object, as a map from its keys to their values; NULL if it is none."""
+    return value_of(doc, key, KEYED)
 
 
-def is_object(text: Column) -> Column:
-    return F.coalesce(F.startswith(F.ltrim(text), F.lit("{")), F.lit(False))
+def parse_day(day: Column) -> Column:
+    """One day's values as text; NULL if the day is no object."""
+    return F.try_variant_get(day, "$", DAY_FIELDS.simpleString().replace("struct<", "struct<`", 1).replace(":string,", "`:string,`").replace(":string>", "`:string>"))
 
 
-def envelope_status(http_status: Column, body: Column, doc: Column) -> Column:
+def envelope_status(http_status: Column, body: Column, doc: Column, series: Column) -> Column:
     """Classify a landed response, in this precedence: HTTP failure, unparseable body, rate limit
     ('Information'), API error ('Error Message'), no series, a series that is no object
-    (unparseable too), ok. A key counts as present whatever its value."""
+    (unparseable too), ok. A key counts as present whatever its value. ``series``: keyed(doc, SERIES_KEY)."""
 
     def has(key: str) -> Column:
-        return F.map_contains_key(doc, key)
+        return value_of(doc, key).isNotNull()
 
     return (
         F.when(body.isNull() | http_status.isNull() | (http_status >= 400), F.lit(STATUS_HTTP_ERROR))
         .when(doc.isNull(), F.lit(STATUS_UNPARSEABLE))
         .when(has(INFO_KEY), F.lit(STATUS_RATE_LIMITED))
         .when(has(ERROR_KEY), F.lit(STATUS_API_ERROR))
-        .when(~has(SERIES_KEY), F.lit(STATUS_MISSING_SERIES))
-        .when(~is_object(value_of(doc, SERIES_KEY)), F.lit(STATUS_UNPARSEABLE))
-        .otherwise(F.lit(STATUS_OK))
+        .when(series.isNotNull(), F.lit(STATUS_OK))
+        .when(has(SERIES_KEY), F.lit(STATUS_UNPARSEABLE))
+        .otherwise(F.lit(STATUS_MISSING_SERIES))
     )
 
 

@@ -15,6 +15,7 @@ from ..constants import (
     REJECT_BODY,
     REJECT_DATE,
     REJECT_DAY,
+    REJECT_FUTURE,
     REJECT_SYMBOL,
     SERIES_KEY,
     STATUS_API_ERROR,
@@ -26,15 +27,17 @@ from ..constants import (
     VOLUME_KEY,
 )
 from ..functions.bars import overflows, parse_date, price, volume
-from ..functions.jsonmaps import entries_by_key, envelope_status, is_object, last_per_key, parse_body, parse_day, value_of
-from ..schemas import BAD_DAY, RAW_MAP
+from ..functions.jsonmaps import allow_repeated_keys, entries_by_key, envelope_status, keyed, parse_body, parse_day
+from ..schemas import RAW_MAP
 
 
 def _classified(landing: DataFrame) -> DataFrame:
-    # The body is parsed once here; later projections only reference the parsed column.
+    # The body is parsed once here; later projections only reference the parsed columns.
+    allow_repeated_keys(landing.sparkSession)
     p = landing.select("symbol", "run_date", "fetched_at", "http_status", "body", parse_body("body").alias("doc"))
-    status = envelope_status(F.col("http_status"), F.col("body"), F.col("doc"))
-    return p.select("symbol", "run_date", "fetched_at", "http_status", "body", "doc", status.alias("status"))
+    p = p.select("*", keyed(F.col("doc"), SERIES_KEY).alias("series"))
+    status = envelope_status(F.col("http_status"), F.col("body"), F.col("doc"), F.col("series"))
+    return p.select("symbol", "run_date", "fetched_at", "http_status", "body", "series", status.alias("status"))
 
 
 def classify(landing: DataFrame) -> DataFrame:
@@ -42,66 +45,80 @@ def classify(landing: DataFrame) -> DataFrame:
     return _classified(landing).select("symbol", "run_date", "fetched_at", "http_status", "status")
 
 
-def _entries(landing: DataFrame) -> DataFrame:
-    """``symbol, run_date, fetched_at, body, status, entries``: a series' days as (key, pos, value), raw.
+PRICES = {"open": OPEN_KEY, "high": HIGH_KEY, "low": LOW_KEY, "close": CLOSE_KEY}
+VALUES = ("symbol", "bar_date", *PRICES, "volume", "run_date", "fetched_at", "n_overflow")
+#: Reasons of values that have the form of a row all the same: bronze keeps them, the loads do not.
+FORMED = (REJECT_SYMBOL, REJECT_DATE, REJECT_FUTURE)
 
-    Non-ok responses get a NULL array and explode(NULL) yields no rows: no Filter that would
-    re-evaluate the parse.
+
+def landed_values(landing: DataFrame) -> DataFrame:
+    """One row per day entry of every ok response (the last one of a repeated day), and one per unparseable
+    body (without a day): ``VALUES``, ``reason`` (why it cannot be a row of the target, else NULL) and ``raw``
+    (the text of such a value). Both flatten() and rejects() read this, so that a load parses once.
+
+    A day after its run is a reject: a response cannot hold days that had not come when it was asked for,
+    and one such date would move the high-water mark past all days to come.
     """
-    series = F.when(F.col("status") == F.lit(STATUS_OK), value_of(F.col("doc"), SERIES_KEY))
-    p = _classified(landing).select("symbol", "run_date", "fetched_at", "body", "status", F.from_json(series, RAW_MAP).alias("series"))
-    return p.select("symbol", "run_date", "fetched_at", "body", "status", entries_by_key(F.col("series")).alias("entries"))
-
-
-def _landed_values(landing: DataFrame) -> DataFrame:
-    """One row per day entry that counts (the last of its key), and one per unparseable body (no key):
-    ``symbol, run_date, fetched_at, key, value, day, reason``; ``reason`` says why it cannot be a row."""
-    body = F.array(F.named_struct(F.lit("key"), F.lit(None).cast("string"), F.lit("pos"), F.lit(0), F.lit("value"), F.col("body")))
-    broken = (F.col("status") == F.lit(STATUS_UNPARSEABLE)) | ((F.col("status") == F.lit(STATUS_OK)) & F.col("entries").isNull())
-    found = F.when(broken, body).otherwise(last_per_key(F.col("entries")))
-    d = _entries(landing).select("symbol", "run_date", "fetched_at", F.explode(found).alias("d"))
+    ok = F.col("status") == F.lit(STATUS_OK)
+    body = F.array(F.named_struct(F.lit("key"), F.lit(None).cast("string"), F.lit("value"), F.col("body").cast("variant")))
+    found = F.when(F.col("status") == F.lit(STATUS_UNPARSEABLE), body).when(ok, F.map_entries("series"))
+    d = _classified(landing).select("symbol", "run_date", "fetched_at", F.explode(found).alias("d"))
     d = d.select("symbol", "run_date", "fetched_at", F.col("d.key").alias("key"), F.col("d.value").alias("value"), parse_day(F.col("d.value")).alias("day"))
     reason = (
         F.when(F.col("key").isNull(), F.lit(REJECT_BODY))
-        .when(~is_object(F.col("value")) | F.col("day")[BAD_DAY].isNotNull(), F.lit(REJECT_DAY))
+        .when(F.col("day").isNull(), F.lit(REJECT_DAY))
         .when(F.col("symbol").isNull(), F.lit(REJECT_SYMBOL))
         .when(parse_date("key").isNull(), F.lit(REJECT_DATE))
+        .when(parse_date("key") > F.col("run_date"), F.lit(REJECT_FUTURE))
     )
-    return d.select("symbol", "run_date", "fetched_at", "key", "value", "day", reason.alias("reason"))
+    d = d.select("*", reason.alias("reason"))
+    text = F.when(F.col("key").isNull(), F.try_variant_get("value", "$", "string")).otherwise(F.to_json("value"))
+    v = F.col("day")
+    return d.select(
+        "symbol",
+        F.col("key").alias("bar_date"),
+        *[price(v[k]).alias(name) for name, k in PRICES.items()],
+        volume(v[VOLUME_KEY]).alias("volume"),
+        "run_date",
+        "fetched_at",
+        reduce(Column.__add__, [overflows(v[k]) for k in PRICES.values()]).alias("n_overflow"),
+        "reason",
+        F.when(F.col("reason").isNotNull(), text).alias("raw"),
+    )
+
+
+def rows_of(values: DataFrame) -> DataFrame:
+    """The landed values that have the form of a row, also those that no load takes."""
+    return values.filter(F.col("reason").isNull() | F.col("reason").isin(*FORMED)).select(*VALUES)
+
+
+def good_rows(values: DataFrame) -> DataFrame:
+    """The landed values that a load takes: nothing speaks against them."""
+    return values.filter(F.col("reason").isNull()).select(*VALUES)
+
+
+def rejects_of(values: DataFrame) -> DataFrame:
+    """The landed values that cannot become rows of the target; ``reject_id`` is a digest of each."""
+    rows = values.filter(F.col("reason").isNotNull()).select("symbol", "run_date", "fetched_at", "bar_date", "reason", "raw")
+    return rows.withColumn("reject_id", F.md5(F.to_json(F.struct(*rows.columns))))
 
 
 def flatten(landing: DataFrame) -> DataFrame:
     """One row per (symbol, day) of every ok response, values typed.
 
-    ``bar_date`` stays text here (parsed in silver), bad dates included; days that are no objects
-    and unparseable bodies are not rows (see ``rejects``). Repeated days inside one body keep their
+    ``bar_date`` stays text here (parsed in silver), bad dates and dates after their run included; days that are
+    no objects and unparseable bodies are not rows (see ``rejects``). Repeated days inside one body keep their
     last value; days repeated across responses (replays) are kept, with ``fetched_at`` and
     ``run_date`` as lineage for the later keep-last step. ``n_overflow`` counts prices that are
     numbers but do not fit the target's type.
     """
-    v = F.col("d.day")
-    prices = (OPEN_KEY, HIGH_KEY, LOW_KEY, CLOSE_KEY)
-    row = F.col("reason").isNull() | F.col("reason").isin(REJECT_SYMBOL, REJECT_DATE)
-    kept = F.explode(F.when(row, F.array(F.struct("key", "day")))).alias("d")  # no Filter, as above
-    rows = _landed_values(landing).select("symbol", "run_date", "fetched_at", kept)
-    return rows.select(
-        "symbol",
-        F.col("d.key").alias("bar_date"),
-        *[price(v[k]).alias(name) for k, name in zip(prices, ("open", "high", "low", "close"))],
-        volume(v[VOLUME_KEY]).alias("volume"),
-        "run_date",
-        "fetched_at",
-        reduce(Column.__add__, [overflows(v[k]) for k in prices]).alias("n_overflow"),
-    )
+    return rows_of(landed_values(landing))
 
 
 def rejects(landing: DataFrame) -> DataFrame:
     """Every landed value that cannot become a row of the target, with its reason and raw text:
-    unparseable bodies, days that are no objects, days that are no dates, rows without a symbol."""
-    gone = F.explode(F.when(F.col("reason").isNotNull(), F.array(F.struct("key", "reason", "value")))).alias("d")
-    rows = _landed_values(landing).select("symbol", "run_date", "fetched_at", gone)
-    rows = rows.select("symbol", "run_date", "fetched_at", F.col("d.key").alias("bar_date"), F.col("d.reason").alias("reason"), F.col("d.value").alias("raw"))
-    return rows.withColumn("reject_id", F.md5(F.to_json(F.struct(*rows.columns))))
+    unparseable bodies, days that are no objects, no dates or after their run, rows without a symbol."""
+    return rejects_of(landed_values(landing))
 
 
 def entry_counts(landing: DataFrame) -> DataFrame:
@@ -112,7 +129,12 @@ def entry_counts(landing: DataFrame) -> DataFrame:
     run per day, whose head is the last entry and whose tail is the first. Each array is
     computed in its own projection, so lambdas reference it instead of recomputing it.
     """
-    a = _entries(landing).select("symbol", "run_date", F.col("entries").alias("s"))
+    outer = F.when(F.col("status") == F.lit(STATUS_OK), F.from_json("body", RAW_MAP))
+    a = _classified(landing).select("symbol", "run_date", outer.alias("outer"))
+    # raw text of the days, the repeated ones too; of a repeated series the last counts
+    series = F.try_element_at(F.filter(F.map_entries("outer"), lambda e: e["key"] == SERIES_KEY), F.lit(-1))["value"]
+    a = a.select("symbol", "run_date", F.from_json(series, RAW_MAP).alias("series"))
+    a = a.select("symbol", "run_date", entries_by_key(F.col("series")).alias("s"))
     s_ = F.col("s")
     b = a.select(
         "symbol", "run_date", "s",
@@ -133,7 +155,7 @@ def entry_counts(landing: DataFrame) -> DataFrame:
         )
 
     rows = b.select("symbol", "run_date", F.explode(F.transform("heads", run)).alias("r"))
-    first, last = parse_day(F.col("r.first")), parse_day(F.col("r.last"))
+    first, last = (parse_day(F.try_parse_json(F.col(c))) for c in ("r.first", "r.last"))
     rows = rows.select("symbol", "run_date", "r", first.alias("first"), last.alias("last"))
     return rows.select(
         "symbol",

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import FIRST_RUN_DAYS, KEY, LOOKBACK_DAYS
@@ -84,6 +84,27 @@ def new_rows(incoming: DataFrame, existing_keys: DataFrame, keys: tuple[str, ...
     return incoming.join(existing_keys.select(*keys), list(keys), "left_anti")
 
 
+def row_hash(columns: list[str]) -> Column:
+    """64-bit hash of a row's values; NULLs count by their place."""
+    return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in columns])
+
+
+def with_state(incoming: DataFrame, existing: DataFrame, compare: bool = False, keys: tuple[str, ...] = KEY) -> DataFrame:
+    """``incoming`` with ``state``: ``new`` (no such key in ``existing``), ``same``, or with ``compare`` also ``changed``
+    (other values than the existing row has).
+
+    The anti-join of ``new_rows`` and the counts of a run in one pass: a left join that keeps both kinds. The keys of
+    ``existing`` are unique or have equal rows; a NULL key part never matches, so such rows are new.
+    """
+    columns = [c for c in existing.columns if c not in keys] if compare else []
+    held = existing.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max(row_hash(columns) if compare else F.lit(0)).alias("_held"))
+    on = [F.col(k) == F.col(f"_{k}") for k in keys]
+    state = F.when(F.col("_held").isNull(), F.lit("new"))
+    if compare:
+        state = state.when(F.col("_held") != row_hash(columns), F.lit("changed"))
+    return incoming.join(held, on, "left").select(*incoming.columns, state.otherwise(F.lit("same")).alias("state"))
+
+
 def incremental_summary(
     incoming: DataFrame,
     existing_keys: DataFrame,

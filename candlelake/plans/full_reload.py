@@ -10,29 +10,34 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.bronze import flatten, rejects
+from ..operators.bronze import good_rows, landed_values, rejects_of
 from ..operators.conform import conform
 from ..operators.gold import to_gold
-from ..operators.silver import loadable, to_silver
+from ..operators.silver import to_silver
 from ..sinks.tables import log_quality, observe_load, observed, write_rejects
-from ..sinks.targets import JdbcTarget, ParquetTarget, as_target
+from ..sinks.targets import Target, as_target
 
 
 log = logging.getLogger("candlelake.full_reload")
 
 
-def run_full_reload(
-    spark: SparkSession, landing: DataFrame, target: str | ParquetTarget | JdbcTarget, rejects_path: str | None = None
-) -> dict:
+def run_full_reload(spark: SparkSession, landing: DataFrame, target: str | Target, rejects_path: str | None = None) -> dict:
     """``target``: a Parquet folder or a target object (JDBC truncates instead of dropping). Of copies
     of one key the last fetched counts. ``rejects_path``: table of the values that cannot be loaded,
-    replaced by this run's; its counts per reason are returned as ``rejects``."""
+    replaced by this run's; its counts per reason are returned as ``rejects``. With it the parsed values are
+    persisted (they may spill to disk), so that rows and rejects come from one parse."""
     # n_copies and n_overflow ride along so the checks are observed in the same write job
     extra = ("n_copies", "n_overflow")
-    gold = conform(to_gold(loadable(to_silver(flatten(landing))), *extra), *extra)
+    values = landed_values(landing)
+    if rejects_path:
+        values = values.persist()
+    gold = conform(to_gold(to_silver(good_rows(values)), *extra), *extra)
     to_write, obs = observe_load(gold, "full_reload")
-    as_target(target).write(to_write, mode="overwrite")
-    metrics = observed(obs, gold)
-    counts = write_rejects(rejects(landing), rejects_path, "overwrite") if rejects_path else None
+    try:
+        as_target(target).write(to_write, mode="overwrite")
+        metrics = observed(obs, gold)
+        counts = write_rejects(rejects_of(values), rejects_path, "overwrite") if rejects_path else None
+    finally:
+        values.unpersist()
     log_quality(metrics | {f"reject_{k}": v for k, v in (counts or {}).items()}, log, "full_reload")
     return {"outcome": "loaded", **metrics, **({} if counts is None else {"rejects": counts})}

@@ -17,14 +17,12 @@ LANDING = T.StructType(
     ]
 )
 
-# Values of one day arrive as strings keyed "1. open" ... "5. volume". Parsing into a struct
-# (not a map) makes a repeated field inside one day collapse to its last value. Each day is parsed
-# on its own, and text that is no such object ends up in BAD_DAY: a bad day costs only itself.
-BAD_DAY = "_bad"
-DAY_FIELDS = T.StructType([T.StructField(k, T.StringType(), True) for k in (*FIELD_KEYS, BAD_DAY)])
+# Values of one day arrive as strings keyed "1. open" ... "5. volume".
+DAY_FIELDS = T.StructType([T.StructField(k, T.StringType(), True) for k in FIELD_KEYS])
 
-# Data values (dates) are JSON keys, so a body is read as maps from keys to raw JSON text, never as
-# an inferred struct: first its top-level keys, then the days of its series.
+# Data values (dates) are JSON keys, so an object is read as a map from keys to values, never as an
+# inferred struct: parsed values, or raw JSON text where repeated keys are to be seen.
+KEYED = "map<string,variant>"
 RAW_MAP = "map<string,string>"
 
 BRONZE_COLUMNS = ("symbol", "bar_date", "open", "high", "low", "close", "volume")

@@ -7,10 +7,12 @@ import logging
 import uuid
 
 from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import MARKS, REJECTS, TARGET
+from ..sources.tables import TARGET_STORED, month_key
 
 LOAD_METRICS = (
     "rows", "max_bar_date", "null_open", "null_high", "null_low", "null_close", "null_volume",
@@ -18,19 +20,21 @@ LOAD_METRICS = (
 )
 
 
-def load_metrics_of(df: DataFrame) -> list[Column]:
+def load_metrics_of(df: DataFrame, only: Column | None = None) -> list[Column]:
+    """The load metrics as aggregates; ``only``: of the rows for which this holds."""
+    these = F.lit(True) if only is None else only
     metrics = [
-        F.count(F.lit(1)).alias("rows"),
-        F.max("bar_date").alias("max_bar_date"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ("open", "high", "low", "close", "volume")],
+        F.count_if(these).alias("rows"),
+        F.max(F.when(these, F.col("bar_date"))).alias("max_bar_date"),
+        *[F.count_if(these & F.col(c).isNull()).alias(f"null_{c}") for c in ("open", "high", "low", "close", "volume")],
     ]
     # only what the frame can tell is measured
     if "n_copies" in df.columns:
-        metrics.append(F.count_if(F.col("n_copies") > 1).alias("duplicate_keys"))
+        metrics.append(F.count_if(these & (F.col("n_copies") > 1)).alias("duplicate_keys"))
     if "violation" in df.columns:
-        metrics.append(F.count_if(F.col("violation").isNotNull()).alias("violations"))
+        metrics.append(F.count_if(these & F.col("violation").isNotNull()).alias("violations"))
     if "n_overflow" in df.columns:
-        metrics.append(F.coalesce(F.sum("n_overflow"), F.lit(0)).cast("bigint").alias("overflows"))
+        metrics.append(F.coalesce(F.sum(F.when(these, F.col("n_overflow"))), F.lit(0)).cast("bigint").alias("overflows"))
     return metrics
 
 
@@ -68,27 +72,43 @@ def log_quality(metrics: dict, log: logging.Logger, what: str) -> None:
     log.info("load=%s rows=%d latest=%s", what, metrics.get("rows", 0), metrics.get("max_bar_date"))
 
 
-def write_rejects(rejects: DataFrame, path: str, mode: str = "append") -> dict[str, int]:
+def write_rejects(rejects: DataFrame, path: str, mode: str = "append", runs_from: dt.date | None = None) -> dict[str, int]:
     """Adds the rejected values that the table does not hold yet (``overwrite``: replaces it) and
-    returns how many of each reason were written. Their digest keeps replays from adding any twice."""
+    returns how many of each reason were written. Their digest keeps replays from adding any twice.
+
+    The table is partitioned by run: of what it holds, only the runs from ``runs_from`` on are read, and
+    all rejects must be of those. ``rejects`` is read up to three times, so it comes from a persisted parse.
+    """
     spark = rejects.sparkSession
     rejects = rejects.dropDuplicates(["reject_id"])
     if mode == "append":
-        spark.createDataFrame([], REJECTS).write.mode("ignore").parquet(path)
-        held = spark.read.schema(REJECTS).parquet(path).select("reject_id")
-        rejects = rejects.join(held, "reject_id", "left_anti")
+        held = read_rejects(spark, path)
+        if held is not None:
+            if runs_from is not None:
+                held = held.filter((F.col("run_date") >= F.lit(runs_from)) | F.col("run_date").isNull())
+            rejects = rejects.join(held.select("reject_id"), "reject_id", "left_anti")
     new = rejects.select(*REJECTS.fieldNames()).persist()
     try:
         counts = {r["reason"]: r["count"] for r in new.groupBy("reason").count().collect()}  # one row per reason
         if mode == "overwrite":
-            replace_table(new, path)
+            replace_table(new, path, "run_date")
         elif counts:
-            new.write.mode("append").parquet(path)
+            new.write.mode("append").partitionBy("run_date").parquet(path)
         return counts
     finally:
         new.unpersist()
 
 
+def read_rejects(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table of rejects; None if there is none yet."""
+    try:
+        return spark.read.schema(REJECTS).parquet(path).select(*REJECTS.fieldNames())
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc.getCondition() or ""):
+            return None
+        raise
+
+
 def replace_table(df: DataFrame, path: str, *partition: str) -> None:
     """Writes the new table beside the old one and swaps the folders, so that a job that fails midway
     leaves the old table as it was."""
@@ -117,14 +137,43 @@ def write_target(df: DataFrame, path: str, mode: str = "append") -> None:
     row-group statistics; adaptive execution splits a month that holds most of the rows over
     several tasks and merges small ones (no sampling pass over the input, unlike a range
     repartition). ``overwrite`` is a full reload: the new table is written first, then swapped in."""
-    out = df.select(*TARGET.fieldNames()).withColumn("bar_month", F.date_format("bar_date", "yyyy-MM"))
-    out = out.hint("rebalance", "bar_month").sortWithinPartitions("bar_month", "symbol", "bar_date")
+    out = stored_form(df)
     if mode == "overwrite":
         replace_table(out, path, "bar_month")
     else:
         out.write.mode(mode).partitionBy("bar_month").parquet(path)
 
 
+def stored_form(df: DataFrame) -> DataFrame:
+    """The target's columns and the month that its folders are named by, dealt out and sorted for writing."""
+    out = df.select(*TARGET.fieldNames()).withColumn("bar_month", F.date_format("bar_date", "yyyy-MM"))
+    return out.hint("rebalance", "bar_month").sortWithinPartitions("bar_month", "symbol", "bar_date")
+
+
+def merge_months(spark: SparkSession, rows: DataFrame, path: str, fetch_from: dt.date) -> None:
+    """Puts ``rows`` (of ``fetch_from`` or later) into the target in place of those with the same keys.
+
+    The months that they touch are written to a folder beside the table first, with the rows of
+    these months that stay; then they replace the table's folders of these months (dynamic partition overwrite).
+    Other months are neither read nor written. The touched months are found by a semi-join, not listed.
+    """
+    new = rows.select(*TARGET.fieldNames()).withColumn("bar_month", F.date_format("bar_date", "yyyy-MM"))
+    held = spark.read.schema(TARGET_STORED).parquet(path).filter(F.col("bar_month") >= F.lit(month_key(fetch_from)))
+    held = held.join(new.select("bar_month").distinct(), "bar_month", "left_semi").join(new.select("symbol", "bar_date"), ["symbol", "bar_date"], "left_anti")
+    staged = f"{path.rstrip('/')}__merge-{uuid.uuid4().hex[:8]}"
+    stored_form(held.unionByName(new)).write.partitionBy("bar_month").parquet(staged)
+    ready = spark.read.schema(TARGET_STORED).parquet(staged)
+    ready.hint("rebalance", "bar_month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bar_month").parquet(path)
+    remove(spark, staged)
+    spark.catalog.refreshByPath(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that a load has made for itself."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def write_jdbc(
     df: DataFrame,
     url: str,

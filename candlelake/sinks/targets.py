@@ -7,10 +7,11 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schemas import TARGET, TARGET_KEYS
-from ..sources.tables import TARGET_STORED, existing_keys, existing_keys_jdbc, read_target
-from .tables import write_jdbc, write_target
+from ..sources.tables import TARGET_STORED, existing_keys, existing_keys_jdbc, month_key, read_target
+from .tables import merge_months, write_jdbc, write_target
 
 # "Table does not exist": SQLSTATEs (ANSI/MySQL, PostgreSQL, Derby) and the drivers' messages,
 # which usually carry no SQLSTATE. Only these make a first run; every other error propagates.
@@ -18,8 +19,36 @@ MISSING_TABLE_STATES = ("42S02", "42P01", "42X05")
 MISSING_TABLE_MESSAGES = ("doesn't exist", "does not exist", "no such table", "undefined table")
 
 
+class Target:
+    """What a load needs of a target: ensure, window (keys or rows from a day on), read, write, merge."""
+
+    def ensure(self, spark: SparkSession) -> None:
+        raise NotImplementedError
+
+    def keys(self, spark: SparkSession, fetch_from: dt.date | None = None) -> DataFrame:
+        raise NotImplementedError
+
+    def read(self, spark: SparkSession) -> DataFrame | None:
+        raise NotImplementedError
+
+    def write(self, df: DataFrame, mode: str) -> None:
+        raise NotImplementedError
+
+    def window(self, spark: SparkSession, fetch_from: dt.date | None, values: bool = False) -> DataFrame:
+        """The keys, or with ``values`` the rows, from a day on."""
+        if not values:
+            return self.keys(spark, fetch_from)
+        rows = self.read(spark)
+        rows = spark.createDataFrame([], TARGET) if rows is None else rows
+        return rows if fetch_from is None else rows.filter(F.col("bar_date") >= F.lit(fetch_from))
+
+    def merge(self, spark: SparkSession, rows: DataFrame, fetch_from: dt.date) -> None:
+        """Puts in rows, in place of those with the same keys; all of them are of ``fetch_from`` or later."""
+        raise NotImplementedError(f"{type(self).__name__} holds no revisions")
+
+
 @dataclass
-class ParquetTarget:
+class ParquetTarget(Target):
     path: str
 
     def ensure(self, spark: SparkSession) -> None:
@@ -35,12 +64,23 @@ class ParquetTarget:
         t = read_target(spark, self.path)
         return None if t is None else t.select(*TARGET.fieldNames())
 
+    def window(self, spark: SparkSession, fetch_from: dt.date | None, values: bool = False) -> DataFrame:
+        if not values or fetch_from is None:
+            return super().window(spark, fetch_from, values)
+        rows = read_target(spark, self.path).filter((F.col("bar_month") >= F.lit(month_key(fetch_from))) & (F.col("bar_date") >= F.lit(fetch_from)))
+        return rows.select(*TARGET.fieldNames())
+
     def write(self, df: DataFrame, mode: str) -> None:
         write_target(df, self.path, mode)
 
+    def merge(self, spark: SparkSession, rows: DataFrame, fetch_from: dt.date) -> None:
+        """Only the months that the rows touch are written again, from a copy that is complete before the
+        first file of the target goes. A run lost in between is repeated: its landing still has the rows."""
+        merge_months(spark, rows, self.path, fetch_from)
+
 
 @dataclass
-class JdbcTarget:
+class JdbcTarget(Target):
     url: str
     table: str
     properties: dict[str, str] = field(default_factory=dict)
@@ -93,6 +133,6 @@ class JdbcTarget:
             out.unpersist()
 
 
-def as_target(target: str | ParquetTarget | JdbcTarget) -> ParquetTarget | JdbcTarget:
+def as_target(target: str | Target) -> Target:
     return ParquetTarget(target) if isinstance(target, str) else target
 

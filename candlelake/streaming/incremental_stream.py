@@ -13,20 +13,19 @@ takes the last fetched of all, so it differs from the stream where a replay revi
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.bronze import flatten, rejects
-from ..operators.conform import conform
-from ..operators.gold import to_gold
-from ..operators.incremental import first_value, new_rows
-from ..operators.silver import loadable, to_silver
+from ..operators.bronze import good_rows, landed_values, rejects_of
+from ..operators.silver import to_silver
+from ..plans.incremental import load_rows
 from ..schemas import LANDING
-from ..sinks.tables import load_summary, log_quality, write_rejects
-from ..sinks.targets import JdbcTarget, ParquetTarget, as_target
+from ..sinks.tables import log_quality, write_rejects
+from ..sinks.targets import Target, as_target
 
 log = logging.getLogger("candlelake.stream")
 
@@ -34,45 +33,43 @@ log = logging.getLogger("candlelake.stream")
 MAX_FILES = 1000
 
 
-def load_batch(batch: DataFrame, target: str | ParquetTarget | JdbcTarget, batch_id: int = 0, rejects_path: str | None = None) -> None:
-    """One micro-batch: keep-last within the batch, anti-join against the target's keys from
-    the batch's earliest day on (window-pruned), append the new gold rows; values that cannot be
-    loaded go to the rejects table, once."""
+def load_batch(batch: DataFrame, target: str | Target, batch_id: int = 0, rejects_path: str | None = None, revise: bool = False) -> dict:
+    """One micro-batch: keep-last within the batch, look-up in the target from the batch's earliest day on
+    (window-pruned), append of the new gold rows; values that cannot be loaded go to the rejects table, once.
+    With ``revise`` a batch counts as fetched later than all before it, and its values replace others."""
     spark = batch.sparkSession
     t = as_target(target)
-    if rejects_path:
-        write_rejects(rejects(batch), rejects_path)
-    silver = loadable(to_silver(flatten(batch))).persist()
+    values = landed_values(batch).persist()  # the batch is read and parsed once
     try:
-        earliest = first_value(silver.agg(F.min("bar_date").alias("d")), "d")
+        rows = good_rows(values)
+        earliest, first_run = values.agg(F.min(F.when(F.col("reason").isNull(), F.col("bar_date"))), F.min("run_date")).first()
+        if rejects_path and first_run is not None:
+            write_rejects(rejects_of(values), rejects_path, runs_from=first_run)
         if earliest is None:
-            return
-        extra = ("n_copies", "n_overflow")
-        gold = conform(to_gold(new_rows(silver, t.keys(spark, earliest)), *extra), *extra).persist()
-        metrics = load_summary(gold)
-        if metrics["rows"]:
-            t.write(gold, mode="append")
-        log_quality(metrics, log, f"stream-{batch_id}")
-        gold.unpersist()
+            return {}
+        stats = load_rows(spark, to_silver(rows), t, dt.date.fromisoformat(earliest), revise)
+        log_quality({k: v for k, v in stats.items() if k not in ("latest", "earliest")}, log, f"stream-{batch_id}")
+        return stats
     finally:
-        silver.unpersist()
+        values.unpersist()
 
 
 def start_incremental_stream(
     spark: SparkSession,
     landing_path: str,
-    target_path: str | ParquetTarget | JdbcTarget,
+    target_path: str | Target,
     checkpoint_path: str,
     max_files_per_trigger: int = MAX_FILES,
     fmt: str = "json",
     available_now: bool = True,
     processing_time: str | None = None,
     rejects_path: str | None = None,
+    revise: bool = False,
 ) -> StreamingQuery:
     as_target(target_path).ensure(spark)
     src = spark.readStream.schema(LANDING).option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = src.format(fmt).load(landing_path)
-    w = stream.writeStream.foreachBatch(lambda df, batch_id: load_batch(df, target_path, batch_id, rejects_path)).option(
+    w = stream.writeStream.foreachBatch(lambda df, batch_id: load_batch(df, target_path, batch_id, rejects_path, revise) and None).option(
         "checkpointLocation", checkpoint_path
     )
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 hour")

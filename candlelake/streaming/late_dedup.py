@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..constants import KEY, LOOKBACK_DAYS
-from ..operators.bronze import flatten
+from ..operators.bronze import good_rows, landed_values
 from ..operators.silver import parse
 from ..schemas import BRONZE_COLUMNS, LANDING
 
@@ -34,7 +34,7 @@ def start_late_dedup_stream(
     src = spark.readStream.schema(LANDING)
     if max_files_per_trigger:
         src = src.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    days = parse(flatten(src.format(fmt).load(landing_path))).select(
+    days = parse(good_rows(landed_values(src.format(fmt).load(landing_path)))).select(
         *BRONZE_COLUMNS, F.col("bar_date").cast("timestamp").alias("event_time")
     )
     deduped = days.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(KEY))

@@ -172,7 +172,8 @@ def test_a_bad_day_costs_only_itself(spark):
     from candlelake.operators.bronze import rejects
 
     days = {"2026-05-21": "oops", "2026-05-22": [1], "2026-05-23": None, "2026-05-24": day(1, 2, 1, 2, 5), "2026-5-25": day(1, 2, 1, 2, 5)}
-    records = [rec("X", doc("X", days)), rec("Y", doc("Y", days)[:-9]), rec(None, doc("Z", {"2026-05-24": day(1, 1, 1, 1, 1)})), rec("W", None, status=500)]
+    run = dt.date(2026, 5, 25)
+    records = [rec("X", doc("X", days), run=run), rec("Y", doc("Y", days)[:-9], run=run), rec(None, doc("Z", {"2026-05-24": day(1, 1, 1, 1, 1)}), run=run), rec("W", None, status=500)]
     lnd = landing_df(spark, records)
     assert sorted((r.symbol or "", r.bar_date) for r in flatten(lnd).collect()) == [("", "2026-05-24"), ("X", "2026-05-24"), ("X", "2026-5-25")]
     got = sorted((r.symbol or "", r.bar_date or "", r.reason) for r in rejects(lnd).collect())

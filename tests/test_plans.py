@@ -46,7 +46,7 @@ def test_landing_to_gold_is_one_hash_shuffle(spark):
     plan = _executed(to_gold(to_silver(flatten(lnd))))
     assert _hash_exchanges(plan) == 1
     assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
-    assert plan.count("from_json") == 3  # the body, its series and each day: one parse each
+    assert len(re.findall(r"parse_?json", plan, re.I)) == 1 and "from_json" not in plan  # a body is parsed once
 
 
 def test_dq_report_is_one_hash_shuffle(spark):
@@ -86,4 +86,4 @@ def test_first_run_window_is_100_days(spark):
 def test_incremental_queries_parse_each_body_once(spark):
     for name in ("new_rows", "incremental_summary", "max_loaded_date"):
         plan = _executed(Q.QUERIES[name](spark, SF_SMALL))
-        assert plan.count("from_json") == 3, name
+        assert len(re.findall(r"parse_?json", plan, re.I)) == 1 and "from_json" not in plan, name
