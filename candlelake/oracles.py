@@ -149,6 +149,45 @@ SELECT load_path, (SELECT count(*) FROM gold) + 2 * n AS n_rows, (SELECT count(*
        n AS n_unparseable_body, 2 * n AS n_bad_day, n AS n_bad_date, CAST(0 AS BIGINT) AS n_null_symbol
 FROM (SELECT count(*) AS n, max(d_max) AS d_max FROM symbols),
      (VALUES ('reload', 3.5), ('incremental', 1.5), ('stream', 1.5)) AS p(load_path, value)""",
+    "merged_document_flatten": f"SELECT {BRONZE} FROM copies",
+    "future_dates": """
+SELECT load_path, (SELECT count(*) FROM gold) + 2 * n AS n_rows, d_max + 10 AS latest, d_max + 10 AS mark, n AS n_future_date, n AS n_rejects
+FROM (SELECT count(*) AS n, max(d_max) AS d_max FROM symbols), (VALUES ('reload'), ('incremental'), ('stream')) AS p(load_path)""",
+    "load_paths_revised": """
+SELECT load_path, (SELECT count(*) FROM gold) + 2 * n AS n_rows, (SELECT count(*) FROM gold) + 2 * n AS n_keys,
+       CAST((SELECT sum(close) FROM gold) + n * (2.5 + 3.5) AS DECIMAL(38,4)) AS sum_close, d_max + 4 AS latest, CAST(0 AS BIGINT) AS n_differing, n AS n_changed
+FROM (SELECT count(*) AS n, max(d_max) AS d_max FROM symbols), (VALUES ('reload'), ('incremental'), ('stream')) AS p(load_path)""",
+    # the second reload has the revision of d_max + 3 and lacks the run with d_max + 4
+    "load_diff": """
+SELECT symbol, d_max + 3 AS bar_date, 'changed' AS difference FROM symbols
+UNION ALL SELECT symbol, d_max + 4, 'only_left' FROM symbols""",
+    "coverage_gaps": """
+, calendar AS (SELECT bar_date, row_number() OVER (ORDER BY bar_date) AS k FROM (SELECT DISTINCT bar_date FROM existing)),
+numbered AS (SELECT symbol, k FROM existing JOIN calendar USING (bar_date)),
+closed AS (SELECT symbol, k FROM numbered UNION ALL SELECT symbol, (SELECT max(k) + 1 FROM calendar) FROM (SELECT DISTINCT symbol FROM numbered)),
+jumps AS (SELECT symbol, k, lag(k) OVER (PARTITION BY symbol ORDER BY k) AS before FROM closed)
+SELECT symbol, a.bar_date AS from_date, b.bar_date AS to_date, j.k - before - 1 AS days FROM (SELECT * FROM jumps WHERE k - before > 1) j
+JOIN calendar a ON a.k = j.before + 1 JOIN calendar b ON b.k = j.k - 1""",
+    "gap_backfill": f"""
+SELECT symbol, bar_date, close FROM gold, bounds
+WHERE symbol = hole_symbol AND bar_date >= d_max - {CUT_DAYS + HOLE_DAYS} AND bar_date < d_max - {CUT_DAYS}
+  AND bar_date <= (SELECT m FROM mark)""",
+    "reload_switch": """
+SELECT step, CASE WHEN step = 'second' THEN (SELECT count(*) FROM gold) ELSE (SELECT count(*) FROM existing) END AS n_rows, true AS has_files, 1 AS folders_left
+FROM (VALUES ('first'), ('written'), ('failed'), ('second')) AS p(step)""",
+    "new_rows_bucketed": f"""
+SELECT {BARS} FROM gold g
+WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.symbol = g.symbol AND e.bar_date = g.bar_date)""",
+    "months_from_footers": """
+SELECT strftime(bar_date, '%Y-%m') AS bar_month, count(*) AS n, min(bar_date) AS first_date, max(bar_date) AS latest_date FROM existing GROUP BY 1""",
+    # an old day is late for a symbol that has days after it, and a replay where the symbol still remembers it
+    "stream_late_kept": f"""
+, newest AS (SELECT symbol, max(bar_date) AS newest, any_value(d_max) AS d_max FROM landed JOIN symbols USING (symbol) GROUP BY symbol),
+old AS (SELECT symbol, d_max - {LATE_DAYS} AS bar_date, d_max - {LATE_DAYS} < newest - {LOOKBACK_DAYS} AS late FROM newest)
+SELECT symbol, bar_date, close, false AS late FROM landed
+UNION ALL SELECT symbol, d_max + 2, CAST(8.5 AS DECIMAL(10,4)), false FROM symbols
+UNION ALL SELECT symbol, bar_date, CAST(7.5 AS DECIMAL(10,4)), late FROM old o
+WHERE late OR NOT EXISTS (SELECT 1 FROM landed l WHERE l.symbol = o.symbol AND l.bar_date = o.bar_date)""",
     # no symbol's window starts before the first-run window
     "per_key_recovery": f"""
 , named AS (SELECT symbol, row_number() OVER (ORDER BY symbol) AS k FROM symbols),

@@ -14,6 +14,7 @@ target's latest date; the run's ``as_of`` is d_max.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -21,24 +22,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .constants import ERROR_KEY, INFO_KEY, LOOKBACK_DAYS, REJECT_BODY, REJECT_DATE, REJECT_DAY, REJECT_SYMBOL, SERIES_KEY
-from .functions import value_of
+from .constants import ERROR_KEY, INFO_KEY, LOOKBACK_DAYS, REJECT_BODY, REJECT_DATE, REJECT_DAY, REJECT_FUTURE, REJECT_SYMBOL, SERIES_KEY
 from .operators import bronze as B
 from .operators import conform as C
+from .operators import coverage as V
 from .operators import gold as G
 from .operators import incremental as I
+from .operators import reconcile as R2
 from .operators import reports as R
 from .operators import silver as S
 from .plans import run_full_reload, run_incremental
 from .schemas import BRONZE_COLUMNS, RAW_MAP, TARGET
 from .session import new_path
-from .sinks.tables import LOAD_METRICS, append_mark, ensure_marks, write_target
+from .sinks.catalog import CatalogTarget, save_bucketed
+from .sinks.tables import LOAD_METRICS, append_mark, ensure_marks, read_rejects, stored_form, write_target
 from .sinks.targets import ParquetTarget
 from .sources import fixtures as X
+from .sources.footers import months_from_footers
 from .sources.landing import read_landing, write_landing
+from .sources.merged import merged_values
 from .sources.tables import existing_keys as scan_existing_keys
 from .sources.tables import read_marks, read_target
-from .streaming import start_incremental_stream, start_late_dedup_stream
+from .streaming import start_incremental_stream, start_late_dedup_stream, start_late_rows_stream
 
 # Lookback and first-run length that take in every day.
 ALL_DAYS = 100_000
@@ -279,7 +284,7 @@ def q_full_reload(spark, sf):
 
 def q_landing_winner(spark, sf):
     won = B.winning_responses(landing(spark, sf))
-    entries = F.size(F.from_json(value_of(F.from_json("body", RAW_MAP), SERIES_KEY), RAW_MAP))
+    entries = F.size(F.from_json(F.from_json("body", RAW_MAP)[SERIES_KEY], RAW_MAP))  # repeated days count
     return won.select("symbol", "run_date", "http_status", "status", entries.alias("n_series_entries"))
 
 
@@ -506,6 +511,140 @@ def q_stream_late_rows(spark, sf):
     return kept.withColumn("late", F.lit(False)).unionByName(lost.withColumn("late", F.lit(True)))
 
 
+def q_merged_document_flatten(spark, sf):
+    """The same responses, landed as one pretty-printed document per run."""
+    path = new_path(spark, "merged")
+    X.write_merged(landing(spark, sf), path)
+    return merged_values(spark, path).select(*BRONZE_COLUMNS, "run_date")
+
+
+def q_future_dates(spark, sf):
+    """Every symbol lands a day of the year 2099, and a good day one run later: the far day is rejected on every path, and
+    the next run's good day is loaded all the same."""
+    sc = Scenario(spark, sf)
+    lpath, marks, ckpt = (new_path(spark, k) for k in ("landing", "marks", "stream-checkpoint"))
+    targets = {k: new_path(spark, "target") for k in ("reload", "incremental", "stream")}
+    rejected = {k: new_path(spark, "rejects") for k in targets}
+    poisoned, later = X.future_responses(bars(spark, sf), sc.d_max)
+    for n, landed in ((45, landing(spark, sf).unionByName(poisoned)), (55, later)):
+        write_landing(landed, lpath)
+        run_incremental(spark, lpath, targets["incremental"], marks, sc.d_max + dt.timedelta(days=n), first_run_days=ALL_DAYS, rejects_path=rejected["incremental"])
+        start_incremental_stream(spark, lpath, targets["stream"], ckpt, rejects_path=rejected["stream"]).awaitTermination()
+    run_full_reload(spark, read_landing(spark, lpath), targets["reload"], rejected["reload"])
+    mark = I.first_value(read_marks(spark, marks).agg(F.max("last_loaded_date").alias("m")), "m")
+    out = []
+    for k in targets:
+        bad = read_rejects(spark, rejected[k]).agg(F.count_if(F.col("reason") == REJECT_FUTURE).cast("bigint").alias("n_future_date"), F.count(F.lit(1)).alias("n_rejects"))
+        good = _target(spark, targets[k]).agg(F.count(F.lit(1)).alias("n_rows"), F.max("bar_date").alias("latest"), F.lit(mark).cast("date").alias("mark"))
+        out.append(good.withColumn("load_path", F.lit(k)).join(bad.withColumn("load_path", F.lit(k)), "load_path"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def q_load_paths_revised(spark, sf):
+    """``load_paths_agree`` with revisions: a later copy with other values replaces the loaded one, so that all three paths end alike."""
+    sc = Scenario(spark, sf)
+    as_of = sc.d_max + dt.timedelta(days=50)
+    lpath, marks, ckpt = (new_path(spark, k) for k in ("landing", "marks", "stream-checkpoint"))
+    targets = {k: new_path(spark, "target") for k in ("reload", "incremental", "stream")}
+    changed = []
+    for landed in (rough_landing(spark, sf, sc.d_max), X.rough_responses(bars(spark, sf), sc.d_max, revisions=True)):
+        write_landing(landed, lpath)
+        changed.append(run_incremental(spark, lpath, targets["incremental"], marks, as_of, first_run_days=ALL_DAYS, lookback_days=ALL_DAYS, revise=True)["n_changed"])
+        start_incremental_stream(spark, lpath, targets["stream"], ckpt, revise=True).awaitTermination()
+    run_full_reload(spark, read_landing(spark, lpath), targets["reload"])
+    out = []
+    for k in targets:
+        good = _target(spark, targets[k])
+        sums = good.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("symbol", "bar_date").alias("n_keys"), F.sum("close").cast("decimal(38,4)").alias("sum_close"), F.max("bar_date").alias("latest"))
+        differing = R2.load_diff(good, _target(spark, targets["reload"])).agg(F.count(F.lit(1)).alias("n_differing"))
+        out.append(sums.withColumn("load_path", F.lit(k)).join(differing.withColumn("load_path", F.lit(k)), "load_path"))
+    return reduce(DataFrame.unionByName, out).withColumn("n_changed", F.lit(changed[1]).cast("bigint"))
+
+
+def q_load_diff(spark, sf):
+    """A reload against the stream over the rough landing with a revision: every key whose rows differ, and how."""
+    sc = Scenario(spark, sf)
+    lpath = new_path(spark, "landing")
+    first, second = new_path(spark, "target"), new_path(spark, "target")
+    write_landing(rough_landing(spark, sf, sc.d_max), lpath)
+    run_full_reload(spark, read_landing(spark, lpath), first)
+    write_landing(X.rough_responses(bars(spark, sf), sc.d_max, revisions=True), lpath)
+    run_full_reload(spark, read_landing(spark, lpath).filter(F.col("run_date") != F.lit(sc.d_max + dt.timedelta(days=42))), second)
+    return R2.load_diff(_target(spark, first), _target(spark, second))
+
+
+def q_coverage_gaps(spark, sf):
+    """Days that other symbols have and a symbol lacks, in the target with a hole."""
+    return V.coverage_gaps(Scenario(spark, sf).stored_target())
+
+
+def q_gap_backfill(spark, sf):
+    """A run that takes just the days of the gaps that are no longer than the hole: what it appends."""
+    sc = Scenario(spark, sf)
+    paths = sc.setup()
+    target = ParquetTarget(paths["target"])
+    before = target.keys(spark).checkpoint()
+    gaps = V.coverage_gaps(target.read(spark)).checkpoint()
+    sc.run(paths, gaps=gaps)
+    return I.new_rows(_target(spark, paths["target"]), before).select("symbol", "bar_date", "close")
+
+
+def q_reload_switch(spark, sf):
+    """Two reloads of a catalog table: what readers see after the first, during the second, after one that fails and after the second,
+    and how many of the data files of the first load still lie where they were."""
+    sc = Scenario(spark, sf)
+    target = CatalogTarget(f"target_{uuid.uuid4().hex[:12]}", new_path(spark, "catalog"))
+    seen = []
+
+    def look(step: str) -> None:
+        files = spark.table(target.name).select(F.input_file_name().alias("f")).distinct()
+        seen.append((step, spark.table(target.name).count(), files.count()))
+
+    target.write(C.conform(sc.existing()), "overwrite")
+    look("first")
+    full = C.conform(G.to_gold(sc.silver))
+    fresh = target._fresh()
+    stored_form(full).write.partitionBy("bar_month").parquet(fresh)  # written, but not yet switched
+    look("written")
+    try:
+        target.write(full.withColumn("volume", F.raise_error(F.lit("midway")).cast("bigint")), "overwrite")
+    except Exception as e:  # noqa: BLE001
+        if "midway" not in str(e):
+            raise
+    look("failed")
+    target.switch(spark, fresh)
+    look("second")
+    target.clean(spark)
+    left = len(target.folders(spark))
+    spark.sql(f"DROP TABLE {target.name}")
+    rows = [(step, n, files > 0, left) for step, n, files in seen]
+    return spark.createDataFrame(rows, "step string, n_rows bigint, has_files boolean, folders_left int")
+
+
+def q_new_rows_bucketed(spark, sf):
+    """``new_rows`` against a table of keys in buckets: the target's side is not shuffled."""
+    sc = Scenario(spark, sf)
+    name = f"keys_{uuid.uuid4().hex[:12]}"
+    save_bucketed(sc.existing(), name, new_path(spark, "bucketed-keys"), 16)
+    return I.new_rows(sc.silver, spark.table(name))
+
+
+def q_months_from_footers(spark, sf):
+    """Rows and first and last day of each month of the stored target, from file footers alone."""
+    return months_from_footers(spark, Scenario(spark, sf).setup(land=False)["target"])
+
+
+def q_stream_late_kept(spark, sf):
+    """The landing of ``stream_late_rows`` with state per symbol: late days go to a table of their own."""
+    sc = Scenario(spark, sf)
+    lpath, opath, cpath = (new_path(spark, k) for k in ("landing", "late-rows", "stream-checkpoint"))
+    write_landing(landing(spark, sf), lpath)
+    start_late_rows_stream(spark, lpath, opath, cpath).awaitTermination()
+    write_landing(X.late_responses(bars(spark, sf), sc.d_max, LATE_DAYS), lpath)
+    start_late_rows_stream(spark, lpath, opath, cpath).awaitTermination()
+    return spark.read.parquet(opath).select("symbol", "bar_date", "close", F.col("late").cast("boolean").alias("late"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources
     "envelope_status": q_envelope_status,
@@ -560,6 +699,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_noop": q_incremental_noop,
     "replay_idempotent": q_replay_idempotent,
     "partial_load_recovery": q_partial_load_recovery,
+    "merged_document_flatten": q_merged_document_flatten,
+    "future_dates": q_future_dates,
+    "load_paths_revised": q_load_paths_revised,
+    "load_diff": q_load_diff,
+    "coverage_gaps": q_coverage_gaps,
+    "gap_backfill": q_gap_backfill,
+    "reload_switch": q_reload_switch,
+    "new_rows_bucketed": q_new_rows_bucketed,
+    "months_from_footers": q_months_from_footers,
+    "stream_late_kept": q_stream_late_kept,
     # streaming re-aims
     "stream_incremental": q_stream_incremental,
     "stream_dedup_late": q_stream_dedup_late,

@@ -48,6 +48,10 @@ ERROR_MONTHS = {"rate_limited": 3, "api_error": 6, "missing_series": 9, "http_er
 FETCH_DAY = 15
 RATE_LIMIT_TEXT = "Request limit reached, retry later."
 API_ERROR_TEXT = "The request was not valid."
+# A day that no run can hold.
+FAR_DAY = "2099-01-01"
+# Spaces of a level in pretty-printed documents.
+INDENT = 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -213,6 +217,45 @@ def late_responses(bars: DataFrame, d_max: dt.date, late_days: int) -> DataFrame
     return rows.select("symbol", run.cast("timestamp").alias("fetched_at"), F.lit(200).alias("http_status"), body.alias("body"), run.alias("run_date"))
 
 
+def future_responses(bars: DataFrame, d_max: dt.date) -> tuple[DataFrame, DataFrame]:
+    """Two runs for every symbol after ``d_max``: one whose days are a good one and one far in the future, and a later one with a good day."""
+    day = lambda n: (d_max + dt.timedelta(days=n)).isoformat()
+    runs = ((40, _rough_body([(day(3), _same_day("3.5")), (FAR_DAY, _same_day("9.5"))])), (50, _rough_body([(day(10), _same_day("4.5"))])))
+    rows = bars.select("symbol").distinct()
+
+    def run(n: int, body: Column) -> DataFrame:
+        at = F.lit(d_max + dt.timedelta(days=n))
+        return rows.select("symbol", at.cast("timestamp").alias("fetched_at"), F.lit(200).alias("http_status"), body.alias("body"), at.alias("run_date"))
+
+    first, second = (run(n, body) for n, body in runs)
+    return first, second
+
+
+def write_merged(landing: DataFrame, path: str) -> None:
+    """The ok responses of each run as one pretty-printed document, ``run_date=.../part-*.txt``, the way a
+    single-process extractor leaves them (so each run is one task's work here)."""
+    pad = lambda n: " " * (INDENT * n)
+    ok = landing.filter(F.col("body").contains(SERIES_KEY))
+    text = F.col("body")
+    # line ends and indentation for the compact text that landing_from_bars makes
+    for compact, pretty in (
+        ('{"' + META_KEY + '": {', f'{{\n{pad(2)}"{META_KEY}": {{\n{pad(3)}'),
+        ('}, "' + SERIES_KEY + '": {', f'\n{pad(2)}}},\n{pad(2)}"{SERIES_KEY}": {{\n{pad(3)}'),
+        ('": {"' + OPEN_KEY, f'": {{\n{pad(4)}"{OPEN_KEY}'),
+        ('"}, "', f'"\n{pad(3)}}},\n{pad(3)}"'),
+        ('"}}}', f'"\n{pad(3)}}}\n{pad(2)}}}\n{pad(1)}}}'),
+        *((f',"{k}":"', f',\n{pad(4)}"{k}":"') for k in (HIGH_KEY, LOW_KEY, CLOSE_KEY, VOLUME_KEY)),
+        ('":"', '": "'),
+    ):
+        text = F.replace(text, F.lit(compact), F.lit(pretty))
+    last = ok.groupBy(F.col("run_date").alias("_run")).agg(F.max("symbol").alias("_last"))
+    comma = F.when(F.col("symbol") < F.col("_last"), F.lit(",")).otherwise(F.lit(""))
+    rows = ok.join(last, F.col("run_date") == F.col("_run")).select("run_date", F.lit(1).alias("part"), "symbol", F.concat(F.lit(f'{pad(1)}"'), "symbol", F.lit('": '), text, comma).alias("value"))
+    edges = ok.select("run_date").distinct().select("run_date", F.explode(F.array(*[F.struct(F.lit(k).alias("part"), F.lit(v).alias("value")) for k, v in ((0, "{"), (2, "}"))])).alias("e"))
+    every = rows.unionByName(edges.select("run_date", "e.part", F.lit("").alias("symbol"), "e.value"))
+    every.repartition("run_date").sortWithinPartitions("run_date", "part", "symbol").select("run_date", "value").write.partitionBy("run_date").text(path)
+
+
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing_from_bars(orders_bars(spark, sf_dir))
 
