@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 
 from candlelake.llm.common import map_slices, slices
 
-#: Bound of the sample of pages; blocks of a sampled page that teach; widths of the hashed parts and of the network.
-PAGES, TEACH, PATH, WORDS, HIDDEN = 160, 80, 96, 64, 16
+#: Bound of the sample of pages; most bytes and labelled blocks of a page that teaches (longer ones are not sampled, none is cut); widths
+#: of the hashed parts and of the network.
+PAGES, TEACH_BYTES, TEACH, PATH, WORDS, HIDDEN = 160, 200_000, 200, 96, 64, 16
 EPOCHS, BATCH, RATE = 10, 16, 1e-2
 N_MEASURES = 8
 WIDTH = PATH + WORDS + N_MEASURES
@@ -342,50 +343,58 @@ class BlockLabeller:
         return np.concatenate([self.output(ways["f"][s], ways["b"][s])[:, 0] for s in starts])
 
 
+def told(page: str) -> tuple | None:
+    """The blocks of a page whose markup says what they are: paths, texts, characters in links, labels; None if it does not teach."""
+    if len(page) > TEACH_BYTES:
+        return None
+    labels: dict[tuple[str, ...], int | None] = {}
+    out = []
+    for r in blocks(page):
+        if r[0] not in labels:
+            labels[r[0]] = weak_label(r[0])
+        if labels[r[0]] is not None:
+            out.append((r, labels[r[0]]))
+    if len(out) > TEACH or len({y for _, y in out}) < 2:
+        return None
+    return [list(r[0]) for r, _ in out], [r[1] for r, _ in out], [r[2] for r, _ in out], [y for _, y in out]
+
+
 def fit(pages: DataFrame, html: str = "html", sample: int = PAGES) -> BlockLabeller | None:
     """Learns from the ``sample`` telling pages with the smallest hashes of their content; None if no page has a weak label of both kinds.
 
-    All pages are read for that, whatever their number; copies count once.
+    All pages are read for that, whatever their number; copies count once. A page teaches with all its
+    labelled blocks and their whole texts; pages of over TEACH_BYTES or TEACH such blocks do not teach. Only hashes
+    come to the driver first, a task's smallest, and then the pages of the chosen ones.
     """
     rows = pages.select(F.col(f"`{html}`").alias("html")).filter(F.col("html").isNotNull()).select("html", F.xxhash64("html").alias("h"))
 
-    def told(page: str) -> tuple | None:
-        labels: dict[tuple[str, ...], int | None] = {}
-        out = []
-        for r in blocks(page):
-            if r[0] not in labels:
-                labels[r[0]] = weak_label(r[0])
-            if labels[r[0]] is not None:
-                out.append((r, labels[r[0]]))
-        out = out[:TEACH]
-        if len({y for _, y in out}) < 2:
-            return None
-        return [list(r[0]) for r, _ in out], [r[1][:600] for r, _ in out], [r[2] for r, _ in out], [y for _, y in out]
-
-    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # the smallest hashes of the task, largest of them first out
-        held: dict[int, tuple] = {}
+    def smallest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the smallest hashes of the task's telling pages, largest of them first out
+        held: set[int] = set()
         heap: list[int] = []
         for part in slices(batches, "html"):
             for page, h in zip(part.column(0), part.column(1).to_pylist()):
                 if h in held or (len(heap) >= sample and h > -heap[0]):
                     continue
-                page = told(page.as_py())
-                if page:
-                    held[h] = page
+                if told(page.as_py()):
+                    held.add(h)
                     heapq.heappush(heap, -h)
                     if len(heap) > sample:
-                        del held[-heapq.heappop(heap)]
-        columns = list(zip(*((h, *page) for h, page in held.items()))) or [[]] * 5
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(columns[k]), t) for k, t in enumerate((pa.int64(), pa.list_(pa.list_(pa.string())), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32())))],
-            ["h", "path", "words", "linked", "label"],
-        )
-
-    found = rows.mapInArrow(work, "h bigint, path array<array<string>>, words array<string>, linked array<int>, label array<int>")
-    got = found.dropDuplicates(["h"]).orderBy("h").limit(sample).collect()
-    if not got:
+                        held.remove(-heapq.heappop(heap))
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(held), pa.int64())], ["h"])
+
+    chosen = [r["h"] for r in rows.mapInArrow(smallest, "h bigint").distinct().orderBy("h").limit(sample).collect()]
+    if not chosen:
         return None
+
+    def work(part: pa.RecordBatch) -> pa.RecordBatch | None:
+        found = [(h, *page) for h, page in zip(part.column(1).to_pylist(), map(told, part.column(0).to_pylist())) if page]
+        columns = list(zip(*found)) or [[]] * 5
+        kinds = (pa.int64(), pa.list_(pa.list_(pa.string())), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()))
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], ["h", "path", "words", "linked", "label"])
+
+    teachers = map_slices(rows.filter(F.col("h").isin(chosen)), "html", "h bigint, path array<array<string>>, words array<string>, linked array<int>, label array<int>", work)
+    got = teachers.dropDuplicates(["h"]).orderBy("h").collect()  # at most ``sample``
     g, taught = np.random.default_rng(0), []
     for r in got:
         page = [(tuple(p), w, n) for p, w, n in zip(r["path"], r["words"], r["linked"])]

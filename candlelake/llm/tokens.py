@@ -2,8 +2,8 @@
 
 A text is cut before each space that no white space precedes. The byte-level pre-tokeniser always
 starts a new word there, so the units between the cuts encode independently and very long texts need
-no special path. Of a slice, only the distinct units are encoded, nearly all of them in one call. Texts with a space after other white space are encoded
-whole, since runs of white space can form one token across a cut.
+no special path. Of a slice, only the distinct units are encoded, nearly all of them in one call. A run of white space can form one
+token, so it is never cut: it stays at the start of the unit that follows.
 """
 
 from __future__ import annotations
@@ -18,6 +18,9 @@ import pyarrow.compute as pc
 RUN = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] "
 #: Fixed value: the word pattern of the byte-level scheme.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Where a text with runs of white space may be cut: between a character that is none and a space. CUT marks the place.
+CUT = "\U0010ffff"
+SAFE = r"([^\s\x0b\x1c-\x1f\x{85}\p{Z}]) "
 #: Units that are encoded alone: empty, or with white space at their end.
 EDGE = r"^$|[\s\x0b\x1c-\x1f\x{85}\p{Z}]$"
 
@@ -93,6 +96,22 @@ class UnitEncoder:
         length[alone] = [len(x) // 4 for x in rest]
         return joined([(plain, length[plain], ids), (alone, length[alone], np.frombuffer(b"".join(rest), "<u4"))], length), length
 
+    def in_units(self, texts: pa.Array, cut: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of each text, ids one after the other) of texts with runs of white space, by distinct units if they may be cut."""
+        if not cut:
+            got = self.whole(texts.to_pylist())
+            return np.array([len(x) // 4 for x in got], np.int64), np.frombuffer(b"".join(got), "<u4")
+        split = pc.split_pattern(pc.replace_substring_regex(texts, SAFE, rf"\1{CUT} "), CUT)
+        edges = split.offsets.to_numpy() - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        code, names = coded.indices.to_numpy(), coded.dictionary
+        got = self.whole(names.to_pylist())
+        size = np.array([len(x) // 4 for x in got], np.int64)
+        ids, begin = np.frombuffer(b"".join(got), "<u4"), np.cumsum(size) - size
+        each = size[code]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        return np.diff(ends[edges]), ids[np.repeat(begin[code] - ends[:-1], each) + np.arange(ends[-1])]
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, where each text starts: one more than texts). NULL is empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -121,8 +140,11 @@ class UnitEncoder:
             parts.append((at, np.diff(np.concatenate([[0], ends])[edges]), ids[step]))
         if odd.any():
             at = np.flatnonzero(odd)
-            got = self.whole(texts.take(pa.array(at)).to_pylist())
-            parts.append((at, np.array([len(x) // 4 for x in got], np.int64), np.frombuffer(b"".join(got), "<u4")))
+            rest = texts.take(pa.array(at))
+            alone = pc.match_substring(rest, CUT).to_numpy(zero_copy_only=False) if self.safe else np.ones(len(at), bool)
+            for some, cut in ((np.flatnonzero(~alone), True), (np.flatnonzero(alone), False)):
+                if len(some):
+                    parts.append((at[some], *self.in_units(rest.take(pa.array(some)), cut)))
         lengths = np.zeros(n, np.int64)
         for at, size, _ in parts:
             lengths[at] = size

@@ -31,6 +31,19 @@ def test_units_give_the_library_s_ids(fast):
     assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [ids_of(t) for t in texts]
 
 
+def test_long_texts_with_runs_of_white_space_are_cut():
+    """Cuts stay out of runs of white space, so that only short units are encoded; a text that holds the mark is not cut."""
+    own, seen = UnitEncoder(PATH), []
+    whole = own.whole
+    own.whole = lambda texts: seen.extend(map(len, texts)) or whole(texts)
+    rng = random.Random(4)
+    text = "".join(rng.choice(["word", " ", "  ", "a b", "\n ", " \n", "\u3000 ", " <|endoftext|> ", "x. ", "\t\t "]) for _ in range(5000))
+    texts = [text, "  " + text, text + " ", "a  b\U0010ffff c", "\U0010ffff  ", "   "]
+    ids, at = own.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [ids_of(t) for t in texts]
+    assert max(seen) < 200
+
+
 def test_counts_against_the_library(docs, rows):
     got = sorted((tuple(r) for r in token_counts(docs, PATH, limit=50).collect()), key=str)
     assert got == sorted(((i, len((t or "").encode()), len(ids_of(t)), len(ids_of(t)) > 50) for i, t in rows), key=str)
