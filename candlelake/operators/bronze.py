@@ -51,6 +51,15 @@ VALUES = ("symbol", "bar_date", *PRICES, "volume", "run_date", "fetched_at", "n_
 FORMED = (REJECT_SYMBOL, REJECT_DATE, REJECT_FUTURE)
 
 
+def key_reason(day: str = "bar_date") -> Column:
+    """Why the key of a landed day cannot be one: no symbol, no date, or a date after its run; NULL if it can."""
+    return (
+        F.when(F.col("symbol").isNull(), F.lit(REJECT_SYMBOL))
+        .when(parse_date(day).isNull(), F.lit(REJECT_DATE))
+        .when(parse_date(day) > F.col("run_date"), F.lit(REJECT_FUTURE))
+    )
+
+
 def landed_values(landing: DataFrame) -> DataFrame:
     """One row per day entry of every ok response (the last one of a repeated day), and one per unparseable
     body (without a day): ``VALUES``, ``reason`` (why it cannot be a row of the target, else NULL) and ``raw``
@@ -67,9 +76,7 @@ def landed_values(landing: DataFrame) -> DataFrame:
     reason = (
         F.when(F.col("key").isNull(), F.lit(REJECT_BODY))
         .when(F.col("day").isNull(), F.lit(REJECT_DAY))
-        .when(F.col("symbol").isNull(), F.lit(REJECT_SYMBOL))
-        .when(parse_date("key").isNull(), F.lit(REJECT_DATE))
-        .when(parse_date("key") > F.col("run_date"), F.lit(REJECT_FUTURE))
+        .otherwise(key_reason("key"))
     )
     d = d.select("*", reason.alias("reason"))
     text = F.when(F.col("key").isNull(), F.try_variant_get("value", "$", "string")).otherwise(F.to_json("value"))

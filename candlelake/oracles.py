@@ -92,6 +92,8 @@ _null_checks = " UNION ALL ".join(
     for c in ("open", "high", "low", "close", "volume")
 )
 
+_nulls = ", ".join(f"CAST(coalesce(count_if({c} IS NULL), 0) AS BIGINT) AS null_{c}" for c in ("open", "high", "low", "close", "volume"))
+
 SQL: dict[str, str] = {
     "envelope_status": f"""
 SELECT symbol, run_date, 200 AS http_status, 'ok' AS status FROM docs
@@ -180,6 +182,12 @@ SELECT {BARS} FROM gold g
 WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.symbol = g.symbol AND e.bar_date = g.bar_date)""",
     "months_from_footers": """
 SELECT strftime(bar_date, '%Y-%m') AS bar_month, count(*) AS n, min(bar_date) AS first_date, max(bar_date) AS latest_date FROM existing GROUP BY 1""",
+    "load_audit": "\n" + " UNION ALL ".join(
+        f"""SELECT '{kind}' AS kind, '{load_id}' AS load_id, max(bar_date) AS max_bar_date, count(*) AS "rows", count(*) AS n_new, CAST(0 AS BIGINT) AS n_changed, {_nulls} FROM {rows}"""
+        for kind, load_id, rows in (
+            ("full_reload", "reload", "gold"), ("incremental", "first", "window_new"), ("incremental", "second", "(SELECT * FROM gold WHERE false)"), ("stream", "batch-0", "gold"),
+        )
+    ),
     # an old day is late for a symbol that has days after it, and a replay where the symbol still remembers it
     "stream_late_kept": f"""
 , newest AS (SELECT symbol, max(bar_date) AS newest, any_value(d_max) AS d_max FROM landed JOIN symbols USING (symbol) GROUP BY symbol),

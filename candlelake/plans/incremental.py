@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,7 @@ from ..operators.gold import to_gold
 from ..operators.incremental import fetch_window, in_window, in_window_per_symbol, per_symbol_marks, with_state
 from ..operators.silver import to_silver
 from ..session import work_dir
+from ..sinks.audit import write_audit
 from ..sinks.tables import append_mark, append_symbol_marks, ensure_marks, load_metrics_of, log_quality, write_rejects
 from ..sinks.targets import Target, as_target
 from ..sources.landing import read_landing
@@ -92,12 +94,15 @@ def run_incremental(
     rejects_path: str | None = None,
     revise: bool = False,
     gaps: DataFrame | None = None,
+    audit_path: str | None = None,
+    load_id: str | None = None,
 ) -> dict:
     """One run. ``outcome``: nothing_landed, nothing_in_window, nothing_new or loaded; a first run has a window too, the last ``first_run_days`` days.
 
     n_incoming, n_matched, n_new: rows of the window, those that the target holds, those that it lacks; n_changed: rows that replaced
     others (``revise``); n_outside: landed days of the scanned runs that are not in the window. ``gaps`` (rows of
-    ``coverage_gaps``): the run takes just the days of these gaps, whatever their age, instead of the window.
+    ``coverage_gaps``): the run takes just the days of these gaps, whatever their age, instead of the window. ``audit_path``: an
+    audit row of a run that found rows in its window, from the persisted rows.
     """
     target = as_target(target_path)
     target.ensure(spark)  # first run: an empty target, so every landed row is new
@@ -136,6 +141,8 @@ def run_incremental(
         if result["n_incoming"] == 0:
             result["outcome"] = "nothing_landed" if landing.isEmpty() else "nothing_in_window"
             return result
+        if audit_path:
+            write_audit(spark, audit_path, load_id or uuid.uuid4().hex, "incremental", result | stats)
         result |= {f"new_{k}": v for k, v in stats.items() if k != "rows"}
         result["outcome"] = "loaded" if stats["rows"] else "nothing_new"
         if stats["rows"]:

@@ -34,6 +34,7 @@ from .operators import silver as S
 from .plans import run_full_reload, run_incremental
 from .schemas import BRONZE_COLUMNS, RAW_MAP, TARGET
 from .session import new_path
+from .sinks.audit import read_audit
 from .sinks.catalog import CatalogTarget, save_bucketed
 from .sinks.tables import LOAD_METRICS, append_mark, ensure_marks, read_rejects, stored_form, write_target
 from .sinks.targets import ParquetTarget
@@ -634,6 +635,18 @@ def q_months_from_footers(spark, sf):
     return months_from_footers(spark, Scenario(spark, sf).setup(land=False)["target"])
 
 
+def q_load_audit(spark, sf):
+    """The audit rows of a reload, of two incremental runs over a loaded target and of the stream, each over the same landing."""
+    sc = Scenario(spark, sf)
+    paths = sc.setup()
+    audit, reload, stream, ckpt = (new_path(spark, k) for k in ("audit", "target", "target", "stream-checkpoint"))
+    run_full_reload(spark, read_landing(spark, paths["landing"]), reload, audit_path=audit, load_id="reload")
+    for k in ("first", "second"):
+        sc.run(paths, audit_path=audit, load_id=k)
+    start_incremental_stream(spark, paths["landing"], stream, ckpt, audit_path=audit).awaitTermination()
+    return read_audit(spark, audit).drop("loaded_at")
+
+
 def q_stream_late_kept(spark, sf):
     """The landing of ``stream_late_rows`` with state per symbol: late days go to a table of their own."""
     sc = Scenario(spark, sf)
@@ -708,6 +721,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reload_switch": q_reload_switch,
     "new_rows_bucketed": q_new_rows_bucketed,
     "months_from_footers": q_months_from_footers,
+    "load_audit": q_load_audit,
     "stream_late_kept": q_stream_late_kept,
     # streaming re-aims
     "stream_incremental": q_stream_incremental,

@@ -34,6 +34,9 @@ class CatalogTarget(Target):
         rows = spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").filter("col_name = 'Location'").select("data_type")
         return rows.first()[0]
 
+    def folder(self, spark: SparkSession) -> str:
+        return self.location(spark)
+
     def _fresh(self) -> str:
         return f"{self.root.rstrip('/')}/load-{uuid.uuid4().hex[:12]}"
 

@@ -34,6 +34,10 @@ class Target:
     def write(self, df: DataFrame, mode: str) -> None:
         raise NotImplementedError
 
+    def folder(self, spark: SparkSession) -> str:
+        """The folder of its Parquet files."""
+        raise NotImplementedError(f"{type(self).__name__} has no files")
+
     def window(self, spark: SparkSession, fetch_from: dt.date | None, values: bool = False) -> DataFrame:
         """The keys, or with ``values`` the rows, from a day on."""
         if not values:
@@ -64,6 +68,9 @@ class ParquetTarget(Target):
         t = read_target(spark, self.path)
         return None if t is None else t.select(*TARGET.fieldNames())
 
+    def folder(self, spark: SparkSession) -> str:
+        return self.path
+
     def window(self, spark: SparkSession, fetch_from: dt.date | None, values: bool = False) -> DataFrame:
         if not values or fetch_from is None:
             return super().window(spark, fetch_from, values)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..constants import SERIES_KEY, VOLUME_KEY
 from ..functions.bars import overflows, price, volume
-from ..operators.bronze import PRICES, VALUES
+from ..operators.bronze import PRICES, VALUES, key_reason
 from ..session import new_path
 
 #: Spaces of one level of indentation.
@@ -96,7 +96,7 @@ def merged_lines(spark: SparkSession, path: str, indent: int = INDENT) -> DataFr
 
 
 def merged_values(spark: SparkSession, path: str, indent: int = INDENT) -> DataFrame:
-    """Bronze rows (``bronze.VALUES``) of merged documents. Of a repeated symbol, section, day or field of a file the last counts.
+    """Landed values (as ``bronze.landed_values``, rows only) of merged documents. Of a repeated symbol, section, day or field of a file the last counts.
 
     The lines are stored once (in the work folder): they are read for the splits' states and for the rows.
     """
@@ -136,7 +136,14 @@ def merged_values(spark: SparkSession, path: str, indent: int = INDENT) -> DataF
     # of a repeated day the last
     days = days.groupBy("file", "run_date", "symbol", "day").agg(F.max(F.struct("day_at", *keys)).alias("d"))
     text = {name: F.regexp_replace(F.nullif(F.col(f"d.{name}"), F.lit("null")), r'^"(.*)"$', "$1") for name in keys}
-    return days.select(
-        "symbol", F.col("day").alias("bar_date"), *[price(text[c]).alias(c) for c in PRICES], volume(text["volume"]).alias("volume"),
+
+    def plain(key: str) -> Column:
+        quoted = F.from_json(F.concat(F.lit('["'), F.col(key), F.lit('"]')), "array<string>")[0]
+        return F.when(F.contains(F.col(key), F.lit("\\")), quoted).otherwise(F.col(key))
+
+    rows = days.select(
+        plain("symbol").alias("symbol"), plain("day").alias("bar_date"), *[price(text[c]).alias(c) for c in PRICES], volume(text["volume"]).alias("volume"),
         "run_date", F.lit(None).cast("timestamp").alias("fetched_at"), sum((overflows(text[c]) for c in PRICES), F.lit(0)).alias("n_overflow"),
-    ).select(*VALUES)
+    )
+    reason = key_reason()
+    return rows.select(*VALUES, reason.alias("reason"), F.when(reason.isNotNull(), F.lit("")).alias("raw"))

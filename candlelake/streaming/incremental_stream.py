@@ -24,6 +24,7 @@ from ..operators.bronze import good_rows, landed_values, rejects_of
 from ..operators.silver import to_silver
 from ..plans.incremental import load_rows
 from ..schemas import LANDING
+from ..sinks.audit import write_audit
 from ..sinks.tables import log_quality, write_rejects
 from ..sinks.targets import Target, as_target
 
@@ -33,7 +34,7 @@ log = logging.getLogger("candlelake.stream")
 MAX_FILES = 1000
 
 
-def load_batch(batch: DataFrame, target: str | Target, batch_id: int = 0, rejects_path: str | None = None, revise: bool = False) -> dict:
+def load_batch(batch: DataFrame, target: str | Target, batch_id: int = 0, rejects_path: str | None = None, revise: bool = False, audit_path: str | None = None) -> dict:
     """One micro-batch: keep-last within the batch, look-up in the target from the batch's earliest day on
     (window-pruned), append of the new gold rows; values that cannot be loaded go to the rejects table, once.
     With ``revise`` a batch counts as fetched later than all before it, and its values replace others."""
@@ -48,6 +49,8 @@ def load_batch(batch: DataFrame, target: str | Target, batch_id: int = 0, reject
         if earliest is None:
             return {}
         stats = load_rows(spark, to_silver(rows), t, dt.date.fromisoformat(earliest), revise)
+        if audit_path:  # a repeated batch replaces its row, whose counts are then those of the repetition
+            write_audit(spark, audit_path, f"batch-{batch_id}", "stream", stats)
         log_quality({k: v for k, v in stats.items() if k not in ("latest", "earliest")}, log, f"stream-{batch_id}")
         return stats
     finally:
@@ -65,11 +68,12 @@ def start_incremental_stream(
     processing_time: str | None = None,
     rejects_path: str | None = None,
     revise: bool = False,
+    audit_path: str | None = None,
 ) -> StreamingQuery:
     as_target(target_path).ensure(spark)
     src = spark.readStream.schema(LANDING).option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = src.format(fmt).load(landing_path)
-    w = stream.writeStream.foreachBatch(lambda df, batch_id: load_batch(df, target_path, batch_id, rejects_path, revise) and None).option(
+    w = stream.writeStream.foreachBatch(lambda df, batch_id: load_batch(df, target_path, batch_id, rejects_path, revise, audit_path) and None).option(
         "checkpointLocation", checkpoint_path
     )
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 hour")
