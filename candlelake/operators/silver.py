@@ -25,11 +25,14 @@ def keep_last(df: DataFrame, keys: tuple[str, ...] = KEY, order: str = "fetched_
     One ``max_by`` per column over a fixed-width ordering keeps every aggregation buffer
     fixed-width, so the plan stays a hash aggregate with partial aggregation before the shuffle:
     a hot key reaches the reducer as one row per map task. Copies of one key come from different
-    responses, whose fetch times differ; a copy without a fetch time counts as the earliest. Rows with a NULL key part are never merged with each
+    responses, whose fetch times differ; copies without a fetch time count as the earliest, and which of
+    them stays depends on their values alone. Rows with a NULL key part are never merged with each
     other. ``n_copies`` > 1 marks a key that was duplicated before.
     """
-    # an unknown time loses against any other, and never blanks the values
-    o = F.coalesce(F.col(order), F.lit("0001-01-01 00:00:00").cast("timestamp"))
+    # an unknown time loses against any other, and never blanks the values; copies without one are told apart by a hash of their values
+    values = [c for c in df.columns if c not in keys and c != order]
+    unknown = F.lit(-(1 << 62)) - F.xxhash64(*values).bitwiseAND(F.lit((1 << 61) - 1))
+    o = F.coalesce(F.unix_micros(order), unknown)
     aggs = [F.max(order).alias(c) if c == order else F.max_by(c, o).alias(c) for c in df.columns if c not in keys]
     # A row with a NULL key part is not a copy of anything: a unique tiebreak keeps it apart
     # (NULL, i.e. no effect, for every well-formed row).

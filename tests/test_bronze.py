@@ -218,3 +218,11 @@ def test_winning_response_has_its_body(spark):
     got = {r.symbol: r for r in winning_responses(landing_df(spark, records + records[:1])).collect()}
     assert got["X"].body == good[1] and got["X"].status == "ok"
     assert got["Y"].status == "api_error" and got["Z"].body == good[0] and got[None].body == good[1]
+
+
+def test_copies_without_a_fetch_time_are_told_apart_by_their_values(spark):
+    from candlelake.operators.silver import to_silver
+
+    records = [("X", None, 200, doc("X", {"2026-05-18": day(k, k, k, k, k)}), T0.date()) for k in range(1, 9)]
+    kept = {to_silver(flatten(landing_df(spark, order).repartition(n))).first().volume for order in (records, records[::-1]) for n in (1, 3, 8)}
+    assert len(kept) == 1
