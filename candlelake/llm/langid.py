@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from candlelake.llm.common import map_slices
 
-#: Hashed n-grams; bounds of the sample: texts for each language, and landmarks in all.
-WIDTH, PER_LANGUAGE, LANDMARKS, RIDGE = 1 << 14, 250, 200, 1e-2
+#: Hashed n-grams; bounds of the sample: texts for each language, and landmarks: in all, and more where a language would have fewer than MARKS.
+WIDTH, PER_LANGUAGE, LANDMARKS, MARKS, RIDGE = 1 << 14, 250, 200, 8, 1e-2
 BLOCK = 512
 _SHIFT = np.uint64(64 - 14)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -60,8 +60,9 @@ def normed(bits: np.ndarray) -> np.ndarray:
 class KernelRidge:
     """One-versus-rest ridge regression on Nystrom features of the presence kernel."""
 
-    def __init__(self, languages: list[str], rows: np.ndarray, truth: np.ndarray, landmarks: int = LANDMARKS, ridge: float = RIDGE):
+    def __init__(self, languages: list[str], rows: np.ndarray, truth: np.ndarray, landmarks: int | None = None, ridge: float = RIDGE):
         self.languages = languages
+        landmarks = landmarks or max(LANDMARKS, MARKS * len(languages))
         # every language has its share of the landmarks
         order = np.argsort([np.sum(truth[:k] == t) for k, t in enumerate(truth)], kind="stable")
         marks = normed(rows[order[:landmarks]]).astype(np.float64)

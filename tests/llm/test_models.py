@@ -62,6 +62,18 @@ def test_language_id_learns_under_heavy_copies(spark, monkeypatch):
     assert 250 <= seen["aa"] <= 500 and seen["bb"] == 100 and seen["cc"] == 20
 
 
+def test_every_one_of_many_languages_has_landmarks():
+    """More languages than landmarks by default: each still has its own, and is told from the others."""
+    rng = np.random.default_rng(5)
+    names = [f"l{k:03d}" for k in range(230)]
+    letters = [rng.choice([chr(c) for c in range(0x4E00, 0x4E00 + 2000)], 12) for _ in names]
+    say = lambda k: "".join(rng.choice(letters[k], 40))
+    rows = langid.presence([say(k) for k in range(230) for _ in range(6)])[0]
+    model = langid.KernelRidge(names, rows, np.repeat(np.arange(230), 6))
+    got = model.scores(langid.presence([say(k) for k in range(230)])[0]).argmax(1)
+    assert (got == np.arange(230)).mean() > 0.97
+
+
 def test_presence_kernel_against_sets():
     rng = random.Random(1)
     texts = ["".join(rng.choice("abc dé1") for _ in range(rng.randint(0, 12))) for _ in range(40)]
