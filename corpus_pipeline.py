@@ -3,6 +3,11 @@
 Rejected by the quality classifier, repeated exactly, similar to another document or holding a
 benchmark item: such documents go, stage by stage; what is left is packed. Every stage but the last
 returns rows of documents with all their columns, so stages can be stored, repeated or left out.
+
+Edge rows: columns other than doc_id and text may be NULL and are passed on. A NULL text is an empty one; all empty
+texts are copies of each other, are similar to nothing and hold no item. Rows without an id are judged by their own
+text; near_copies keeps them all. Of rows that repeat an id and its text one stays; of equal texts the largest
+id, of similar ones the smallest. Texts of any length are read whole and packed in pieces. An empty table stays empty.
 """
 
 from __future__ import annotations
