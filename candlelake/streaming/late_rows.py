@@ -1,5 +1,9 @@
 """T2 without loss: the lookback as state per symbol, with late days sent to a table of their own.
 
+Symbols are dealt to buckets by a hash, and a bucket's rows go through one call: a call has a fixed cost, which
+many symbols with a few days each would pay one by one. For the same reason a bucket's state is one value, with
+the symbols of the bucket and the days of each.
+
 A symbol's state is its newest day and the days that are still within the delay before it. A day that the state
 has is a replay and is dropped; a day older than the delay allowed when its micro-batch began is
 late; any other is kept, once. The state of a symbol has at most as many days as the delay, whatever its
@@ -28,32 +32,41 @@ from ..schemas import BRONZE_COLUMNS, LANDING
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Buckets of symbols. The state of a checkpoint is keyed by them.
+BUCKETS = 4096
 OUT = "symbol string, bar_date date, open decimal(10,4), high decimal(10,4), low decimal(10,4), close decimal(10,4), volume bigint, late boolean"
 
 
 class Lookback(StatefulProcessor):
-    """Keeps, drops or sets aside the rows of one symbol."""
+    """Keeps, drops or sets aside the rows of one bucket of symbols."""
 
     def __init__(self, delay_days: int = LOOKBACK_DAYS):
         self.delay = dt.timedelta(days=delay_days)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("days", "newest date, recent array<date>")
+        # the last of a symbol's days is its newest
+        self.state = handle.getValueState("days", "symbols array<string>, recent array<array<date>>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        newest, recent = self.state.get() if self.state.exists() else (None, [])
-        floor = None if newest is None else newest - self.delay
-        seen = set(recent or ())
         batch = pd.concat(list(rows), ignore_index=True)
         # of copies of a day the last fetched, as everywhere; one without a fetch time comes first
-        batch = batch.sort_values("fetched_at", na_position="first", kind="stable").drop_duplicates("bar_date", keep="last")
-        late = batch["bar_date"].map(lambda d: floor is not None and d < floor)
-        out = batch[late | ~batch["bar_date"].isin(seen)].copy()
-        out["late"] = late
-        newest = max([d for d in (newest, batch["bar_date"].max()) if d is not None])
-        seen = {d for d in seen | set(batch["bar_date"]) if d >= newest - self.delay}
-        self.state.update((newest, sorted(seen)))
-        yield out[[*BRONZE_COLUMNS, "late"]]
+        batch = batch.sort_values("fetched_at", na_position="first", kind="stable").drop_duplicates(["symbol", "bar_date"], keep="last")
+        days: dict[str, list[dt.date]] = {}
+        for symbol, day in zip(batch["symbol"], batch["bar_date"]):
+            days.setdefault(symbol, []).append(day)
+        recent = dict(zip(*self.state.get())) if self.state.exists() else {}
+        floors = {symbol: recent[symbol][-1] - self.delay for symbol in days if symbol in recent}
+        seen = {symbol: set(recent.get(symbol, ())) for symbol in days}
+        for symbol, own in days.items():
+            held = seen[symbol].union(own)
+            floor = max(held) - self.delay
+            recent[symbol] = sorted(d for d in held if d >= floor)
+        self.state.update((list(recent), list(recent.values())))
+        late, kept = [], []
+        for symbol, day in zip(batch["symbol"], batch["bar_date"]):
+            late.append(symbol in floors and day < floors[symbol])
+            kept.append(late[-1] or day not in seen[symbol])
+        yield batch.assign(late=late).loc[kept, [*BRONZE_COLUMNS, "late"]]
 
     def close(self) -> None:
         pass
@@ -71,7 +84,8 @@ def start_late_rows_stream(
     if max_files_per_trigger:
         src = src.option("maxFilesPerTrigger", str(max_files_per_trigger))
     days = parse(good_rows(landed_values(src.format(fmt).load(landing_path)))).select(*BRONZE_COLUMNS, "fetched_at")
-    kept = days.groupBy("symbol").transformWithStateInPandas(Lookback(delay_days), outputStructType=OUT, outputMode="Append", timeMode="None")
+    days = days.withColumn("bucket", F.pmod(F.xxhash64("symbol"), F.lit(BUCKETS)).cast("int"))
+    kept = days.groupBy("bucket").transformWithStateInPandas(Lookback(delay_days), outputStructType=OUT, outputMode="Append", timeMode="None")
     return (
         kept.writeStream.format("parquet").partitionBy("late").option("path", out_path).option("checkpointLocation", checkpoint_path)
         .outputMode("append").trigger(availableNow=True).start()

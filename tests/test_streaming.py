@@ -65,3 +65,31 @@ def test_stream_equals_full_reload_if_replays_are_identical(spark):
     b = read_target(spark, batch).select(*TARGET_COLUMNS)
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_many_symbols_share_a_call_and_a_state(spark, monkeypatch):
+    """Buckets of symbols: state rows and calls do not grow with the symbols, and each symbol keeps days of its own."""
+    from candlelake.streaming import late_rows
+
+    monkeypatch.setattr(late_rows, "BUCKETS", 2)
+    landing, out, ckpt = new_path(spark, "landing"), new_path(spark, "late"), new_path(spark, "ckpt")
+    symbols = [f"S{k}" for k in range(12)]
+    write_landing(landing_df(spark, [_run(spark, s, span(D(2026, 5, 1 + k), 5), D(2026, 5, 30)) for k, s in enumerate(symbols)]), landing)
+    late_rows.start_late_rows_stream(spark, landing, out, ckpt).awaitTermination()
+    # a replay, a day that is too old for the later symbols, a new one, and a symbol that was not there
+    again = [_run(spark, s, [D(2026, 5, 5 + k), D(2026, 5, 8), D(2026, 5, 25)], D(2026, 5, 31)) for k, s in enumerate(symbols)]
+    write_landing(landing_df(spark, [*again, _run(spark, "T", [D(2026, 5, 1)], D(2026, 5, 31))]), landing)
+    q = late_rows.start_late_rows_stream(spark, landing, out, ckpt)
+    q.awaitTermination()
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2
+    want = {("T", D(2026, 5, 1), False)}
+    for k, s in enumerate(symbols):
+        days, newest = span(D(2026, 5, 1 + k), 5), D(2026, 5, 5 + k)
+        want |= {(s, d, False) for d in [*days, D(2026, 5, 25)]}
+        floor = newest - dt.timedelta(days=2)
+        if D(2026, 5, 8) < floor:
+            want.add((s, D(2026, 5, 8), True))
+        elif D(2026, 5, 8) not in days:
+            want.add((s, D(2026, 5, 8), False))
+    got = [(r.symbol, r.bar_date, str(r.late).lower() == "true") for r in spark.read.parquet(out).collect()]
+    assert len(got) == len(want) and set(got) == want
