@@ -19,7 +19,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..constants import (
@@ -248,12 +248,14 @@ def write_merged(landing: DataFrame, path: str) -> None:
         ('":"', '": "'),
     ):
         text = F.replace(text, F.lit(compact), F.lit(pretty))
-    last = ok.groupBy(F.col("run_date").alias("_run")).agg(F.max("symbol").alias("_last"))
-    comma = F.when(F.col("symbol") < F.col("_last"), F.lit(",")).otherwise(F.lit(""))
-    rows = ok.join(last, F.col("run_date") == F.col("_run")).select("run_date", F.lit(1).alias("part"), "symbol", F.concat(F.lit(f'{pad(1)}"'), "symbol", F.lit('": '), text, comma).alias("value"))
-    edges = ok.select("run_date").distinct().select("run_date", F.explode(F.array(*[F.struct(F.lit(k).alias("part"), F.lit(v).alias("value")) for k, v in ((0, "{"), (2, "}"))])).alias("e"))
-    every = rows.unionByName(edges.select("run_date", "e.part", F.lit("").alias("symbol"), "e.value"))
-    every.repartition("run_date").sortWithinPartitions("run_date", "part", "symbol").select("run_date", "value").write.partitionBy("run_date").text(path)
+    # a run's brackets go with its first and last symbol
+    run = Window.partitionBy("run_date").orderBy("symbol")
+    head, tail = F.row_number().over(run) == 1, F.lead(F.lit(1)).over(run).isNull()
+    rows = ok.select("run_date", "symbol", F.concat(F.lit(f'{pad(1)}"'), "symbol", F.lit('": '), text).alias("value"))
+    rows = rows.select("*", head.alias("head"), tail.alias("tail"))
+    line = F.coalesce(F.concat("value", F.when(F.col("tail"), "").otherwise(",")), F.lit(""))
+    rows = rows.select("run_date", F.concat(F.when(F.col("head"), "{\n").otherwise(""), line, F.when(F.col("tail"), "\n}").otherwise("")).alias("value"))
+    rows.write.partitionBy("run_date").text(path)
 
 
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:

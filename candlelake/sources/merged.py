@@ -18,8 +18,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,30 +32,49 @@ from ..session import new_path
 INDENT = 4
 #: Levels of a line's key.
 SYMBOL, SECTION, DAY, FIELD = 1, 2, 3, 4
-#: One row per line that opens a symbol or section or holds a day's field (kind: its level), and one per split (kind 0):
-#: the last symbol, section and day line of the split so far, with their places in the file (-1: none yet).
-LINES = "file string, run_date date, split bigint, place bigint, kind int, symbol string, symbol_at bigint, section string, section_at bigint, day string, day_at bigint, key string, value string"
+#: The fields of a day, by the name that their columns have.
+FIELDS = {**PRICES, "volume": VOLUME_KEY}
+#: One row per line that opens a symbol or section (kind: its level), one per run of lines that hold a day's fields (kind
+#: FIELD: of each field its last text in the run, and that line's place), and one per split (kind 0): the last symbol,
+#: section and day line of the split so far, with their places in the file (-1: none yet). A day that a split or an Arrow
+#: batch cuts has several runs.
+LINES = "file string, run_date date, split bigint, place bigint, kind int, symbol string, symbol_at bigint, section string, section_at bigint, day string, day_at bigint, " + ", ".join(
+    f"{name} string, {name}_place bigint" for name in FIELDS
+)
 LINE = rf'^(?P<space> *)"(?P<key>(?:[^"\\]|\\.)*)" *: *(?P<value>.*?),? *$'
 
 
-def _filled(lines: pd.DataFrame, state: dict, indent: int) -> pd.DataFrame:
-    """Lines of one split in order -> rows of LINES but for file, run_date and split; ``state`` (name and place of the last
+def _filled(text: pa.Array, places: np.ndarray, state: dict, indent: int) -> dict[str, pa.Array]:
+    """Lines of one split in order -> columns of LINES but for file, run_date and split; ``state`` (name and place of the last
     line of each level) goes on from batch to batch."""
-    found = lines["value"].str.extract(LINE)
-    at = lines["place"].to_numpy()
-    deep = np.where(found["key"].notna(), found["space"].str.len().fillna(0).to_numpy() // indent, 0)
-    names, places = [], []
-    for level in (SYMBOL, SECTION, DAY):
-        own = np.maximum.accumulate(np.where(deep == level, np.arange(len(at)), -1)) if len(at) else np.empty(0, np.int64)
-        name, place = state[level]
-        names.append([found["key"].iloc[k] if k >= 0 else name for k in own.tolist()])
-        places.append(np.where(own >= 0, at[own], place))
-        if len(at):
-            state[level] = (names[-1][-1], int(places[-1][-1]))
-    out = pd.DataFrame({"place": at, "kind": deep, "key": found["key"], "value": found["value"]})
-    for name, n, p in zip(("symbol", "section", "day"), names, places):
-        out[name], out[f"{name}_at"] = n, p
-    return out[np.isin(deep, (SYMBOL, SECTION, FIELD))]
+    found = pc.extract_regex(text, LINE)
+    key, value = found.field("key"), found.field("value")
+    deep = np.where(found.is_valid().to_numpy(zero_copy_only=False), pc.binary_length(found.field("space")).fill_null(0).to_numpy() // indent, 0)
+    lines = np.arange(len(deep))
+    # the run of each field line: it has the symbol, section and day of all its lines
+    run = np.maximum.accumulate(np.where((deep >= SYMBOL) & (deep <= DAY), lines, -1)) + 1
+    fields = np.flatnonzero(deep == FIELD)
+    runs, first = np.unique(run[fields], return_index=True)
+    opened = np.flatnonzero((deep == SYMBOL) | (deep == SECTION))
+    rows = np.concatenate([opened, fields[first]])
+
+    out = {"place": pa.array(places[rows]), "kind": pa.array(deep[rows].astype(np.int32))}
+    for level, name in ((SYMBOL, "symbol"), (SECTION, "section"), (DAY, "day")):
+        own = np.maximum.accumulate(np.where(deep == level, lines, -1))
+        (was, was_at), at = state[level], own[rows]
+        names = key.take(pa.array(at, mask=at < 0))
+        out[name] = names if was is None else names.fill_null(was)
+        out[f"{name}_at"] = pa.array(np.where(at >= 0, places[at], was_at))
+        if own[-1] >= 0:
+            state[level] = (key[int(own[-1])].as_py(), int(places[own[-1]]))
+    for name, k in FIELDS.items():
+        these = fields[pc.equal(key.take(pa.array(fields)), k).to_numpy(zero_copy_only=False)]
+        last = np.full(len(lines) + 1, -1)
+        last[run[these]] = these  # the last line of a run that has the field stays
+        at = np.concatenate([np.full(len(opened), -1), last[runs]])
+        out[name] = value.take(pa.array(at, mask=at < 0))
+        out[f"{name}_place"] = pa.array(places[at], mask=at < 0)
+    return out
 
 
 def merged_lines(spark: SparkSession, path: str, indent: int = INDENT) -> DataFrame:
@@ -64,31 +83,36 @@ def merged_lines(spark: SparkSession, path: str, indent: int = INDENT) -> DataFr
     run = F.col("run_date").cast("date") if "run_date" in raw.columns else F.to_date(F.col("_metadata.file_modification_time"))
     raw = raw.select("value", F.col("_metadata.file_path").alias("file"), run.alias("run_date"), F.col("_metadata.file_block_start").alias("split"))
     columns = [c.split()[0] for c in LINES.split(", ")]
-    kinds = [pa.int32() if c == "kind" else pa.date32() if c == "run_date" else pa.int64() if c in ("split", "place") or c.endswith("_at") else pa.string() for c in columns]
+    kinds = [pa.int32() if c == "kind" else pa.date32() if c == "run_date" else pa.int64() if c in ("split", "place") or c.endswith(("_at", "_place")) else pa.string() for c in columns]
 
-    def batch_of(frame: pd.DataFrame) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(frame[c], k, from_pandas=True) for c, k in zip(columns, kinds)], columns)
+    def batch_of(own: tuple, found: dict[str, pa.Array], n: int) -> pa.RecordBatch:
+        found = found | {c: pa.repeat(pa.scalar(v, k), n) for c, v, k in zip(("file", "run_date", "split"), own, kinds)}
+        return pa.RecordBatch.from_arrays([found[c].cast(k) if c in found else pa.nulls(n, k) for c, k in zip(columns, kinds)], columns)
 
     def run_split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, state, seq = None, None, 0
 
         def ended() -> pa.RecordBatch:
-            (a, x), (b, y), (c, z) = (state[k] for k in (SYMBOL, SECTION, DAY))
-            row = dict(zip(("file", "run_date", "split"), now)) | {"place": now[2] + seq, "kind": 0, "symbol": a, "symbol_at": x, "section": b, "section_at": y, "day": c, "day_at": z, "key": None, "value": None}
-            return batch_of(pd.DataFrame([row]))
+            row = {"place": now[2] + seq, "kind": 0}
+            for level, name in ((SYMBOL, "symbol"), (SECTION, "section"), (DAY, "day")):
+                row[name], row[f"{name}_at"] = state[level]
+            return batch_of(now, {c: pa.array([v], kinds[columns.index(c)]) for c, v in row.items()}, 1)
 
         for batch in batches:
-            frame = batch.to_pandas()
-            for own, part in frame.groupby(["file", "run_date", "split"], sort=False):
+            text, file, run_date, split = batch.columns
+            changed = pc.or_(pc.not_equal(file[1:], file[:-1]), pc.not_equal(split[1:], split[:-1])).to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(changed) + 1).tolist(), batch.num_rows] if batch.num_rows else []
+            for start, end in zip(cuts, cuts[1:]):
+                own = (file[start].as_py(), run_date[start].as_py(), split[start].as_py())
                 if own != now:  # the lines of a split come together, and in order
                     if now is not None:
                         yield ended()
                     now, seq = own, 0
                     state = {k: (None, -1) for k in (SYMBOL, SECTION, DAY)}
                 # a line has a byte at least, so these places ascend through the whole file
-                part = part.assign(place=own[2] + seq + np.arange(len(part)))
-                seq += len(part)
-                yield batch_of(_filled(part, state, indent).assign(file=own[0], run_date=own[1], split=own[2]))
+                found = _filled(text[start:end], own[2] + seq + np.arange(end - start), state, indent)
+                seq += end - start
+                yield batch_of(own, found, len(found["place"]))
         if now is not None:
             yield ended()
 
@@ -114,28 +138,18 @@ def merged_values(spark: SparkSession, path: str, indent: int = INDENT) -> DataF
         taken = F.col(f"{x}_at") < 0
         placed = placed.withColumn(x, F.when(taken, F.col(f"in_{x}")[x]).otherwise(F.col(x))).withColumn(f"{x}_at", F.when(taken, F.col(f"in_{x}")[f"{x}_at"]).otherwise(F.col(f"{x}_at")))
     # a section belongs to the symbol before it, a day to the section before it
-    placed = placed.filter((F.col("kind") == SYMBOL) | (F.col("section_at") > F.col("symbol_at")))
-
-    def last(kind: int, *of: str) -> DataFrame:
-        names = [f"_{c}" for c in of]
-        return placed.filter(F.col("kind") == kind).groupBy(*[F.col(c).alias(n) for c, n in zip(of, names)]).agg(F.max("place").alias(f"last_{kind}"))
-
-    def only_last(rows: DataFrame, kind: int, at: str, *of: str) -> DataFrame:
-        on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in of] + [F.col(at) == F.col(f"last_{kind}")]
-        return rows.join(last(kind, *of), on, "left_semi")
-
-    fields = placed.filter((F.col("kind") == FIELD) & (F.col("section") == SERIES_KEY) & (F.col("day_at") > F.col("section_at")))
-    fields = only_last(fields, SYMBOL, "symbol_at", "file", "symbol")
-    fields = only_last(fields, SECTION, "section_at", "file", "symbol_at", "section")
-
-    def field(key: str) -> Column:
-        return F.max_by("value", F.when(F.col("key") == key, F.col("place")))
-
-    keys = {**PRICES, "volume": VOLUME_KEY}
-    days = fields.groupBy("file", "run_date", "symbol", "day", "day_at").agg(*[field(k).alias(name) for name, k in keys.items()])
+    kind, series = F.col("kind"), F.col("section") == SERIES_KEY
+    placed = placed.filter((kind == SYMBOL) | (series & (F.col("section_at") > F.col("symbol_at")) & ((kind == SECTION) | (F.col("day_at") > F.col("section_at")))))
+    # all that is looked up or grouped below lies within a file's symbol: one shuffle. Places ascend, so the last series of a
+    # symbol is that of its last line, or lies before it if that has none
+    own = Window.partitionBy("file", "symbol")
+    for level, of in ((SYMBOL, "symbol"), (SECTION, "section")):
+        placed = placed.withColumn(f"last_{of}", F.max(F.when(kind == level, F.col("place"))).over(own))
+    fields = placed.filter((kind == FIELD) & (F.col("symbol_at") == F.col("last_symbol")) & (F.col("section_at") == F.col("last_section")))
+    days = fields.groupBy("file", "run_date", "symbol", "day", "day_at").agg(*[F.max_by(name, f"{name}_place").alias(name) for name in FIELDS])
     # of a repeated day the last
-    days = days.groupBy("file", "run_date", "symbol", "day").agg(F.max(F.struct("day_at", *keys)).alias("d"))
-    text = {name: F.regexp_replace(F.nullif(F.col(f"d.{name}"), F.lit("null")), r'^"(.*)"$', "$1") for name in keys}
+    days = days.groupBy("file", "run_date", "symbol", "day").agg(F.max(F.struct("day_at", *FIELDS)).alias("d"))
+    text = {name: F.regexp_replace(F.nullif(F.col(f"d.{name}"), F.lit("null")), r'^"(.*)"$', "$1") for name in FIELDS}
 
     def plain(key: str) -> Column:
         quoted = F.from_json(F.concat(F.lit('["'), F.col(key), F.lit('"]')), "array<string>")[0]

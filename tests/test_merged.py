@@ -130,3 +130,16 @@ def test_a_reload_from_merged_documents(spark, tmp_path, capsys):
     result = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert result["rows"] == 2 and result["rejects"] == {"bad_date": 1, "future_date": 1}
     assert sorted((r.symbol, float(r.close)) for r in read_target(spark, target).collect()) == [("A", 2.0), ("B", 4.0)]
+
+
+def test_a_day_is_one_row_and_symbols_are_shuffled_once(spark, tmp_path):
+    """The fields of a day stay together, and what is looked up per symbol and day needs no shuffle of its own."""
+    merged = {s: {SERIES: {f"2026-05-{d:02d}": day(d, 9, 1, 2, 3) | {"6. more": "x"} for d in range(1, 11)}} for s in "ABC"}
+    merged["D"] = {"Meta Data": {"x": {"1. open": "5"}}, SERIES: {"2026-05-01": {"6. more": "x"}, "2026-05-02": {}}}
+    write(tmp_path, json.dumps(merged, indent=4))
+    assert merged_lines(spark, str(tmp_path)).filter("kind = 4").count() == 3 * 10 + 2  # the sections' own fields are one run more
+    df = merged_values(spark, str(tmp_path))
+    got = sorted((r.symbol, r.bar_date, r.open, r.close, r.volume) for r in df.collect())
+    assert got == sorted([(s, f"2026-05-{d:02d}", Decimal(d), Decimal(2), 3) for s in "ABC" for d in range(1, 11)] + [("D", "2026-05-01", None, None, None)])
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len({x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "symbol" in x}) == 1, plan
