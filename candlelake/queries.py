@@ -61,6 +61,11 @@ def bars(spark: SparkSession, sf: str) -> DataFrame:
     return X.orders_bars(spark, sf)
 
 
+def ticks(spark: SparkSession, sf: str) -> DataFrame:
+    """For the symbols and days of the bars."""
+    return X.orders_ticks(spark, sf)
+
+
 def landing(spark: SparkSession, sf: str) -> DataFrame:
     return X.landing_from_bars(bars(spark, sf))
 
@@ -87,7 +92,7 @@ def gold(spark: SparkSession, sf: str) -> DataFrame:
 
 class Scenario:
     def __init__(self, spark: SparkSession, sf: str):
-        row = bars(spark, sf).agg(F.max("bar_date").alias("d"), F.min("symbol").alias("s")).first()
+        row = ticks(spark, sf).agg(F.max("bar_date").alias("d"), F.min("symbol").alias("s")).first()
         self.d_max: dt.date = row["d"]
         self.hole_symbol: str = row["s"]
         self.cut = self.d_max - dt.timedelta(days=CUT_DAYS)
@@ -115,7 +120,7 @@ class Scenario:
         aggregate, computed once)."""
         if self._mark is None:
             self._mark = I.first_value(
-                self._existing_filter(bars(self.spark, self.sf)).agg(F.max("bar_date").alias("m")), "m"
+                self._existing_filter(ticks(self.spark, self.sf)).agg(F.max("bar_date").alias("m")), "m"
             )
         return self._mark
 
@@ -290,8 +295,7 @@ def q_landing_winner(spark, sf):
 
 
 def rough_landing(spark: SparkSession, sf: str, d_max: dt.date) -> DataFrame:
-    every = bars(spark, sf)
-    return X.landing_from_bars(every).unionByName(X.rough_responses(every, d_max, revisions=False))
+    return landing(spark, sf).unionByName(X.rough_responses(ticks(spark, sf), d_max, revisions=False))
 
 
 def q_rejected_rows(spark, sf):
@@ -320,7 +324,7 @@ def q_load_paths_agree(spark, sf):
 
     write_landing(rough_landing(spark, sf, sc.d_max), lpath)
     both()
-    write_landing(X.rough_responses(bars(spark, sf), sc.d_max, revisions=True), lpath)
+    write_landing(X.rough_responses(ticks(spark, sf), sc.d_max, revisions=True), lpath)
     both()
     run_full_reload(spark, read_landing(spark, lpath), targets["reload"], rejected["reload"])
     out = []
@@ -339,7 +343,7 @@ def q_per_key_recovery(spark, sf):
     """Per-symbol marks: the first symbol is late by PER_KEY_LATE days, the second has been silent for
     longer than the first-run window, the third is new. What the run appends."""
     sc = Scenario(spark, sf)
-    late, dead, fresh = [r["symbol"] for r in bars(spark, sf).select("symbol").distinct().orderBy("symbol").limit(3).collect()]
+    late, dead, fresh = [r["symbol"] for r in ticks(spark, sf).select("symbol").distinct().orderBy("symbol").limit(3).collect()]
     paths = {k: new_path(spark, k) for k in ("landing", "target", "marks")}
     write_landing(landing(spark, sf), paths["landing"])
     s, d = F.col("symbol"), F.col("bar_date")
@@ -504,7 +508,7 @@ def q_stream_late_rows(spark, sf):
     lpath, opath, cpath = (new_path(spark, k) for k in ("landing", "dedup", "stream-checkpoint"))
     write_landing(landing(spark, sf), lpath)
     start_late_dedup_stream(spark, lpath, opath, cpath).awaitTermination()
-    write_landing(X.late_responses(bars(spark, sf), sc.d_max, LATE_DAYS), lpath)
+    write_landing(X.late_responses(ticks(spark, sf), sc.d_max, LATE_DAYS), lpath)
     start_late_dedup_stream(spark, lpath, opath, cpath).awaitTermination()
     kept = spark.read.parquet(opath).select("symbol", "bar_date", "close")
     landed = S.to_silver(B.flatten(read_landing(spark, lpath))).select("symbol", "bar_date", "close")
@@ -526,7 +530,7 @@ def q_future_dates(spark, sf):
     lpath, marks, ckpt = (new_path(spark, k) for k in ("landing", "marks", "stream-checkpoint"))
     targets = {k: new_path(spark, "target") for k in ("reload", "incremental", "stream")}
     rejected = {k: new_path(spark, "rejects") for k in targets}
-    poisoned, later = X.future_responses(bars(spark, sf), sc.d_max)
+    poisoned, later = X.future_responses(ticks(spark, sf), sc.d_max)
     for n, landed in ((45, landing(spark, sf).unionByName(poisoned)), (55, later)):
         write_landing(landed, lpath)
         run_incremental(spark, lpath, targets["incremental"], marks, sc.d_max + dt.timedelta(days=n), first_run_days=ALL_DAYS, rejects_path=rejected["incremental"])
@@ -548,7 +552,7 @@ def q_load_paths_revised(spark, sf):
     lpath, marks, ckpt = (new_path(spark, k) for k in ("landing", "marks", "stream-checkpoint"))
     targets = {k: new_path(spark, "target") for k in ("reload", "incremental", "stream")}
     changed = []
-    for landed in (rough_landing(spark, sf, sc.d_max), X.rough_responses(bars(spark, sf), sc.d_max, revisions=True)):
+    for landed in (rough_landing(spark, sf, sc.d_max), X.rough_responses(ticks(spark, sf), sc.d_max, revisions=True)):
         write_landing(landed, lpath)
         changed.append(run_incremental(spark, lpath, targets["incremental"], marks, as_of, first_run_days=ALL_DAYS, lookback_days=ALL_DAYS, revise=True)["n_changed"])
         start_incremental_stream(spark, lpath, targets["stream"], ckpt, revise=True).awaitTermination()
@@ -569,7 +573,7 @@ def q_load_diff(spark, sf):
     first, second = new_path(spark, "target"), new_path(spark, "target")
     write_landing(rough_landing(spark, sf, sc.d_max), lpath)
     run_full_reload(spark, read_landing(spark, lpath), first)
-    write_landing(X.rough_responses(bars(spark, sf), sc.d_max, revisions=True), lpath)
+    write_landing(X.rough_responses(ticks(spark, sf), sc.d_max, revisions=True), lpath)
     run_full_reload(spark, read_landing(spark, lpath).filter(F.col("run_date") != F.lit(sc.d_max + dt.timedelta(days=42))), second)
     return R2.load_diff(_target(spark, first), _target(spark, second))
 
@@ -653,7 +657,7 @@ def q_stream_late_kept(spark, sf):
     lpath, opath, cpath = (new_path(spark, k) for k in ("landing", "late-rows", "stream-checkpoint"))
     write_landing(landing(spark, sf), lpath)
     start_late_rows_stream(spark, lpath, opath, cpath).awaitTermination()
-    write_landing(X.late_responses(bars(spark, sf), sc.d_max, LATE_DAYS), lpath)
+    write_landing(X.late_responses(ticks(spark, sf), sc.d_max, LATE_DAYS), lpath)
     start_late_rows_stream(spark, lpath, opath, cpath).awaitTermination()
     return spark.read.parquet(opath).select("symbol", "bar_date", "close", F.col("late").cast("boolean").alias("late"))
 

@@ -58,6 +58,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def orders_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``symbol, bar_date, seq, price``: each order as one tick of both series of ``orders_bars``. Symbols and days of the
+    bars are those of the ticks, which need no shuffle."""
+    return table(spark, sf_dir, "orders").select(
+        F.explode(F.array("o_orderpriority", F.format_string("C%07d", "o_custkey"))).alias("symbol"),
+        F.col("o_orderdate").cast("date").alias("bar_date"),
+        F.col("o_orderkey").alias("seq"),
+        F.col("o_totalprice").alias("price"),
+    )
+
+
 def orders_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily OHLCV bars, unique per (symbol, bar_date), in two shapes from one orders scan:
 
@@ -67,12 +78,7 @@ def orders_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Each order is one tick of both series; one hash aggregate (partial, map-side) builds all bars.
     """
-    o = table(spark, sf_dir, "orders").select(
-        F.explode(F.array("o_orderpriority", F.format_string("C%07d", "o_custkey"))).alias("symbol"),
-        F.col("o_orderdate").cast("date").alias("bar_date"),
-        F.col("o_orderkey").alias("seq"),
-        F.col("o_totalprice").alias("price"),
-    )
+    o = orders_ticks(spark, sf_dir)
     bars = o.groupBy("symbol", "bar_date").agg(
         F.min_by("price", "seq").alias("open"),
         F.max("price").alias("high"),

@@ -87,3 +87,16 @@ def test_incremental_queries_parse_each_body_once(spark):
     for name in ("new_rows", "incremental_summary", "max_loaded_date"):
         plan = _executed(Q.QUERIES[name](spark, SF_SMALL))
         assert len(re.findall(r"parse_?json", plan, re.I)) == 1 and "from_json" not in plan, name
+
+
+def test_symbols_and_days_come_without_the_bars(spark):
+    """The scenario's bounds and symbols are the bars', and are found without grouping the bars."""
+    from pyspark.sql import functions as F
+
+    from candlelake import queries as Q
+    from helpers import SF_SMALL
+
+    bounds = [F.max("bar_date"), F.min("symbol"), F.count_distinct("symbol")]
+    assert Q.ticks(spark, SF_SMALL).agg(*bounds).first() == Q.bars(spark, SF_SMALL).agg(*bounds).first()
+    plan = Q.ticks(spark, SF_SMALL).agg(*bounds[:2])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan, plan
