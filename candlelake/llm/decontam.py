@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from candlelake.llm.common import stored
 
-#: Words of a window, share of an item's windows, and the item windows that are broadcast at a time.
-WINDOW, SIMILARITY, BLOCK = 5, 0.8, 50_000
+#: Words of a window, share of an item's windows, the most item windows that are broadcast, and the window hashes (8 bytes each) that are broadcast at a time.
+WINDOW, SIMILARITY, BLOCK, HASHES = 5, 0.8, 50_000, 1_000_000
 #: Words after a number that count as units.
 UNITS = (
     "mm cm m km inch inches foot feet ft yard yards mile miles mg g gram grams kg t ton tons tonnes oz ounces lb lbs pound pounds ml l liter liters litre litres gallon gallons "
@@ -73,13 +73,18 @@ def readings(rows: DataFrame, text: str, keep: Column) -> DataFrame:
 
 
 def windows(rows: DataFrame, sizes: list[int], keep: list[str]) -> DataFrame:
-    """Rows (keep, valued, words) -> one row per window: keep, valued, words, size, at, h."""
+    """Rows (keep, valued, words) -> one row per window: keep, n_words (of the text), size, at, win, slot (its words, without and with values), h.
+
+    A window has its own words alone: what is joined to the windows of one text is held at once, so the whole text in each
+    would take memory in proportion to its length times its hits.
+    """
     size = F.explode(F.array(*[F.lit(k) for k in sizes])) if len(sizes) > 1 else F.lit(sizes[0] if sizes else WINDOW)
     rows = rows.withColumn("size", size)
     # no filter on the words: it would be pushed below and make them twice
     starts = F.when(F.size("words") >= F.col("size"), F.sequence(F.lit(1), F.size("words") - F.col("size") + 1))
     rows = rows.select(*keep, "valued", "words", "size", F.explode(starts).alias("at"))
-    return rows.withColumn("h", F.xxhash64(F.slice("words", F.col("at"), F.col("size"))))
+    win, slot = (F.slice(words, F.col("at"), F.col("size")) for words in ("words", "valued"))
+    return rows.select(*keep, F.size("words").alias("n_words"), "size", "at", win.alias("win"), slot.alias("slot")).withColumn("h", F.xxhash64("win"))
 
 
 def agreeing(hits: Column) -> Column:
@@ -130,39 +135,41 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
 def found_items(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id",
-    window: int = WINDOW, similarity: float = SIMILARITY, block: int = BLOCK,
+    window: int = WINDOW, similarity: float = SIMILARITY, block: int = BLOCK, hashes: int = HASHES,
 ) -> DataFrame:
     """contaminated() with ``row``, a hash of the document's text.
 
-    The benchmark is joined in blocks of about ``block`` windows, each broadcast.
+    The documents' windows are held against the distinct hashes of the benchmark's, broadcast ``hashes`` at a time (one pass over the
+    documents each). What is left meets the benchmark's windows: broadcast if they are ``block`` at most, else in a shuffle join.
     """
     items = readings(benchmark, item_text, F.col(f"`{item_id}`")).withColumnRenamed("k", "item_id").filter("words[0] <> ''")
     items = items.withColumn("short", F.least(F.size("words"), F.lit(window)))
     sizes = sorted(r[0] for r in items.select("short").distinct().collect())  # 1 to window
     plain = F.size(F.filter("win", lambda w: ~w.startswith(MARK)))
     found = reduce(DataFrame.unionAll, [windows(items.filter(F.col("short") == k).drop("short"), [k], ["item_id", "reading"]) for k in sizes]) if sizes else windows(items.drop("short"), [window], ["item_id", "reading"])
-    known = found.select(
-        "h", "size", "item_id", "reading", F.col("at").alias("i_at"), F.slice("words", F.col("at"), F.col("size")).alias("win"), F.slice("valued", F.col("at"), F.col("size")).alias("i_slot"),
-        F.size("words").alias("i_len"),
-    ).filter(plain >= F.least(F.lit(2), F.col("size")))
-    known = stored(known, "benchmark-windows")
+    known = found.select("h", "size", "item_id", "reading", F.col("at").alias("i_at"), "win", F.col("slot").alias("i_slot"), F.col("n_words").alias("i_len"))
+    known = stored(known.filter(plain >= F.least(F.lit(2), F.col("size"))), "benchmark-windows")
     total = known.count()
     held = known.groupBy(F.col("item_id").alias("t_id"), F.col("reading").alias("t_reading")).agg(F.count_distinct("win").alias("i_total"))
 
     own = F.struct(F.col(f"`{doc_id}`").alias("doc_id"), row_hash(text).alias("row"))
     lines = readings(docs, text, own).select("k.doc_id", "k.row", (F.col("reading") == 2).alias("all_names"), "valued", "words")
-    each = windows(lines, sizes, ["doc_id", "row", "all_names"])
-    blocks = max(1, -(-total // block))
+    each = windows(lines, sizes, ["doc_id", "row", "all_names"]).drop("n_words")
+    some = known.select(F.col("h").alias("i_h")).distinct()
+    passes = 1 if total <= hashes else max(1, -(-some.count() // hashes))
     met = []
-    for k in range(blocks):
-        part = known if blocks == 1 else known.filter(F.pmod("h", F.lit(blocks)) == k)
-        met.append(
-            each.join(F.broadcast(part.withColumnsRenamed({"h": "i_h", "size": "i_size"})), (F.col("h") == F.col("i_h")) & (F.col("size") == F.col("i_size")) & (F.col("all_names") == (F.col("reading") == 2)))
-            .filter(F.slice("words", F.col("at"), F.col("size")) == F.col("win"))
-            .select("doc_id", "row", "item_id", "reading", "at", "i_at", "i_len", F.xxhash64("win").alias("w"), F.slice("valued", F.col("at"), F.col("size")).alias("slot"), "i_slot")
-        )
+    for k in range(passes):
+        part = some if passes == 1 else some.filter(F.pmod("i_h", F.lit(passes)) == k)
+        near = each.join(F.broadcast(part), F.col("h") == F.col("i_h"), "left_semi")
+        met.append(near if passes == 1 else stored(near, "near-windows"))  # one pass after the other, so that one broadcast is in use
+    item = known.withColumnsRenamed({"h": "i_h", "size": "i_size", "win": "i_win"})
+    met = (
+        reduce(DataFrame.unionAll, met)
+        .join(F.broadcast(item) if total <= block else item, (F.col("h") == F.col("i_h")) & (F.col("size") == F.col("i_size")) & (F.col("all_names") == (F.col("reading") == 2)) & (F.col("win") == F.col("i_win")))
+        .select("doc_id", "row", "item_id", "reading", "at", "i_at", "i_len", F.xxhash64("i_win").alias("w"), "slot", "i_slot")
+    )
     pairs = F.filter(F.arrays_zip("i_slot", "slot"), lambda x: x["i_slot"].startswith(MARK))
-    met = reduce(DataFrame.unionAll, met).withColumn("pairs", pairs)
+    met = met.withColumn("pairs", pairs)
     # occurrences of one item in a document lie an item's length apart: two rows of strips, so that no occurrence is cut by both
     shift = (F.col("at") - F.col("i_at")).cast("double") / (2 * F.col("i_len"))
     strip = F.explode(F.array(F.struct(F.lit(0).alias("r"), F.floor(shift).alias("s")), F.struct(F.lit(1).alias("r"), F.floor(shift + 0.5).alias("s"))))

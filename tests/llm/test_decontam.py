@@ -124,3 +124,34 @@ def test_rows_are_judged_one_by_one(spark):
     kept = [tuple(r) for r in without_leaks(docs, make_items(spark, [(0, ITEM)])).collect()]
     assert sorted(kept, key=str) == sorted([r for r in rows if ITEM not in (r[1] or "")], key=str)
     assert contaminated(docs, make_items(spark, [(0, ITEM)])).count() == 3
+
+
+def nodes(plan):
+    below = plan.children()
+    return [plan, *[x for k in range(below.size()) for x in nodes(below.apply(k))]]
+
+
+def joins(frame):
+    return [x for x in nodes(frame._jdf.queryExecution().sparkPlan()) if "Join" in x.nodeName()]
+
+
+def test_hits_do_not_hold_the_whole_text(spark):
+    """Hits of one text are held together, so they must not have all its words each."""
+    texts, items = make_docs(spark, [(1, ITEM)]), make_items(spark, [(0, ITEM)])
+    for options in ({}, {"block": 5}):
+        met = joins(contaminated(texts, items, **options))
+        names = {x.output().apply(k).name() for x in met for k in range(x.output().size())}
+        assert met and not names & {"words", "valued"}
+
+
+def test_a_repeated_benchmark_takes_one_pass(spark):
+    """The documents are read once for all copies of the items, and once for each part of the windows' hashes; the rows stay."""
+    other = ITEM.replace("Anna", "Peter").replace("120 km", "300 miles")
+    texts = [(k, f"word {k} " * k + (ITEM, other, "nothing of the kind")[k % 3]) for k in range(9)]
+    items = [(k, ITEM) for k in range(6)] + [(6, "the plain words of this item have no slots at all here")]
+    scans = lambda **o: sum("Scan" in x.nodeName() and "doc_id" in x.toString() for x in nodes(contaminated(make_docs(spark, texts), make_items(spark, items), **o)._jdf.queryExecution().sparkPlan()))
+    want = found(spark, texts, items)
+    assert {k for k in want if k[1] < 6} == {(d, i) for d in range(9) if d % 3 < 2 for i in range(6)}
+    assert scans(block=20) == scans()
+    for options in ({"block": 20}, {"block": 20, "hashes": 7}):
+        assert found(spark, texts, items, **options) == want
