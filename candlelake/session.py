@@ -6,10 +6,13 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(
@@ -54,3 +57,14 @@ def work_dir(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the work folder (one per run, never reused)."""
     return f"{work_dir(spark)}/candlelake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written inside go when the write ends, not when the driver happens to collect its garbage."""
+    was = spark.conf.get(CLEANUP_CONF, None)
+    spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP_CONF) if was is None else spark.conf.set(CLEANUP_CONF, was)

@@ -38,6 +38,7 @@ from ..constants import (
     SERIES_KEY,
     VOLUME_KEY,
 )
+from ..session import shuffles_removed
 
 # Junk injected into landed days, by day of month: (day, field, text).
 JUNK_DAYS = ((13, OPEN_KEY, "NaN"), (17, VOLUME_KEY, ""), (29, HIGH_KEY, "12345678.9000"))
@@ -254,14 +255,15 @@ def write_merged(landing: DataFrame, path: str) -> None:
         ('":"', '": "'),
     ):
         text = F.replace(text, F.lit(compact), F.lit(pretty))
-    # a run's brackets go with its first and last symbol
+    # a run's brackets go with its first and last symbol; the compact text goes through the shuffle
     run = Window.partitionBy("run_date").orderBy("symbol")
     head, tail = F.row_number().over(run) == 1, F.lead(F.lit(1)).over(run).isNull()
-    rows = ok.select("run_date", "symbol", F.concat(F.lit(f'{pad(1)}"'), "symbol", F.lit('": '), text).alias("value"))
-    rows = rows.select("*", head.alias("head"), tail.alias("tail"))
+    rows = ok.select("run_date", "symbol", "body", head.alias("head"), tail.alias("tail"))
+    rows = rows.withColumn("value", F.concat(F.lit(f'{pad(1)}"'), "symbol", F.lit('": '), text))
     line = F.coalesce(F.concat("value", F.when(F.col("tail"), "").otherwise(",")), F.lit(""))
     rows = rows.select("run_date", F.concat(F.when(F.col("head"), "{\n").otherwise(""), line, F.when(F.col("tail"), "\n}").otherwise("")).alias("value"))
-    rows.write.partitionBy("run_date").text(path)
+    with shuffles_removed(landing.sparkSession):
+        rows.write.partitionBy("run_date").text(path)
 
 
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:

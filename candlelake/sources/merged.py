@@ -34,12 +34,12 @@ INDENT = 4
 SYMBOL, SECTION, DAY, FIELD = 1, 2, 3, 4
 #: The fields of a day, by the name that their columns have.
 FIELDS = {**PRICES, "volume": VOLUME_KEY}
-#: One row per line that opens a symbol or section (kind: its level), one per run of lines that hold a day's fields (kind
-#: FIELD: of each field its last text in the run, and that line's place), and one per split (kind 0): the last symbol,
-#: section and day line of the split so far, with their places in the file (-1: none yet). A day that a split or an Arrow
-#: batch cuts has several runs.
+#: One row per run of lines that hold a day's fields (kind FIELD: of each field its last text in the run), one per line that opens a
+#: symbol or series (kind: its level) unless such a run follows that shows it, and one per split (kind 0, place: its number of lines): the
+#: last symbol, section and day line of the split so far. Places are lines, counted from the split's first (-1: none yet). A
+#: day that a split or an Arrow batch cuts has several runs.
 LINES = "file string, run_date date, split bigint, place bigint, kind int, symbol string, symbol_at bigint, section string, section_at bigint, day string, day_at bigint, " + ", ".join(
-    f"{name} string, {name}_place bigint" for name in FIELDS
+    f"{name} string" for name in FIELDS
 )
 LINE = rf'^(?P<space> *)"(?P<key>(?:[^"\\]|\\.)*)" *: *(?P<value>.*?),? *$'
 
@@ -55,12 +55,18 @@ def _filled(text: pa.Array, places: np.ndarray, state: dict, indent: int) -> dic
     run = np.maximum.accumulate(np.where((deep >= SYMBOL) & (deep <= DAY), lines, -1)) + 1
     fields = np.flatnonzero(deep == FIELD)
     runs, first = np.unique(run[fields], return_index=True)
-    opened = np.flatnonzero((deep == SYMBOL) | (deep == SECTION))
+    owns = {level: np.maximum.accumulate(np.where(deep == level, lines, -1)) for level in (SYMBOL, SECTION, DAY)}
+    series = pc.equal(key, SERIES_KEY).fill_null(False).to_numpy(zero_copy_only=False)
+    # a run of a series that opened here after its symbol shows both lines
+    by_symbol, by_section, by_day = (x[fields[first]] for x in owns.values())
+    sure = (by_symbol >= 0) & (by_section > by_symbol) & (by_day > by_section) & series[by_section]
+    opened = np.flatnonzero((deep == SYMBOL) | ((deep == SECTION) & series))
+    opened = opened[~np.isin(opened, np.concatenate([by_symbol[sure], by_section[sure]]))]
     rows = np.concatenate([opened, fields[first]])
 
     out = {"place": pa.array(places[rows]), "kind": pa.array(deep[rows].astype(np.int32))}
     for level, name in ((SYMBOL, "symbol"), (SECTION, "section"), (DAY, "day")):
-        own = np.maximum.accumulate(np.where(deep == level, lines, -1))
+        own = owns[level]
         (was, was_at), at = state[level], own[rows]
         names = key.take(pa.array(at, mask=at < 0))
         out[name] = names if was is None else names.fill_null(was)
@@ -73,7 +79,6 @@ def _filled(text: pa.Array, places: np.ndarray, state: dict, indent: int) -> dic
         last[run[these]] = these  # the last line of a run that has the field stays
         at = np.concatenate([np.full(len(opened), -1), last[runs]])
         out[name] = value.take(pa.array(at, mask=at < 0))
-        out[f"{name}_place"] = pa.array(places[at], mask=at < 0)
     return out
 
 
@@ -83,7 +88,7 @@ def merged_lines(spark: SparkSession, path: str, indent: int = INDENT) -> DataFr
     run = F.col("run_date").cast("date") if "run_date" in raw.columns else F.to_date(F.col("_metadata.file_modification_time"))
     raw = raw.select("value", F.col("_metadata.file_path").alias("file"), run.alias("run_date"), F.col("_metadata.file_block_start").alias("split"))
     columns = [c.split()[0] for c in LINES.split(", ")]
-    kinds = [pa.int32() if c == "kind" else pa.date32() if c == "run_date" else pa.int64() if c in ("split", "place") or c.endswith(("_at", "_place")) else pa.string() for c in columns]
+    kinds = [pa.int32() if c == "kind" else pa.date32() if c == "run_date" else pa.int64() if c in ("split", "place") or c.endswith("_at") else pa.string() for c in columns]
 
     def batch_of(own: tuple, found: dict[str, pa.Array], n: int) -> pa.RecordBatch:
         found = found | {c: pa.repeat(pa.scalar(v, k), n) for c, v, k in zip(("file", "run_date", "split"), own, kinds)}
@@ -93,7 +98,7 @@ def merged_lines(spark: SparkSession, path: str, indent: int = INDENT) -> DataFr
         now, state, seq = None, None, 0
 
         def ended() -> pa.RecordBatch:
-            row = {"place": now[2] + seq, "kind": 0}
+            row = {"place": seq, "kind": 0}
             for level, name in ((SYMBOL, "symbol"), (SECTION, "section"), (DAY, "day")):
                 row[name], row[f"{name}_at"] = state[level]
             return batch_of(now, {c: pa.array([v], kinds[columns.index(c)]) for c, v in row.items()}, 1)
@@ -109,8 +114,7 @@ def merged_lines(spark: SparkSession, path: str, indent: int = INDENT) -> DataFr
                         yield ended()
                     now, seq = own, 0
                     state = {k: (None, -1) for k in (SYMBOL, SECTION, DAY)}
-                # a line has a byte at least, so these places ascend through the whole file
-                found = _filled(text[start:end], own[2] + seq + np.arange(end - start), state, indent)
+                found = _filled(text[start:end], seq + np.arange(end - start), state, indent)
                 seq += end - start
                 yield batch_of(own, found, len(found["place"]))
         if now is not None:
@@ -125,30 +129,34 @@ def merged_values(spark: SparkSession, path: str, indent: int = INDENT) -> DataF
     The lines are stored once (in the work folder): they are read for the splits' states and for the rows.
     """
     folder = new_path(spark, "merged-lines")
-    merged_lines(spark, path, indent).write.parquet(folder)
+    merged_lines(spark, path, indent).write.option("compression", "zstd").parquet(folder)
     lines = spark.read.schema(LINES).parquet(folder)
 
-    # the state in which a split starts: the last line of each level in the splits before it
-    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)  # a row per split
+    # the state in which a split starts: the lines before it, and the last line of each level in them. A row per split
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     levels = ("symbol", "section", "day")
-    ends = lines.filter("kind = 0").select("file", "split", *levels, *[f"{x}_at" for x in levels])
-    starts = ends.select("file", "split", *[F.max(F.when(F.col(f"{x}_at") >= 0, F.struct(f"{x}_at", x))).over(before).alias(f"in_{x}") for x in levels])
-    placed = lines.filter("kind > 0").join(starts, ["file", "split"])
+    ends = lines.filter("kind = 0").select("file", "split", *levels, *[f"{x}_at" for x in levels], F.coalesce(F.sum("place").over(before), F.lit(0)).alias("base"))
+    starts = ends.select(
+        F.col("file").alias("_file"), F.col("split").alias("_split"), "base", F.dense_rank().over(Window.orderBy("file")).alias("f"),
+        *[F.max(F.when(F.col(f"{x}_at") >= 0, F.struct((F.col(f"{x}_at") + F.col("base")).alias("at"), x))).over(before).alias(f"in_{x}") for x in levels],
+    )
+    placed = lines.filter("kind > 0").join(F.broadcast(starts), (F.col("file") == F.col("_file")) & (F.col("split") == F.col("_split")))
     for x in levels:
         taken = F.col(f"{x}_at") < 0
-        placed = placed.withColumn(x, F.when(taken, F.col(f"in_{x}")[x]).otherwise(F.col(x))).withColumn(f"{x}_at", F.when(taken, F.col(f"in_{x}")[f"{x}_at"]).otherwise(F.col(f"{x}_at")))
+        placed = placed.withColumn(x, F.when(taken, F.col(f"in_{x}")[x]).otherwise(F.col(x))).withColumn(f"{x}_at", F.when(taken, F.col(f"in_{x}")["at"]).otherwise(F.col(f"{x}_at") + F.col("base")))
     # a section belongs to the symbol before it, a day to the section before it
     kind, series = F.col("kind"), F.col("section") == SERIES_KEY
     placed = placed.filter((kind == SYMBOL) | (series & (F.col("section_at") > F.col("symbol_at")) & ((kind == SECTION) | (F.col("day_at") > F.col("section_at")))))
-    # all that is looked up or grouped below lies within a file's symbol: one shuffle. Places ascend, so the last series of a
-    # symbol is that of its last line, or lies before it if that has none
-    own = Window.partitionBy("file", "symbol")
-    for level, of in ((SYMBOL, "symbol"), (SECTION, "section")):
-        placed = placed.withColumn(f"last_{of}", F.max(F.when(kind == level, F.col("place"))).over(own))
+    # all that is looked up or grouped below lies within a file's symbol: one shuffle, of what is needed (f stands for the file).
+    # Lines ascend, so the last series of a symbol is that of its last line, or lies before it if that has none
+    placed = placed.select("f", "run_date", (F.col("place") + F.col("base")).alias("place"), "kind", "symbol", "symbol_at", F.when(kind > SYMBOL, F.col("section_at")).alias("section_at"), "day", "day_at", *FIELDS)
+    own = Window.partitionBy("f", "symbol")
+    for of in ("symbol", "section"):
+        placed = placed.withColumn(f"last_{of}", F.max(f"{of}_at").over(own))
     fields = placed.filter((kind == FIELD) & (F.col("symbol_at") == F.col("last_symbol")) & (F.col("section_at") == F.col("last_section")))
-    days = fields.groupBy("file", "run_date", "symbol", "day", "day_at").agg(*[F.max_by(name, f"{name}_place").alias(name) for name in FIELDS])
+    days = fields.groupBy("f", "run_date", "symbol", "day", "day_at").agg(*[F.max_by(name, F.when(F.col(name).isNotNull(), F.col("place"))).alias(name) for name in FIELDS])
     # of a repeated day the last
-    days = days.groupBy("file", "run_date", "symbol", "day").agg(F.max(F.struct("day_at", *FIELDS)).alias("d"))
+    days = days.groupBy("f", "run_date", "symbol", "day").agg(F.max(F.struct("day_at", *FIELDS)).alias("d"))
     text = {name: F.regexp_replace(F.nullif(F.col(f"d.{name}"), F.lit("null")), r'^"(.*)"$', "$1") for name in FIELDS}
 
     def plain(key: str) -> Column:

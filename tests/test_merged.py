@@ -116,6 +116,66 @@ def test_odd_lines(spark, tmp_path):
     assert rows(spark, tmp_path) == wanted(merged)
 
 
+@pytest.mark.parametrize("batch", ["3", "10000"])
+def test_random_documents(spark, tmp_path, batch, small_splits):
+    """Keys of all levels repeat and come in any order, in splits and Arrow batches of a few lines."""
+    rng = random.Random(4)
+    pairs = lambda n, key, value: "{" + ", ".join(f"{json.dumps(key())}: {value()}" for _ in range(n)) + "}"
+    fields = ["1. open", "4. close", "5. volume", "other"]
+    own = lambda: pairs(rng.randint(1, 6), lambda: rng.choice(fields), lambda: rng.choice(['"1"', '"2"', "3", "null"]))
+    days = lambda: pairs(rng.randint(0, 4), lambda: f"2026-05-0{rng.randint(1, 4)}", own)
+    sections = lambda: pairs(rng.randint(0, 3), lambda: rng.choice([SERIES, SERIES, "Meta Data"]), lambda: rng.choice([days, days, lambda: '"none"'])())
+    want = []
+    for k in range(9):
+        text = pairs(rng.randint(1, 7), lambda: rng.choice("ABCD"), sections)
+        want += wanted(json.loads(text))
+
+        class Pairs(list):
+            pass
+
+        def shown(x, pad):
+            if not isinstance(x, Pairs):
+                return json.dumps(x)
+            inner = " " * (pad + 4)
+            return "{\n" + ",\n".join(f"{inner}{json.dumps(key)}: {shown(v, pad + 4)}" for key, v in x) + "\n" + " " * pad + "}" if x else "{}"
+
+        write(tmp_path, shown(json.loads(text, object_pairs_hook=Pairs), 0), f"{k}.json")
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        got = Counter((r.symbol, r.bar_date, r.open, r.close, r.volume) for r in merged_values(spark, str(tmp_path)).collect())
+        assert got == Counter(want) and len(want) > 10
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+
+
+def test_lines_are_few_and_shuffled_once(spark, tmp_path):
+    """What is stored and shuffled grows with the days: no row of its own for a symbol or section that a day shows, no shuffle by split."""
+    merged = {f"S{k}": {"Meta Data": {"2. Symbol": f"S{k}"}, SERIES: {"2026-05-01": day(1, 1, 1, 1, 1), "2026-05-02": day(2, 2, 2, 2, 2)}} for k in range(5)} | {"N": {SERIES: {}}}
+    write(tmp_path, json.dumps(merged, indent=4))
+    kinds = Counter(r.kind for r in merged_lines(spark, str(tmp_path)).collect())
+    assert kinds == {0: 1, 1: 1, 2: 1, 4: 10}  # only N has lines that no day shows
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        values = merged_values(spark, str(tmp_path))
+        assert "SortMergeJoin" not in values._jdf.queryExecution().executedPlan().toString()
+        assert values.count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_no_shuffle_files_of_the_write_stay(spark):
+    def shuffled():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {name for k in range(blocks.size()) if (name := blocks.apply(k).name()).startswith("shuffle_")}
+
+    was = shuffled()
+    X.write_merged(Q.landing(spark, SF_SMALL), new_path(spark, "merged"))
+    assert shuffled() <= was
+
+
 def test_a_reload_from_merged_documents(spark, tmp_path, capsys):
     import unittest.mock as mock
 
