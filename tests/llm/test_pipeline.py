@@ -93,3 +93,19 @@ def test_groups_agree(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     pairs = exact_dedup(docs, F.lower("text")).select("doc_id", "keep_id").join(jaccard_join(docs), "doc_id")
     assert pairs.groupBy("keep_id").agg(F.count_distinct("class_id").alias("n")).filter("n > 1").count() == 0
+
+
+def test_leaks_with_a_repeated_benchmark(spark, tmp_path, monkeypatch):
+    """benchmark_leaks keeps the same rows when the items come many times; no join there holds whole texts but the one that returns them."""
+    from candlelake.llm import decontam
+    from test_decontam import ITEM, joins
+
+    monkeypatch.setattr(decontam.found_items, "__defaults__", tuple(20 if x == decontam.BLOCK else x for x in decontam.found_items.__defaults__))
+    texts = [(k, f"word {k} " * k + (ITEM, "nothing of the kind")[k % 2]) for k in range(8)]
+    docs = spark.createDataFrame([(i, t, None, None, len(t)) for i, t in texts], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for n in (1, 12):
+        spark.createDataFrame([(k, ITEM) for k in range(n)], "item_id bigint, text string").write.parquet(f"{tmp_path}/{n}/benchmark.parquet")
+        kept = corpus_pipeline.benchmark_leaks(spark, docs, f"{tmp_path}/{n}")
+        assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 5, 7]
+        names = [{x.output().apply(k).name() for k in range(x.output().size())} for x in joins(kept)]
+        assert not any(x & {"words", "valued"} for x in names) and sum("LeftSemi" in x.toString().split("\n")[0] for x in joins(kept)) == 1
